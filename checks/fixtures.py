@@ -159,6 +159,25 @@ VIEWS: dict[str, str] = {
         select id as row_no, FileName, 1 as sheet_no, cast(id as string) as c1, 'M' as c2, 'T' as c3, case when AccNo = '' then '-' else AccNo end as c4,
         coalesce(AccName,'NONE') as c5, 'x' as c6, PolisNo as c7, amt as c8, case when IsSukses then ApprovalCode else ' ' end as c9, concat('a - b   ',dk) as c10 from fx_r
     """,
+    "fx_lines_va_mixed": """
+        select id, FileName, value from fx_lines_va_realtime
+        union all select id, concat('daily_', FileName) as FileName, value from fx_lines_va_daily
+    """,
+    "fx_lines_all": """
+        select id, FileName, value from fx_lines_card_fixed_a where FileName in ('bank_1.txt', 'bank_2.txt')
+        union all select id, FileName, value from fx_lines_card_fixed_b where FileName in ('bank_7.txt', 'bank_8.txt', 'bank_9.txt', 'bank_10.txt')
+        union all select id, FileName, value from fx_lines_acct_fixed_a where FileName = 'bank_11.txt'
+        union all select id, FileName, value from fx_lines_acct_fixed_b where FileName = 'bank_12.txt'
+        union all select id, FileName, value from fx_lines_va_realtime where FileName = 'bank_13.txt'
+    """,
+    "fx_cells_all": """
+        select row_no, FileName, sheet_no, c1, c2, c3, c4, c5, c6, c7, null as c8, null as c9, null as c10
+        from fx_cells_card_sheet_a where FileName = 'bank_3.txt'
+        union all select row_no, FileName, sheet_no, c1, c2, c3, c4, c5, c6, null, null, null, null
+        from fx_cells_card_sheet_b where FileName in ('bank_4.txt', 'bank_5.txt')
+        union all select row_no, FileName, sheet_no, c1, c2, c3, c4, c5, c6, c7, c8, c9, c10
+        from fx_cells_card_sheet_c where FileName = 'bank_6.txt'
+    """,
     "fx_upload_sum": """
         select distinct id_upload_sum as id, cast(0 as bigint) as count_approve, cast(0 as bigint) as count_reject,
         cast(0 as bigint) as total_upload from fx_control

@@ -1,9 +1,8 @@
 """Joins and rankings that stay balanced when one key holds a large share of the rows.
 
-Heavy keys are looked up first from a hash sample of the row ids (one narrow job). The answer is a
-list of at most ``max_keys`` keys, so its size is bounded whatever the data. It only steers the
-physical plan: every path below returns the same, whole result. Without heavy keys the plan is the
-plain join or the plain window.
+Joins leave the splitting to AQE and only take care that it can act. Rankings are windows, which AQE
+cannot split, so heavy keys are looked for first: at most ``max_keys`` of them from a hash sample of
+the row ids. The list only steers the physical plan; every path returns the same, whole result.
 """
 
 from __future__ import annotations
@@ -11,118 +10,66 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyline.session import materialize
 
 
+def lookup_join(rows: DataFrame, lookup: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
+    """Join many rows to a lookup with one row per key (left, inner, left_semi or left_anti).
+
+    A small lookup is broadcast by Spark's own size test. Otherwise both sides are shuffled and AQE
+    splits heavy partitions of the rows. It does so only between two plain shuffles, and a lookup
+    that was just aggregated by its key would skip its own; wrapping the key in a struct prevents
+    that. Rows with a NULL key match nothing and are split like any heavy key.
+    """
+    for key in keys:
+        lookup = lookup.where(F.col(key).isNotNull())
+    keyed = lookup.withColumn("_key", F.struct(*keys)).drop(*keys)
+    return rows.withColumn("_key", F.struct(*keys)).join(keyed, "_key", how).drop("_key")
+
+
 @dataclass(frozen=True)
 class SkewPolicy:
     hot_rows: int = 1_000_000  # a key with fewer rows is one ordinary task
     max_keys: int = 4_096  # any key left out holds less than 1/max_keys of the rows
     sample: int = 64  # one row id in `sample` is counted when looking for heavy keys
-    salts: int = 128  # pieces a heavy key is cut into
 
 
 DEFAULT = SkewPolicy()
 
 
-def hot_keys(
-    rows: DataFrame, keys: Sequence[str], row_id: str = "id", policy: SkewPolicy = DEFAULT
-) -> DataFrame | None:
-    """The heavy keys as a small local table, or None."""
-    keys = list(keys)
-    seen = rows.dropna(subset=keys)
+@dataclass(frozen=True)
+class Hot:
+    """Heavy keys that were looked for: a small local table, or None when there are none."""
+
+    table: DataFrame | None = None
+
+
+def find_hot(rows: DataFrame, key: str, row_id: str = "id", policy: SkewPolicy = DEFAULT) -> Hot:
+    """Look for heavy keys with one narrow job; the answer has at most ``max_keys`` rows."""
+    seen = rows.where(F.col(key).isNotNull())
     if policy.sample > 1:
         seen = seen.where(F.pmod(F.xxhash64(row_id), F.lit(policy.sample)) == 0)
-    found = (
-        seen.groupBy(*keys)
+    listed = (
+        seen.groupBy(key)
         .agg(F.count(F.lit(1)).alias("_n"))
         .where(F.col("_n") * policy.sample >= policy.hot_rows)
         .orderBy(F.desc("_n"))
         .limit(policy.max_keys)
-        .select(*keys)
+        .select(key)
     )
-    heavy = found.collect()
-    return rows.sparkSession.createDataFrame(heavy, found.schema) if heavy else None
-
-
-def _salted(rows: DataFrame, spread: Column, row_id: str, salts: int) -> DataFrame:
-    salt = F.pmod(F.xxhash64(row_id), F.lit(salts)).cast("int")
-    return rows.withColumn("_salt", F.when(spread, salt).otherwise(F.lit(0)))
-
-
-def _replicated(lookup: DataFrame, spread: Column, salts: int) -> DataFrame:
-    every = F.sequence(F.lit(0), F.lit(salts - 1))
-    return lookup.withColumn("_salt", F.explode(F.when(spread, every).otherwise(F.array(F.lit(0)))))
-
-
-def salt_on_hot(
-    rows: DataFrame, keys: Sequence[str], row_id: str = "id", policy: SkewPolicy = DEFAULT, null_keys: bool = False
-):
-    """Prepare rows for one or more joins on ``keys``.
-
-    Returns ``(rows, on, fit)``: join ``rows`` with ``fit(lookup)`` on the columns ``on``. Heavy
-    keys of the rows are spread over salts and only these keys are replicated in the lookup.
-    ``null_keys`` spreads rows whose key is NULL too (they match nothing but would share one task).
-    """
-    keys = list(keys)
-    hot = hot_keys(rows, keys, row_id, policy)
-    if hot is None and not null_keys:
-        return rows, keys, lambda lookup: lookup
-    no_key = F.lit(False)
-    for key in keys:
-        no_key = no_key | F.col(key).isNull()
-    if hot is None:
-        rows = _salted(rows, no_key, row_id, policy.salts)
-        return rows, [*keys, "_salt"], lambda lookup: lookup.withColumn("_salt", F.lit(0))
-    # at most max_keys rows: safe to broadcast at any data size
-    marked = F.broadcast(hot.withColumn("_hot", F.lit(True)))
-    rows = _salted(rows.join(marked, keys, "left"), F.col("_hot").isNotNull() | no_key, row_id, policy.salts)
-
-    def fit(lookup: DataFrame) -> DataFrame:
-        spread = _replicated(lookup.join(marked, keys, "left"), F.col("_hot").isNotNull(), policy.salts)
-        return spread.drop("_hot")
-
-    return rows.drop("_hot"), [*keys, "_salt"], fit
-
-
-def skew_join(
-    rows: DataFrame,
-    lookup: DataFrame,
-    keys: Sequence[str],
-    how: str = "left",
-    row_id: str = "id",
-    policy: SkewPolicy = DEFAULT,
-    null_keys: bool = False,
-) -> DataFrame:
-    """Join many rows to a lookup with one row per key (left, inner, left_semi or left_anti)."""
-    rows, on, fit = salt_on_hot(rows, keys, row_id, policy, null_keys)
-    return rows.join(fit(lookup), on, how).drop("_salt")
+    found = listed.collect()
+    return Hot(rows.sparkSession.createDataFrame(found, listed.schema) if found else None)
 
 
-def code_join(
-    rows: DataFrame, codes: DataFrame, keys: Sequence[str], row_id: str = "id", salts: int = 64
-) -> DataFrame:
-    """Left join to a code table (reject reasons, products), where every code covers many rows.
-
-    Spark broadcasts the code table when its size allows it; when it does not, the fixed salt keeps
-    the shuffled join balanced. Replication is cheap because code tables are short.
-    """
-    rows = _salted(rows, F.lit(True), row_id, salts)
-    codes = _replicated(codes, F.lit(True), salts)
-    return rows.join(codes, [*keys, "_salt"], "left").drop("_salt")
-
-
-def rank_rows(
-    rows: DataFrame, key: str, order: Sequence[str], out: str = "k", hot: DataFrame | None = None
-) -> DataFrame:
+def rank_rows(rows: DataFrame, key: str, order: Sequence[str], out: str = "k", hot: Hot = Hot()) -> DataFrame:
     """1-based position of each row within its key. ``order`` must be unique within the key."""
     plain = Window.partitionBy(key).orderBy(*order)
-    if hot is None:
+    if hot.table is None:
         return rows.withColumn(out, F.row_number().over(plain))
-    listed = F.broadcast(hot.select(key))
+    listed = F.broadcast(hot.table)
     cold = rows.join(listed, key, "left_anti").withColumn(out, F.row_number().over(plain))
     return cold.unionByName(sliced_rank(rows.join(listed, key, "left_semi"), key, order, out))
 
@@ -155,33 +102,30 @@ def sliced_rank(rows: DataFrame, key: str, order: Sequence[str], out: str = "k")
     )
 
 
+def hot_on_either_side(
+    rows: DataFrame, slots: DataFrame, key: str, row_id: str, slot_id: str, policy: SkewPolicy = DEFAULT
+) -> Hot:
+    """Keys that are heavy counting both sides together."""
+    both = rows.select(key, F.col(row_id).cast("string").alias("_id")).unionByName(
+        slots.select(key, F.col(slot_id).cast("string").alias("_id"))
+    )
+    return find_hot(both, key, "_id", policy)
+
+
 def pair_by_rank(
-    rows: DataFrame,
-    slots: DataFrame,
-    key: str,
-    row_order: Sequence[str],
-    slot_order: Sequence[str],
-    row_id: str = "id",
-    slot_id: str = "BillingID",
-    policy: SkewPolicy = DEFAULT,
+    rows: DataFrame, slots: DataFrame, key: str, row_order: Sequence[str], slot_order: Sequence[str], hot: Hot = Hot()
 ) -> DataFrame:
     """Give the k-th row of every key the k-th slot of that key; surplus rows get NULL slot columns.
 
     Besides ``key`` the two sides must not share column names.
     """
-    both = rows.select(key, F.col(row_id).cast("string").alias("_id")).unionByName(
-        slots.select(key, F.col(slot_id).cast("string").alias("_id"))
-    )
-    hot = hot_keys(both, [key], "_id", policy)
 
     def pair(r: DataFrame, s: DataFrame, rank) -> DataFrame:
-        return rank(r, row_order).join(rank(s, slot_order), [key, "k"], "left")
-
-    if hot is None:
-        return pair(rows, slots, lambda df, order: rank_rows(df, key, order))
-    listed = F.broadcast(hot)
-    cold = [df.join(listed, key, "left_anti") for df in (rows, slots)]
-    warm = [df.join(listed, key, "left_semi") for df in (rows, slots)]
-    return pair(*cold, lambda df, order: rank_rows(df, key, order)).unionByName(
-        pair(*warm, lambda df, order: sliced_rank(df, key, order))
-    )
+        return rank(r, key, row_order).join(rank(s, key, slot_order), [key, "k"], "left")
+
+    if hot.table is None:
+        return pair(rows, slots, rank_rows)
+    listed = F.broadcast(hot.table)
+    cold = (df.join(listed, key, "left_anti") for df in (rows, slots))
+    warm = (df.join(listed, key, "left_semi") for df in (rows, slots))
+    return pair(*cold, rank_rows).unionByName(pair(*warm, sliced_rank))

@@ -13,6 +13,7 @@ WHITESPACE = "".join(map(chr, WHITESPACE_CODES))
 UNSIGNED_AMOUNT = r"([0-9][0-9,]*(\.[0-9]*)?|\.[0-9]+)"
 LEADING_SIGN_AMOUNT = f"^[+-]?{UNSIGNED_AMOUNT}$"
 TRAILING_SIGN_AMOUNT = f"^{UNSIGNED_AMOUNT}[+-]$"
+WHOLE_NUMBER = "^[+-]?[0-9]+$"
 DAY_FIRST_STAMP = "^[0-9]{2}/[0-9]{2}/[0-9]{4} [0-9]{2}:[0-9]{2}:[0-9]{2}$"
 SHORT_YEAR_STAMP = "^[0-9]{2}/[0-9]{2}/[0-9]{2}  [0-9]{2}:[0-9]{2}:[0-9]{2}$"
 
@@ -48,7 +49,9 @@ def first_filled(*columns: Column) -> Column:
 
 
 def parse_int(c: Column) -> Column:
-    return strip(c).try_cast("int")
+    """Integer or NULL; texts are sorted out by pattern, a cast is slow at refusing them."""
+    text = strip(c)
+    return F.when(text.rlike(WHOLE_NUMBER), text.try_cast("int"))
 
 
 def parse_amount(c: Column, decimal_style: str = "dot") -> Column:

@@ -5,7 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyline.functions.skew import DEFAULT, SkewPolicy, hot_keys, pair_by_rank, rank_rows, skew_join
+from tallyline.functions.skew import (
+    DEFAULT,
+    SkewPolicy,
+    find_hot,
+    hot_on_either_side,
+    lookup_join,
+    pair_by_rank,
+    rank_rows,
+)
 
 # Fixed value: status of a bill or quote that can still be paid.
 OPEN = ("A", "C")
@@ -57,7 +65,10 @@ def _slots(bills: DataFrame) -> DataFrame:
 
 
 def allocate_approved(
-    pool: DataFrame, bills: DataFrame, new_bills: DataFrame | None = None, policy: SkewPolicy = DEFAULT
+    pool: DataFrame,
+    bills: DataFrame,
+    new_bills: DataFrame | None = None,
+    policy: SkewPolicy = DEFAULT,
 ) -> DataFrame:
     """The k-th payment of a policy (by amount) pays its k-th open bill (by sequence).
 
@@ -67,11 +78,9 @@ def allocate_approved(
     """
     if new_bills is not None:
         bills = bills.select(*new_bills.columns).unionByName(new_bills)
-    rows = pool.where(F.col("PolisId").isNotNull())
-    rows = rows.drop(*[n for n in ("BillingID",) if n in rows.columns])
-    paired = pair_by_rank(
-        rows, _slots(bills), "PolisId", ["Amount", "id"], ["recurring_seq", "bill_id"], slot_id="bill_id", policy=policy
-    )
+    rows, slots = pool.where(F.col("PolisId").isNotNull()).drop("BillingID"), _slots(bills)
+    hot = hot_on_either_side(rows, slots, "PolisId", "id", "bill_id", policy)
+    paired = pair_by_rank(rows, slots, "PolisId", ["Amount", "id"], ["recurring_seq", "bill_id"], hot)
     return paired.withColumn("amount_diff", F.col("Amount") - F.col("TotalAmount"))
 
 
@@ -89,7 +98,7 @@ def reject_open_bills(staged: DataFrame, bills: DataFrame) -> DataFrame:
 
 def rank_reject_bills(staged: DataFrame, bills: DataFrame, policy: SkewPolicy = DEFAULT) -> DataFrame:
     found = reject_open_bills(staged, bills)
-    hot = hot_keys(found, ["policy_id"], "BillingID", policy)
+    hot = find_hot(found, "policy_id", "BillingID", policy)
     return rank_rows(found, "policy_id", ["recurring_seq", "BillingID"], "seqno", hot)
 
 
@@ -99,7 +108,7 @@ def _policy_rejects(staged: DataFrame) -> DataFrame:
 
 def rank_rejects(staged: DataFrame, policy: SkewPolicy = DEFAULT) -> DataFrame:
     rows = _policy_rejects(staged).select("id", "PolisId", "Amount")
-    return rank_rows(rows, "PolisId", ["Amount", "id"], "seqno", hot_keys(rows, ["PolisId"], policy=policy))
+    return rank_rows(rows, "PolisId", ["Amount", "id"], "seqno", find_hot(rows, "PolisId", policy=policy))
 
 
 def paired_rejects(staged: DataFrame, bills: DataFrame, policy: SkewPolicy = DEFAULT) -> DataFrame:
@@ -107,10 +116,9 @@ def paired_rejects(staged: DataFrame, bills: DataFrame, policy: SkewPolicy = DEF
     slots = reject_open_bills(staged, bills).select(
         F.col("policy_id").alias("PolisId"), F.col("BillingID").alias("bill_id"), "recurring_seq"
     )
-    return pair_by_rank(
-        _policy_rejects(staged), slots, "PolisId", ["Amount", "id"], ["recurring_seq", "bill_id"],
-        slot_id="bill_id", policy=policy,
-    )
+    rows = _policy_rejects(staged)
+    hot = hot_on_either_side(rows, slots, "PolisId", "id", "bill_id", policy)
+    return pair_by_rank(rows, slots, "PolisId", ["Amount", "id"], ["recurring_seq", "bill_id"], hot)
 
 
 def allocate_rejected(staged: DataFrame, bills: DataFrame, policy: SkewPolicy = DEFAULT) -> DataFrame:
@@ -149,14 +157,14 @@ def _of_code(pool: DataFrame, code: str) -> DataFrame:
     return pool.where((F.col("BillCode") == code) & F.col("BillingID").isNotNull())
 
 
-def other_unpaid(pool: DataFrame, billing_others: DataFrame, policy: SkewPolicy = DEFAULT) -> DataFrame:
+def other_unpaid(pool: DataFrame, billing_others: DataFrame) -> DataFrame:
     """Rows whose one-off bill is still open, with its type, policy and amount."""
-    return skew_join(_of_code(pool, "A"), _open_others(billing_others), ["BillingID"], "inner", policy=policy)
+    return lookup_join(_of_code(pool, "A"), _open_others(billing_others), ["BillingID"], "inner")
 
 
-def quote_unpaid(pool: DataFrame, quote_billing: DataFrame, policy: SkewPolicy = DEFAULT) -> DataFrame:
+def quote_unpaid(pool: DataFrame, quote_billing: DataFrame) -> DataFrame:
     """Rows whose quote is still open."""
-    return skew_join(_of_code(pool, "Q"), _open_quotes(quote_billing), ["BillingID"], "left_semi", policy=policy)
+    return lookup_join(_of_code(pool, "Q"), _open_quotes(quote_billing), ["BillingID"], "left_semi")
 
 
 def claim_others(pool: DataFrame, billing_others: DataFrame) -> DataFrame:

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyline.functions.skew import DEFAULT, SkewPolicy, code_join, salt_on_hot
+from tallyline.functions.skew import lookup_join
 
 # First letter of the reference number -> what it refers to.
 OTHER_LETTER, QUOTE_LETTER = "A", "X"
@@ -21,8 +23,10 @@ def _open() -> Column:
 
 
 def _quote_number(c: Column) -> Column:
-    """Number after the last X, NULL when there is none."""
-    return F.substring_index(c, QUOTE_LETTER, -1).try_cast("bigint")
+    """Number after the last X, NULL when there is none. The test keeps texts away from the cast,
+    which is slow at refusing them."""
+    digits = F.substring_index(c, QUOTE_LETTER, -1)
+    return F.when(digits.rlike("^[0-9]{1,18}$"), digits.cast("bigint"))
 
 
 def _probe(c: Column) -> Column:
@@ -33,60 +37,71 @@ def _probe(c: Column) -> Column:
     return F.when(quote & number.isNotNull(), F.concat(F.lit(QUOTE_LETTER), number.cast("string"))).otherwise(c)
 
 
-# Lookups: one row per key. Where several rows share a key the lowest id counts.
+# What each reference table offers the probe key. Together they form one lookup with one row per
+# key; where several rows share a key the lowest id counts.
 
 def _policies(policy_billing: DataFrame) -> DataFrame:
-    return policy_billing.groupBy(F.col("policy_no").alias("_k")).agg(F.min("policy_id").alias("_policy"))
+    return policy_billing.select(F.col("policy_no").alias("_k"), F.col("policy_id").alias("_policy"))
 
 
 def _others(billing_others: DataFrame) -> DataFrame:
-    return billing_others.select(F.col("BillingID").alias("_k"), F.col("BillingID").alias("_other")).distinct()
+    return billing_others.select(F.col("BillingID").alias("_k"), F.col("BillingID").alias("_other"))
 
 
 def _quote_ids(quote_billing: DataFrame) -> DataFrame:
-    quotes = quote_billing.where("quote_id is not null").select(F.col("quote_id").alias("_quote")).distinct()
-    return quotes.withColumn("_k", F.concat(F.lit(QUOTE_LETTER), F.col("_quote").cast("string")))
+    number = F.col("quote_id")
+    return quote_billing.select(
+        F.concat(F.lit(QUOTE_LETTER), number.cast("string")).alias("_k"), number.cast("bigint").alias("_quote")
+    )
 
 
 def _quote_refs(quote_billing: DataFrame) -> DataFrame:
-    return (
-        quote_billing.where(F.col("status") != "P")
-        .groupBy(_probe(F.col("ref_no")).alias("_k"), F.col("ref_no").alias("_ref"))
-        .agg(F.min("quote_id").alias("_by_ref"))
+    """Unpaid quotes by reference. References that differ in leading zeros only share a probe key, so
+    each keeps its own spelling."""
+    lowest = quote_billing.where(F.col("status") != "P").groupBy("ref_no").agg(F.min("quote_id").alias("quote_id"))
+    return lowest.select(
+        _probe(F.col("ref_no")).alias("_k"),
+        F.struct(F.col("ref_no").alias("ref"), F.col("quote_id").cast("bigint").alias("quote")).alias("_ref"),
     )
 
 
 def _map(
     staged: DataFrame,
-    policy: SkewPolicy,
     policy_billing: DataFrame | None = None,
     billing_others: DataFrame | None = None,
     quotes_by_id: DataFrame | None = None,
     quotes_by_ref: DataFrame | None = None,
 ) -> DataFrame:
-    """Left join the given lookups on the common probe key, then fill what is still open.
+    """One left join of the staged rows on the probe key, then fill what is still open.
 
     The first letter separates policies, one-off bills and quotes; among quotes the id comes first.
     """
-    rows, on, fit = salt_on_hot(staged.withColumn("_k", _probe(F.col("PolisNo"))), ["_k"], policy=policy)
+    offers: list[DataFrame] = []
+    merge: list[Column] = []
     found: list[tuple[Column, Column, str]] = []
     letter = _letter()
     if policy_billing is not None:
-        rows = rows.join(fit(_policies(policy_billing)), on, "left")
+        offers.append(_policies(policy_billing))
+        merge.append(F.min("_policy").alias("_policy"))
         found.append((~letter.isin(OTHER_LETTER, QUOTE_LETTER), F.col("_policy"), "B"))
     if billing_others is not None:
-        rows = rows.join(fit(_others(billing_others)), on, "left")
+        offers.append(_others(billing_others))
+        merge.append(F.min("_other").alias("_other"))
         found.append((letter == OTHER_LETTER, F.col("_other"), "A"))
     if quotes_by_id is not None:
-        rows = rows.join(fit(_quote_ids(quotes_by_id)), on, "left")
-        found.append(((letter == QUOTE_LETTER) & _quote_number(F.col("PolisNo")).isNotNull(), F.col("_quote"), "Q"))
+        offers.append(_quote_ids(quotes_by_id))
+        merge.append(F.min("_quote").alias("_quote"))
+        numbered = _quote_number(F.col("PolisNo")).isNotNull()
+        found.append(((letter == QUOTE_LETTER) & numbered, F.col("_quote"), "Q"))
     if quotes_by_ref is not None:
-        refs = fit(_quote_refs(quotes_by_ref))
-        same = F.col("PolisNo") == F.col("_ref")
-        for key in on:
-            same = same & (rows[key] == refs[key])
-        rows = rows.join(refs, same, "left").select(rows["*"], refs["_by_ref"])
-        found.append((letter == QUOTE_LETTER, F.col("_by_ref"), "Q"))
+        offers.append(_quote_refs(quotes_by_ref))
+        # as many entries as there are spellings of one number with leading zeros
+        merge.append(F.map_from_entries(F.collect_list("_ref")).alias("_refs"))
+        found.append((letter == QUOTE_LETTER, F.try_element_at("_refs", F.col("PolisNo")), "Q"))
+
+    offered = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), offers)
+    lookup = offered.groupBy("_k").agg(*merge)
+    rows = lookup_join(staged.withColumn("_k", _probe(F.col("PolisNo"))), lookup, ["_k"])
 
     policy_id, billing_id, code = F.col("PolisId"), F.col("BillingID"), F.col("BillCode")
     new_policy, new_bill, new_code = (F.lit(None).cast(t) for t in ("bigint", "string", "string"))
@@ -104,22 +119,22 @@ def _map(
     ).select(*staged.columns)
 
 
-def map_policy(staged: DataFrame, policy_billing: DataFrame, policy: SkewPolicy = DEFAULT) -> DataFrame:
-    return _map(staged, policy, policy_billing=policy_billing)
+def map_policy(staged: DataFrame, policy_billing: DataFrame) -> DataFrame:
+    return _map(staged, policy_billing=policy_billing)
 
 
-def map_billing_other(staged: DataFrame, billing_others: DataFrame, policy: SkewPolicy = DEFAULT) -> DataFrame:
-    return _map(staged, policy, billing_others=billing_others)
+def map_billing_other(staged: DataFrame, billing_others: DataFrame) -> DataFrame:
+    return _map(staged, billing_others=billing_others)
 
 
-def map_quote_id(staged: DataFrame, quote_billing: DataFrame, policy: SkewPolicy = DEFAULT) -> DataFrame:
+def map_quote_id(staged: DataFrame, quote_billing: DataFrame) -> DataFrame:
     """By quote id, whatever the status of the quote."""
-    return _map(staged, policy, quotes_by_id=quote_billing)
+    return _map(staged, quotes_by_id=quote_billing)
 
 
-def map_quote_ref(staged: DataFrame, quote_billing: DataFrame, policy: SkewPolicy = DEFAULT) -> DataFrame:
+def map_quote_ref(staged: DataFrame, quote_billing: DataFrame) -> DataFrame:
     """By reference number, unpaid quotes only."""
-    return _map(staged, policy, quotes_by_ref=quote_billing)
+    return _map(staged, quotes_by_ref=quote_billing)
 
 
 def map_upload(
@@ -127,10 +142,9 @@ def map_upload(
     policy_billing: DataFrame,
     billing_others: DataFrame,
     quote_billing: DataFrame,
-    policy: SkewPolicy = DEFAULT,
 ) -> DataFrame:
-    """All four mappings with one shuffle of the staged rows."""
-    return _map(staged, policy, policy_billing, billing_others, quote_billing, quote_billing)
+    """All four mappings in one join: the staged rows are shuffled once."""
+    return _map(staged, policy_billing, billing_others, quote_billing, quote_billing)
 
 
 # --- reject reasons --------------------------------------------------------------------------
@@ -148,7 +162,7 @@ def _one_reason(reasons: DataFrame, key: str) -> DataFrame:
 
 def _with_reason(rows: DataFrame, reasons: DataFrame, key: str, value: str, applies: Column) -> DataFrame:
     keyed = rows.withColumn("_code", F.when(applies, F.col(value)))
-    return code_join(keyed, _one_reason(reasons, key), ["_code"])
+    return lookup_join(keyed, _one_reason(reasons, key), ["_code"])
 
 
 def reason_by_code(staged: DataFrame, reasons: DataFrame, bank_id: int) -> DataFrame:

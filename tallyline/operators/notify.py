@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyline.functions.skew import DEFAULT, SkewPolicy, code_join, skew_join
+from tallyline.functions.skew import lookup_join
 from tallyline.functions.text import null_to_blank, whole_amount
 
 # Fixed values of the queue and the mail texts.
@@ -99,7 +99,7 @@ def _title(male: str) -> Column:
 
 
 def _with_holder(
-    rows: DataFrame, policy_billing: DataFrame, customers: DataFrame, products: DataFrame, policy: SkewPolicy
+    rows: DataFrame, policy_billing: DataFrame, customers: DataFrame, products: DataFrame
 ) -> DataFrame:
     """Attach policy number, holder and product by the policy id in ``_policy``."""
     policies = policy_billing.select(
@@ -107,9 +107,9 @@ def _with_holder(
     )
     people = customers.select(F.col("CustomerId").alias("_holder"), "CustomerName", "IsLaki", "Email")
     goods = products.select(F.col("product_id").alias("_product"), "product_description")
-    rows = skew_join(rows, policies, ["_policy"], policy=policy, null_keys=True)
-    rows = skew_join(rows, people, ["_holder"], policy=policy, null_keys=True)
-    return code_join(rows, goods, ["_product"])
+    rows = lookup_join(rows, policies, ["_policy"])
+    rows = lookup_join(rows, people, ["_holder"])
+    return lookup_join(rows, goods, ["_product"])
 
 
 def _found() -> Column:
@@ -122,11 +122,10 @@ def email_recurring(
     customers: DataFrame,
     products: DataFrame,
     texts: MailTexts = MailTexts(),
-    policy: SkewPolicy = DEFAULT,
 ) -> DataFrame:
     """A mail per posted policy payment."""
     rows = posted.select("id", "Amount", "run_ts", F.col("PolisId").alias("_policy"))
-    rows = _with_holder(rows, policy_billing, customers, products, policy)
+    rows = _with_holder(rows, policy_billing, customers, products)
     values = {
         "title": _title("IsLaki"),
         "name": F.upper("CustomerName"),
@@ -142,11 +141,10 @@ def email_other(
     customers: DataFrame,
     products: DataFrame,
     texts: MailTexts = MailTexts(),
-    policy: SkewPolicy = DEFAULT,
 ) -> DataFrame:
     """A mail per posted one-off bill."""
     rows = posted_other.select("id", "Amount", "run_ts", "BillingType", F.col("bill_policy_id").alias("_policy"))
-    rows = _with_holder(rows, policy_billing, customers, products, policy)
+    rows = _with_holder(rows, policy_billing, customers, products)
     kind = F.lit(None).cast("string")
     for bill_type, text in OTHER_TYPES.items():
         kind = F.when(F.col("BillingType") == bill_type, F.lit(text)).otherwise(kind)
@@ -174,7 +172,7 @@ def email_quote(
     rows = posted_quote.select("id", "quote_id", "Amount", "run_ts")
     rows = rows.join(bills, "quote_id", "left").join(quotes, "quote_id", "left")
     goods = products.select(F.col("product_id").alias("_product"), "product_description")
-    rows = code_join(rows, goods, ["_product"])
+    rows = lookup_join(rows, goods, ["_product"])
     mode = F.lit("-")
     for value, label in PREMIUM_MODES.items():
         mode = F.when(null_to_blank(F.col("premium_mode")) == value, F.lit(label)).otherwise(mode)

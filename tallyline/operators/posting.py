@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tallyline import schemas
 from tallyline.functions.keys import row_key
-from tallyline.functions.skew import DEFAULT, SkewPolicy, skew_join
+from tallyline.functions.skew import lookup_join
 from tallyline.functions.text import blank_to_null, first_filled, null_to_blank
 from tallyline.operators.allocation import claim_others, claim_quotes
 
@@ -153,16 +153,15 @@ def policy_notes(posted: DataFrame, posted_other: DataFrame | None = None) -> Da
     return notes.unionByName(posted_other.select(*_note("note_id", "bill_policy_id", message, OTHER_STAFF)))
 
 
-def _account(posted: DataFrame, accounts: DataFrame, number: str, name: str, policy: SkewPolicy) -> DataFrame:
+def _account(posted: DataFrame, accounts: DataFrame, number: str, name: str) -> DataFrame:
     """Attach the policy's own card or account, one per policy."""
-    own = accounts.groupBy("PolicyId").agg(F.min(F.struct(number, name)).alias("_own"))
-    own = own.select(F.col("PolicyId").alias("PolisId"), "_own")
-    return skew_join(posted, own, ["PolisId"], policy=policy)
+    own = accounts.groupBy(F.col("PolicyId").alias("PolisId")).agg(F.min(F.struct(number, name)).alias("_own"))
+    return lookup_join(posted, own, ["PolisId"])
 
 
-def card_tx(posted: DataFrame, policy_cc: DataFrame, policy: SkewPolicy = DEFAULT) -> DataFrame:
+def card_tx(posted: DataFrame, policy_cc: DataFrame) -> DataFrame:
     """Card transactions of card-source rows; number and name from the row, the bill or the policy."""
-    rows = _account(posted.where(_source() == "CC"), policy_cc, "cc_no", "cc_name", policy)
+    rows = _account(posted.where(_source() == "CC"), policy_cc, "cc_no", "cc_name")
     return rows.select(
         F.col("account_tran_id").alias("policy_cc_tran_id"),
         *_transaction_head(),
@@ -177,9 +176,9 @@ def card_tx(posted: DataFrame, policy_cc: DataFrame, policy: SkewPolicy = DEFAUL
     )
 
 
-def account_tx(posted: DataFrame, policy_ac: DataFrame, policy: SkewPolicy = DEFAULT) -> DataFrame:
+def account_tx(posted: DataFrame, policy_ac: DataFrame) -> DataFrame:
     """Account transactions of account-source rows."""
-    rows = _account(posted.where(_source() == "AC"), policy_ac, "acc_no", "acc_name", policy)
+    rows = _account(posted.where(_source() == "AC"), policy_ac, "acc_no", "acc_name")
     return rows.select(
         F.col("account_tran_id").alias("policy_ac_tran_id"),
         *_transaction_head(),
@@ -224,9 +223,9 @@ def updated(table: DataFrame, changes: DataFrame, key: str) -> DataFrame:
     return table.join(marked, key, "left").select(*columns)
 
 
-def bill_changes(posted: DataFrame, policy_cc: DataFrame, policy: SkewPolicy = DEFAULT) -> DataFrame:
+def bill_changes(posted: DataFrame, policy_cc: DataFrame) -> DataFrame:
     """What a paid bill becomes. The card of the policy fills account gaps whatever the source."""
-    rows = _account(posted, policy_cc, "cc_no", "cc_name", policy)
+    rows = _account(posted, policy_cc, "cc_no", "cc_name")
     return rows.select(
         F.col("bill_id").alias("BillingID"),
         F.lit(False).alias("IsDownload"),
@@ -250,9 +249,9 @@ def bill_changes(posted: DataFrame, policy_cc: DataFrame, policy: SkewPolicy = D
     )
 
 
-def close_bills(bills: DataFrame, posted: DataFrame, policy_cc: DataFrame, policy: SkewPolicy = DEFAULT) -> DataFrame:
+def close_bills(bills: DataFrame, posted: DataFrame, policy_cc: DataFrame) -> DataFrame:
     """Bill snapshot after the payments. A bill is paid at most once, so the join is one to one."""
-    return updated(bills, bill_changes(posted, policy_cc, policy), "BillingID")
+    return updated(bills, bill_changes(posted, policy_cc), "BillingID")
 
 
 # --- one-off bills ---------------------------------------------------------------------------

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tallyline import schemas
 from tallyline.functions.keys import row_key
-from tallyline.functions.skew import DEFAULT, SkewPolicy, skew_join
+from tallyline.functions.skew import DEFAULT, SkewPolicy, lookup_join
 from tallyline.operators.allocation import OPEN, paired_rejects
 from tallyline.operators.mapping import reason_at_post
 from tallyline.operators.posting import updated
@@ -48,7 +48,7 @@ def resolve_rejects(
     others = billing_others.select(F.lit("A").alias("BillCode"), "BillingID")
     known = others.unionByName(quotes).distinct().withColumn("_known", F.lit(True))
     rest = staged.where(~F.col("IsSukses") & ~F.col("IsExec") & ~is_policy_row)
-    claims = skew_join(rest, known, ["BillCode", "BillingID"], policy=policy, null_keys=True)
+    claims = lookup_join(rest, known, ["BillCode", "BillingID"])
     claims = claims.withColumn("_known", F.coalesce("_known", F.lit(False)))
     rows = policy_rows.unionByName(claims.select(*policy_rows.columns))
     return reason_at_post(rows, reasons, by_code, only=F.col("_known")).select(*staged.columns)

@@ -7,7 +7,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyline.functions.skew import DEFAULT, SkewPolicy, skew_join
+from tallyline.functions.skew import lookup_join
 from tallyline.functions.text import blank_to_null
 from tallyline.operators.control import TWO_FILE_UPLOADS
 
@@ -71,7 +71,7 @@ def stage_reset(staged: DataFrame, control: DataFrame, file_id: int) -> DataFram
     return stage_remove_file(staged, control, file_id).where(other_half.exists())
 
 
-def va_drop_paid(staged: DataFrame, bills: DataFrame, policy: SkewPolicy = DEFAULT) -> DataFrame:
+def va_drop_paid(staged: DataFrame, bills: DataFrame) -> DataFrame:
     """Drop rows that repeat a payment: same policy and payment time as a paid bill."""
     paid = (
         bills.where((F.col("status_billing") == "P") & F.col("paid_date").isNotNull())
@@ -80,7 +80,7 @@ def va_drop_paid(staged: DataFrame, bills: DataFrame, policy: SkewPolicy = DEFAU
     )
     # rows already flagged as posted go too
     rows = staged.where(~F.col("IsExec")) if "IsExec" in staged.columns else staged
-    kept = skew_join(rows, paid, ["PolisId", "TranDate"], "left_anti", policy=policy, null_keys=True)
+    kept = lookup_join(rows, paid, ["PolisId", "TranDate"], "left_anti")
     return kept.select(*staged.columns)
 
 

@@ -6,16 +6,26 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyline.functions.text import MONEY
 
+TYPES = {
+    "bigint": T.LongType(),
+    "int": T.IntegerType(),
+    "string": T.StringType(),
+    "boolean": T.BooleanType(),
+    "date": T.DateType(),
+    "timestamp_ntz": T.TimestampNTZType(),
+    "money": T.DecimalType(18, 2),
+}
 
-def _schema(ddl: str) -> T.StructType:
-    return T.StructType.fromDDL(ddl)
+
+def _schema(columns: str) -> T.StructType:
+    """Schema from ``name type, ...``; needs no session, so the module can be imported before one."""
+    return T.StructType([T.StructField(name, TYPES[kind]) for name, kind in map(str.split, columns.split(","))])
 
 
 # What a layout produces for one good line or sheet row.
 PARSED = _schema(
-    f"id bigint, PolisNo string, Amount {MONEY}, TranDate timestamp_ntz, ApprovalCode string,"
+    "id bigint, PolisNo string, Amount money, TranDate timestamp_ntz, ApprovalCode string,"
     " Deskripsi string, AccNo string, AccName string, IsSukses boolean, FileName string"
 )
 
@@ -29,7 +39,7 @@ STAGING = T.StructType(
 
 LINES = _schema("id bigint, FileName string, value string")
 CELLS = _schema(
-    "row_no bigint, FileName string, sheet_no int, " + ", ".join(f"c{i} string" for i in range(1, 11))
+    "row_no bigint, FileName string, sheet_no int, " + ", ".join("c{i} string" for i in range(1, 11))
 )
 
 CONTROL = _schema(
@@ -39,24 +49,24 @@ CONTROL = _schema(
 
 # Payment columns an open bill does not have yet.
 BILL_PAYMENT = _schema(
-    f"IsDownload boolean, IsClosed boolean, PaymentSource string, BankIdPaid int, PaidAmount {MONEY},"
+    "IsDownload boolean, IsClosed boolean, PaymentSource string, BankIdPaid int, PaidAmount money,"
     " CoreTranID string, ReceiptID string, ReceiptOtherID string, policy_note_receipt string,"
     " policy_note_receiptOther string, PaymentTransactionID string, LastUploadDate timestamp_ntz, UserUpload string"
 )
 OTHER_PAYMENT = _schema(
-    f"IsDownload boolean, IsClosed boolean, PaymentSource string, Source_download string, paid_date date,"
-    f" BankIdPaid int, PaidAmount {MONEY}, ReceiptOtherID string, policy_note_receiptOther string,"
+    "IsDownload boolean, IsClosed boolean, PaymentSource string, Source_download string, paid_date date,"
+    " BankIdPaid int, PaidAmount money, ReceiptOtherID string, policy_note_receiptOther string,"
     " PaymentTransactionID string, LastUploadDate timestamp_ntz, UserUpload string"
 )
 QUOTE_PAYMENT = _schema(
-    f"IsDownload boolean, IsClosed boolean, PaymentSource string, Source_download string, paid_dt date,"
-    f" BankIdPaid int, PaidAmount {MONEY}, PaymentTransactionID string, LastUploadDate timestamp_ntz,"
+    "IsDownload boolean, IsClosed boolean, PaymentSource string, Source_download string, paid_dt date,"
+    " BankIdPaid int, PaidAmount money, PaymentTransactionID string, LastUploadDate timestamp_ntz,"
     " UserUpload string"
 )
 
 LEDGER = _schema(
-    f"tran_id string, File_Backup string, TranCode string, TranDate timestamp_ntz, IsSuccess boolean,"
-    f" PolicyId bigint, BillCode string, BillingID string, BillAmount {MONEY}, ApprovalCode string,"
+    "tran_id string, File_Backup string, TranCode string, TranDate timestamp_ntz, IsSuccess boolean,"
+    " PolicyId bigint, BillCode string, BillingID string, BillAmount money, ApprovalCode string,"
     " Description string, GroupRejectMappingID int, accNo string, accName string, DateInsert timestamp_ntz"
 )
 

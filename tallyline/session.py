@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -12,7 +14,9 @@ SQL_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # Heavy join partitions are split, even where that costs another shuffle later.
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     # A join on (policy, rank) may reuse the partitioning on policy that the ranking windows left.
     "spark.sql.requireAllClusterKeysForCoPartition": "false",
     # Reloading one file replaces only that file's staging partition.
@@ -27,15 +31,28 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Cut the lineage with a reliable checkpoint.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder the cluster names in ``spark.checkpoint.dir``.
 
-    The folder is the shared one the cluster names in ``spark.checkpoint.dir``; only when none is
-    named (local runs and tests) a temporary one is used.
+    Only where none is named (local runs and tests) a temporary one is used.
     """
-    sc = df.sparkSession.sparkContext
-    if sc.getConf().get("spark.checkpoint.dir") is None and sc.getCheckpointDir() is None:
-        if not sc.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="tallyline-checkpoint-"))
-    return df.checkpoint(eager=True)
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if named:
+        return named.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
+    return _local_folder()
+
+
+@cache
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="tallyline-")
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Write the rows once to the shared folder and read them back: cuts the lineage and survives lost
+    executors, and later steps read only the columns they need."""
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/tallyline/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -56,15 +56,17 @@ def parse_file(rows: DataFrame, file_id: int) -> DataFrame:
 
 
 def _parse_mixed(lines: DataFrame, specs: list[LayoutSpec]) -> DataFrame:
-    """Lines of several layouts in one scan: the parser is picked per line from its layout name."""
+    """Lines of several layouts in one scan: the parser is picked per line from its layout name.
+
+    None of these layouts has a date, so a parsed amount is all there is left to ask for.
+    """
     line, layout = F.col("value"), F.col("layout")
     parsed = F.lit(None)
     for spec in specs:
-        good = (layout == spec.name) & (F.length(line) >= spec.min_length) & spec.fault(line).isNull()
         fields = F.struct(*[c.alias(n) for n, c in spec.columns(line).items()])
-        parsed = F.when(good, fields).otherwise(parsed)
-    rows = lines.select("id", "FileName", parsed.alias("f")).where(F.col("f").isNotNull())
-    return schemas.conform(rows.select("id", "FileName", "f.*"), schemas.PARSED)
+        parsed = F.when((layout == spec.name) & spec.usable(line), F.array(fields)).otherwise(parsed)
+    rows = lines.select("id", "FileName", F.inline(parsed))
+    return schemas.conform(rows.where(F.col("Amount").isNotNull()), schemas.PARSED)
 
 
 def ingest_dispatch(lines: DataFrame, cells: DataFrame, control: DataFrame) -> DataFrame:

@@ -48,6 +48,19 @@ class LayoutSpec:
             if f.name not in ("id", "FileName")
         }
 
+    def usable(self, line: Column) -> Column:
+        """Long enough, numbered and unbroken; amount and date are judged after parsing them once."""
+        test = F.length(line) >= self.min_length
+        if self.number:
+            test = test & t.parse_int(t.piece(line, *self.number)).isNotNull()
+        for faulty in self.broken.values():
+            test = test & ~faulty(line)
+        return test
+
+    def parsed(self) -> Column:
+        """Amount, and date where the layout has one, came out."""
+        return F.col("Amount").isNotNull() & (F.col("TranDate").isNotNull() if self.stamp else F.lit(True))
+
     def fault(self, line: Column, decimal_style: str = "dot") -> Column:
         """Why a line cannot be used, NULL for a good one."""
         faults: list[tuple[Column, str]] = [(F.length(line) < self.min_length, "short line")]
@@ -183,16 +196,21 @@ FIXED_LAYOUTS = {
 # --- operators -------------------------------------------------------------------------------
 
 def ingest_fixed(lines: DataFrame, spec: LayoutSpec, decimal_style: str = "dot") -> DataFrame:
-    """Parse ``(id, FileName, value)`` lines; unusable lines are left out (see ``rejected_lines``)."""
+    """Parse ``(id, FileName, value)`` lines; unusable lines are left out (see ``rejected_lines``).
+
+    A line is a generator of no row or one row, so that each field is computed once: a filter on the
+    parsed fields stays above the generator and is not repeated below it.
+    """
     line = F.col("value")
-    good = lines.where(F.length(line) >= spec.min_length).where(spec.fault(line, decimal_style).isNull())
-    parsed = good.select("id", "FileName", *[c.alias(n) for n, c in spec.columns(line, decimal_style).items()])
-    return schemas.conform(parsed, schemas.PARSED)
+    fields = F.struct(*[c.alias(n) for n, c in spec.columns(line, decimal_style).items()])
+    rows = lines.select("id", "FileName", F.inline(F.when(spec.usable(line), F.array(fields))))
+    return schemas.conform(rows.where(spec.parsed()), schemas.PARSED)
 
 
 def rejected_lines(lines: DataFrame, spec: LayoutSpec, decimal_style: str = "dot") -> DataFrame:
     """The lines ``ingest_fixed`` leaves out, each with its reason."""
-    return lines.select("id", "FileName", "value", spec.fault(F.col("value"), decimal_style).alias("reason")).where(
+    reason = F.array(spec.fault(F.col("value"), decimal_style))
+    return lines.select("id", "FileName", "value", F.explode(reason).alias("reason")).where(
         F.col("reason").isNotNull()
     )
 

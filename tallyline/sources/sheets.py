@@ -18,7 +18,7 @@ def cell(number: int) -> Column:
 
 @dataclass(frozen=True)
 class SheetSpec:
-    """One worksheet of a layout. ``filled`` cells must not be NULL, ``numeric`` ones must be amounts.
+    """One worksheet of a layout. ``filled`` cells must not be NULL, ``amount`` and ``numeric`` ones must be amounts.
 
     ``broken`` lists cells that are read unchecked: a NULL there is a fault of the row.
     """
@@ -35,10 +35,22 @@ class SheetSpec:
         test = F.col("sheet_no") == self.sheet_no
         for number in self.filled:
             test = test & F.col(f"c{number}").isNotNull()
-        for number in (self.amount, *self.numeric):
+        for number in self.numeric:
             test = test & t.parse_amount(F.col(f"c{number}")).isNotNull()
         return test
 
+    def parsed_amount(self) -> Column:
+        return t.parse_amount(F.col(f"c{self.amount}"))
+
+    def columns(self) -> dict[str, Column]:
+        found = {name: make() for name, make in self.fields.items()}
+        found |= {"Amount": self.parsed_amount(), "IsSukses": self.success()}
+        return {
+            f.name: found.get(f.name, F.lit(None)).cast(f.dataType)
+            for f in schemas.PARSED
+            if f.name not in ("id", "FileName")
+        }
+
     def whole(self) -> Column:
         test = F.lit(True)
         for number in self.broken:
@@ -123,27 +135,14 @@ SHEET_LAYOUTS = {"card_sheet_a": CARD_SHEET_A, "card_sheet_b": CARD_SHEET_B, "ca
 
 
 def ingest_sheet(cells: DataFrame, layout: tuple[SheetSpec, ...]) -> DataFrame:
-    """Parse a cell grid in one pass: each row takes the fields of its own worksheet."""
+    """Parse a cell grid in one pass: each row takes the fields of its own worksheet, once."""
     cells = schemas.with_columns_of(cells, schemas.CELLS)
-    good = F.lit(False)
+    parsed = F.lit(None)
     for sheet in layout:
-        good = good | (sheet.usable() & sheet.whole())
-
-    def pick(of: Callable[[SheetSpec], Column]) -> Column:
-        value = F.lit(None)
-        for sheet in reversed(layout):
-            value = F.when(F.col("sheet_no") == sheet.sheet_no, of(sheet)).otherwise(value)
-        return value
-
-    names = ("PolisNo", "ApprovalCode", "Deskripsi", "AccNo", "AccName")
-    parsed = cells.where(good).select(
-        F.col("row_no").alias("id"),
-        "FileName",
-        pick(lambda s: t.parse_amount(F.col(f"c{s.amount}"))).alias("Amount"),
-        pick(lambda s: s.success()).alias("IsSukses"),
-        *[pick(lambda s, n=n: s.fields[n]() if n in s.fields else F.lit(None)).alias(n) for n in names],
-    )
-    return schemas.conform(parsed, schemas.PARSED)
+        fields = F.struct(*[c.alias(n) for n, c in sheet.columns().items()])
+        parsed = F.when(sheet.usable() & sheet.whole(), F.array(fields)).otherwise(parsed)
+    rows = cells.select(F.col("row_no").alias("id"), "FileName", F.inline(parsed))
+    return schemas.conform(rows.where(F.col("Amount").isNotNull()), schemas.PARSED)
 
 
 def rejected_cells(cells: DataFrame, layout: tuple[SheetSpec, ...]) -> DataFrame:
@@ -151,5 +150,5 @@ def rejected_cells(cells: DataFrame, layout: tuple[SheetSpec, ...]) -> DataFrame
     cells = schemas.with_columns_of(cells, schemas.CELLS)
     faulty = F.lit(False)
     for sheet in layout:
-        faulty = faulty | (sheet.usable() & ~sheet.whole())
+        faulty = faulty | (sheet.usable() & sheet.parsed_amount().isNotNull() & ~sheet.whole())
     return cells.where(faulty).withColumn("reason", F.lit("empty cell"))
