@@ -121,14 +121,19 @@ def post_approved(
     )
 
 
-def state_after_approval(staged: DataFrame, claims: Claims, tables: Tables):
-    """Staging, policy bills, one-off bills and quotes after the payments."""
+def state_after_approval(staged: DataFrame, claims: Claims, tables: Tables, bill_changes: DataFrame | None = None):
+    """Staging, policy bills, one-off bills and quotes after the payments.
+
+    ``bill_changes`` are the changes of the policy bills, if they were computed (and stored) before.
+    """
     bills = tables.billing
     if tables.new_bills is not None:
         bills = bills.unionByName(tables.new_bills, allowMissingColumns=True)
+    if bill_changes is None:
+        bill_changes = posting.bill_changes(claims.recurring, tables.policy_cc)
     return (
         mark_executed(staged, posted_ids(claims)),
-        posting.close_bills(bills, claims.recurring, tables.policy_cc),
+        posting.updated(bills, bill_changes, "BillingID"),
         posting.close_billing_others(tables.billing_others, claims.other),
         posting.close_quotes(tables.quote_billing, claims.quote),
     )
