@@ -44,6 +44,7 @@ def upload(store: Store, file_id: int, lines: DataFrame, run_id: str, run_ts: da
     The parsed rows are stored before mapping, so that the file is read once.
     """
     configure(store.spark)
+    store.refresh()
     if store.is_published(run_id):
         return
     if file_id not in LAYOUT_OF_FILE:
@@ -107,6 +108,7 @@ def execute(
 ) -> bool:
     """Post one staged file. False when it is not due on the run date."""
     configure(store.spark)
+    store.refresh()
     if store.is_published(run_id):
         return True
     due = ctl.files_due(store.current("control"), store.current("download_summary"), run_ts.date(), file_id)
@@ -171,6 +173,7 @@ def execute_due(store: Store, run_id: str, run_ts: datetime, **options) -> list[
 def remove(store: Store, file_id: int, run_id: str, run_ts: datetime) -> None:
     """Take a file back: clear its staged rows, release its control row, recount."""
     configure(store.spark)
+    store.refresh()
     if store.is_published(run_id):
         return
     control = store.current("control")

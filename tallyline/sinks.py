@@ -37,10 +37,11 @@ def append_stage(rows: DataFrame, path: str) -> None:
     rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("FileName").parquet(path)
 
 
-@dataclass(frozen=True)
+@dataclass
 class Store:
     spark: SparkSession
     folder: str
+    _markers: list[T.Row] | None = None
 
     def path(self, *parts: str) -> str:
         return "/".join([self.folder.rstrip("/"), *parts])
@@ -69,14 +70,21 @@ class Store:
         seq = max((row.seq for row in self.published()), default=0) + 1
         marker = self.spark.createDataFrame([(seq, run_id, at, sorted(tables))], MARKER)
         marker.coalesce(1).write.mode("overwrite").parquet(self.path("published", f"run={run_id}"))
+        self.refresh()
+
+    def refresh(self) -> None:
+        """Look at the markers again; a job does so when it starts."""
+        self._markers = None
 
     def published(self) -> list[T.Row]:
         """Markers of all published runs, oldest first (one row per run)."""
-        try:
-            markers = self.spark.read.schema(MARKER).parquet(self.path("published", "*"))
-        except AnalysisException:
-            return []
-        return sorted(markers.collect(), key=lambda row: row.seq)
+        if self._markers is None:
+            try:
+                found = self.spark.read.schema(MARKER).parquet(self.path("published", "*")).collect()
+            except AnalysisException:  # nothing published yet
+                found = []
+            self._markers = sorted(found, key=lambda row: row.seq)
+        return self._markers
 
     def is_published(self, run_id: str) -> bool:
         return any(row.run_id == run_id for row in self.published())

@@ -108,11 +108,13 @@ def test_two_file_upload_keeps_the_other_half(spark, sf, store):
 
 
 def test_due_files_run_in_order(spark, sf, store):
-    # file 1 is staged, the others have nothing to post; all due files are released
-    done = jobs.execute_due(store, "night", NOW)
-    assert done[0] == 1
-    left = store.current("control").where("FileName is not null and tglProses = date '2024-01-10'").count()
-    assert left == 0
+    # files 1 and 13 are left due; only file 1 is staged
+    control = store.current("control")
+    kept = F.when(F.col("id").isin(1, 13), F.col("tglProses"))
+    store.write("plan", "control", control.withColumn("tglProses", kept))
+    store.publish("plan", ["control"], NOW)
+    assert jobs.execute_due(store, "night", NOW) == [1, 13]
+    assert store.current("control").where("id in (1, 13) and FileName is not null").isEmpty()
     assert jobs.execute(store, 1, "again", NOW) is False
 
 
