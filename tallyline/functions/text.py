@@ -21,8 +21,9 @@ MONEY = "decimal(18,2)"
 
 
 def strip(c: Column) -> Column:
-    """Trim every kind of white space, not only blanks."""
-    return F.btrim(c, F.lit(WHITESPACE))
+    """Trim every kind of white space, not only blanks. Padding is taken off by the plain trim first,
+    which is many times faster than trimming a set of characters."""
+    return F.btrim(F.trim(c), F.lit(WHITESPACE))
 
 
 def piece(c: Column, start: int, length: int) -> Column:

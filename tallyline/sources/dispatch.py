@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyline import schemas
-from tallyline.sources.fixed_width import FIXED_LAYOUTS, LayoutSpec, ingest_fixed, ingest_va_auto
+from tallyline.sources.fixed_width import FIXED_LAYOUTS, LayoutSpec, ingest_fixed, ingest_va_auto, with_cuts
 from tallyline.sources.sheets import SHEET_LAYOUTS, ingest_sheet
 
 # Control-row id -> layout.
@@ -60,12 +60,11 @@ def _parse_mixed(lines: DataFrame, specs: list[LayoutSpec]) -> DataFrame:
 
     None of these layouts has a date, so a parsed amount is all there is left to ask for.
     """
-    line, layout = F.col("value"), F.col("layout")
     parsed = F.lit(None)
     for spec in specs:
-        fields = F.struct(*[c.alias(n) for n, c in spec.columns(line).items()])
-        parsed = F.when((layout == spec.name) & spec.usable(line), F.array(fields)).otherwise(parsed)
-    rows = lines.select("id", "FileName", F.inline(parsed))
+        mine = F.col("layout") == spec.name
+        parsed = F.when(mine & spec.usable(), F.array(spec.record())).otherwise(parsed)
+    rows = with_cuts(lines, *specs).select("id", "FileName", F.inline(parsed))
     return schemas.conform(rows.where(F.col("Amount").isNotNull()), schemas.PARSED)
 
 

@@ -1,4 +1,8 @@
-"""Fixed-width result files: one declarative layout per bank format, one generic parser."""
+"""Fixed-width result files: one declarative layout per bank format, one generic parser.
+
+A line is cut into pieces first, each piece once, and the fields are made from the pieces in the next
+projection. Finding an offset walks the line from its start, so cutting is what parsing costs.
+"""
 
 from __future__ import annotations
 
@@ -11,66 +15,87 @@ from pyspark.sql import functions as F
 from tallyline import schemas
 from tallyline.functions import text as t
 
-Expr = Callable[[Column], Column]
+Cut = Callable[[str], Column]  # name of a piece -> its column
+FromCuts = Callable[[Cut], Column]
 
 
 @dataclass(frozen=True)
 class LayoutSpec:
-    """A line format. Offsets are 0-based ``(start, length)``; plain fields are trimmed.
+    """A line format. Offsets are 0-based ``(start, length)``.
 
+    ``fields`` become trimmed fields of the same name. ``raw`` pieces are cut untrimmed for the
+    ``derived`` fields: a negative start counts from the end, length None means to the end.
     ``number`` must be an integer and ``amount`` an amount, or the line is dropped; so is a line
-    whose ``stamp`` does not parse. ``derived`` computes the remaining fields from the raw line, and
-    ``broken`` names further faults as ``reason -> condition``.
+    whose ``stamp`` does not parse. ``broken`` names further faults as ``reason -> condition``.
     """
 
     name: str
     min_length: int
     amount: tuple[int, int]
     fields: dict[str, tuple[int, int]]
-    success: Expr
+    success: FromCuts
     number: tuple[int, int] | None = None
-    stamp: tuple[tuple[int, int], Expr] | None = None
-    derived: dict[str, Expr] = field(default_factory=dict)
-    broken: dict[str, Expr] = field(default_factory=dict)
-
-    def columns(self, line: Column, decimal_style: str = "dot") -> dict[str, Column]:
-        """Parsed fields, in the order of the staging schema."""
-        found = {name: t.strip(t.piece(line, *at)) for name, at in self.fields.items()}
-        found |= {name: make(line) for name, make in self.derived.items()}
-        found["Amount"] = t.parse_amount(t.piece(line, *self.amount), decimal_style)
+    stamp: tuple[tuple[int, int], Callable[[Column], Column]] | None = None
+    raw: dict[str, tuple[int, int | None]] = field(default_factory=dict)
+    derived: dict[str, FromCuts] = field(default_factory=dict)
+    broken: dict[str, FromCuts] = field(default_factory=dict)
+
+    def cut(self, name: str) -> Column:
+        return F.col(f"_{self.name}_{name}")
+
+    def cuts(self, line: Column) -> dict[str, Column]:
+        """Every piece of a line, under the column name ``cut`` reads."""
+        pieces = {name: t.strip(t.piece(line, *at)) for name, at in self.fields.items()}
+        pieces["amount"] = t.piece(line, *self.amount)
+        if self.number:
+            pieces["number"] = t.piece(line, *self.number)
         if self.stamp:
-            at, parse = self.stamp
-            found["TranDate"] = parse(t.piece(line, *at))
-        found["IsSukses"] = self.success(line)
-        return {
-            f.name: found.get(f.name, F.lit(None)).cast(f.dataType)
-            for f in schemas.PARSED
-            if f.name not in ("id", "FileName")
-        }
-
-    def usable(self, line: Column) -> Column:
+            pieces["stamp"] = t.piece(line, *self.stamp[0])
+        for name, (start, length) in self.raw.items():
+            if start < 0:
+                pieces[name] = F.right(line, F.lit(-start))
+            else:
+                pieces[name] = t.tail(line, start) if length is None else t.piece(line, start, length)
+        return {f"_{self.name}_{name}": piece for name, piece in pieces.items()}
+
+    def record(self, decimal_style: str = "dot") -> Column:
+        """The fields as one struct, made from the cuts."""
+        found = {name: self.cut(name) for name in self.fields}
+        found |= {name: make(self.cut) for name, make in self.derived.items()}
+        found["Amount"] = t.parse_amount(self.cut("amount"), decimal_style)
+        if self.stamp:
+            found["TranDate"] = self.stamp[1](self.cut("stamp"))
+        found["IsSukses"] = self.success(self.cut)
+        return F.struct(
+            *[
+                found.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name)
+                for f in schemas.PARSED
+                if f.name not in ("id", "FileName")
+            ]
+        )
+
+    def usable(self) -> Column:
         """Long enough, numbered and unbroken; amount and date are judged after parsing them once."""
-        test = F.length(line) >= self.min_length
+        test = F.col("_length") >= self.min_length
         if self.number:
-            test = test & t.parse_int(t.piece(line, *self.number)).isNotNull()
+            test = test & t.parse_int(self.cut("number")).isNotNull()
         for faulty in self.broken.values():
-            test = test & ~faulty(line)
+            test = test & ~faulty(self.cut)
         return test
 
     def parsed(self) -> Column:
         """Amount, and date where the layout has one, came out."""
         return F.col("Amount").isNotNull() & (F.col("TranDate").isNotNull() if self.stamp else F.lit(True))
 
-    def fault(self, line: Column, decimal_style: str = "dot") -> Column:
+    def fault(self, decimal_style: str = "dot") -> Column:
         """Why a line cannot be used, NULL for a good one."""
-        faults: list[tuple[Column, str]] = [(F.length(line) < self.min_length, "short line")]
+        faults: list[tuple[Column, str]] = [(F.col("_length") < self.min_length, "short line")]
         if self.number:
-            faults.append((t.parse_int(t.piece(line, *self.number)).isNull(), "no line number"))
-        faults.append((t.parse_amount(t.piece(line, *self.amount), decimal_style).isNull(), "bad amount"))
+            faults.append((t.parse_int(self.cut("number")).isNull(), "no line number"))
+        faults.append((t.parse_amount(self.cut("amount"), decimal_style).isNull(), "bad amount"))
         if self.stamp:
-            at, parse = self.stamp
-            faults.append((parse(t.piece(line, *at)).isNull(), "bad date"))
-        faults += [(test(line), reason) for reason, test in self.broken.items()]
+            faults.append((self.stamp[1](self.cut("stamp")).isNull(), "bad date"))
+        faults += [(test(self.cut), reason) for reason, test in self.broken.items()]
         found = F.lit(None).cast("string")
         for test, reason in reversed(faults):
             found = F.when(test, F.lit(reason)).otherwise(found)
@@ -80,33 +105,28 @@ class LayoutSpec:
 # --- the layouts -----------------------------------------------------------------------------
 # Offsets, lengths and status words are fixed values of the bank formats.
 
-def _a_code(line: Column) -> Column:
-    approved = t.strip(F.substring(F.right(line, F.lit(8)), 1, 6))
-    return F.when(F.right(line, F.lit(2)) == "00", approved).otherwise(F.right(line, F.lit(2)))
-
-
 CARD_FIXED_A = LayoutSpec(
     "card_fixed_a",
     min_length=171,
     amount=(54, 9),
     fields={"PolisNo": (9, 25), "AccNo": (34, 16), "AccName": (65, 26)},
-    derived={"ApprovalCode": _a_code},
-    success=lambda line: F.right(line, F.lit(2)) == "00",
+    raw={"last8": (-8, 8), "last2": (-2, 2)},
+    derived={
+        "ApprovalCode": lambda cut: F.when(cut("last2") == "00", t.strip(t.piece(cut("last8"), 0, 6))).otherwise(
+            cut("last2")
+        )
+    },
+    success=lambda cut: cut("last2") == "00",
 )
 
 
-def _b_approved(line: Column) -> Column:
-    return t.strip(t.tail(line, 85)) == "APPROVE"
+def _b_approved(cut: Cut) -> Column:
+    return t.strip(cut("note")) == "APPROVE"
 
 
-def _b_code(line: Column) -> Column:
-    note = t.tail(line, 85)
-    refused = F.when(F.length(note) >= 9, t.piece(note, 7, 2)).otherwise(F.lit(""))
-    return F.when(_b_approved(line), F.lit("APPROVE")).otherwise(refused)
-
-
-def _b_description(line: Column) -> Column:
-    return F.when(_b_approved(line), t.tail(line, 85)).otherwise(t.tail(line, 95))
+def _b_code(cut: Cut) -> Column:
+    refused = F.when(F.length(cut("note")) >= 9, t.piece(cut("note"), 7, 2)).otherwise(F.lit(""))
+    return F.when(_b_approved(cut), F.lit("APPROVE")).otherwise(refused)
 
 
 CARD_FIXED_B = LayoutSpec(
@@ -115,11 +135,12 @@ CARD_FIXED_B = LayoutSpec(
     number=(0, 6),
     amount=(42, 8),
     fields={"AccNo": (22, 16)},
+    raw={"policy": (6, 16), "note": (85, None)},
     derived={
         # zeros on the left go, blanks stay
-        "PolisNo": lambda line: F.ltrim(t.piece(line, 6, 16), F.lit("0")),
+        "PolisNo": lambda cut: F.ltrim(cut("policy"), F.lit("0")),
         "ApprovalCode": _b_code,
-        "Deskripsi": _b_description,
+        "Deskripsi": lambda cut: F.when(_b_approved(cut), cut("note")).otherwise(t.tail(cut("note"), 10)),
     },
     success=_b_approved,
 )
@@ -135,22 +156,22 @@ ACCT_FIXED_A = LayoutSpec(
         "ApprovalCode": (129, 9),
         "Deskripsi": (138, 51),
     },
-    success=lambda line: F.lower(t.strip(t.piece(line, 129, 9))) == "berhasil",
+    success=lambda cut: F.lower(cut("ApprovalCode")) == "berhasil",
 )
 
 
-def _account_before_slash(line: Column) -> Column:
-    return F.substring_index(t.strip(t.piece(line, 306, 244)), "/", 1)
+def _before_slash(cut: Cut) -> Column:
+    return F.substring_index(t.strip(cut("block")), "/", 1)
 
 
-def _holder_after_slash(line: Column) -> Column:
+def _after_slash(cut: Cut) -> Column:
     # measured from the untrimmed block, so a leading blank moves the name along
-    start = F.length(_account_before_slash(line)) + 2
-    return t.strip(F.replace(F.substr(t.piece(line, 306, 244), start), F.lit("(IDR)"), F.lit("")))
+    name = F.substr(cut("block"), F.length(_before_slash(cut)) + 2)
+    return t.strip(F.replace(name, F.lit("(IDR)"), F.lit("")))
 
 
-def _settled(line: Column) -> Column:
-    return F.lower(t.strip(t.piece(line, 674, 46))) == "success"
+def _settled(cut: Cut) -> Column:
+    return F.lower(cut("ApprovalCode")) == "success"
 
 
 ACCT_FIXED_B = LayoutSpec(
@@ -158,12 +179,13 @@ ACCT_FIXED_B = LayoutSpec(
     min_length=720,
     amount=(634, 40),
     fields={"PolisNo": (590, 40), "ApprovalCode": (674, 46)},
+    raw={"block": (306, 244), "rest": (720, None)},
     derived={
-        "AccNo": lambda line: t.strip(_account_before_slash(line)),
-        "AccName": _holder_after_slash,
-        "Deskripsi": lambda line: F.when(_settled(line), t.strip(t.tail(line, 720))),
+        "AccNo": lambda cut: t.strip(_before_slash(cut)),
+        "AccName": _after_slash,
+        "Deskripsi": lambda cut: F.when(_settled(cut), t.strip(cut("rest"))),
     },
-    broken={"account block without slash": lambda line: ~F.contains(t.strip(t.piece(line, 306, 244)), F.lit("/"))},
+    broken={"account block without slash": lambda cut: ~F.contains(cut("block"), F.lit("/"))},
     success=_settled,
 )
 
@@ -174,7 +196,7 @@ VA_DAILY = LayoutSpec(
     amount=(112, 22),
     stamp=((136, 19), t.parse_stamp),
     fields={"PolisNo": (11, 19), "AccName": (45, 31), "Deskripsi": (158, 37)},
-    success=lambda line: F.lit(True),
+    success=lambda cut: F.lit(True),
 )
 
 VA_REALTIME = LayoutSpec(
@@ -184,7 +206,7 @@ VA_REALTIME = LayoutSpec(
     amount=(52, 19),
     stamp=((73, 18), t.parse_short_stamp),
     fields={"PolisNo": (8, 20), "AccName": (28, 18), "Deskripsi": (100, 33)},
-    success=lambda line: F.lit(True),
+    success=lambda cut: F.lit(True),
 )
 
 FIXED_LAYOUTS = {
@@ -195,24 +217,31 @@ FIXED_LAYOUTS = {
 
 # --- operators -------------------------------------------------------------------------------
 
+def with_cuts(lines: DataFrame, *specs: LayoutSpec) -> DataFrame:
+    """Lines with the pieces of each layout. With several, a line is cut only by that of its ``layout``."""
+    line = F.col("value")
+    pieces = {"_length": F.length(line)}
+    for spec in specs:
+        mine = F.col("layout") == spec.name
+        pieces |= {n: c if len(specs) == 1 else F.when(mine, c) for n, c in spec.cuts(line).items()}
+    return lines.withColumns(pieces)
+
+
 def ingest_fixed(lines: DataFrame, spec: LayoutSpec, decimal_style: str = "dot") -> DataFrame:
     """Parse ``(id, FileName, value)`` lines; unusable lines are left out (see ``rejected_lines``).
 
     A line is a generator of no row or one row, so that each field is computed once: a filter on the
     parsed fields stays above the generator and is not repeated below it.
     """
-    line = F.col("value")
-    fields = F.struct(*[c.alias(n) for n, c in spec.columns(line, decimal_style).items()])
-    rows = lines.select("id", "FileName", F.inline(F.when(spec.usable(line), F.array(fields))))
+    one = F.when(spec.usable(), F.array(spec.record(decimal_style)))
+    rows = with_cuts(lines, spec).select("id", "FileName", F.inline(one))
     return schemas.conform(rows.where(spec.parsed()), schemas.PARSED)
 
 
 def rejected_lines(lines: DataFrame, spec: LayoutSpec, decimal_style: str = "dot") -> DataFrame:
     """The lines ``ingest_fixed`` leaves out, each with its reason."""
-    reason = F.array(spec.fault(F.col("value"), decimal_style))
-    return lines.select("id", "FileName", "value", F.explode(reason).alias("reason")).where(
-        F.col("reason").isNotNull()
-    )
+    reason = F.explode(F.array(spec.fault(decimal_style))).alias("reason")
+    return with_cuts(lines, spec).select("id", "FileName", "value", reason).where(F.col("reason").isNotNull())
 
 
 def ingest_va_auto(lines: DataFrame) -> DataFrame:
