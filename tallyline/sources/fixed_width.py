@@ -46,11 +46,11 @@ class LayoutSpec:
     def cuts(self, line: Column) -> dict[str, Column]:
         """Every piece of a line, under the column name ``cut`` reads."""
         pieces = {name: t.strip(t.piece(line, *at)) for name, at in self.fields.items()}
-        pieces["amount"] = t.piece(line, *self.amount)
+        pieces["amount"] = t.strip(t.piece(line, *self.amount))
         if self.number:
-            pieces["number"] = t.piece(line, *self.number)
+            pieces["number"] = t.strip(t.piece(line, *self.number))
         if self.stamp:
-            pieces["stamp"] = t.piece(line, *self.stamp[0])
+            pieces["stamp"] = t.strip(t.piece(line, *self.stamp[0]))
         for name, (start, length) in self.raw.items():
             if start < 0:
                 pieces[name] = F.right(line, F.lit(-start))
@@ -62,7 +62,7 @@ class LayoutSpec:
         """The fields as one struct, made from the cuts."""
         found = {name: self.cut(name) for name in self.fields}
         found |= {name: make(self.cut) for name, make in self.derived.items()}
-        found["Amount"] = t.parse_amount(self.cut("amount"), decimal_style)
+        found["Amount"] = t.read_amount(self.cut("amount"), decimal_style)
         if self.stamp:
             found["TranDate"] = self.stamp[1](self.cut("stamp"))
         found["IsSukses"] = self.success(self.cut)
@@ -78,7 +78,7 @@ class LayoutSpec:
         """Long enough, numbered and unbroken; amount and date are judged after parsing them once."""
         test = F.col("_length") >= self.min_length
         if self.number:
-            test = test & t.parse_int(self.cut("number")).isNotNull()
+            test = test & t.read_int(self.cut("number")).isNotNull()
         for faulty in self.broken.values():
             test = test & ~faulty(self.cut)
         return test
@@ -91,8 +91,8 @@ class LayoutSpec:
         """Why a line cannot be used, NULL for a good one."""
         faults: list[tuple[Column, str]] = [(F.col("_length") < self.min_length, "short line")]
         if self.number:
-            faults.append((t.parse_int(self.cut("number")).isNull(), "no line number"))
-        faults.append((t.parse_amount(self.cut("amount"), decimal_style).isNull(), "bad amount"))
+            faults.append((t.read_int(self.cut("number")).isNull(), "no line number"))
+        faults.append((t.read_amount(self.cut("amount"), decimal_style).isNull(), "bad amount"))
         if self.stamp:
             faults.append((self.stamp[1](self.cut("stamp")).isNull(), "bad date"))
         faults += [(test(self.cut), reason) for reason, test in self.broken.items()]
@@ -194,7 +194,7 @@ VA_DAILY = LayoutSpec(
     min_length=195,
     number=(0, 5),
     amount=(112, 22),
-    stamp=((136, 19), t.parse_stamp),
+    stamp=((136, 19), t.read_stamp),
     fields={"PolisNo": (11, 19), "AccName": (45, 31), "Deskripsi": (158, 37)},
     success=lambda cut: F.lit(True),
 )
@@ -204,7 +204,7 @@ VA_REALTIME = LayoutSpec(
     min_length=133,
     number=(1, 5),
     amount=(52, 19),
-    stamp=((73, 18), t.parse_short_stamp),
+    stamp=((73, 18), t.read_short_stamp),
     fields={"PolisNo": (8, 20), "AccName": (28, 18), "Deskripsi": (100, 33)},
     success=lambda cut: F.lit(True),
 )
@@ -245,9 +245,21 @@ def rejected_lines(lines: DataFrame, spec: LayoutSpec, decimal_style: str = "dot
 
 
 def ingest_va_auto(lines: DataFrame) -> DataFrame:
-    """Virtual-account files: the daily layout, or the realtime one for files without any daily line."""
+    """Virtual-account files: the daily layout, or the realtime one for files without any daily line.
+
+    One scan parses every line both ways; a second one, map-side aggregated to one row per file, tells
+    which files have daily lines.
+    """
     daily = ingest_fixed(lines, VA_DAILY)
-    # map-side aggregation leaves one row per file
-    daily_files = daily.select("FileName").distinct()
-    realtime = ingest_fixed(lines, VA_REALTIME).join(daily_files, "FileName", "left_anti")
-    return daily.unionByName(realtime)
+    daily_files = daily.select("FileName").distinct().withColumn("_daily", F.lit(True))
+    pieces = with_cuts(lines, VA_DAILY).withColumns(VA_REALTIME.cuts(F.col("value")))
+    tries = [
+        F.when(spec.usable(), F.struct(F.lit(spec.name).alias("_try"), spec.record().alias("_record")))
+        for spec in (VA_DAILY, VA_REALTIME)
+    ]
+    both = pieces.select("id", "FileName", F.inline(F.array_compact(F.array(*tries))))
+    rows = both.select("id", "FileName", "_try", "_record.*").where(VA_DAILY.parsed())
+    kept = rows.join(daily_files, "FileName", "left").where(
+        (F.col("_try") == VA_DAILY.name) | F.col("_daily").isNull()
+    )
+    return schemas.conform(kept, schemas.PARSED)
