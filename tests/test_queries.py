@@ -19,7 +19,7 @@ def test_query(spark, sf, con, name):
 
 
 def test_every_query_has_a_twin():
-    assert set(driver.queries()) == set(driver.oracle_sql())
+    assert set(QUERIES) <= set(driver.oracle_sql())
 
 
 def test_entry(spark):
