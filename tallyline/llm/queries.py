@@ -6,10 +6,25 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyline.llm import quality_rules, url_rules
+from tallyline.llm import piece_tokens, quality_rules, secret_scan, url_rules
 from tallyline.llm.common import table
 
 
+def piece_model() -> str:
+    """The tokenizer file the production queries use; the operator takes any path."""
+    import public_tokenizers
+
+    return public_tokenizers.path("piece_bpe_32k.model")
+
+
+def op2_piece_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return piece_tokens.encode(table(spark, sf_dir, "documents"), piece_model())
+
+
+def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.scan(table(spark, sf_dir, "documents"))
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.assess(table(spark, sf_dir, "documents"))
 
@@ -21,5 +36,5 @@ def op10_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    made = (op6_quality_rules, op10_url_rules)
+    made = (op2_piece_tokens, op5_secret_scan, op6_quality_rules, op10_url_rules)
     return {query.__name__: query for query in made}
