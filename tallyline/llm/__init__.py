@@ -1 +1,10 @@
-"""Operators for preparing large training-text corpora."""
+"""Operators for preparing large training-text corpora.
+
+Functions that run inside tasks are sent with the job, so executors need not have this package.
+"""
+
+import sys
+
+from pyspark import cloudpickle
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -27,3 +27,18 @@ def words_of(text: Column) -> Column:
 def folded_fraction(column: Column) -> Column:
     """crc32 of the id as text modulo 5: 0 marks the held-out fold (null ids are held out)."""
     return F.coalesce(F.crc32(column.cast("string")) % 5, F.lit(0))
+
+
+def training_rows(docs: DataFrame, labels: DataFrame, label: str, limit: int) -> DataFrame:
+    """``rank, text, label`` of at most ``limit`` labelled documents outside the held-out fold, picked by
+    a hash of their ids. Labels that are null or contradict each other are left out, as are labels of
+    documents that don't exist; a repeated document counts once."""
+    known = (
+        labels.where(F.col("doc_id").isNotNull() & F.col(label).isNotNull() & (folded_fraction(F.col("doc_id")) != 0))
+        .groupBy(F.col("doc_id").alias("_id"))
+        .agg(F.min(label).alias("label"), F.max(label).alias("_most"))
+        .where(F.col("label") == F.col("_most"))
+    )
+    picked = known.orderBy(F.xxhash64("_id"), "_id").limit(limit).select("_id", F.col("label").cast("int").alias("label"))
+    found = docs.select("doc_id", whole("text").alias("text")).join(F.broadcast(picked), F.col("doc_id") == F.col("_id"))
+    return found.dropDuplicates(["_id"]).select(F.xxhash64("_id").alias("rank"), "text", "label")

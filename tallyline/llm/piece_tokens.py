@@ -37,10 +37,10 @@ class Vocabulary:
     byte_of: dict[int, int]
     silent: frozenset[int]  # control and unknown ids, which decode to nothing here
     end: int
-    single: dict[str, int] = field(default_factory=dict)
-    byte_ids: list[int] = field(default_factory=list)
-    keys: np.ndarray | None = None
-    merged: np.ndarray | None = None
+    single: dict[str, int] = field(init=False)
+    byte_ids: list[int] = field(init=False)
+    keys: np.ndarray = field(init=False)
+    merged: np.ndarray = field(init=False)
 
     def __post_init__(self):
         ids = {p: i for i, p in enumerate(self.pieces) if i not in self.byte_of and i not in self.silent}
@@ -55,6 +55,10 @@ class Vocabulary:
         self.keys = np.array(sorted(pairs), dtype=np.int64)
         self.merged = np.array([pairs[k] for k in self.keys.tolist()], dtype=np.int64)
 
+    def plain(self) -> dict:
+        """The fields it is made from, in types every worker can read."""
+        return {name: getattr(self, name) for name in ("pieces", "ranks", "byte_of", "silent", "end")}
+
     def merge_of(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """The id of the piece that left and right make, -1 where there is none."""
         n = len(self.pieces)
@@ -285,7 +289,7 @@ def encode(docs: DataFrame, model: str, with_ids: bool = False) -> DataFrame:
     Null and empty texts give the end id alone and decode to the empty text. Other columns are ignored;
     repeated rows are encoded each; an empty table gives an empty result. Rows stay where they are read:
     nothing is shuffled. ``model`` is a path on the driver; its pieces (a few hundred KB) are broadcast."""
-    shared = docs.sparkSession.sparkContext.broadcast(read_vocabulary(model))
+    shared = docs.sparkSession.sparkContext.broadcast(read_vocabulary(model).plain())
     kind = docs.schema["doc_id"].dataType.simpleString()
     ids = ", ids array<int>" if with_ids else ""
     return docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).mapInArrow(
@@ -295,7 +299,7 @@ def encode(docs: DataFrame, model: str, with_ids: bool = False) -> DataFrame:
 
 def _encoder(shared, with_ids: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(shared.value)
+        encoder = Encoder(Vocabulary(**shared.value))
         for whole in batches:
             for at in range(0, whole.num_rows, 1000):
                 batch = whole.slice(at, 1000)

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyline.llm import piece_tokens, quality_rules, secret_scan, url_rules
+from tallyline.llm import compression_quality, html_text, piece_tokens, quality_rules, secret_scan, toxicity, url_rules, warc
 from tallyline.llm.common import table
+from tallyline.session import shared_folder
 
 
 def piece_model() -> str:
@@ -17,6 +19,10 @@ def piece_model() -> str:
     return public_tokenizers.path("piece_bpe_32k.model")
 
 
+def op1_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
 def op2_piece_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_tokens.encode(table(spark, sf_dir, "documents"), piece_model())
 
@@ -29,6 +35,22 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.assess(table(spark, sf_dir, "documents"))
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.rate(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
+
+
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = f"{shared_folder(spark)}/tallyline/warc-{uuid.uuid4().hex}"
+    index = warc.write(table(spark, sf_dir, "pages"), folder)
+    return warc.read(index, folder).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op9_compression_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return compression_quality.rate(docs, compression_quality.train(docs, table(spark, sf_dir, "labels")))
+
+
 def op10_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages")
     rules = url_rules.mine(url_rules.label_urls(pages, table(spark, sf_dir, "labels")))
@@ -36,5 +58,8 @@ def op10_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    made = (op2_piece_tokens, op5_secret_scan, op6_quality_rules, op10_url_rules)
+    made = (
+        op1_html_text, op2_piece_tokens, op5_secret_scan, op6_quality_rules, op7_toxicity, op8_warc,
+        op9_compression_quality, op10_url_rules,
+    )
     return {query.__name__: query for query in made}
