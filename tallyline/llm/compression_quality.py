@@ -111,7 +111,7 @@ def train(docs: DataFrame, labels: DataFrame, limit: int = TRAINING_ROWS) -> Mod
         return pd.DataFrame([model.__dict__])
 
     rows = training_rows(docs, labels, "quality", limit)
-    made = rows.groupBy(F.lit(0)).applyInPandas(fitted, "bad binary, good binary, slope double, constant double").collect()
+    made = rows.withColumn("all", F.lit(0)).groupBy("all").applyInPandas(fitted, "bad binary, good binary, slope double, constant double").collect()
     return Model(**{k: bytes(v) if isinstance(v, bytearray) else v for k, v in made[0].asDict().items()}) if made else Model(b"", b"", 0.0, 0.0)
 
 

@@ -121,7 +121,7 @@ def train(docs: DataFrame, labels: DataFrame, limit: int = TRAINING_ROWS, rates:
         return pd.DataFrame({"places": [model.places.tobytes()], "weights": [model.weights.tobytes()], "bias": [model.bias]})
 
     rows = training_rows(docs, labels, "toxic", limit)
-    made = rows.groupBy(F.lit(0)).applyInPandas(fitted, "places binary, weights binary, bias double").collect()
+    made = rows.withColumn("all", F.lit(0)).groupBy("all").applyInPandas(fitted, "places binary, weights binary, bias double").collect()
     if not made:
         return Model(np.zeros(0, np.int32), np.zeros(0, np.float32), 0.0)
     return Model(np.frombuffer(made[0].places, np.int32), np.frombuffer(made[0].weights, np.float32), made[0].bias)
