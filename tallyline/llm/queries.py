@@ -7,7 +7,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyline.llm import compression_quality, html_text, piece_tokens, quality_rules, secret_scan, toxicity, url_rules, warc
+from tallyline.llm import (
+    compression_quality,
+    html_text,
+    jaccard_join,
+    piece_tokens,
+    quality_rules,
+    secret_scan,
+    toxicity,
+    url_rules,
+    warc,
+)
 from tallyline.llm.common import table
 from tallyline.session import shared_folder
 
@@ -27,6 +37,10 @@ def op2_piece_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_tokens.encode(table(spark, sf_dir, "documents"), piece_model())
 
 
+def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.join(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "n_links")
+
+
 def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan(table(spark, sf_dir, "documents"))
 
@@ -59,7 +73,7 @@ def op10_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     made = (
-        op1_html_text, op2_piece_tokens, op5_secret_scan, op6_quality_rules, op7_toxicity, op8_warc,
-        op9_compression_quality, op10_url_rules,
+        op1_html_text, op2_piece_tokens, op4_jaccard_join, op5_secret_scan, op6_quality_rules, op7_toxicity,
+        op8_warc, op9_compression_quality, op10_url_rules,
     )
     return {query.__name__: query for query in made}
