@@ -6,7 +6,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyline.llm import quality_rules
+from tallyline.llm import decontaminate, jaccard_join, piece_tokens, quality_rules, secret_scan
+from tallyline.llm.queries import piece_model
 from tallyline.session import shared_folder
 
 
@@ -15,8 +16,32 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return quality_rules.keep_good(docs)
 
 
+def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies stays."""
+    return jaccard_join.keep_one(docs)
+
+
+def leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item, or most of one, go."""
+    return decontaminate.drop_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Secrets are masked in the texts; all documents stay."""
+    return secret_scan.redact(docs)
+
+
+def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of each document, with their count and digests."""
+    return piece_tokens.encode(docs, piece_model(), with_ids=True)
+
+
 STAGES = [
     ("quality_rules", quality),
+    ("jaccard_join", near_copies),
+    ("decontaminate", leaks),
+    ("secret_scan", secrets),
+    ("piece_tokens", tokens),
 ]
 
 # Distances, sampled paths and tokenizer merges have no SQL form; tests hold run() against brute force.

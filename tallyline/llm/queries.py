@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tallyline.llm import (
     compression_quality,
+    decontaminate,
     html_text,
     jaccard_join,
     piece_tokens,
@@ -37,6 +38,11 @@ def op2_piece_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_tokens.encode(table(spark, sf_dir, "documents"), piece_model())
 
 
+def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "item_id", "start", "words", "matched")
+
+
 def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.join(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "n_links")
 
@@ -73,7 +79,7 @@ def op10_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     made = (
-        op1_html_text, op2_piece_tokens, op4_jaccard_join, op5_secret_scan, op6_quality_rules, op7_toxicity,
-        op8_warc, op9_compression_quality, op10_url_rules,
+        op1_html_text, op2_piece_tokens, op3_decontaminate, op4_jaccard_join, op5_secret_scan, op6_quality_rules,
+        op7_toxicity, op8_warc, op9_compression_quality, op10_url_rules,
     )
     return {query.__name__: query for query in made}
