@@ -19,6 +19,7 @@ from tallyline.llm.common import BLANKS, whole, words_of
 from tallyline.session import materialize
 
 SYMBOLS = "#*$%&|<>"
+BROADCAST_ROWS = 1_000_000  # rejected rows (32 bytes each) up to which they are sent to every task
 
 # The ten most frequent words of each language.
 COMMON_WORDS = {
@@ -179,9 +180,9 @@ def references(features: DataFrame, limits: Limits) -> DataFrame:
     return each.agg(mean("_chars", n_chars), mean("_common", n_words)).unionByName(every)
 
 
-def judged(features: DataFrame, limits: Limits = Limits(), refs: DataFrame | None = None) -> DataFrame:
+def judged(features: DataFrame, limits: Limits = Limits()) -> DataFrame:
     """Features plus ``char_distance, word_distance`` (null: not judged) and ``kept``."""
-    refs = references(features, limits) if refs is None else refs  # at most len(COMMON_WORDS) + 1 rows
+    refs = references(features, limits)  # at most len(COMMON_WORDS) + 1 rows
     of = F.when(F.col("_lang").isin(list(COMMON_WORDS)), F.col("_lang")).otherwise(F.lit(""))
     both = features.withColumn("_of", of).join(F.broadcast(refs), "_of", "left")
     both = both.withColumns({
@@ -216,8 +217,15 @@ def assess(docs: DataFrame, limits: Limits = Limits()) -> DataFrame:
 def keep_good(docs: DataFrame, limits: Limits = Limits()) -> DataFrame:
     """The rows of ``docs`` that pass, with their columns as they are, extra ones of any name included.
 
-    Rows are measured twice, once for the references and once to be judged, so that no text is shuffled
-    or stored on the way."""
-    refs = materialize(references(measured(docs), limits))
-    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), "text", "lang")
-    return judged(measured(packed, "_row"), limits, refs).where("kept").select("_row.*")
+    Rows are named by id, hash of the text and language, so rows without an id or with a repeated one
+    are judged by their own text. Those that go are joined back and taken out."""
+    keyed = docs.select(F.col("doc_id").alias("_id"), F.xxhash64(whole("text")).alias("_hash"), "text", "lang")
+    features = materialize(measured(keyed, "_id", "_hash"))
+    gone = materialize(judged(features, limits).where(~F.col("kept")).select("_id", "_hash", "_lang").distinct())
+    if gone.count() <= BROADCAST_ROWS:
+        gone = F.broadcast(gone)
+    same = (
+        docs["doc_id"].eqNullSafe(gone["_id"]) & (F.xxhash64(whole(docs["text"])) == gone["_hash"])
+        & docs["lang"].eqNullSafe(gone["_lang"])
+    )
+    return docs.join(gone, same, "left_anti")
