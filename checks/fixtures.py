@@ -15,6 +15,17 @@ RUN_TS = datetime(2024, 1, 10)
 RUN_DATE = date(2024, 1, 10)
 BASE_TABLES = ("nation", "customer", "part", "orders", "events")
 
+# Templates of the mail queries, for both engines.
+MAIL_TEMPLATES = {
+    "recurring": ("{brand}: premium {policy} {name}", "Dear {title} {name},<br>\n{product}, {policy}: IDR {amount}. {brand} "),
+    "other": ("{brand}: {type}", "Dear {title} {name},<br>\n{type} for {product}, {policy}: {amount}. {brand} "),
+    "quote": (
+        "{brand}: quote {ref}",
+        "Dear {title} {name},\n{ref}|{sex}|{birthplace}/{birthdate}|{email}|{mobile}|{product}|IDR {insured}|{years}|{days}|"
+        "{premium}|{fee}|{mode}|{method}|{amount}\n{brand} ",
+    ),
+}
+
 VIEWS: dict[str, str] = {
     "fx_control": """
         select cast(p_partkey as int) as id, concat('TC', cast(p_partkey as string)) as trancode,
@@ -74,7 +85,7 @@ VIEWS: dict[str, str] = {
         n_regionkey as GroupRejectMappingID, case when n_nationkey % 2 = 0 then 1 end as bank_id from nation
     """,
     "fx_customer_info": """
-        select c_custkey as CustomerId, c_name as CustomerName, c_custkey % 2 = 0 as IsLaki,
+        select c_custkey as CustomerId, case when c_custkey % 23 = 0 then null else c_name end as CustomerName, c_custkey % 2 = 0 as IsLaki,
         case when c_custkey % 10 = 0 then null else concat('c', cast(c_custkey as string), '@example.org') end as Email from customer
     """,
     "fx_product": """

@@ -6,8 +6,10 @@ compared as double and dates as timestamps, as ``registry.comparable`` does on t
 
 from __future__ import annotations
 
-from checks.fixtures import with_views
-from tallyline.operators import errors, notify, posting
+from types import SimpleNamespace
+
+from checks.fixtures import MAIL_TEMPLATES, with_views
+from tallyline.operators import errors, posting
 
 NOW = "timestamp '2024-01-10 00:00:00'"
 TODAY = "date '2024-01-10'"
@@ -243,7 +245,8 @@ STEPS = {
     """,
     "s_cc": "select PolicyId, cc_no, cc_name from fx_policy_cc",
     "s_ac": "select PolicyId, acc_no, acc_name from fx_policy_ac",
-    "s_failed_policies": "select distinct PolisId from s_mapped where not IsSukses and PolisId is not null",
+    "s_failed_policies": """select PolisId, count(*) as n_failed from s_mapped
+        where not IsSukses and PolisId is not null group by PolisId""",
     "s_reject_bills": """
         select policy_id, BillingID, recurring_seq,
          cast(row_number() over (partition by policy_id order by recurring_seq, BillingID) as int) as seqno
@@ -363,16 +366,17 @@ def mail(found: str, to: str, templates: tuple[str, str], **values: str) -> str:
         'archive@example.org' as email_bcc, 'UploadCCResult' as email_type"""
 
 
-TEXTS = notify.MailTexts()
+TEXTS = SimpleNamespace(**MAIL_TEMPLATES)
 PERSON = dict(
     title="case when ci.IsLaki then 'Bapak' else 'Ibu' end", name="upper(ci.CustomerName)",
     product="pd.product_description", policy="pb.policy_no",
 )
 PEOPLE = """left join fx_policy_billing pb on pb.policy_id = {} left join fx_customer_info ci on ci.CustomerId = pb.holder_id
     left join fx_product pd on pd.product_id = pb.product_id"""
-FOUND = "(ci.CustomerName is not null and pd.product_description is not null)"
-OTHER_TYPE = "case p.BillingType " + " ".join(f"when '{k}' then '{v}'" for k, v in notify.OTHER_TYPES.items()) + " end"
-MODE = "case coalesce(q.premium_mode, '') " + " ".join(f"when '{k}' then '{v}'" for k, v in notify.PREMIUM_MODES.items()) + " else '-' end"
+FOUND = "(ci.CustomerId is not null and pd.product_id is not null)"
+OTHER_TYPE = "case p.BillingType when 'A2' then 'Endorsemen Cetak Polis Fisik' when 'A3' then 'Cetak Kartu' end"
+MODE = """case coalesce(q.premium_mode, '') when '' then 'Sekaligus' when '0' then 'Sekaligus' when '1' then 'Bulanan'
+    when '3' then 'Triwulanan' when '6' then 'Semesteran' when '12' then 'Tahunan' else '-' end"""
 
 CONTROL = """id, trancode, FileName, stageTable, cast(tglProses as timestamp) as tglProses, source, bankid_receipt, bankid,
     id_billing_download, id_upload_sum"""
@@ -428,6 +432,9 @@ FINAL: dict[str, str] = {f"ingest_{name}": parse(name, f"fx_lines_{name}") for n
     "stage_reset": f"""select {UPLOAD} from fx_upload where FileName not in (select FileName from s_readable where id = 1)
         and exists (select 1 from fx_control x join fx_control c on c.id = 1 and x.id <> 1
         and x.id_billing_download = c.id_billing_download join fx_upload u on u.FileName = x.FileName)""",
+    "stage_reset_tables": f"""select {UPLOAD}, stageTable from (
+        select *, concat('stage_', cast(regexp_extract(FileName, '[0-9]+') as int) % 2) as stageTable from fx_upload)
+        where stageTable <> 'stage_0'""",
     "va_drop_paid": """select id, PolisId, TranDate, cast(Amount as double) as Amount from fx_va_upload v where not exists (
         select 1 from fx_billing b where b.policy_id = v.PolisId and b.paid_date = v.TranDate and b.status_billing = 'P')""",
     "release_control": f"""select {CONTROL} from (select * replace (case when id = 4 then null else FileName end as FileName,
@@ -589,15 +596,15 @@ FINAL: dict[str, str] = {f"ingest_{name}": parse(name, f"fx_lines_{name}") for n
         case when f.PolisId is null or h.ReleaseDate > {TODAY} + 15 then h.Description
          else 'Auto Hold, Reject Debet AC  Recurring' end as Description,
         case when h.policy_id is null then 'system' end as UserCrt,
-        case when h.policy_id is not null and f.PolisId is not null then {NOW} end as DateUpdate,
-        case when h.policy_id is not null and f.PolisId is not null then 'system' end as UserUpdate
+        case when f.n_failed > 1 or (h.policy_id is not null and f.n_failed > 0) then {NOW} end as DateUpdate,
+        case when f.n_failed > 1 or (h.policy_id is not null and f.n_failed > 0) then 'system' end as UserUpdate
         from fx_billinghold h full join s_failed_policies f on f.PolisId = h.policy_id""",
     # notifications
     "email_recurring": f"select {mail(FOUND, 'ci.Email', TEXTS.recurring, **PERSON)} from s_posted p {PEOPLE.format('p.PolisId')}",
     "email_other": f"""select {mail(FOUND, 'ci.Email', TEXTS.other, **PERSON, type=OTHER_TYPE)} from s_other p
         {PEOPLE.format('p.bill_policy_id')}""",
     "email_quote": "select " + mail(
-        "(b.Holder_Name is not null and q.IsLaki is not null and pd.product_description is not null)", "q.email", TEXTS.quote,
+        "(b.quote_id is not null and q.quote_id is not null and pd.product_id is not null)", "q.email", TEXTS.quote,
         title="case when q.IsLaki then 'Bapak' else 'Ibu' end", name="upper(b.Holder_Name)", ref="b.ref_no",
         sex="case when q.IsLaki then 'Pria' else 'Wanita' end", birthplace="q.POB", birthdate="strftime(q.DOB, '%d %b %Y')",
         email="q.email", mobile="q.mobile_phone", product="pd.product_description", insured=whole("q.sum_insured"),

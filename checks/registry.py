@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from checks.fixtures import BASE_TABLES, RUN_DATE, RUN_TS, view
+from checks.fixtures import BASE_TABLES, MAIL_TEMPLATES, RUN_DATE, RUN_TS, view
 from tallyline import schemas
 from tallyline.functions.text import clean_description
 from tallyline.operators import allocation, control, errors, mapping, notify, posting, rejects, staging
@@ -18,7 +18,7 @@ from tallyline.plans import posting as plans
 from tallyline.session import configure, materialize
 from tallyline.sources import dispatch, fixed_width, sheets
 
-BRAND = notify.MailTexts(brand="ACME", bcc="archive@example.org")
+BRAND = notify.MailTexts(brand="ACME", bcc="archive@example.org", **MAIL_TEMPLATES)
 FILE = 4  # the file of queries about one file
 HALF = 1  # one half of a two-file upload
 
@@ -262,6 +262,16 @@ def stage_reset(r: Run) -> DataFrame:
     return staging.stage_reset(r.t("fx_upload"), r.control, HALF)
 
 
+@query
+def stage_reset_tables(r: Run) -> DataFrame:
+    """Two staging tables in one: only that of the file's control row is emptied."""
+    of_file = F.concat(F.lit("stage_"), (F.regexp_extract("FileName", "[0-9]+", 0).cast("int") % 2).cast("string"))
+    of_row = F.concat(F.lit("stage_"), (F.col("id") % 2).cast("string"))
+    return staging.stage_reset(
+        r.t("fx_upload").withColumn("stageTable", of_file), r.control.withColumn("stageTable", of_row), FILE
+    )
+
+
 @query
 def va_drop_paid(r: Run) -> DataFrame:
     return staging.va_drop_paid(r.t("fx_va_upload"), r.t("fx_billing"))

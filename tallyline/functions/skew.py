@@ -1,8 +1,8 @@
 """Joins and rankings that stay balanced when one key holds a large share of the rows.
 
 Joins leave the splitting to AQE and only take care that it can act. Rankings are windows, which AQE
-cannot split, so heavy keys are looked for first: at most ``max_keys`` of them from a hash sample of
-the row ids. The list only steers the physical plan; every path returns the same, whole result.
+cannot split, so heavy keys are looked for first, in a hash sample of the row ids. Their number is
+bounded by the rows over ``hot_rows``. The list only steers the physical plan; every path returns the same, whole result.
 """
 
 from __future__ import annotations
@@ -33,7 +33,6 @@ def lookup_join(rows: DataFrame, lookup: DataFrame, keys: Sequence[str], how: st
 @dataclass(frozen=True)
 class SkewPolicy:
     hot_rows: int = 1_000_000  # a key with fewer rows is one ordinary task
-    max_keys: int = 4_096  # any key left out holds less than 1/max_keys of the rows
     sample: int = 64  # one row id in `sample` is counted when looking for heavy keys
 
 
@@ -42,13 +41,13 @@ DEFAULT = SkewPolicy()
 
 @dataclass(frozen=True)
 class Hot:
-    """Heavy keys that were looked for: a small local table, or None when there are none."""
+    """Heavy keys that were looked for: a stored table of one column, or None when there are none."""
 
     table: DataFrame | None = None
 
 
 def find_hot(rows: DataFrame, key: str, row_id: str = "id", policy: SkewPolicy = DEFAULT) -> Hot:
-    """Look for heavy keys with one narrow job; the answer has at most ``max_keys`` rows."""
+    """Look for heavy keys with one narrow job. All of them count, and they are stored, not collected."""
     seen = rows.where(F.col(key).isNotNull())
     if policy.sample > 1:
         seen = seen.where(F.pmod(F.xxhash64(row_id), F.lit(policy.sample)) == 0)
@@ -56,12 +55,10 @@ def find_hot(rows: DataFrame, key: str, row_id: str = "id", policy: SkewPolicy =
         seen.groupBy(key)
         .agg(F.count(F.lit(1)).alias("_n"))
         .where(F.col("_n") * policy.sample >= policy.hot_rows)
-        .orderBy(F.desc("_n"))
-        .limit(policy.max_keys)
         .select(key)
     )
-    found = listed.collect()
-    return Hot(rows.sparkSession.createDataFrame(found, listed.schema) if found else None)
+    found = materialize(listed)
+    return Hot(None if found.isEmpty() else found)
 
 
 def rank_rows(rows: DataFrame, key: str, order: Sequence[str], out: str = "k", hot: Hot = Hot()) -> DataFrame:
@@ -69,7 +66,7 @@ def rank_rows(rows: DataFrame, key: str, order: Sequence[str], out: str = "k", h
     plain = Window.partitionBy(key).orderBy(*order)
     if hot.table is None:
         return rows.withColumn(out, F.row_number().over(plain))
-    listed = F.broadcast(hot.table)
+    listed = hot.table  # Spark broadcasts it by its own size test
     cold = rows.join(listed, key, "left_anti").withColumn(out, F.row_number().over(plain))
     return cold.unionByName(sliced_rank(rows.join(listed, key, "left_semi"), key, order, out))
 
@@ -86,7 +83,8 @@ def sliced_rank(rows: DataFrame, key: str, order: Sequence[str], out: str = "k")
         rows.repartitionByRange(slices, key, *order).withColumn("_slice", F.spark_partition_id())
     )
     earlier = Window.partitionBy(key).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    # one row per (key, slice): at most the number of listed keys plus the number of slices
+    # one row per (key, slice), at most the number of listed keys plus the number of slices; Spark's own
+    # size test decides on a broadcast
     starts = (
         sliced.groupBy(key, "_slice")
         .agg(F.count(F.lit(1)).alias("_rows"))
@@ -96,7 +94,7 @@ def sliced_rank(rows: DataFrame, key: str, order: Sequence[str], out: str = "k")
     inside = Window.partitionBy(key, "_slice").orderBy(*order)
     return (
         sliced.withColumn(out, F.row_number().over(inside))
-        .join(F.broadcast(starts), [key, "_slice"])
+        .join(starts, [key, "_slice"])
         .withColumn(out, (F.col(out) + F.col("_start")).cast("int"))
         .drop("_slice", "_start")
     )
@@ -125,7 +123,7 @@ def pair_by_rank(
 
     if hot.table is None:
         return pair(rows, slots, rank_rows)
-    listed = F.broadcast(hot.table)
+    listed = hot.table  # Spark broadcasts it by its own size test
     cold = (df.join(listed, key, "left_anti") for df in (rows, slots))
     warm = (df.join(listed, key, "left_semi") for df in (rows, slots))
     return pair(*cold, rank_rows).unionByName(pair(*warm, sliced_rank))

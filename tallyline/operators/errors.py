@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallyline.operators.staging import without_rows
+
 # What is written for each kind of row, and the longest message kept.
 NO_BILL = "RecurringApprove : Billing Konsong setelah CreateBilling, untuk PolisID '{}'"
 OTHER_PAID = "BillOtherApprove : Billing Other sudah Paid"
@@ -28,8 +30,8 @@ def post_errors(allocated: DataFrame, routed: DataFrame, posted_claims: DataFram
     surplus = allocated.where(F.col("bill_id").isNull()).select(
         "id", "trancode", "PolisNo", "IsSukses", F.concat(F.lit(before), policy_id, F.lit(after)).alias("_m")
     )
-    # joined on the row id, which no row shares: a bill paid many times over stays balanced
-    unpaid = routed.where(F.col("route").isin("other", "quote")).join(posted_claims.select("id"), "id", "left_anti")
+    # joined on file and row id, which no row shares: a bill paid many times over stays balanced
+    unpaid = without_rows(routed.where(F.col("route").isin("other", "quote")), posted_claims)
     refused = unpaid.select(
         "id", "trancode", "PolisNo", "IsSukses",
         F.when(F.col("route") == "other", F.lit(OTHER_PAID)).otherwise(F.lit(QUOTE_PAID)).alias("_m"),

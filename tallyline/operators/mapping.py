@@ -23,10 +23,10 @@ def _open() -> Column:
 
 
 def _quote_number(c: Column) -> Column:
-    """Number after the last X, NULL when there is none. The test keeps texts away from the cast,
-    which is slow at refusing them."""
-    digits = F.substring_index(c, QUOTE_LETTER, -1)
-    return F.when(digits.rlike("^[0-9]{1,18}$"), digits.cast("bigint"))
+    """Number after the last X, NULL when there is none or it is beyond a bigint. Leading zeros don't
+    count. The test keeps texts away from the cast, which is slow at refusing them."""
+    digits = F.regexp_replace(F.substring_index(c, QUOTE_LETTER, -1), "^0+(?=[0-9])", "")
+    return F.when(digits.rlike("^[0-9]{1,19}$"), digits.try_cast("bigint"))
 
 
 def _probe(c: Column) -> Column:

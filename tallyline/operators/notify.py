@@ -10,27 +10,12 @@ from pyspark.sql import functions as F
 from tallyline.functions.skew import lookup_join
 from tallyline.functions.text import null_to_blank, whole_amount
 
-# Fixed values of the queue and the mail texts.
+# Fixed values of the queue and the mails' fields.
 QUEUE_STATUS, QUEUE_TYPE = "P", "UploadCCResult"
 MALE, FEMALE = "Bapak", "Ibu"
 MALE_SEX, FEMALE_SEX = "Pria", "Wanita"
 OTHER_TYPES = {"A2": "Endorsemen Cetak Polis Fisik", "A3": "Cetak Kartu"}
 PREMIUM_MODES = {"": "Sekaligus", "0": "Sekaligus", "1": "Bulanan", "3": "Triwulanan", "6": "Semesteran", "12": "Tahunan"}
-RECURRING_SUBJECT = "{brand}: Penerimaan Premi Regular {product} {policy} {name}"
-RECURRING_BODY = (
-    "Salam hangat {title} {name},<br>\n"
-    "<p style='text-align:justify'>Bersama surat ini kami ingin mengucapkan terima kasih atas pembayaran Premi Regular"
-    " untuk Polis {product} dengan nomor polis {policy} sejumlah IDR {amount} yang telah kami terima.</p>\n"
-    "<br>Sukses selalu,<br><br>{brand} "
-)
-OTHER_SUBJECT = "{brand}: Pembayaran {type}"
-OTHER_BODY = (
-    "Salam hangat {title} {name},<br>\n"
-    "<p style='text-align:justify'>Bersama surat ini kami ingin mengucapkan terima kasih atas pembayaran {type}"
-    " untuk Polis {product} dengan nomor polis {policy} sejumlah {amount} yang telah kami terima.</p>\n"
-    "<br>Sukses selalu,\n<br>{brand} "
-)
-QUOTE_SUBJECT = "{brand}: Nomor Quotation: {ref} TERBAYAR"
 QUOTE_LINES = (
     ("No Quote", "{ref}"),
     ("Nama", "{name}"),
@@ -49,11 +34,17 @@ QUOTE_LINES = (
     ("Jumlah Pembayaran", "IDR {amount}"),
     ("Status", "TERDAFTAR"),
 )
-QUOTE_BODY = (
-    "Dengan Hormat {title} {name},\n<p style='text-align:justify'>Terima kasih atas Pembayaran Asuransi Anda.</p>\n<table>"
-    + "".join(f"<tr><td>{label}</td><td>: {value}</td></tr>" for label, value in QUOTE_LINES)
-    + "</table>\n<br><br>Sukses selalu,\n<br>{brand} "
-)
+
+
+def _listed(lines: tuple[tuple[str, str], ...]) -> str:
+    return "<table>" + "".join(f"<tr><td>{label}</td><td>: {value}</td></tr>" for label, value in lines) + "</table>"
+
+
+# The mails' wording belongs to whoever sends them; without templates a mail lists its fields.
+POLICY_LINES = (("Nama", "{title} {name}"), ("Nama Product", "{product}"), ("No Polis", "{policy}"), ("Jumlah Pembayaran", "IDR {amount}"))
+RECURRING = ("{brand} {policy}", _listed(POLICY_LINES))
+OTHER = ("{brand} {policy} {type}", _listed((*POLICY_LINES, ("Pembayaran", "{type}"))))
+QUOTE = ("{brand} {ref}", _listed(QUOTE_LINES))
 
 
 @dataclass(frozen=True)
@@ -62,9 +53,9 @@ class MailTexts:
 
     brand: str = "Billing"
     bcc: str | None = None
-    recurring: tuple[str, str] = (RECURRING_SUBJECT, RECURRING_BODY)
-    other: tuple[str, str] = (OTHER_SUBJECT, OTHER_BODY)
-    quote: tuple[str, str] = (QUOTE_SUBJECT, QUOTE_BODY)
+    recurring: tuple[str, str] = RECURRING
+    other: tuple[str, str] = OTHER
+    quote: tuple[str, str] = QUOTE
 
 
 def _fill(template: str, values: dict[str, Column]) -> Column:
@@ -105,15 +96,16 @@ def _with_holder(
     policies = policy_billing.select(
         F.col("policy_id").alias("_policy"), "policy_no", F.col("holder_id").alias("_holder"), F.col("product_id").alias("_product")
     )
-    people = customers.select(F.col("CustomerId").alias("_holder"), "CustomerName", "IsLaki", "Email")
-    goods = products.select(F.col("product_id").alias("_product"), "product_description")
+    people = customers.select(F.col("CustomerId").alias("_holder"), "CustomerName", "IsLaki", "Email", F.lit(True).alias("_person"))
+    goods = products.select(F.col("product_id").alias("_product"), "product_description", F.lit(True).alias("_goods"))
     rows = lookup_join(rows, policies, ["_policy"])
     rows = lookup_join(rows, people, ["_holder"])
     return lookup_join(rows, goods, ["_product"])
 
 
 def _found() -> Column:
-    return F.col("CustomerName").isNotNull() & F.col("product_description").isNotNull()
+    """Whether the lookups found their rows; a NULL name in a row that was found is written as blank."""
+    return F.col("_person").isNotNull() & F.col("_goods").isNotNull()
 
 
 def email_recurring(
@@ -167,11 +159,12 @@ def email_quote(
 ) -> DataFrame:
     """A mail per posted quote. A quote is posted once, so its two lookups are one to one."""
     bills = quote_billing.select(
-        "quote_id", "Holder_Name", "ref_no", "cashless_fee", "prospect_amount", F.col("product_id").alias("_product")
+        "quote_id", "Holder_Name", "ref_no", "cashless_fee", "prospect_amount", F.col("product_id").alias("_product"),
+        F.lit(True).alias("_bill"),
     )
     rows = posted_quote.select("id", "quote_id", "Amount", "run_ts")
-    rows = rows.join(bills, "quote_id", "left").join(quotes, "quote_id", "left")
-    goods = products.select(F.col("product_id").alias("_product"), "product_description")
+    rows = rows.join(bills, "quote_id", "left").join(quotes.withColumn("_quote", F.lit(True)), "quote_id", "left")
+    goods = products.select(F.col("product_id").alias("_product"), "product_description", F.lit(True).alias("_goods"))
     rows = lookup_join(rows, goods, ["_product"])
     mode = F.lit("-")
     for value, label in PREMIUM_MODES.items():
@@ -194,5 +187,5 @@ def email_quote(
         "mode": mode,
         "method": F.col("payment_method"),
     }
-    found = F.col("Holder_Name").isNotNull() & F.col("IsLaki").isNotNull() & F.col("product_description").isNotNull()
+    found = F.col("_bill").isNotNull() & F.col("_quote").isNotNull() & F.col("_goods").isNotNull()
     return _queue(rows, texts, texts.quote, found, "email", values)

@@ -144,9 +144,8 @@ def hold_rejected(staged: DataFrame, holds: DataFrame, run_date: date) -> DataFr
     """Hold snapshot: every policy with a failed row is held 15 days, or longer if it already was."""
     failed = (
         staged.where(~F.col("IsSukses") & F.col("PolisId").isNotNull())
-        .select(F.col("PolisId").alias("policy_id"))
-        .distinct()
-        .withColumn("_failed", F.lit(True))
+        .groupBy(F.col("PolisId").alias("policy_id"))
+        .agg(F.count(F.lit(1)).alias("_failed"))
     )
     users = {"UserCrt": "string", "DateUpdate": "date", "UserUpdate": "string"}
     holds = holds.withColumns(
@@ -155,7 +154,8 @@ def hold_rejected(staged: DataFrame, holds: DataFrame, run_date: date) -> DataFr
     until = F.date_add(F.lit(run_date).cast("date"), HOLD_DAYS)
     later = F.coalesce(F.col("ReleaseDate") > until, F.lit(False))
     failed_now, held = F.col("_failed").isNotNull(), F.col("_held").isNotNull()
-    both = failed_now & held
+    # the first failed row of a policy without a hold inserts it, a second one already updates it
+    both = failed_now & (held | (F.col("_failed") > 1))
     return holds.join(failed, "policy_id", "full").select(
         "policy_id",
         F.when(failed_now & ~later, until).otherwise(F.col("ReleaseDate")).alias("ReleaseDate"),

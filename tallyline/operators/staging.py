@@ -64,7 +64,17 @@ def stage_remove_file(staged: DataFrame, control: DataFrame, file_id: int) -> Da
 
 
 def stage_reset(staged: DataFrame, control: DataFrame, file_id: int) -> DataFrame:
-    """Staging before a load: emptied, but the other half of a two-file upload is kept."""
+    """Staging before a load: emptied, but the other half of a two-file upload is kept.
+
+    Where rows say which staging table they belong to (``stageTable``), only the table named in the
+    file's control row is emptied."""
+    if "stageTable" in staged.columns:
+        # control rows are unique by id: at most one row
+        own = F.broadcast(control.where(F.col("id") == file_id).select(F.col("stageTable").alias("_table")))
+        same = F.col("stageTable").eqNullSafe(F.col("_table"))
+        reset = stage_reset(staged.join(own, same, "left_semi").drop("stageTable"), control, file_id)
+        reset = reset.crossJoin(own.withColumnRenamed("_table", "stageTable"))  # one row
+        return staged.join(own, same, "left_anti").unionByName(reset).select(*staged.columns)
     if file_id not in TWO_FILE_UPLOADS:
         return staged.limit(0)
     other_half = sibling_file_loaded(control, staged, file_id)
@@ -157,11 +167,26 @@ def route_approved(pool: DataFrame) -> DataFrame:
     )
 
 
+def row_keys(rows: DataFrame) -> DataFrame:
+    """What names a staged row: its file and its id. Rows that lost their file name go by id alone."""
+    file_name = F.col("FileName") if "FileName" in rows.columns else F.lit(None).cast("string")
+    return rows.select(F.col("id").alias("_row_id"), file_name.alias("_row_file")).distinct()
+
+
+def same_row() -> Column:
+    """Join condition of staged rows and ``row_keys``: ids repeat from file to file."""
+    return (F.col("id") == F.col("_row_id")) & F.coalesce(F.col("FileName") == F.col("_row_file"), F.lit(True))
+
+
+def without_rows(staged: DataFrame, rows: DataFrame) -> DataFrame:
+    return staged.join(row_keys(rows), same_row(), "left_anti")
+
+
 def mark_executed(staged: DataFrame, posted: DataFrame) -> DataFrame:
-    """Flag the staged rows whose id is among ``posted``."""
-    done = posted.select("id").distinct().withColumn("_done", F.lit(True))
+    """Flag the staged rows whose file and id are among ``posted``."""
+    done = row_keys(posted).withColumn("_done", F.lit(True))
     return (
-        staged.join(done, "id", "left")
+        staged.join(done, same_row(), "left")
         .withColumn("IsExec", F.col("IsExec") | F.coalesce("_done", F.lit(False)))
         .select(*staged.columns)
     )

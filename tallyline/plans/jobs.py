@@ -36,6 +36,26 @@ def _file_row(store: Store, file_id: int) -> Row:
     return row
 
 
+def _stage_table(store: Store, file_id: int) -> str | None:
+    """The staging table named in the file's control row."""
+    row = store.current("control").where(F.col("id") == file_id).select("stageTable").first()
+    return row.stageTable if row else None
+
+
+def _split(store: Store, table: str | None) -> tuple[DataFrame, DataFrame]:
+    """Rows of one staging table, and those of all others, which a job leaves alone."""
+    every = store.stage()
+    own = F.col("stageTable").eqNullSafe(F.lit(table))
+    return every.where(own).drop("stageTable"), every.where(~own)
+
+
+def _write_stage(store: Store, run_id: str, table: str | None, rows: DataFrame, others: DataFrame) -> DataFrame:
+    """Write the snapshot of all staging tables; the rows of ``table`` come back."""
+    every = rows.withColumn("stageTable", F.lit(table).cast("string")).unionByName(others)
+    written = store.write(run_id, "stage", every, by=["FileName"])
+    return written.where(F.col("stageTable").eqNullSafe(F.lit(table))).drop("stageTable")
+
+
 # --- upload ----------------------------------------------------------------------------------
 
 def upload(store: Store, file_id: int, lines: DataFrame, run_id: str, run_ts: datetime) -> None:
@@ -50,7 +70,8 @@ def upload(store: Store, file_id: int, lines: DataFrame, run_id: str, run_ts: da
     if file_id not in LAYOUT_OF_FILE:
         raise ValueError(f"file id {file_id} has no layout")
     header = _file_row(store, file_id)
-    control, staged = store.current("control"), store.stage()
+    control, table = store.current("control"), _stage_table(store, file_id)
+    staged, others = _split(store, table)
     if not staging.file_already_loaded(control, staged, file_id).isEmpty():
         raise AlreadyLoaded(header.FileName)
     kept = staging.stage_reset(staged, control, file_id)
@@ -67,13 +88,15 @@ def upload(store: Store, file_id: int, lines: DataFrame, run_id: str, run_ts: da
     mapped = mapping.reason_by_text(mapping.reason_by_code(mapped, reasons, header.bankid), reasons)
     if file_id == VA_FILE:
         mapped = staging.va_drop_paid(mapped, store.current("billing"))
-    _restage(store, file_id, run_id, mapped, control)
+    _restage(store, file_id, run_id, table, mapped, others, control)
     store.publish(run_id, ["stage", "upload_sum", "control"], run_ts)
 
 
-def _restage(store: Store, file_id: int, run_id: str, rows: DataFrame, control: DataFrame) -> None:
-    """Write the staging snapshot and count it."""
-    staged = store.write(run_id, "stage", rows, by=["FileName"])
+def _restage(
+    store: Store, file_id: int, run_id: str, table: str | None, rows: DataFrame, others: DataFrame, control: DataFrame
+) -> None:
+    """Write the staging snapshot and count the rows of the file's staging table."""
+    staged = _write_stage(store, run_id, table, rows, others)
     store.write(run_id, "upload_sum", ctl.upload_summary(store.current("upload_sum"), control, staged, file_id))
     store.write(run_id, "control", ctl.record_row_count(control, staged, file_id))
 
@@ -116,7 +139,8 @@ def execute(
     if plan is None:
         return False
     tables = replace(_tables(store), new_bills=new_bills)
-    staged = store.stage()
+    table = _stage_table(store, file_id)
+    staged, others_staged = _split(store, table)
     written: list[str] = []
 
     def write_all(named: dict[str, DataFrame]) -> dict[str, DataFrame]:
@@ -141,7 +165,7 @@ def execute(
         bills, others, quotes = steps.state_after_rejection(ledger, tables)
         tables = replace(tables, billing=bills, billing_others=others, quote_billing=quotes)
         # the resolved rows replace their former selves
-        staged = staged.join(resolved.select("id"), "id", "left_anti").unionByName(resolved)
+        staged = staging.without_rows(staged, resolved).unionByName(resolved)
     state = {
         "billing": tables.billing,
         "billing_others": tables.billing_others,
@@ -152,7 +176,7 @@ def execute(
     if plan.do_hold:
         state["billinghold"] = rejects.hold_rejected(staged, store.current("billinghold"), run_ts.date())
     write_all(state)
-    store.write(run_id, "stage", staged, by=["FileName"])
+    _write_stage(store, run_id, table, staged, others_staged)
     written.append("stage")
     store.publish(run_id, written, run_ts)
     return True
@@ -177,6 +201,8 @@ def remove(store: Store, file_id: int, run_id: str, run_ts: datetime) -> None:
     if store.is_published(run_id):
         return
     control = store.current("control")
-    kept = staging.stage_reset(store.stage(), control, file_id)
-    _restage(store, file_id, run_id, kept, ctl.release_control(control, file_id))
+    table = _stage_table(store, file_id)
+    staged, others = _split(store, table)
+    kept = staging.stage_reset(staged, control, file_id)
+    _restage(store, file_id, run_id, table, kept, others, ctl.release_control(control, file_id))
     store.publish(run_id, ["stage", "upload_sum", "control"], run_ts)

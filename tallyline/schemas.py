@@ -37,6 +37,8 @@ STAGING = T.StructType(
     ).fields
 )
 
+# As stored: which of the banks' staging tables a row belongs to.
+STORED_STAGING = T.StructType([*STAGING.fields, T.StructField("stageTable", T.StringType())])
 LINES = _schema("id bigint, FileName string, value string")
 CELLS = _schema(
     "row_no bigint, FileName string, sheet_no int, " + ", ".join("c{i} string" for i in range(1, 11))

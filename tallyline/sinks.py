@@ -47,10 +47,11 @@ class Store:
         return "/".join([self.folder.rstrip("/"), *parts])
 
     def stage(self) -> DataFrame:
-        """Staged rows of the last published run; a filter on ``FileName`` reads only that partition."""
+        """Staged rows of all staging tables (``stageTable``) as the last published run left them; a filter
+        on ``FileName`` reads only that partition."""
         if any("stage" in row.tables for row in self.published()):
             return self.current("stage")
-        return self.spark.createDataFrame([], schemas.STAGING)
+        return self.spark.createDataFrame([], schemas.STORED_STAGING)
 
     # --- runs ----------------------------------------------------------------------------
 
@@ -94,7 +95,7 @@ class Store:
         writers = [row.run_id for row in self.published() if table in row.tables]
         path = self.path("runs", writers[-1], table) if writers else self.path("base", table)
         if table == "stage":
-            return self.spark.read.schema(schemas.STAGING).parquet(path).select(*schemas.STAGING.names)
+            return self.spark.read.schema(schemas.STORED_STAGING).parquet(path).select(*schemas.STORED_STAGING.names)
         return self.spark.read.parquet(path)
 
     def appended(self, table: str) -> DataFrame:

@@ -40,6 +40,7 @@ def read_jdbc(
 # A line id is file number | block | position, so it is unique over all files of a staging table
 # and follows the order of the file.
 _FILE_BITS, _BLOCK_BITS = 55, 31
+FILE_NUMBERS = 1 << (63 - _FILE_BITS)  # from 0 on
 
 
 def _line_id(file_no: Column, within: Column) -> Column:
@@ -53,12 +54,15 @@ def read_lines(spark: SparkSession, path: str, file_no: int = 0, whole_files: bo
     in and the position of the line in its task. ``whole_files`` numbers the lines of each (small)
     file from 1 whatever the splits.
     """
+    if not 0 <= file_no < FILE_NUMBERS:
+        raise ValueError(f"file number {file_no} is not in 0..{FILE_NUMBERS - 1}: its line ids would repeat another file's")
     number = F.lit(file_no)
     if whole_files:
         texts = spark.read.text(path, wholetext=True).select(
             F.col("_metadata.file_name").alias("FileName"),
             # the piece after the last line break is no line
-            F.split(F.regexp_replace("value", "(\r\n|\n|\r)$", ""), "\r\n|\n|\r").alias("texts"),
+            # and a byte-order mark is no character of the first
+            F.split(F.regexp_replace("value", "^\uFEFF|(\r\n|\n|\r)$", ""), "\r\n|\n|\r").alias("texts"),
         )
         listed = texts.select("FileName", F.posexplode("texts").alias("pos", "value"))
         return listed.select(_line_id(number, F.col("pos") + 1).alias("id"), "FileName", "value")
