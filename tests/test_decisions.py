@@ -187,3 +187,40 @@ def test_mail_without_addressee_is_queued_empty(spark):
     goods = spark.createDataFrame([], "product_id bigint, product_description string")
     row = notify.email_recurring(posted, policies, people, goods).first()
     assert (row.email_to, row.email_subject, row.email_status) == (None, None, "P")
+
+
+def test_null_names_of_a_found_customer_are_blank(spark):
+    from tallyline.operators import notify
+
+    posted = spark.createDataFrame([(1, 5, Decimal("1500"), NOW)], "id bigint, PolisId bigint, Amount decimal(18,2), run_ts timestamp_ntz")
+    policies = spark.createDataFrame([(5, "P5", 3, 4)], "policy_id bigint, policy_no string, holder_id bigint, product_id bigint")
+    people = spark.createDataFrame([(3, None, None, None)], "CustomerId bigint, CustomerName string, IsLaki boolean, Email string")
+    goods = spark.createDataFrame([(4, None)], "product_id bigint, product_description string")
+    texts = notify.MailTexts(brand="B", recurring=("{brand}|{name}|{policy}", "{product}|{amount}"))
+    row = notify.email_recurring(posted, policies, people, goods, texts).first()
+    assert (row.email_to, row.email_subject, row.email_body) == ("", "B||P5", "|1,500")
+
+
+def test_long_quote_numbers(spark):
+    staged = stage(spark, (1, "X0000000000000000005"), (2, "X1000000000000000001"), (3, "X99999999999999999999"), (4, "X0"))
+    known = quotes(spark, (5, "r5", "A"), (1000000000000000001, "r6", "A"), (0, "r0", "A"))
+    empty_p = spark.createDataFrame([], "policy_no string, policy_id bigint")
+    empty_o = spark.createDataFrame([], "BillingID string")
+    mapped = mapping.map_upload(staged, empty_p, empty_o, known)
+    assert found(mapped, "BillingID") == [("5",), ("1000000000000000001",), (None,), ("0",)]
+
+
+def test_second_failed_row_updates_a_new_hold(spark):
+    staged = stage(spark, (1, 4, False), (2, 4, False), (3, 5, False), columns="id bigint, PolisId bigint, IsSukses boolean")
+    none = spark.createDataFrame([], "policy_id bigint, ReleaseDate date, Description string")
+    held = {r.policy_id: (r.UserCrt, r.DateUpdate, r.UserUpdate) for r in rejects.hold_rejected(staged, none, TODAY).collect()}
+    assert held == {4: ("system", TODAY, "system"), 5: ("system", None, None)}
+
+
+def test_equal_ids_in_two_files(spark):
+    staged = stage(spark, (1, "a.txt"), (1, "b.txt"), (2, "a.txt"), columns="id bigint, FileName string")
+    posted = staged.where("id = 1 and FileName = 'b.txt'")
+    assert rows(staging.mark_executed(staged, posted).select("id", "FileName", "IsExec")) == [
+        (1, "a.txt", False), (1, "b.txt", True), (2, "a.txt", False)
+    ]
+    assert rows(staging.without_rows(staged, posted).select("id", "FileName")) == [(1, "a.txt"), (2, "a.txt")]

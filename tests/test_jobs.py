@@ -95,6 +95,25 @@ def test_unpublished_run_repeats_to_the_same_rows(spark, sf, tmp_path_factory):
     assert rows(made.appended("receipts").drop("run_id")) == half and half
 
 
+def test_staging_tables_are_kept_apart(spark, sf, tmp_path_factory):
+    made = Store(spark, str(tmp_path_factory.mktemp("tables")))
+    for name, fixture in TABLES.items():
+        rows_of = view(spark, sf, fixture)
+        if name == "control":
+            rows_of = rows_of.withColumn("stageTable", F.concat(F.lit("stage_"), F.col("id").cast("string")))
+        made.put_base(name, rows_of)
+    jobs.upload(made, 11, _lines(spark, sf, "acct_fixed_a", 11), "up-11", NOW)
+    first = made.stage().count()
+    jobs.upload(made, 12, _lines(spark, sf, "acct_fixed_b", 12), "up-12", NOW)
+    assert made.stage().where("FileName = 'bank_11.txt'").count() == first > 0
+    totals = {r.id: r.total_data for r in made.current("control").collect()}
+    assert totals[11] == first and totals[12] == made.stage().count() - first > 0
+    for file_id in (11, 12):
+        assert jobs.execute(made, file_id, f"run-{file_id}", NOW)
+    receipts = made.appended("receipts")
+    assert receipts.where("run_id = 'run-11'").count() > 0 and receipts.where("run_id = 'run-12'").count() > 0
+
+
 def test_two_file_upload_keeps_the_other_half(spark, sf, store):
     jobs.upload(store, 1, _lines(spark, sf, "card_fixed_a", 1), "up-1", NOW)
     one = store.stage().count()

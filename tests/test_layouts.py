@@ -188,3 +188,13 @@ def test_split_lines_keep_unique_ordered_ids(spark, tmp_path):
         assert lines.select("id").distinct().count() == 60000
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_file_numbers_and_byte_order_mark(spark, tmp_path):
+    (tmp_path / "marked.txt").write_bytes(b"\xef\xbb\xbffirst\nsecond\n")
+    for whole in (True, False):
+        lines = read_lines(spark, str(tmp_path), file_no=255, whole_files=whole)
+        assert [r.value for r in lines.orderBy("id").collect()] == ["first", "second"]
+    for number in (-1, 256, 512):
+        with pytest.raises(ValueError, match="file number"):
+            read_lines(spark, str(tmp_path), file_no=number)

@@ -76,6 +76,12 @@ def test_heavy_key_is_cut_into_slices(spark, payments):
     assert rows(split.select("id", "k")) == rows(plain.select("id", "k"))
 
 
+def test_every_heavy_key_is_found(spark):
+    many = spark.range(5000 * 3).selectExpr("id", "id % 5000 as PolisId")
+    hot = skew.find_hot(many, "PolisId", policy=skew.SkewPolicy(hot_rows=3, sample=1))
+    assert hot.table.count() == 5000
+
+
 def test_no_heavy_key_keeps_the_plain_window(spark, payments):
     assert skew.find_hot(payments, "PolisId").table is None
 
