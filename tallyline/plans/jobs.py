@@ -19,7 +19,7 @@ from tallyline.operators import mapping, notify, posting, rejects, staging
 from tallyline.plans import posting as steps
 from tallyline.session import configure, materialize
 from tallyline.sinks import Store
-from tallyline.sources.dispatch import LAYOUT_OF_FILE, parse_file
+from tallyline.sources.dispatch import LAYOUT_OF_FILE, parse_file, rejected_file
 
 VA_FILE = 13
 
@@ -59,7 +59,8 @@ def _write_stage(store: Store, run_id: str, table: str | None, rows: DataFrame,
 # --- upload ----------------------------------------------------------------------------------
 
 def upload(store: Store, file_id: int, lines: DataFrame, run_id: str, run_ts: datetime) -> None:
-    """Parse, clean, map and stage one file (``lines`` or cells), then recount.
+    """Parse, clean, map and stage one file (``lines`` or cells), then recount. Lines and cells that can't
+    be used are kept with their reason in the run's ``rejected`` table.
 
     The parsed rows are stored before mapping, so that the file is read once.
     """
@@ -76,7 +77,8 @@ def upload(store: Store, file_id: int, lines: DataFrame, run_id: str, run_ts: da
         raise AlreadyLoaded(header.FileName)
     kept = staging.stage_reset(staged, control, file_id)
 
-    parsed = parse_file(lines.withColumn("FileName", F.lit(header.FileName)), file_id)
+    lines = lines.withColumn("FileName", F.lit(header.FileName))
+    parsed = parse_file(lines, file_id)
     fresh = materialize(schemas.as_staging(staging.stage_normalize(parsed)))
     mapped = mapping.map_upload(
         kept.unionByName(fresh),
@@ -88,8 +90,9 @@ def upload(store: Store, file_id: int, lines: DataFrame, run_id: str, run_ts: da
     mapped = mapping.reason_by_text(mapping.reason_by_code(mapped, reasons, header.bankid), reasons)
     if file_id == VA_FILE:
         mapped = staging.va_drop_paid(mapped, store.current("billing"))
+    store.write(run_id, "rejected", rejected_file(lines, file_id))
     _restage(store, file_id, run_id, table, mapped, others, control)
-    store.publish(run_id, ["stage", "upload_sum", "control"], run_ts)
+    store.publish(run_id, ["rejected", "stage", "upload_sum", "control"], run_ts)
 
 
 def _restage(

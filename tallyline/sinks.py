@@ -13,6 +13,7 @@ from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import datetime
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -106,6 +107,14 @@ class Store:
         rows = self.spark.read.parquet(*[self.path("runs", run, table) for run in runs])
         return rows.withColumn("run_id", F.regexp_extract(F.input_file_name(), r"/runs/([^/]+)/", 1))
 
+    def ledger(self) -> DataFrame:
+        """The whole ledger: approved and rejected rows of all published runs."""
+        wrote = {table for row in self.published() for table in row.tables}
+        parts = [self.appended(table) for table in ("ledger", "ledger_rejected") if table in wrote]
+        if not parts:
+            raise ValueError("no published run wrote the ledger")
+        return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+
     def put_base(self, table: str, rows: DataFrame) -> None:
         """Initial content of a table."""
         rows.write.mode("overwrite").parquet(self.path("base", table))

@@ -8,8 +8,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyline import schemas
-from tallyline.sources.fixed_width import FIXED_LAYOUTS, LayoutSpec, ingest_fixed, ingest_va_auto, with_cuts
-from tallyline.sources.sheets import SHEET_LAYOUTS, ingest_sheet
+from tallyline.sources.fixed_width import (
+    FIXED_LAYOUTS,
+    VA_DAILY,
+    LayoutSpec,
+    ingest_fixed,
+    ingest_va_auto,
+    rejected_lines,
+    with_cuts,
+)
+from tallyline.sources.sheets import SHEET_LAYOUTS, ingest_sheet, rejected_cells
 
 # Control-row id -> layout.
 LAYOUT_OF_FILE = {
@@ -55,6 +63,23 @@ def parse_file(rows: DataFrame, file_id: int) -> DataFrame:
     return ingest_fixed(rows, FIXED_LAYOUTS[layout])
 
 
+def rejected_file(rows: DataFrame, file_id: int) -> DataFrame:
+    """What ``parse_file`` leaves out of a file: ``id, FileName, value, reason``.
+
+    Lines of virtual-account files fit neither of their two layouts; the reason is the daily one's. A
+    row of cells is shown as its cells, one after another."""
+    layout = LAYOUT_OF_FILE[file_id]
+    if layout in SHEET_LAYOUTS:
+        found = rejected_cells(rows, SHEET_LAYOUTS[layout])
+        shown = F.concat_ws("|", *[F.coalesce(f"c{i}", F.lit("")) for i in range(1, 11)])
+        return found.select(F.col("row_no").alias("id"), "FileName", shown.alias("value"), "reason")
+    if layout != "va_auto":
+        return rejected_lines(rows, FIXED_LAYOUTS[layout])
+    parsed = ingest_va_auto(rows).select(F.col("id").alias("_id"), F.col("FileName").alias("_file"))
+    left = rows.join(parsed, (F.col("id") == F.col("_id")) & (F.col("FileName") == F.col("_file")), "left_anti")
+    return rejected_lines(left, VA_DAILY)
+
+
 def _parse_mixed(lines: DataFrame, specs: list[LayoutSpec]) -> DataFrame:
     """Lines of several layouts in one scan: the parser is picked per line from its layout name.
 

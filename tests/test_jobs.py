@@ -50,6 +50,9 @@ def test_upload_execute_remove(spark, sf, store):
     assert staged.count() > 0
     assert staged.where("BillCode = 'B'").count() > 0
     assert staged.where("AccName like '%''%'").count() == 0
+    left_out = store.appended("rejected")
+    assert left_out.count() > 0 and left_out.where("reason is null").isEmpty()
+    assert staged.count() + left_out.count() == _lines(spark, sf, "acct_fixed_b", 12).count()
     counted = store.current("control").where("id = 12").first().total_data
     assert counted == staged.count()
     with pytest.raises(jobs.AlreadyLoaded):
@@ -64,6 +67,9 @@ def test_upload_execute_remove(spark, sf, store):
     assert store.appended("account_tx").count() == posted
     assert store.current("control").where("id = 12").first().FileName is None
     assert store.stage().where("IsExec and IsSukses").count() == store.appended("ledger").count()
+    ledger = store.ledger()
+    assert ledger.where("IsSuccess").count() == store.appended("ledger").count()
+    assert ledger.count() == store.appended("ledger").count() + store.appended("ledger_rejected").count()
     failed = staged.where("not IsSukses and PolisId is not null").select("PolisId").distinct().count()
     held = store.current("billinghold").where("UserCrt = 'system' or UserUpdate = 'system'").count()
     assert held == failed > 0
