@@ -7,23 +7,24 @@ average, 1 / 0.8), and nodes with the same values there go on together. Nodes th
 compared exactly:
 
 * buckets of at most ``BUCKET`` nodes by brute force,
-* larger ones in chunks, each with the bucket's pivot; what they link becomes one class, and buckets
-  with nodes of several classes are split one level deeper, until they are small or of one class.
+* larger ones are split ``SPLIT`` levels deeper; what is still large then is a family of like texts. The
+  nodes of a family are compared whole, block with block, so no pair in it depends on chance.
 
-Runs are repeated until a pair at the threshold is met with probability ``RECALL``. Linked nodes form
-classes. Links inside a class are then counted exactly, large classes block by block.
+Runs are repeated until a pair at the threshold is met with probability ``RECALL``. What the first runs
+link forms classes; later runs compare buckets that hold nodes of several classes. Links inside a class
+are then counted exactly, again block with block.
 """
 
 from __future__ import annotations
 
 import hashlib
+import itertools
 import math
 import re
-import zlib
 from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -35,11 +36,10 @@ from tallyline.session import materialize
 WIDTH = 5  # words of a shingle
 PLACES = 128  # of a sketch
 BUCKET = 128  # nodes compared by brute force
-CHUNK = 96  # nodes of a larger bucket compared at a time
-BLOCK = 192  # nodes of a class whose links are counted at a time
+BLOCK = 128  # nodes of a family or class compared with as many others at a time
 DEPTH = 3  # levels all nodes descend
-DEEPEST = 40  # levels that buckets of several classes descend; beyond, blocks of chunks are compared
-RECALL = 0.99999
+SPLIT = 3  # further levels of large buckets
+RECALL = 0.9999
 FIRST_RUNS = 3  # what these link need not be compared by the later ones
 BROADCAST_NODES = 1_000_000  # wanted nodes (24 bytes each) up to which they are sent to every task
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -78,19 +78,17 @@ def shingles(text: str, hashes: Hashes) -> np.ndarray:
     return np.unique(found)
 
 
-def sketch(shingle_set: np.ndarray, salts: np.ndarray) -> np.ndarray:
-    """The least hash of the set under each salt, 32 bits of it."""
-    low = np.full(len(salts), np.iinfo(np.uint64).max, dtype=np.uint64)
-    for at in range(0, len(shingle_set), 256):
-        part = shingle_set[at : at + 256]
-        hashed = (part[:, None] ^ salts[None, :]) * MIX
-        hashed = (hashed ^ (hashed >> np.uint64(29))) * MIX2
-        low = np.minimum(low, hashed.min(axis=0))
-    return (low >> np.uint64(32)).astype(np.uint32)
+def sketch(shingle_set: np.ndarray, factors: np.ndarray) -> np.ndarray:
+    """The least product of the set's hashes (their upper halves) with each odd factor, modulo 2^32."""
+    upper = (shingle_set >> np.uint64(32)).astype(np.uint32)
+    low = np.full(len(factors), np.iinfo(np.uint32).max, dtype=np.uint32)
+    for at in range(0, len(upper), 256):
+        low = np.minimum(low, (upper[at : at + 256, None] * factors).min(axis=0))
+    return low
 
 
-def salts() -> np.ndarray:
-    return mixed(np.arange(1, PLACES + 1, dtype=np.uint64) * MIX)
+def factors() -> np.ndarray:
+    return (mixed(np.arange(1, PLACES + 1, dtype=np.uint64) * MIX) >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
 
 
 def missed(depth: int, similarity: float = 0.8) -> float:
@@ -103,7 +101,7 @@ def missed(depth: int, similarity: float = 0.8) -> float:
     return lost
 
 
-def runs_needed(depth: int = DEPTH, recall: float = RECALL) -> int:
+def runs_needed(depth: int = DEPTH + SPLIT, recall: float = RECALL) -> int:
     return math.ceil(math.log(1 - recall) / math.log(missed(depth)))
 
 
@@ -127,7 +125,7 @@ def descend(paths: np.ndarray, owner: np.ndarray, sketches: np.ndarray) -> tuple
 
 def _sketcher() -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, own = Hashes(), salts()
+        hashes, own = Hashes(), factors()
         for batch in batches:
             names, sizes, sketches = [], [], []
             for text in batch.column(3):
@@ -160,12 +158,14 @@ def _walker(runs: range, depth: int) -> Callable[[Iterator[pa.RecordBatch]], Ite
     return run
 
 
-def _deeper() -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _deeper(levels: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             nodes = np.array(batch.column(1))
             sketches = np.frombuffer(b"".join(batch.column(2).to_pylist()), dtype=np.uint32).reshape(-1, PLACES)
-            paths, owner = descend(np.array(batch.column(0)).view(np.uint64), np.arange(len(nodes)), sketches)
+            paths, owner = np.array(batch.column(0)).view(np.uint64), np.arange(len(nodes))
+            for _ in range(levels):
+                paths, owner = descend(paths, owner, sketches)
             yield pa.RecordBatch.from_arrays([pa.array(paths.view(np.int64)), pa.array(nodes[owner])], names=["path", "node"])
 
     return run
@@ -188,61 +188,79 @@ def linked(sets: list[np.ndarray]) -> np.ndarray:
     counted by products of blocks of the incidence matrix."""
     m = len(sets)
     sizes = np.array(list(map(len, sets)))
-    owner = np.repeat(np.arange(m), sizes)
-    _, where, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
-    shared = times[where] > 1
-    owner, column = owner[shared], where[shared]
-    order = np.argsort(column, kind="stable")
-    owner, column = owner[order], np.unique(column[order], return_inverse=True)[1]
     both = np.zeros((m, m))
-    width = 1 << 14
-    for at in range(0, int(column[-1]) + 1 if len(column) else 0, width):
-        a, b = np.searchsorted(column, [at, at + width])
-        held = np.zeros((m, min(width, int(column[-1]) + 1 - at)), dtype=np.float32)
-        held[owner[a:b], column[a:b] - at] = 1
-        both += held @ held.T
+    if m == 2:
+        both[0, 1] = both[1, 0] = len(np.intersect1d(*sets, assume_unique=True))
+    else:
+        owner = np.repeat(np.arange(m), sizes)
+        _, where, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+        shared = times[where] > 1
+        owner, column = owner[shared], where[shared]
+        order = np.argsort(column, kind="stable")
+        owner, column = owner[order], np.cumsum(np.diff(column[order], prepend=-1) != 0) - 1
+        width = 1 << 14
+        for at in range(0, int(column[-1]) + 1 if len(column) else 0, width):
+            a, b = np.searchsorted(column, [at, at + width])
+            held = np.zeros((m, min(width, int(column[-1]) + 1 - at)), dtype=np.float32)
+            held[owner[a:b], column[a:b] - at] = 1
+            both += held @ held.T
     # I / (a + b - I) >= 4 / 5
-    return (9 * both >= 4 * (sizes[:, None] + sizes[None, :])) & (sizes[:, None] > 0)
-
-
-def _members(group: pd.DataFrame) -> tuple[np.ndarray, list[np.ndarray], pd.DataFrame]:
-    group = group.drop_duplicates("node").sort_values("node")
-    return group["node"].to_numpy(), [np.frombuffer(s, dtype=np.uint64) for s in group["shingles"]], group
-
-
-def _forest(group: pd.DataFrame) -> pd.DataFrame:
-    """Edges that connect what the bucket's links connect: each node to the least one found before it."""
-    nodes, sets, _ = _members(group)
-    match = linked(sets)
-    root = np.arange(len(nodes))
-    for i in range(len(nodes)):
-        near = np.flatnonzero(match[i, :i])
-        if len(near):
-            low = root[near].min()
-            root[np.isin(root, root[near])] = low
-            root[i] = low
-    found = np.flatnonzero(root != np.arange(len(nodes)))
-    return pd.DataFrame({"a": nodes[found], "b": nodes[root[found]]})
-
-
-def _count_links(group: pd.DataFrame) -> pd.DataFrame:
-    """Per node the documents it links in this pair of blocks; pairs inside a block count in the pair of
-    the block with itself alone."""
-    nodes, sets, group = _members(group)
-    match = linked(sets)
+    match = (9 * both >= 4 * (sizes[:, None] + sizes[None, :])) & (sizes[:, None] > 0)
     np.fill_diagonal(match, False)
-    block, one, other = group["block"].to_numpy(), group["one"].iloc[0], group["other"].iloc[0]
-    if one != other:
-        match &= block[:, None] != block[None, :]
-    links = match @ group["copies"].to_numpy()
-    return pd.DataFrame({"node": nodes, "links": links})[links > 0]
+    return match
+
+
+def groups(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple]]:
+    """Rows of each value of the first column, which they come ordered by, without repeated nodes."""
+    rows = (row for batch in batches for row in zip(*(column.to_pylist() for column in batch.columns)))
+    for _, found in itertools.groupby(rows, key=lambda row: row[0]):
+        yield sorted({row[1]: row for row in found}.values(), key=lambda row: row[1])
+
+
+def _forests() -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Per group edges that connect what its links connect: each node and the least one it goes with."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in groups(batches):
+            match = linked([np.frombuffer(row[2], dtype=np.uint64) for row in group])
+            root = np.arange(len(group))
+            for i in range(len(group)):
+                near = np.flatnonzero(match[i, :i])
+                if len(near):
+                    roots = np.unique(root[near])
+                    root[np.isin(root, roots)] = roots[0]
+                    root[i] = roots[0]
+            found = np.flatnonzero(root != np.arange(len(group)))
+            if len(found):
+                nodes = np.array([row[1] for row in group])
+                yield pa.RecordBatch.from_arrays([pa.array(nodes[found]), pa.array(nodes[root[found]])], names=["a", "b"])
+
+    return run
+
+
+def _link_counts() -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Per node the documents it links in a pair of blocks. Pairs inside a block count in the pair of the
+    block with itself alone."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in groups(batches):
+            match = linked([np.frombuffer(row[2], dtype=np.uint64) for row in group])
+            nodes, copies, block = (np.array([row[k] for row in group]) for k in (1, 3, 4))
+            if group[0][5] != group[0][6]:
+                match &= block[:, None] != block[None, :]
+            links = match @ copies
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(nodes[links > 0]), pa.array(links[links > 0].astype(np.int64))], names=["node", "links"]
+            )
+
+    return run
 
 
 # --- plan ------------------------------------------------------------------------------------
 
 
 class Join:
-    """One join: the documents, their nodes, the edges found so far and the classes they make."""
+    """One join: the documents, their nodes and the classes that the links found so far make."""
 
     def __init__(self, docs: DataFrame):
         self.docs = docs.select("doc_id", whole("text").alias("text"), F.xxhash64(whole("text")).alias("key"))
@@ -260,7 +278,6 @@ class Join:
             ).select("first.row", "first.doc_id", "first.key", "name", "copies", "least_id", "sketch")
             .withColumnRenamed("row", "node")
         )
-        self.edges = []
         self.roots = None  # node, root
 
     def run(self) -> None:
@@ -271,23 +288,20 @@ class Join:
     def search(self, runs: range) -> None:
         """Find links of the nodes that meet in these runs."""
         paths = self.nodes.select("node", "sketch").mapInArrow(_walker(runs, DEPTH), "path long, node long")
-        for depth in range(DEPTH, DEEPEST + 1):
-            members = materialize(self.undecided(paths))
-            hot = members.where(F.col("size") > BUCKET)
-            found = self.verify(self.buckets(members.where(F.col("size") <= BUCKET), hot, depth == DEEPEST))
-            if not found:
-                return
-            self.edges.append(found[0])
-            self.roots = components(self.all_edges())
-            if hot.isEmpty() or depth == DEEPEST:
-                return
-            left = self.undecided(hot.select("path", "node")).join(self.nodes.select("node", "sketch"), "node")
-            paths = left.select("path", "node", "sketch").mapInArrow(_deeper(), "path long, node long")
-
-    def all_edges(self) -> DataFrame:
-        """The edges of this round and, from earlier ones, each node's root."""
-        new = self.edges[-1]
-        return new if self.roots is None else new.unionByName(self.roots.toDF("a", "b"))
+        members = materialize(self.undecided(paths))
+        met = [self.small(members)]
+        hot = members.where(F.col("size") > BUCKET)
+        if not hot.isEmpty():
+            rows = hot.select("path", "node").join(self.nodes.select("node", "sketch"), "node")
+            split = rows.select("path", "node", "sketch").mapInArrow(_deeper(SPLIT), "path long, node long")
+            members = materialize(self.undecided(split))
+            met += [self.small(members), self.families(members.where(F.col("size") > BUCKET))]
+        buckets = materialize(reduce(DataFrame.unionByName, met).distinct())
+        if buckets.isEmpty():
+            return
+        held = buckets.join(self.sets_of(buckets), "node").select("bucket", "node", "shingles")
+        edges = materialize(together(held).mapInArrow(_forests(), "a long, b long"))
+        self.roots = components(edges if self.roots is None else edges.unionByName(self.roots.toDF("a", "b")))
 
     def undecided(self, paths: DataFrame) -> DataFrame:
         """``path, node, size`` of buckets that hold nodes of two classes or more."""
@@ -299,27 +313,22 @@ class Join:
         mixed_ones = classed.groupBy("path").agg(F.min("class").alias("lo"), F.max("class").alias("hi")).where("lo != hi")
         return classed.join(mixed_ones, "path", "left_semi").select("path", "node", "size")
 
-    def buckets(self, small: DataFrame, hot: DataFrame, last: bool) -> DataFrame:
-        """``bucket, node``: small buckets whole, larger ones in chunks with their pivot, at the last
-        level all pairs of chunks. Buckets of the same nodes are kept once."""
-        chunks = F.ceil(F.col("size") / CHUNK)
-        part = hot.withColumn("chunks", chunks).withColumn("chunk", F.pmod(F.xxhash64("node"), chunks))
-        if last:
-            pairs = F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1))
-            part = part.withColumn("with", pairs).select(
-                "path", "node", F.concat_ws("-", F.least("chunk", "with"), F.greatest("chunk", "with")).alias("chunk")
-            )
-        else:
-            pivots = hot.groupBy("path").agg(F.min("node").alias("node"), F.first("size").alias("size"))
-            every = pivots.select(
-                "path", "node", F.explode(F.sequence(F.lit(0).cast("long"), F.ceil(F.col("size") / CHUNK) - 1)).alias("chunk")
-            ).withColumn("chunk", F.col("chunk").cast("string"))
-            part = part.select("path", "node", F.col("chunk").cast("string").alias("chunk")).unionByName(every)
-        groups = small.select("path", "node", F.lit("").alias("chunk")).unionByName(part)
-        listed = groups.groupBy("path", "chunk").agg(F.sort_array(F.collect_set("node")).alias("nodes")).where(F.size("nodes") > 1)
+    def small(self, members: DataFrame) -> DataFrame:
+        """``bucket, node`` of the buckets that are compared whole; those of the same nodes are one."""
+        listed = members.where(F.col("size") <= BUCKET).groupBy("path").agg(F.sort_array(F.collect_list("node")).alias("nodes"))
         once = listed.select(F.xxhash64("nodes").alias("bucket"), "nodes").dropDuplicates(["bucket"])
         return once.select("bucket", F.explode("nodes").alias("node"))
 
+    def families(self, members: DataFrame) -> DataFrame:
+        """``bucket, node`` of the pairs of blocks of the families: nodes that large buckets connect."""
+        members = members.select("path", "node")
+        least = members.groupBy("path").agg(F.min("node").alias("b"))
+        roots = components(members.join(least, "path").select(F.col("node").alias("a"), "b"))
+        nodes = roots.select("node", F.col("root").alias("group")).unionByName(
+            roots.select(F.col("root").alias("node"), F.col("root").alias("group")).distinct()
+        )
+        return block_pairs(nodes).select("bucket", "node")
+
     def sets_of(self, wanted: DataFrame) -> DataFrame:
         """``node, shingles`` of the wanted nodes, from the texts."""
         wanted = materialize(
@@ -331,14 +340,6 @@ class Join:
         texts = self.docs.join(keys, (F.col("key") == F.col("_key")) & F.col("doc_id").eqNullSafe(F.col("_id")))
         return texts.select("node", "text").mapInArrow(_sets(), "node long, shingles binary")
 
-    def verify(self, buckets: DataFrame) -> list[DataFrame]:
-        """Edges among the nodes of each bucket; an empty list if there is no bucket."""
-        buckets = materialize(buckets)
-        if buckets.isEmpty():
-            return []
-        held = buckets.join(self.sets_of(buckets), "node").select("bucket", "node", "shingles")
-        return [materialize(held.groupBy("bucket").applyInPandas(_forest, "a long, b long"))]
-
     def classes(self) -> DataFrame:
         """``node, class, copies, least_id`` of all nodes."""
         nodes = self.nodes.select("node", "copies", "least_id")
@@ -349,21 +350,31 @@ class Join:
     def links(self, classes: DataFrame) -> DataFrame:
         """``node, links``: documents of other sets each node links. Every pair of a class is compared
         once, in the pair of blocks it falls in."""
-        sizes = classes.groupBy("class").agg(F.count("*").alias("size")).where("size > 1")
-        inside = classes.join(sizes, "class").withColumn("blocks", F.ceil(F.col("size") / BLOCK))
-        inside = inside.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")))
-        placed = materialize(inside.select("class", "node", "copies", "block", "blocks"))
-        if placed.isEmpty():
-            return placed.select("node", F.col("copies").alias("links"))
-        pairs = placed.withColumn("with", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))).select(
-            "class", "node", "copies", "block", F.least("block", "with").alias("one"), F.greatest("block", "with").alias("other")
-        )
-        counted = pairs.join(self.sets_of(placed), "node").groupBy("class", "one", "other").applyInPandas(
-            _count_links, "node long, links long"
+        several = classes.groupBy("class").agg(F.count("*").alias("n")).where("n > 1").select("class")
+        inside = classes.join(several, "class").select("node", "copies", F.col("class").alias("group"))
+        placed = materialize(block_pairs(inside))
+        held = placed.join(self.sets_of(placed), "node").select(
+            "bucket", "node", "shingles", "copies", "block", "one", "other"
         )
+        counted = together(held).mapInArrow(_link_counts(), "node long, links long")
         return counted.groupBy("node").agg(F.sum("links").alias("links"))
 
 
+def block_pairs(nodes: DataFrame) -> DataFrame:
+    """``nodes`` (``node, group`` and more) once for every pair of blocks (``one``, ``other``) their
+    ``block`` is in; ``bucket`` names the pair. Pairs of blocks are as many as comparing all takes."""
+    sizes = nodes.groupBy("group").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
+    placed = nodes.join(sizes, "group").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")))
+    paired = placed.withColumn("with", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    paired = paired.withColumns({"one": F.least("block", "with"), "other": F.greatest("block", "with")})
+    return paired.withColumn("bucket", F.xxhash64("group", "one", "other")).drop("with", "blocks", "group")
+
+
+def together(rows: DataFrame) -> DataFrame:
+    """Rows of a bucket beside each other."""
+    return rows.repartition("bucket").sortWithinPartitions("bucket")
+
+
 def join(docs: DataFrame) -> DataFrame:
     """One row per row of ``docs``: ``doc_id, class_id, n_links`` and ``key`` (hash of the text).
 
