@@ -43,7 +43,7 @@ RECALL = 0.9999
 FIRST_RUNS = 3  # what these link need not be compared by the later ones
 BROADCAST_NODES = 1_000_000  # wanted nodes (24 bytes each) up to which they are sent to every task
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
-KNOWN_WORDS = 500_000
+KNOWN_WORDS = 100_000  # hashes a task remembers
 MIX = np.uint64(0x9E3779B97F4A7C15)
 MIX2 = np.uint64(0xBF58476D1CE4E5B9)
 MIX3 = np.uint64(0x94D049BB133111EB)
@@ -175,8 +175,8 @@ def _sets() -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = Hashes()
         for batch in batches:
-            for at in range(0, batch.num_rows, 500):
-                part = batch.slice(at, 500)
+            for at in range(0, batch.num_rows, 200):
+                part = batch.slice(at, 200)
                 found = [shingles(text.as_py(), hashes).tobytes() for text in part.column(1)]
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(found, pa.binary())], names=["node", "shingles"])
 
@@ -212,7 +212,8 @@ def linked(sets: list[np.ndarray]) -> np.ndarray:
 
 def groups(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple]]:
     """Rows of each value of the first column, which they come ordered by, without repeated nodes."""
-    rows = (row for batch in batches for row in zip(*(column.to_pylist() for column in batch.columns)))
+    parts = (batch.slice(at, 200) for batch in batches for at in range(0, batch.num_rows, 200))
+    rows = (row for part in parts for row in zip(*(column.to_pylist() for column in part.columns)))
     for _, found in itertools.groupby(rows, key=lambda row: row[0]):
         yield sorted({row[1]: row for row in found}.values(), key=lambda row: row[1])
 

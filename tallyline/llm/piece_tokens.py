@@ -21,9 +21,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 SPACE = "▁"
-CACHED_WORDS = 250_000  # of at most CACHED_LENGTH characters each; beyond, the memory starts anew
+CACHED_WORDS = 100_000  # of at most CACHED_LENGTH characters each; beyond, the memory starts anew
 CACHED_LENGTH = 100
-CHUNK = 1 << 21  # characters whose new words are encoded together
+CHUNK = 1 << 20  # characters whose new words are encoded together
 NONE = np.iinfo(np.int64).max
 CUTS = re.compile(f"\n[^{SPACE}\n]*|{SPACE}+[^{SPACE}\n]*")
 
@@ -301,8 +301,8 @@ def _encoder(shared, with_ids: bool) -> Callable[[Iterator[pa.RecordBatch]], Ite
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(Vocabulary(**shared.value))
         for whole in batches:
-            for at in range(0, whole.num_rows, 1000):
-                batch = whole.slice(at, 1000)
+            for at in range(0, whole.num_rows, 250):
+                batch = whole.slice(at, 250)
                 counts, ids, texts, raw = [], [], [], []
                 for n, listed, decoded in encoder.texts(batch.column(1).to_pylist()):
                     counts.append(n)

@@ -23,7 +23,7 @@ from tallyline.llm.common import folded_fraction, training_rows
 
 BITS = 20
 TRAINING_ROWS = 12_000  # the most labelled texts a model is fitted on
-KNOWN_WORDS = 500_000  # hashes a task remembers
+KNOWN_WORDS = 150_000  # hashes a task remembers
 CHUNK = 1 << 20  # characters scored together
 WORD = re.compile(r"\w+")
 SKIP, PAIR = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
