@@ -33,10 +33,16 @@ COMMON_WORDS = {
 @dataclass(frozen=True)
 class Limits:
     """Jensen-Shannon distances (0 to 1, base 2) beyond which a document goes, and the least words
-    and characters in words from which each histogram says something."""
+    and characters in words from which each histogram says something.
+
+    A text without any common word is only as far from the reference as that has common words, so the
+    limit of words is ``word_share`` of this distance, ``word_distance`` at most. References with so few
+    common words that it would be under ``word_floor`` don't tell such texts apart."""
 
     char_distance: float = 0.26
     word_distance: float = 0.30
+    word_share: float = 0.9
+    word_floor: float = 0.20
     char_least: int = 200
     word_least: int = 50
 
@@ -180,9 +186,18 @@ def references(features: DataFrame, limits: Limits) -> DataFrame:
     return each.agg(mean("_chars", n_chars), mean("_common", n_words)).unionByName(every)
 
 
+def word_limit(reference: Column, limits: Limits) -> Column:
+    """The distance of common words beyond which a document of this reference goes."""
+    without = F.transform(reference, lambda x, i: F.when(i == F.size(reference) - 1, 1.0).otherwise(0.0))
+    inside = F.greatest(limits.word_share * distance(without, reference), F.lit(limits.word_floor))
+    return F.least(inside, F.lit(limits.word_distance))
+
+
 def judged(features: DataFrame, limits: Limits = Limits()) -> DataFrame:
     """Features plus ``char_distance, word_distance`` (null: not judged) and ``kept``."""
-    refs = references(features, limits)  # at most len(COMMON_WORDS) + 1 rows
+    refs = references(features, limits).withColumn(  # at most len(COMMON_WORDS) + 1 rows
+        "_word_limit", word_limit(F.col("_ref_common"), limits)
+    )
     of = F.when(F.col("_lang").isin(list(COMMON_WORDS)), F.col("_lang")).otherwise(F.lit(""))
     both = features.withColumn("_of", of).join(F.broadcast(refs), "_of", "left")
     both = both.withColumns({
@@ -194,9 +209,9 @@ def judged(features: DataFrame, limits: Limits = Limits()) -> DataFrame:
         ),
     })
     apart = (F.coalesce(F.col("char_distance"), F.lit(0.0)) > limits.char_distance) | (
-        F.coalesce(F.col("word_distance"), F.lit(0.0)) > limits.word_distance
+        F.coalesce(F.col("word_distance"), F.lit(0.0)) > F.col("_word_limit")
     )
-    return both.withColumn("kept", ~F.col("base_failed") & ~apart)
+    return both.withColumn("kept", ~F.col("base_failed") & ~F.coalesce(apart, F.lit(False)))
 
 
 def assess(docs: DataFrame, limits: Limits = Limits()) -> DataFrame:

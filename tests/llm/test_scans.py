@@ -50,6 +50,27 @@ def test_quality_verdicts(spark, sf):
     assert quality_rules.keep_good(docs).columns == docs.columns
 
 
+def test_texts_without_common_words_go(spark):
+    random.seed(6)
+    listed = {lang: listed.split() for lang, listed in quality_rules.COMMON_WORDS.items()}
+
+    def text(lang, share):
+        return " ".join(
+            random.choice(listed[lang]) if random.random() < share else f"Word{random.choice('abcdefgh')}{random.choice('klmno')}."
+            for _ in range(300)
+        )
+
+    made = [(k, text(lang, 0.15), lang) for lang in listed for k in range(40)]
+    made += [(100 + k, text(lang, 0), lang) for lang in listed for k in range(2)]
+    made += [(200, text("en", 0), None), (201, text("en", 0), "it")]
+    docs = spark.createDataFrame(made, "doc_id long, text string, lang string")
+    found = quality_rules.assess(docs).collect()
+    assert all(r.char_distance < quality_rules.Limits().char_distance and not r.base_failed for r in found)
+    assert {r.doc_id for r in found if not r.kept} == {100, 101}
+    assert sum(not r.kept for r in found) == 2 * len(listed)
+    assert quality_rules.keep_good(docs).where("doc_id between 100 and 199").isEmpty()
+
+
 def test_quality_empty(spark):
     none = docs_of(spark, [])
     assert quality_rules.assess(none).isEmpty()
