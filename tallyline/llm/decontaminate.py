@@ -3,7 +3,8 @@
 Words (letters and digits, lower case) of benchmark items and of documents are hashed under fixed masks
 that skip some of the positions they span, so that a changed word leaves other seeds whole. Equal hashes
 put an item beside a place of a document (their diagonal). Around the hits the words are compared one by
-one: the best stretch, in which matches outweigh substitutions four to one, must be long enough.
+one: the longest stretch from one equal word to another with four matches or more to a substitution must
+be long enough.
 """
 
 from __future__ import annotations
@@ -82,27 +83,44 @@ def hits(docs: DataFrame, items: DataFrame) -> DataFrame:
     )
 
 
-def best_stretch(equal: Column, price: int) -> Column:
-    """``struct(start, end, matched)`` of the stretch with the greatest (matches - price * others)."""
-    zero = F.struct(
-        F.lit(0).alias("at"), F.lit(0).alias("sum"), F.lit(0).alias("since"), F.lit(0).alias("run"),
-        F.lit(0).alias("best"), F.lit(0).alias("start"), F.lit(0).alias("end"), F.lit(0).alias("matched"),
-    )
+def longest_stretch(equal: Column, price: int) -> Column:
+    """``struct(words, matched, start)`` of the longest stretch that begins and ends with an equal word and
+    has at least ``price`` of them to each other word; no words where none is equal.
+
+    The longest one begins and ends where runs of equal words do. Ordered by their height (matches -
+    price * others before them), each end goes with the first of the starts that are no higher."""
+    places = F.sequence(F.lit(0), F.size(equal) - 1)
+    at = lambda k: F.coalesce(F.get(equal, k), F.lit(False))
+    starts = F.filter(places, lambda k: at(k) & ~at(k - 1))
+    ends = F.filter(places, lambda k: at(k) & ~at(k + 1))
+    runs = F.arrays_zip(starts.alias("start"), ends.alias("end"))
+    none = F.array().cast("array<struct<height:int,last:boolean,at:int>>")
+
+    def edges(seen: Column, run: Column) -> Column:
+        start, end = run["start"], run["end"] + 1
+        before = (1 + price) * seen["matched"] - price * start
+        first = F.struct(before.alias("height"), F.lit(False).alias("last"), start.alias("at"))
+        last = F.struct((before + end - start).alias("height"), F.lit(True).alias("last"), end.alias("at"))
+        return F.struct(
+            (seen["matched"] + end - start).alias("matched"), F.concat(seen["edges"], F.array(first, last)).alias("edges")
+        )
+
+    found = F.aggregate(runs, F.struct(F.lit(0).alias("matched"), none.alias("edges")), edges)["edges"]
+    best = F.struct(F.lit(0).alias("words"), F.lit(0).alias("matched"), F.lit(0).alias("start"))
+    zero = F.struct(F.lit(2**31 - 1).alias("first"), F.lit(0).alias("height"), best.alias("best"))
 
-    def step(seen: Column, same: Column) -> Column:
-        fresh = seen["sum"] <= 0
-        total = F.when(fresh, 0).otherwise(seen["sum"]) + F.when(same, 1).otherwise(-price)
-        since = F.when(fresh, seen["at"]).otherwise(seen["since"])
-        run = F.when(fresh, 0).otherwise(seen["run"]) + same.cast("int")
-        better = total > seen["best"]
-        pick = lambda new, old: F.when(better, new).otherwise(old)
+    def step(seen: Column, edge: Column) -> Column:
+        earlier = ~edge["last"] & (edge["at"] < seen["first"])
+        words = edge["at"] - seen["first"]
+        matched = ((edge["height"] - seen["height"] + price * words) / (1 + price)).cast("int")
+        this = F.struct(words.alias("words"), matched.alias("matched"), seen["first"].alias("start"))
         return F.struct(
-            (seen["at"] + 1).alias("at"), total.alias("sum"), since.alias("since"), run.alias("run"),
-            pick(total, seen["best"]).alias("best"), pick(since, seen["start"]).alias("start"),
-            pick(seen["at"] + 1, seen["end"]).alias("end"), pick(run, seen["matched"]).alias("matched"),
+            F.when(earlier, edge["at"]).otherwise(seen["first"]).alias("first"),
+            F.when(earlier, edge["height"]).otherwise(seen["height"]).alias("height"),
+            F.when(edge["last"] & (words > seen["best"]["words"]), this).otherwise(seen["best"]).alias("best"),
         )
 
-    return F.aggregate(equal, zero, step)
+    return F.aggregate(F.array_sort(found), zero, step)["best"]
 
 
 def overlaps(docs: DataFrame, benchmark: DataFrame, rule: Overlap = Overlap()) -> DataFrame:
@@ -124,10 +142,10 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, rule: Overlap = Overlap()) -
     # get() is null outside the document, and null is no match.
     equal = F.transform(F.col("item"), lambda w, k: F.coalesce(F.get(F.col("_tokens"), F.col("diagonal") + k) == w, F.lit(False)))
     judged = both.select(
-        "doc_id", "key", "item_id", "diagonal", F.size("item").alias("n"), best_stretch(equal, rule.price).alias("b")
+        "doc_id", "key", "item_id", "diagonal", F.size("item").alias("n"), longest_stretch(equal, rule.price).alias("b")
     )
     needed = F.greatest(F.lit(rule.least), F.least(F.lit(rule.most), F.ceil(F.col("n") * rule.share)))
-    size = F.col("b.end") - F.col("b.start")
+    size = F.col("b.words")
     best = F.max(F.struct(size.alias("words"), F.col("b.matched").alias("matched"), (F.col("diagonal") + F.col("b.start")).alias("start")))
     return (
         judged.where(size >= needed).groupBy("doc_id", "key", "item_id").agg(best.alias("best"))

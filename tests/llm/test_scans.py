@@ -184,6 +184,40 @@ def test_overlaps(spark, sf):
     assert decontaminate.overlaps(docs, bench.limit(0)).isEmpty()
 
 
+def changed(words, *runs):
+    """``words`` with runs of equal (> 0) and changed (< 0) words."""
+    flags = [n > 0 for n in runs for _ in range(abs(n))]
+    return " ".join(w if same else "changed" for w, same in zip(words, flags, strict=True))
+
+
+def test_longest_overlap_counts(spark):
+    words = [f"item{k}" for k in range(29)]
+    bench = spark.createDataFrame([(1, " ".join(words))], "item_id long, text string")
+    cases = {
+        1: ((12, -3, 7, -1, 6), (4, 29, 25)), 2: ((4, -1, 12, -12), (4, 17, 16)), 3: ((12, -17), None),
+        4: ((12, -1, 1, -15), (4, 14, 13)), 5: ((-8, 12, -9), None), 6: ((29,), (4, 29, 29)),
+    }
+    docs = [(i, "lead " * 4 + changed(words, *runs) + " tail") for i, (runs, _) in cases.items()]
+    found = {r.doc_id: (r.start, r.words, r.matched) for r in decontaminate.overlaps(docs_of(spark, docs), bench).collect()}
+    assert found == {i: want for i, (_, want) in cases.items() if want}
+
+
+@pytest.mark.parametrize("price", [4, 1])
+def test_longest_stretch_against_brute_force(spark, price):
+    random.seed(8)
+    rows = [([random.random() < p for _ in range(n)],) for p in (0.1, 0.5, 0.8, 0.9) for n in (1, 2, 9, 30, 60) for _ in range(8)]
+    made = spark.createDataFrame(rows, "equal array<boolean>")
+    for row in made.select("equal", decontaminate.longest_stretch(F.col("equal"), price).alias("b")).collect():
+        e = row.equal
+        fit = [
+            (j - i, sum(e[i:j])) for i in range(len(e)) for j in range(i + 1, len(e) + 1)
+            if e[i] and e[j - 1] and sum(e[i:j]) >= price * (j - i - sum(e[i:j]))
+        ]
+        b = row.b
+        assert b.words == max((n for n, _ in fit), default=0)
+        assert not b.words or ((b.words, b.matched) in fit and sum(e[b.start : b.start + b.words]) == b.matched)
+
+
 def decontaminate_words(text):
     import re
 
