@@ -57,16 +57,18 @@ def _one(seed):
 
 
 def items_of(benchmark: DataFrame) -> DataFrame:
-    """``item_id, item`` (words). Rows that repeat an item count once."""
-    words = tokens_of(whole("text"))
-    return benchmark.select("item_id", words.alias("item")).where(F.size("item") > 0).distinct()
+    """``item_id, item`` (words) and ``item_key``, which names an item by both. Rows that repeat an item
+    count once."""
+    items = benchmark.select("item_id", tokens_of(whole("text")).alias("item")).where(F.size("item") > 0).distinct()
+    id_hash = F.xxhash64(F.col("item_id").isNull(), F.col("item_id"))
+    return items.withColumn("item_key", F.xxhash64(id_hash, F.array_join("item", " ")))
 
 
 def hits(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """``doc_id, key, item_id, item, diagonal``: where seeds of an item and a document agree, once per
+    """``doc_id, key, item_key, diagonal``: where seeds of an item and a document agree, once per
     diagonal. ``key`` is the hash of the text; with the id it names a row."""
-    held = items.select("item_id", "item", F.explode(seeds(F.col("item"))).alias("s")).select(
-        "item_id", F.col("s.h").alias("h"), F.col("s.at").alias("item_at")
+    held = items.select("item_key", F.explode(seeds(F.col("item"))).alias("s")).select(
+        "item_key", F.col("s.h").alias("h"), F.col("s.at").alias("item_at")
     )
     text = docs.select("doc_id", whole("text").alias("_text"))
     found = (
@@ -78,7 +80,7 @@ def hits(docs: DataFrame, items: DataFrame) -> DataFrame:
         held = F.broadcast(held)
     return (
         found.join(held, "h")
-        .groupBy("doc_id", "key", "item_id", (F.col("at") - F.col("item_at")).alias("diagonal")).count()
+        .groupBy("doc_id", "key", "item_key", (F.col("at") - F.col("item_at")).alias("diagonal")).count()
         .drop("count")
     )
 
@@ -128,7 +130,7 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, rule: Overlap = Overlap()) -
     longest stretch's first word in the document, its words and how many of them are equal.
 
     Null and empty texts and items under eight words overlap nothing; repeated rows count once; items of
-    a repeated id are items of their own. Other columns are ignored; empty tables give an empty result."""
+    a repeated id and items without an id are items of their own, each with its own row. Other columns are ignored; empty tables give an empty result."""
     items = materialize(items_of(benchmark))
     found = materialize(hits(docs, items))
     which = found.select(F.col("doc_id").alias("_id"), F.col("key").alias("_key")).distinct()
@@ -137,18 +139,18 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, rule: Overlap = Overlap()) -
     text = docs.select("doc_id", whole("text").alias("_text")).withColumn("key", F.xxhash64("_text"))
     named = text.join(which, text["doc_id"].eqNullSafe(F.col("_id")) & (F.col("key") == F.col("_key"))).dropDuplicates(["doc_id", "key"])
     words = named.select("doc_id", "key", tokens_of(F.col("_text")).alias("_tokens"))
-    placed = found.join(items, "item_id").withColumnsRenamed({"doc_id": "_id", "key": "_key"})
+    placed = found.join(items, "item_key").withColumnsRenamed({"doc_id": "_id", "key": "_key"})
     both = placed.join(words, placed["_id"].eqNullSafe(words["doc_id"]) & (F.col("_key") == F.col("key")))
     # get() is null outside the document, and null is no match.
     equal = F.transform(F.col("item"), lambda w, k: F.coalesce(F.get(F.col("_tokens"), F.col("diagonal") + k) == w, F.lit(False)))
     judged = both.select(
-        "doc_id", "key", "item_id", "diagonal", F.size("item").alias("n"), longest_stretch(equal, rule.price).alias("b")
+        "doc_id", "key", "item_key", "item_id", "diagonal", F.size("item").alias("n"), longest_stretch(equal, rule.price).alias("b")
     )
     needed = F.greatest(F.lit(rule.least), F.least(F.lit(rule.most), F.ceil(F.col("n") * rule.share)))
     size = F.col("b.words")
     best = F.max(F.struct(size.alias("words"), F.col("b.matched").alias("matched"), (F.col("diagonal") + F.col("b.start")).alias("start")))
     return (
-        judged.where(size >= needed).groupBy("doc_id", "key", "item_id").agg(best.alias("best"))
+        judged.where(size >= needed).groupBy("doc_id", "key", "item_key").agg(F.first("item_id").alias("item_id"), best.alias("best"))
         .select("doc_id", "key", "item_id", "best.start", "best.words", "best.matched")
     )
 

@@ -202,6 +202,16 @@ def test_longest_overlap_counts(spark):
     assert found == {i: want for i, (_, want) in cases.items() if want}
 
 
+def test_items_without_an_id_and_of_a_repeated_one(spark):
+    texts = [" ".join(f"{name}{k}" for k in range(20)) for name in ("none", "empty", "one", "two", "other")]
+    ids = [None, None, 7, 7, 8]
+    bench = spark.createDataFrame([*zip(ids, texts), (None, texts[0])], "item_id long, text string")
+    docs = docs_of(spark, [*enumerate(texts), (5, f"{texts[2]} and {texts[3]}"), (6, "clean " * 30)])
+    found = [(r.doc_id, r.item_id, r.words) for r in decontaminate.overlaps(docs, bench).collect()]
+    assert sorted(found, key=str) == [(0, None, 20), (1, None, 20), (2, 7, 20), (3, 7, 20), (4, 8, 20), (5, 7, 20), (5, 7, 20)]
+    assert [r.doc_id for r in decontaminate.drop_leaks(docs, bench).collect()] == [6]
+
+
 @pytest.mark.parametrize("price", [4, 1])
 def test_longest_stretch_against_brute_force(spark, price):
     random.seed(8)
