@@ -7,7 +7,8 @@ its children's densities; the node with the greatest sum, and the least density
 body as a threshold, mark the content: within every topmost node of at least that density, the
 descendant with the greatest sum. Elements that are never part of an article (menus, forms, scripts and
 the like, by tag, role or class name) are left out before. Where the page says which part is the article
-(one ``article`` or ``main``) and the greatest sum lies in it or around it, that part is taken whole.
+(``article`` or ``main``) and the greatest sum lies in it, or around it with most of its unlinked text in
+it, that part is taken whole; articles that are a lesser part of the content, such as teasers, stay in it.
 """
 
 from __future__ import annotations
@@ -42,6 +43,7 @@ NAMES = re.compile(
 )
 HEADINGS = frozenset(["h1", "h2", "h3", "h4", "h5", "h6"])
 ARTICLES = frozenset(["article", "main"])
+LINE = 80  # unlinked characters under which density says little: there a third of them is most
 CLOSES_P = frozenset(
     "address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 "
     "h4 h5 h6 header hgroup hr main menu nav ol p pre search section summary table ul".split()
@@ -234,7 +236,7 @@ def content_of(root: Node) -> list[Node]:
         return [named[-1]]
     inside = [n for n in below(best) if n.tag in ARTICLES and n.chars]
     outer = [n for n in inside if not any(m.tag in ARTICLES for m in above(n))]
-    if outer:
+    if outer and (2 if plain(best) >= LINE else 3) * sum(map(plain, outer)) > plain(best):
         return outer
     threshold = min(n.density for n in path if n.tag != "html" or len(path) == 1)
     taken, open_nodes = [], [root]
@@ -248,6 +250,11 @@ def content_of(root: Node) -> list[Node]:
     return taken or [best]
 
 
+def plain(node: Node) -> int:
+    """Characters outside links."""
+    return node.chars - node.link_chars
+
+
 def below(node: Node) -> list[Node]:
     order = [node]
     for n in order:

@@ -76,6 +76,17 @@ def test_main_text(page, text):
     assert html_text.main_text(page) == text
 
 
+LINES = [f"Paragraph {k} of the story, which is long enough to be counted as text of its own." for k in range(10)]
+STORY = "".join(f"<p>{line}</p>" for line in LINES)
+
+
+def test_a_teaser_is_not_the_article():
+    page = f"<body><div class=post><h1>Head</h1>{STORY}<div><article>teaser of another story</article></div></div></body>"
+    assert html_text.main_text(page) == " ".join(["Head", *LINES, "teaser of another story"])
+    page = f"<body><div id=wrap><p>Lead in.</p><article><h1>Head</h1>{STORY}</article><p>Lead out.</p></div></body>"
+    assert html_text.main_text(page) == " ".join(["Head", *LINES])
+
+
 def test_extract(spark, sf):
     import html
     import re
