@@ -6,7 +6,8 @@ its density, the characters per tag adjusted by how much of them are links. A no
 its children's densities; the node with the greatest sum, and the least density on its path from the
 body as a threshold, mark the content: within every topmost node of at least that density, the
 descendant with the greatest sum. Elements that are never part of an article (menus, forms, scripts and
-the like, by tag, role or class name) are left out before. Where the page says which part is the article
+the like, by tag, role or class name) are left out before; but a form, or an element that only its class or
+id names furniture, stays where it holds most of the body's unlinked text. Where the page says which part is the article
 (``article`` or ``main``) and the greatest sum lies in it, or around it with most of its unlinked text in
 it, that part is taken whole; articles that are a lesser part of the content, such as teasers, stay in it.
 """
@@ -37,10 +38,15 @@ ROLES = frozenset(
     "navigation banner contentinfo complementary search form menu menubar toolbar dialog alert alertdialog status".split()
 )
 NAMES = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert|adverts|advertisement|adsense|banner|breadcrumbs?|comments?|commentlist|cookies?|disqus|"
+    r"(?<!\S)(?:(?!(?:has|no|not|with|without)[_-])\S*?[_-])?(?:ads?|advert|adverts|advertisement|adsense|banner|breadcrumbs?|comments?|commentlist|cookies?|disqus|"
     r"footer|gdpr|masthead|menu|menus|modal|nav|navbar|navigation|newsletter|notices?|pagination|popup|promo|related|"
-    r"replies|respond|share|sharing|sidebar|signup|skip|social|sponsored|sponsor|subscribe|toolbar|widget)(?:$|[\s_-])"
+    r"replies|respond|share|sharing|sidebar|signup|skip|social(?![_-](?:sciences?|stud|hist|theor|polic|work|secur|justice))|sponsored|sponsor|subscribe|toolbar|widget)(?:$|[\s_-])"
 )
+# A content element's class may say where its sidebar is.
+LAYOUT = re.compile(r"(?<!\S)(?:left|right|one|two|both|dual)[_-]sidebars?(?!\S)")
+CONTENT = re.compile(r"(?<!\S)(?:content|main|article|post|entry|page|primary|wrap|wrapper|container|layout|site)(?!\S)")
+# Comments may be longer than the article, so they must hold nearly all text to stay.
+COMMENTS = re.compile(r"(?:^|[\s_-])(?:comments?|commentlist|disqus|replies|respond)(?:$|[\s_-])")
 HEADINGS = frozenset(["h1", "h2", "h3", "h4", "h5", "h6"])
 ARTICLES = frozenset(["article", "main"])
 LINE = 80  # unlinked characters under which density says little: there a third of them is most
@@ -68,32 +74,60 @@ BLANKS = re.compile(r"[ \t\n\r\f\v]+")
 
 
 class Node:
-    __slots__ = ("tag", "children", "chars", "tags", "link_chars", "link_tags", "density", "sum", "dropped", "parts", "parent")
+    __slots__ = ("tag", "children", "chars", "tags", "link_chars", "link_tags", "density", "sum", "dropped", "doubt", "parts", "parent")
 
-    def __init__(self, tag: str, parent: Node | None, dropped: bool):
-        self.tag, self.parent, self.dropped = tag, parent, dropped
+    def __init__(self, tag: str, parent: Node | None, dropped: bool, doubt: float | None = None):
+        self.tag, self.parent, self.dropped, self.doubt = tag, parent, dropped, doubt
         self.children: list[Node] = []
         self.chars = self.tags = self.link_chars = self.link_tags = 0
         self.density = self.sum = 0.0
         self.parts: list[str | Node] = []  # text pieces and children in page order
 
 
-def is_furniture(tag: str, attributes: str, inside: list[Node]) -> bool:
-    if tag in FURNITURE:
-        return True
-    if tag == "header":
-        return not any(node.tag in ARTICLES for node in inside)
-    if not attributes or tag in ("html", "body"):
-        return False
+def furniture(tag: str, attributes: str, inside: list[Node]) -> float | None:
+    """None: not furniture. Otherwise the share of the body's unlinked text that an element must exceed to
+    stay; 1 where it goes in any case."""
+    if tag in FURNITURE and tag != "form":
+        return 1.0
+    if tag == "header" and not any(node.tag in ARTICLES for node in inside):
+        return 1.0
+    found = 0.5 if tag == "form" else None
+    if not attributes or tag in ("html", "body", "header"):
+        return found
+    named = {"class": "", "id": ""}
     for name, value in ATTRIBUTE.findall(attributes):
         name, value = name.lower(), value.strip("\"'").lower()
         if name == "hidden" or (name == "aria-hidden" and value == "true"):
-            return True
+            return 1.0
         if name == "role" and value in ROLES:
-            return True
-        if name in ("class", "id") and tag not in ARTICLES and NAMES.search(value):
-            return True
-    return False
+            return 1.0
+        if name in named and tag not in ARTICLES:
+            named[name] = value
+    for value in named.values():
+        if value and NAMES.search(value):
+            if LAYOUT.search(value) and CONTENT.search(" ".join(named.values())):
+                value = LAYOUT.sub("", value)
+                if not NAMES.search(value):
+                    continue
+            found = max(found or 0.0, 0.9 if COMMENTS.search(value) else 0.5)
+    return found
+
+
+def settle(root: Node) -> None:
+    """Drop the elements in doubt that don't hold their share of the body's unlinked text."""
+    order = [root]
+    for node in order:
+        order.extend(c for c in node.children if not c.dropped)
+    if not any(node.doubt for node in order):
+        return
+    held: dict[int, int] = {}
+    for node in reversed(order):
+        own = sum(len(p.strip()) for p in node.parts if isinstance(p, str)) - node.link_chars
+        held[id(node)] = own + sum(held.get(id(c), 0) for c in node.children)
+    total = held[id(next((n for n in order if n.tag == "body"), root))]
+    for node in order:
+        if node.doubt and held[id(node)] <= node.doubt * total:
+            node.dropped = True
 
 
 def parse(page: str) -> Node:
@@ -101,6 +135,7 @@ def parse(page: str) -> Node:
     container, stray end tags are passed over."""
     root = Node("html", None, False)
     stack, at, links = [root], 0, 0
+    of_page: list[int] = []
 
     def text(raw: str) -> None:
         node = stack[-1]
@@ -141,15 +176,21 @@ def parse(page: str) -> Node:
             at = done.end() if done else len(page)
             continue
         if tag in INLINE:
-            # Inline elements that are left out (by class or role) are blocks that are dropped.
-            if not is_furniture(tag, attributes, stack):
+            # Inline elements that are left out (by class or role) are skipped.
+            share = furniture(tag, attributes, stack)
+            done = skip(page, at, tag, stack) if share and tag not in FURNITURE else at
+            if share and share < 1 and done - at >= LINE:
+                of_page = of_page or [bare(page)]
+                if bare(page[at:done]) > share * of_page[0]:
+                    share = None
+            if not share:
                 if tag == "a":
                     links += 1
                     stack[-1].link_tags += 1
                     stack[-1].tags += 1
                 continue
             if tag not in FURNITURE:
-                at = skip(page, at, tag)
+                at = done
                 continue
         if tag in VOID:
             stack[-1].parts.append(" ")
@@ -169,25 +210,73 @@ def parse(page: str) -> Node:
                 if stack[k].tag in ended:
                     end(k)
                     break
-        if tag == "body" and stack[-1].dropped:
+        if tag == "body" and any(n.dropped or n.doubt for n in stack):
             end(1)
         parent = stack[-1]
-        node = Node(tag, parent, parent.dropped or is_furniture(tag, attributes, stack))
+        share = None if parent.dropped else furniture(tag, attributes, stack)
+        node = Node(tag, parent, parent.dropped or share == 1, share)
         parent.children.append(node)
         parent.parts.append(node)
         stack.append(node)
         links = 0
+    settle(root)
     return root
 
 
-def skip(page: str, at: int, tag: str) -> int:
-    """The place after the end tag of an inline element that began before ``at``."""
-    depth = 1
-    for found in re.compile(f"<(/?){tag}(?=[\\s/>])[^>]*>", re.I).finditer(page, at):
-        depth += -1 if found[1] else 1
-        if depth == 0:
-            return found.end()
-    return len(page)
+def tags_of(page: str, at: int) -> Iterator[tuple[re.Match, bool, str]]:
+    """The tags from ``at`` on: match, whether it is an end tag, name. What raw elements hold is passed over."""
+    while found := TOKEN.search(page, at):
+        at = found.end()
+        closing, tag = (found[1], found[2]) if found[2] else (found[4], found[5])
+        if not tag:
+            continue
+        yield found, bool(closing), tag.lower()
+        if not closing and tag.lower() in RAW:
+            done = re.compile(f"</{tag}(?=[\\s/>])", re.I).search(page, at)
+            at = done.start() if done else len(page)
+
+
+def skip(page: str, at: int, tag: str, stack: list[Node]) -> int:
+    """The place after the end tag of an inline element that began before ``at``. One without an end tag in
+    its block ends where the next block begins or ends."""
+    depth, blocks, first = 1, [], None
+    outer = {node.tag for node in stack}
+    for found, closing, name in tags_of(page, at):
+        if name == tag:
+            depth += -1 if closing else 1
+            if depth == 0:
+                return found.end()
+        if name in INLINE or name in VOID or name in RAW:
+            continue
+        if first is None and (not closing or name in outer):
+            first = found.start()
+        if not closing:
+            if not blocks and (
+                name in CLOSES_P and stack[-1].tag == "p" or name in ENDS and stack[-1].tag in ENDS[name][0]
+            ):
+                break
+            blocks.append(name)
+        elif name in blocks:
+            while blocks.pop() != name:
+                pass
+        elif name in outer:
+            break
+    return len(page) if first is None else first
+
+
+def bare(page: str) -> int:
+    """Characters outside tags, links and raw elements."""
+    count, at, links = 0, 0, 0
+    for found, closing, name in tags_of(page, 0):
+        if not links and at <= found.start():
+            count += len(page[at : found.start()].strip())
+        at = found.end()
+        if name == "a":
+            links = max(0, links - 1) if closing else links + 1
+        elif not closing and name in RAW:
+            done = re.compile(f"</{name}(?=[\\s/>])", re.I).search(page, at)
+            at = done.start() if done else len(page)
+    return count + (0 if links else len(page[at:].strip()))
 
 
 def measure(root: Node) -> list[Node]:

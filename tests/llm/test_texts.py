@@ -87,6 +87,37 @@ def test_a_teaser_is_not_the_article():
     assert html_text.main_text(page) == " ".join(["Head", *LINES])
 
 
+SIDE = "<div class=sidebar><p>Side text that is long enough to matter here.</p></div>"
+
+
+@pytest.mark.parametrize("wrapper", [
+    '<div id="content" class="has-sidebar">', '<div class="no-sidebar">', '<div class="content right-sidebar">',
+    '<section class="social-science">', '<form action="/x">', '<div class="widget">', '<div id="nav-wrap">',
+    '<div class="post comments-open">', '<span class="sidebar-layout">',
+])
+def test_wrappers_named_like_furniture_stay(wrapper):
+    tag = wrapper[1:].split()[0]
+    page = f"<body>{wrapper}<div><h1>Head</h1>{STORY}</div>{SIDE}</{tag}><div class=comments><p>Nice post.</p></div></body>"
+    assert html_text.main_text(page) == " ".join(["Head", *LINES])
+
+
+def test_furniture_still_goes():
+    talk = "<p>A reader's comment that is quite long, longer than most paragraphs of the story are, and more.</p>" * 12
+    side = "<div class='right-sidebar'><p>Side text in a box that stands at the right.</p></div>"
+    page = f"<body><div class=post><h1>Head</h1>{STORY}{side}</div><div id=comments>{talk}</div><form>{SIDE}</form></body>"
+    assert html_text.main_text(page) == " ".join(["Head", *LINES])
+
+
+@pytest.mark.parametrize("before, after", [
+    ("<p>One <span class=ad>buy<p>", "One"), ("<ul><li>One <b class=promo>buy <i>it</i><li>two</ul>", "One two"),
+    ("<p>One <span class=share><script>'</span>'</script>x</span> end</p>", "One end"),
+    ("<span class=ad>buy", ""), ("<span class=ad><div>buy</div></span>", ""), ("<p>One <span class=ad>buy <span>it</span> x</p>", "One"),
+])
+def test_unclosed_inline_furniture_ends_with_its_block(before, after):
+    page = f"<body><div>{before}{STORY}</div></body>"
+    assert html_text.main_text(page) == " ".join([*after.split(), *LINES])
+
+
 def test_extract(spark, sf):
     import html
     import re
