@@ -10,7 +10,8 @@ compared exactly:
 * larger ones are split ``SPLIT`` levels deeper; what is still large then is a family of like texts. The
   nodes of a family are compared whole, block with block, so no pair in it depends on chance.
 
-Runs are repeated until a pair at the threshold is met with probability ``RECALL``. What the first runs
+Runs are repeated until a pair at the threshold is met with probability ``RECALL``, counting that all runs
+sample the same sketch, in which more or fewer places than the similarity says may agree. What the first runs
 link forms classes; later runs compare buckets that hold nodes of several classes. Links inside a class
 are then counted exactly, again block with block.
 """
@@ -39,7 +40,7 @@ BUCKET = 128  # nodes compared by brute force
 BLOCK = 128  # nodes of a family or class compared with as many others at a time
 DEPTH = 3  # levels all nodes descend
 SPLIT = 3  # further levels of large buckets
-RECALL = 0.9999
+RECALL = 0.99999
 FIRST_RUNS = 3  # what these link need not be compared by the later ones
 BROADCAST_NODES = 1_000_000  # wanted nodes (24 bytes each) up to which they are sent to every task
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -102,7 +103,20 @@ def missed(depth: int, similarity: float = 0.8) -> float:
 
 
 def runs_needed(depth: int = DEPTH + SPLIT, recall: float = RECALL) -> int:
-    return math.ceil(math.log(1 - recall) / math.log(missed(depth)))
+    """The trees are fixed, and single ones were seen to miss twice their mean, so half the chance is asked for."""
+    runs = 1
+    while missed_by_all(runs, depth) > (1 - recall) / 2:
+        runs += 1
+    return runs
+
+
+def missed_by_all(runs: int, depth: int, similarity: float = 0.8) -> float:
+    """Chance that a pair shares no path of any run. The runs sample one sketch, so it is the mean over how
+    many of its places agree."""
+    return sum(
+        math.comb(PLACES, k) * similarity**k * (1 - similarity) ** (PLACES - k) * missed(depth, k / PLACES) ** runs
+        for k in range(PLACES + 1)
+    )
 
 
 def descend(paths: np.ndarray, owner: np.ndarray, sketches: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

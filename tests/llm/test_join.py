@@ -82,6 +82,32 @@ def test_runs_reach_the_recall():
     assert met.mean() == pytest.approx(1 - jaccard_join.missed(jaccard_join.DEPTH), abs=0.08)
 
 
+def test_recall_over_one_sketch():
+    runs, depth, own = jaccard_join.runs_needed(), jaccard_join.DEPTH + jaccard_join.SPLIT, jaccard_join.factors()
+    assert jaccard_join.RECALL == 0.99999
+    assert jaccard_join.missed_by_all(runs, depth) <= 1e-5
+    rng = np.random.default_rng(1)
+    pairs = 5000  # sets of 90 with 80 in common
+    sets = rng.integers(0, 2**63, (pairs, 100), dtype=np.uint64)
+    sketches = np.array([jaccard_join.sketch(x, own) for x in [*sets[:, :90], *sets[:, 10:]]])
+    agree = (sketches[:pairs] == sketches[pairs:]).mean(axis=1)
+    assert agree.mean() == pytest.approx(0.8, abs=0.005) and agree.std() == pytest.approx((0.16 / 128) ** 0.5, rel=0.1)
+    # All pairs are walked, those met are left out of the next run.
+    left, after = np.arange(pairs), []
+    for number in range(runs):
+        both = np.concatenate([sketches[left], sketches[pairs + left]])
+        owner = np.arange(len(both))
+        paths = np.full(len(both), jaccard_join.mixed(np.array([number + 1], dtype=np.uint64) * jaccard_join.MIX)[0])
+        for _ in range(depth):
+            paths, owner = jaccard_join.descend(paths, owner, both)
+        first = owner < len(left)
+        one = {*zip(paths[first].tolist(), owner[first].tolist())}
+        met = {o - len(left) for p, o in zip(paths[~first].tolist(), owner[~first].tolist()) if (p, o - len(left)) in one}
+        left = np.delete(left, sorted(met))
+        after.append(len(left))
+    assert after[-1] <= 1  # of 5000; 15 runs leave four of these
+
+
 def test_components(spark):
     random.seed(1)
     chain = [(i, i + 1) for i in range(40)] + [(100, k) for k in range(101, 140)] + [(200, 201), (201, 200), (5, 5)]
