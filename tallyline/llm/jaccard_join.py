@@ -399,6 +399,11 @@ def join(docs: DataFrame) -> DataFrame:
     Rows of a repeated id are rows of their own; rows without an id get the least id of the others, null
     if there is none. Words are what stands between white space, as it is written. Other columns are
     ignored; an empty table gives an empty result."""
+    return classed(docs).drop("class")
+
+
+def classed(docs: DataFrame) -> DataFrame:
+    """The rows of ``join`` plus ``class``, which tells classes apart; null for texts that link nothing."""
     joined = Join(docs)
     joined.run()
     classes = materialize(joined.classes())
@@ -406,22 +411,40 @@ def join(docs: DataFrame) -> DataFrame:
     found = (
         joined.nodes.select("node", "name").join(classes.select("node", "class", "copies"), "node")
         .join(ids, "class").join(joined.links(classes), "node", "left")
-        .select("name", "class_id", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
+        .select("name", "class", "class_id", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
     )
     return joined.rows.select("doc_id", "key", F.when(F.col("n") > 0, F.col("name")).alias("name")).join(
         found, "name", "left"
     ).select(
         "doc_id", F.coalesce("class_id", F.when(F.col("name").isNull(), F.col("doc_id"))).alias("class_id"),
-        F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), "key",
+        F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), "key", "class",
     )
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """``docs`` with one document of each class, that of the least id, its columns as they are.
-
-    Rows without an id stay. Rows that repeat both id and text stay or go together, as one document."""
-    found = join(docs)
-    gone = materialize(found.where("doc_id != class_id").select(F.col("doc_id").alias("_id"), F.col("key").alias("_key")).distinct())
-    if gone.count() <= BROADCAST_NODES:
-        gone = F.broadcast(gone)
-    return docs.join(gone, (docs["doc_id"] == F.col("_id")) & (F.xxhash64(whole(docs["text"])) == F.col("_key")), "left_anti")
+    """``docs`` with one row of each class, its columns as they are: that of the least id (none comes last),
+    then of the least text hash, then any one of those that repeat both.
+
+    Null and empty texts and texts without words are classes of their own and stay."""
+    rows = classed(docs).where("class is not null")
+    named = materialize(rows.groupBy("class", "doc_id", "key").agg(F.count("*").alias("copies")))
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key")
+    crowded = named.groupBy("class").agg(F.min(order).alias("first"), F.sum("copies").alias("n")).where("n > 1")
+    stays = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("key") == F.col("first.key"))
+    marked = materialize(
+        named.join(crowded, "class").withColumn("_stays", stays).where("not _stays or copies > 1")
+        .select(F.col("doc_id").alias("_id"), F.col("key").alias("_key"), "_stays")
+    )
+    repeated = marked.where("_stays")
+    few = marked.count() <= BROADCAST_NODES
+
+    def joined(part: DataFrame, kind: str) -> DataFrame:
+        same = docs["doc_id"].eqNullSafe(F.col("_id")) & (F.xxhash64(whole(docs["text"])) == F.col("_key"))
+        return docs.join(F.broadcast(part) if few else part, same, kind)
+
+    single = joined(marked, "left_anti")
+    if repeated.isEmpty():
+        return single
+    packed = joined(repeated, "left_semi").select(F.struct("*").alias("row"))
+    one = packed.groupBy(F.col("row.doc_id").alias("_id"), F.xxhash64(whole("row.text")).alias("_key")).agg(F.first("row").alias("row"))
+    return single.unionByName(one.select("row.*"))

@@ -63,6 +63,27 @@ def test_empty_and_one(spark):
     assert jaccard_join.keep_one(made(spark, [(1, None)])).count() == 1
 
 
+def test_one_row_of_each_class_stays(spark):
+    random.seed(7)
+    base = [" ".join(f"w{random.randrange(10**6)}" for _ in range(100)) for _ in range(6)]
+    near = [next(varied(text, 1, 1)) for text in base]
+    rows = [
+        (1, base[0]), (1, base[0]), (2, near[0]),  # the kept row is repeated
+        (3, base[1]), (3, near[1]),  # near copies of one id
+        (None, base[2]), (None, near[2]), (None, base[2]),  # no ids
+        (None, base[3]), (4, near[3]), (5, base[4]), (6, base[5]), (6, base[5]), (7, base[5]),
+        (8, None), (8, None), (9, ""), (None, ""),
+    ]
+    docs = made(spark, rows)
+    kept = jaccard_join.keep_one(docs)
+    assert kept.columns == docs.columns
+    found = [(r.doc_id, r.text) for r in kept.collect()]
+    assert sorted(i or 0 for i, t in found if t) == [0, 1, 3, 4, 5, 6]
+    assert {(1, base[0]), (4, near[3]), (5, base[4]), (6, base[5])} <= set(found)
+    assert sorted((r for r in found if not r[1]), key=str) == sorted(rows[-4:], key=str)
+    assert kept.select("key", "name", "n_links").distinct().count() == 1
+
+
 def test_runs_reach_the_recall():
     runs = jaccard_join.runs_needed()
     assert jaccard_join.missed(jaccard_join.DEPTH + jaccard_join.SPLIT) ** runs <= 1 - jaccard_join.RECALL
