@@ -14,6 +14,8 @@ from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallyline.session import materialize
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 LABEL = "label:bad"  # no URL token starts with "label:"
 
@@ -42,10 +44,9 @@ FIXED = (
 
 @dataclass(frozen=True)
 class Mining:
-    """``support``: share of labelled URLs that hold a rule's tokens and are bad, with at least
-    ``least`` such URLs; ``confidence``: share of bad ones among the labelled URLs with the tokens."""
+    """``least``: labelled URLs that hold a rule's tokens and are bad, a count that other URLs don't change;
+    ``confidence``: share of bad ones among the labelled URLs with the tokens."""
 
-    support: float = 0.001
     least: int = 20
     confidence: float = 0.6
 
@@ -97,16 +98,26 @@ def mine(labelled: DataFrame, mining: Mining = Mining()) -> DataFrame:
     """Blocking rules ``rule_id, tokens, confidence, support`` from ``tokens array<string>, bad
     boolean`` rows. No labelled rows, or none that are bad: no rule."""
     spark = labelled.sparkSession
-    known = labelled.where(F.col("bad").isNotNull() & (F.size("tokens") > 0)).select(
-        F.when(F.col("bad"), F.concat("tokens", F.array(F.lit(LABEL)))).otherwise(F.col("tokens")).alias("items")
-    )
+    known = labelled.where(F.col("bad").isNotNull() & (F.size("tokens") > 0)).select("tokens", "bad")
+    known = materialize(known.withColumn("row", F.monotonically_increasing_id()))
     n = known.count()
-    if n == 0:
-        return spark.createDataFrame([], "rule_id string, tokens array<string>, confidence double, support double")
-    support = min(1.0, max(mining.support, mining.least / n))
-    model = FPGrowth(itemsCol="items", minSupport=support, minConfidence=mining.confidence).fit(known)
+    # A token that fewer bad URLs hold is in no rule. Without those, counting sets stays cheap.
+    each = known.select("row", "bad", F.explode("tokens").alias("token"))
+    frequent = materialize(each.where("bad").groupBy("token").count().where(F.col("count") >= mining.least).select("token"))
+    none = "rule_id string, tokens array<string>, confidence double, support double"
+    if frequent.isEmpty():
+        return spark.createDataFrame([], none)
+    # Rows left with no token have no part in a rule; n counts them in the support.
+    held = materialize(each.join(frequent, "token").groupBy("row", "bad").agg(F.collect_set("token").alias("tokens")).select(
+        F.when(F.col("bad"), F.concat("tokens", F.array(F.lit(LABEL)))).otherwise(F.col("tokens")).alias("items")
+    ))
+    n_held = held.count()
+    # Half a URL less, so that rounding doesn't ask for one more than ``least``.
+    support = max(mining.least - 0.5, 0.5) / n_held
+    model = FPGrowth(itemsCol="items", minSupport=support, minConfidence=mining.confidence).fit(held)
     rules = model.associationRules.where(F.col("consequent") == F.array(F.lit(LABEL))).select(
-        F.array_sort("antecedent").alias("tokens"), "confidence", "support"
+        F.array_sort("antecedent").alias("tokens"), "confidence",
+        (F.col("support") * n_held / n).alias("support"),
     )
     return without_longer(rules.withColumn("rule_id", F.array_join("tokens", " ")))
 

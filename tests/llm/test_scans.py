@@ -184,6 +184,17 @@ def test_overlaps(spark, sf):
     assert decontaminate.overlaps(docs, bench.limit(0)).isEmpty()
 
 
+def test_a_rule_stays_as_other_urls_are_added(spark):
+    bad = spark.range(20).select(F.array(F.lit("host:bad"), F.lit("path:x")).alias("tokens"), F.lit(True).alias("bad"))
+    for n in (100, 30_000):
+        name = F.concat(F.lit("host:h"), (F.col("id") % 7).cast("string"))
+        others = spark.range(n).select(F.array(name, F.lit("path:x")).alias("tokens"), F.lit(False).alias("bad"))
+        rules = url_rules.mine(bad.unionByName(others)).collect()
+        assert [(r.rule_id, r.confidence) for r in rules] == [("host:bad", 1.0)]
+        assert rules[0].support == pytest.approx(20 / (n + 20))
+    assert url_rules.mine(bad.limit(19).unionByName(others)).isEmpty()
+
+
 def changed(words, *runs):
     """``words`` with runs of equal (> 0) and changed (< 0) words."""
     flags = [n > 0 for n in runs for _ in range(abs(n))]
