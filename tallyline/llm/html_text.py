@@ -125,8 +125,10 @@ def settle(root: Node) -> None:
         own = sum(len(p.strip()) for p in node.parts if isinstance(p, str)) - node.link_chars
         held[id(node)] = own + sum(held.get(id(c), 0) for c in node.children)
     total = held[id(next((n for n in order if n.tag == "body"), root))]
+    # Beside an article the page marks as such, an element must hold nearly all text.
+    marked = any(n.tag in ARTICLES and held[id(n)] and not any(m.doubt for m in above(n)) for n in order)
     for node in order:
-        if node.doubt and held[id(node)] <= node.doubt * total:
+        if node.doubt and held[id(node)] <= max(node.doubt, 0.9 if marked else 0) * total:
             node.dropped = True
 
 
