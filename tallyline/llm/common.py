@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyline.session import shared_folder
+
 # White space of the corpus tables: space, tab, line feed, vertical tab, form feed, carriage return.
 WORD = r"[^\x20\x09-\x0D]+"
 BLANKS = r"[\x20\x09-\x0D]+"
@@ -14,6 +18,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """The rows written once to the shared folder, packed tighter than usual, and read back."""
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/tallyline/{uuid.uuid4().hex}"
+    df.write.option("compression", "zstd").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def whole(column: str | Column) -> Column:
     """The whole text, a null one as the empty text."""
     return F.coalesce(F.col(column) if isinstance(column, str) else column, F.lit(""))

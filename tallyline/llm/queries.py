@@ -15,6 +15,7 @@ from tallyline.llm import (
     piece_tokens,
     quality_rules,
     secret_scan,
+    token_alignment,
     toxicity,
     url_rules,
     warc,
@@ -30,6 +31,12 @@ def piece_model() -> str:
     return public_tokenizers.path("piece_bpe_32k.model")
 
 
+def byte_model() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
 def op1_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(table(spark, sf_dir, "pages"))
 
@@ -77,9 +84,13 @@ def op10_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_rules.judge(pages, rules)
 
 
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_alignment.summarize(table(spark, sf_dir, "documents"), byte_model(), piece_model())
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     made = (
         op1_html_text, op2_piece_tokens, op3_decontaminate, op4_jaccard_join, op5_secret_scan, op6_quality_rules,
-        op7_toxicity, op8_warc, op9_compression_quality, op10_url_rules,
+        op7_toxicity, op8_warc, op9_compression_quality, op10_url_rules, op12_token_alignment,
     )
     return {query.__name__: query for query in made}
