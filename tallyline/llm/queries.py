@@ -8,6 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tallyline.llm import (
+    collocations,
     compression_quality,
     decontaminate,
     html_text,
@@ -88,9 +89,14 @@ def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_alignment.summarize(table(spark, sf_dir, "documents"), byte_model(), piece_model())
 
 
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     made = (
         op1_html_text, op2_piece_tokens, op3_decontaminate, op4_jaccard_join, op5_secret_scan, op6_quality_rules,
         op7_toxicity, op8_warc, op9_compression_quality, op10_url_rules, op12_token_alignment,
+        op13_collocations,
     )
     return {query.__name__: query for query in made}
