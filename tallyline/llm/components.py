@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallyline.functions.skew import lookup_join
 from tallyline.session import materialize
 
 ROUNDS = 60  # rounds grow with the logarithm of the longest chain
@@ -15,15 +16,16 @@ def components(edges: DataFrame) -> DataFrame:
     is the least.
 
     Alternating large-star and small-star rounds: each node's neighbours are hung under its least
-    neighbour. Minima combine before the shuffle and no neighbour list is gathered."""
+    neighbour. Minima combine before the shuffle, no neighbour list is gathered, and the edges of a node
+    with very many can be split in the joins."""
     links = materialize(_downward(edges))
     seen = _state(links)
     for _ in range(ROUNDS):
         both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
-        large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        large = lookup_join(both, least, ["a"], "inner").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
         lowest = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(lowest, "a").select(F.explode(F.array(
+        small = lookup_join(large, lowest, ["a"], "inner").select(F.explode(F.array(
             F.struct(F.col("a"), F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b"))
         )).alias("e")).select("e.a", "e.b")
         links = materialize(_downward(small))

@@ -13,6 +13,7 @@ from tallyline.llm import (
     decontaminate,
     html_text,
     jaccard_join,
+    lsh_forest,
     piece_tokens,
     quality_rules,
     secret_scan,
@@ -85,6 +86,10 @@ def op10_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_rules.judge(pages, rules)
 
 
+def op11_lsh_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lsh_forest.near_copies(table(spark, sf_dir, "documents"))
+
+
 def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_alignment.summarize(table(spark, sf_dir, "documents"), byte_model(), piece_model())
 
@@ -96,7 +101,7 @@ def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     made = (
         op1_html_text, op2_piece_tokens, op3_decontaminate, op4_jaccard_join, op5_secret_scan, op6_quality_rules,
-        op7_toxicity, op8_warc, op9_compression_quality, op10_url_rules, op12_token_alignment,
-        op13_collocations,
+        op7_toxicity, op8_warc, op9_compression_quality, op10_url_rules, op11_lsh_forest,
+        op12_token_alignment, op13_collocations,
     )
     return {query.__name__: query for query in made}
