@@ -6,9 +6,9 @@ between pieces. Frequent phrases are found level by level, as Apriori does, in t
 
 * **candidates**: a double-array trie of the frequent phrases of one word less goes to every task, which
   advances the states of all text positions together, level by level. Where a phrase and the one that
-  starts a word later are both frequent, they make a candidate. A task reports candidates it holds
-  often enough: a phrase with ``min_count`` places in the corpus must exceed the tasks' allowances in
-  sum, so no frequent phrase is lost, and what cannot reach the count is left out.
+  starts a word later are both frequent, they make a candidate. A task may keep a few places of each to
+  itself, so that the many rare ones need no shuffle; as all tasks together keep fewer than ``min_count``,
+  no frequent phrase is lost, and what cannot reach the count with all that was kept is left out.
 * **counts**: the candidates, again as a trie, go to every task; the accepting states are counted by
   ``bincount`` and the counts of the tasks are added up.
 
@@ -34,9 +34,9 @@ from tallyline.functions.skew import lookup_join
 from tallyline.llm.common import stored, whole
 
 PART = 400_000  # phrases of a trie (up to 40 bytes each, and about 20 for the trie)
-GATHERED = 1 << 21  # positions a task gathers before it counts them
-WORDS = 300_000  # words a task remembers or counts before it passes them on
-CANDIDATES = 3_000_000  # distinct candidates a task holds before it reports them
+GATHERED = 1 << 19  # positions a task gathers before it counts them
+WORDS = 100_000  # words a task remembers or counts before it passes them on
+CANDIDATES = 1_000_000  # distinct candidates a task holds before it lowers their counts or reports them
 SEED = 42  # of Spark's xxhash64
 UPPER, LOWER = bytes(range(0x41, 0x5B)), bytes(range(0x61, 0x7B))
 MARKS = b".,;:!?\n\x0b\x0c\r"
@@ -241,13 +241,22 @@ def summed(parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> tuple[np.n
     if not len(codes):
         return first, last, n
     key, where = np.unique(first.astype(np.int64) * len(codes) + word, return_inverse=True)
-    total = np.bincount(where, weights=n, minlength=len(key)).astype(np.int64)  # below 2^53 in a task
-    return key // len(codes), codes[key % len(codes)], total
+    total = np.bincount(where, weights=n, minlength=len(key)).astype(np.int32)
+    return (key // len(codes)).astype(np.int32), codes[key % len(codes)], total
+
+
+def lowered(held: tuple, by: int) -> tuple:
+    """All counts less ``by``; what has none left is forgotten."""
+    first, last, n = held
+    kept = n > by
+    return first[kept], last[kept], n[kept] - by
 
 
 def _seek(shared, whole_trie: bool, allowance: int) -> Callable[[Batches], Batches]:
     """Candidates one word longer than the phrases of the trie: ``w1 .. wk, excess``, the count in the task
-    less the allowance. Each report starts with a row of zeros and its allowance."""
+    less what it lowered it by. A task that holds too many candidates lowers all their counts by one, up to
+    its allowance in all, and reports them when that is used up; the rest of the allowance goes at the end. A
+    row of zeros tells what the task may have kept to itself of a phrase."""
 
     def run(batches: Batches) -> Batches:
         trie = Trie.of(shared.value)
@@ -255,21 +264,17 @@ def _seek(shared, whole_trie: bool, allowance: int) -> Callable[[Batches], Batch
 
         def report(held: tuple) -> Batches:
             first, last, n = held
-            often = n > allowance
-            first, last, n = first[often], last[often], n[often]
-            none = [pa.array([0], pa.int64())] * (trie.words + 1)
-            yield pa.RecordBatch.from_arrays([*none, pa.array([allowance], pa.int64())], names=names)
             for at in range(0, len(first), 50_000):
                 cut = slice(at, at + 50_000)
                 words = trie.phrases[first[cut]]
                 yield pa.RecordBatch.from_arrays(
-                    [*(pa.array(words[:, k].copy()) for k in range(trie.words)), pa.array(last[cut]), pa.array(n[cut] - allowance)],
+                    [*(pa.array(words[:, k].copy()) for k in range(trie.words)), pa.array(last[cut]), pa.array(n[cut])],
                     names=names,
                 )
 
-        held, fresh, size, any_text = [], [], 0, False
+        nothing = (np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int32))
+        held, fresh, size, left = nothing, [], 0, allowance
         for codes in codes_of(batches):
-            any_text = True
             at, phrase = trie.accepted(codes)
             starts = np.full(len(codes) + 1, not whole_trie)  # else the later phrase may be in another part
             starts[at] = True
@@ -277,16 +282,18 @@ def _seek(shared, whole_trie: bool, allowance: int) -> Callable[[Batches], Batch
             at, phrase = at[inside], phrase[inside]
             last = codes[at + trie.words]
             goes_on = (last != 0) & starts[at + 1]
-            fresh.append((phrase[goes_on].astype(np.int64), last[goes_on], np.ones(int(goes_on.sum()), dtype=np.int64)))
+            fresh.append((phrase[goes_on], last[goes_on], np.ones(int(goes_on.sum()), dtype=np.int32)))
             size += len(fresh[-1][0])
             if size >= GATHERED:
-                held = [summed([*held, *fresh])]
-                fresh, size = [], 0
-                if len(held[0][0]) > CANDIDATES:
-                    yield from report(held[0])
-                    held = []
-        if held or fresh or any_text:
-            yield from report(summed([*held, *fresh]) if held or fresh else tuple(np.zeros((3, 0), dtype=np.int64)))
+                held, fresh, size = summed([held, *fresh]), [], 0
+                while left and len(held[0]) > CANDIDATES:
+                    held, left = lowered(held, 1), left - 1
+                if len(held[0]) > CANDIDATES:
+                    yield from report(held)
+                    held = nothing
+        yield from report(lowered(summed([held, *fresh]), left))
+        none = [pa.array([0], pa.int64())] * (trie.words + 1)
+        yield pa.RecordBatch.from_arrays([*none, pa.array([allowance], pa.int32())], names=names)
 
     return run
 
@@ -359,7 +366,7 @@ def candidates(coded: DataFrame, shorter: DataFrame, words: int, min_count: int)
         for _, codes, parts in parts_of(shorter, words - 1):
             shared = coded.sparkSession.sparkContext.broadcast(Trie(codes).plain())
             each = coded.mapInArrow(
-                _seek(shared, parts == 1, allowance), ", ".join(f"{n} long" for n in names) + ", excess long"
+                _seek(shared, parts == 1, allowance), ", ".join(f"{n} long" for n in names) + ", excess int"
             )
             part = F.lit(len(made)).alias("part")
             made.append(stored(each.groupBy(*names).agg(F.sum("excess").alias("excess")).withColumn("part", part)))
@@ -371,7 +378,7 @@ def candidates(coded: DataFrame, shorter: DataFrame, words: int, min_count: int)
     none = F.col("w1") == 0
     # what the tasks may have kept to themselves of one phrase, which lies in one part
     kept = reports.where(none).agg(F.max("excess")).first()[0] or 0
-    if kept >= min_count:  # more reports than tasks: exact counts instead
+    if kept >= min_count:  # more tasks than before: exact counts instead
         reports, kept = found(0), 0
     likely = reports.where(~none & (F.col("excess") + kept >= min_count))
     return stored(likely.select(F.monotonically_increasing_id().alias("id"), *names))

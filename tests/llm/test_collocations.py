@@ -58,7 +58,7 @@ def texts(seed, count=500):
     return rows + [(None, "en"), ("", "fr"), (" \n.", "fr"), ("new york " * 3000, "en"), rows[0], rows[0]]
 
 
-@pytest.mark.parametrize("part, gathered, held, tasks", [(400_000, 1 << 21, 10**6, 3), (7, 50, 20, 3), (400_000, 30, 5, 2)])
+@pytest.mark.parametrize("part, gathered, held, tasks", [(400_000, 1 << 19, 10**6, 3), (60, 50, 20, 3), (400_000, 30, 5, 2)])
 def test_collocations_equal_a_plain_count(spark, monkeypatch, part, gathered, held, tasks):
     monkeypatch.setattr(collocations, "PART", part)
     monkeypatch.setattr(collocations, "GATHERED", gathered)
