@@ -64,7 +64,7 @@ VIEWS: dict[str, str] = {
         select concat('A', lpad(cast(p_partkey as string),8,'0')) as BillingID,
         p_partkey % (select count(*) from customer) as policy_id, concat('A', cast(1 + p_partkey % 4 as string)) as BillingType,
         case p_size % 3 when 0 then 'P' when 1 then 'A' else 'C' end as status_billing,
-        cast(p_retailprice as decimal(18,2)) as TotalAmount, p_partkey as CoreTranID from part
+        cast(p_retailprice as decimal(18,2)) as TotalAmount, case when p_partkey % 11 <> 0 then p_partkey - p_partkey % 4 end as CoreTranID from part
     """,
     "fx_quote_billing": """
         select o_orderkey as quote_id, concat('XR', lpad(cast(o_orderkey as string),8,'0')) as ref_no,
@@ -80,6 +80,17 @@ VIEWS: dict[str, str] = {
         case cast(o_orderkey / 10 as bigint) % 7 when 0 then null when 1 then '0' when 2 then '1' when 3 then '3' when 4 then '6' when 5 then '12' else '99' end as premium_mode,
         'CC' as payment_method from orders where o_orderkey % 10 = 0
     """,
+    "fx_card_transaction": """
+        select p_partkey as policy_cc_tran_id, p_partkey % 7 as policy_id, 1 as status_id, 'WAITING' as remark,
+        cast(null as string) as result_status, cast(p_retailprice as decimal(18,2)) as total_amount from part where p_partkey % 8 <> 4
+    """,
+    "fx_prospect": """
+        select quote_id, n_regionkey as prospect_no, 1 as prospect_convert_flag, cast(null as string) as prospect_appr_code
+        from fx_quote join (select distinct n_regionkey from nation) z on n_regionkey < quote_id % 3
+    """,
+    "fx_quote_terminal": """
+        select quote_id, 0 as status_id, 'DECLINED' as reason, cast(null as string) as appr_code from fx_quote where quote_id % 40 <> 0
+    """,
     "fx_reason_map": """
         select lpad(cast(n_nationkey as string),2,'0') as RejectCode, n_name as RejectReason,
         n_regionkey as GroupRejectMappingID, case when n_nationkey % 2 = 0 then 1 end as bank_id from nation
@@ -102,7 +113,7 @@ VIEWS: dict[str, str] = {
         'Manual hold' as Description from customer where c_custkey % 4 = 0
     """,
     "fx_upload": """
-        select event_id as id,
+        select cast((event_id - event_id % 13) / 13 as bigint) as id,
         case when event_id % 10 < 6 then concat('7', lpad(cast((event_id * 31 + user_id) % (select count(*) from customer) as string),9,'0'))
         when event_id % 10 = 6 then concat('A', lpad(cast(event_id % (select count(*) from part) as string),8,'0'))
         when event_id % 10 = 7 then concat('X', cast(cast((event_id - event_id % 10) / 10 as bigint) * 5 % (select count(*) from orders) as string))
@@ -114,7 +125,7 @@ VIEWS: dict[str, str] = {
         case when event_id % 4 = 0 then '' else lpad(cast(user_id as string),10,'0') end as AccNo,
         case when event_id % 9 = 0 then null else concat('O''NEIL ', cast(user_id as string)) end as AccName,
         event_type <> 'error' as IsSukses, false as IsExec,
-        concat('bank_', cast(1 + user_id % 13 as string), '.txt') as FileName from events
+        concat('bank_', cast(1 + event_id % 13 as string), '.txt') as FileName from events
     """,
     "fx_va_upload": """
         select o_orderkey as id, o_custkey as PolisId,
@@ -156,19 +167,23 @@ VIEWS: dict[str, str] = {
         select id, FileName, concat(' ', lpad(cast(id % 100000 as string),5,'0'), '  ', rpad(PolisNo,20,' '), rpad(nm,18,' '), repeat(' ',6), lpad(amt,19,' '), '  ',
         dm, substr(cast(year(TranDate) as string),3,2), '  ', hms, repeat(' ',9), rpad(dk,33,' ')) as v from fx_r) z
     """,
+    "fx_sr": """
+        select *, 1 + id as row_no, case when IsSukses then 1 else 2 end as sheet_no from fx_r
+        union all select *, 1 + id as row_no, case when IsSukses then 2 when id % 35 = 0 then 3 else 1 end as sheet_no from fx_r where id % 5 = 0
+    """,
     "fx_cells_card_sheet_a": """
-        select id as row_no, FileName, case when IsSukses then 1 else 2 end as sheet_no, cast(id as string) as c1, AccName as c2, amt as c3,
-        case when IsSukses then ApprovalCode else PolisNo end as c4, case when IsSukses then null else ApprovalCode end as c5,
-        case when IsSukses then PolisNo else dk end as c6, case when AccNo = '' then null else AccNo end as c7 from fx_r
+        select row_no, FileName, sheet_no, cast(id as string) as c1, AccName as c2, amt as c3,
+        case when sheet_no = 1 then ApprovalCode else PolisNo end as c4, case when sheet_no = 1 then null else ApprovalCode end as c5,
+        case when sheet_no = 1 then PolisNo when id % 8 <> 1 then dk end as c6, case when AccNo = '' then null else AccNo end as c7 from fx_sr
         union all select 0, 'bank_3.txt', 1, 'NO', 'NAME', 'AMOUNT', 'CODE', null, 'POLICY', 'ACCOUNT'
     """,
     "fx_cells_card_sheet_b": """
-        select id as row_no, FileName, case when IsSukses then 1 else 2 end as sheet_no, cast(id as string) as c1, concat('REC-01-', PolisNo) as c2, amt as c3,
-        'IDR' as c4, ApprovalCode as c5, concat(dk,'  -  x') as c6 from fx_r
+        select row_no, FileName, sheet_no, cast(id as string) as c1, concat('REC-01-', PolisNo) as c2, amt as c3,
+        'IDR' as c4, ApprovalCode as c5, concat(dk,'  -  x') as c6 from fx_sr
     """,
     "fx_cells_card_sheet_c": """
-        select id as row_no, FileName, 1 as sheet_no, cast(id as string) as c1, 'M' as c2, 'T' as c3, case when AccNo = '' then '-' else AccNo end as c4,
-        coalesce(AccName,'NONE') as c5, 'x' as c6, PolisNo as c7, amt as c8, case when IsSukses then ApprovalCode else ' ' end as c9, concat('a - b   ',dk) as c10 from fx_r
+        select 1 + id as row_no, FileName, 1 as sheet_no, case when id % 23 = 0 then 'x' else cast(id as string) end as c1, 'M' as c2, 'T' as c3, case when AccNo = '' then '-' else AccNo end as c4,
+        case when id % 29 <> 3 then coalesce(AccName,'NONE') end as c5, 'x' as c6, PolisNo as c7, amt as c8, case when IsSukses then ApprovalCode else ' ' end as c9, concat('a - b   ',dk) as c10 from fx_r
     """,
     "fx_lines_va_mixed": """
         select id, FileName, value from fx_lines_va_realtime

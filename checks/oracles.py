@@ -9,11 +9,15 @@ from __future__ import annotations
 from types import SimpleNamespace
 
 from checks.fixtures import MAIL_TEMPLATES, with_views
-from tallyline.operators import errors, posting
 
 NOW = "timestamp '2024-01-10 00:00:00'"
 TODAY = "date '2024-01-10'"
 NULL_TEXT = "cast(null as varchar)"
+# What the run writes, as fixed values of the expected results.
+OTHER_NOTES = {
+    "A1": "RECEIPT INPUT CASHLESSFEE", "A2": "RECEIPT INPUT ENDORSEMEN CETAK POLIS FISIK", "A3": "RECEIPT INPUT CETAK KARTU",
+}
+NO_BILL = "RecurringApprove : Billing Konsong setelah CreateBilling, untuk PolisID '"
 
 
 def key(kind: str, alias: str = "") -> str:
@@ -90,10 +94,13 @@ def parse(name: str, source: str) -> str:
     )
 
 
+CELL_ID = "row_no + (sheet_no - 1) * 1099511627776"
+
+
 def sheet(source: str, where: str, amt: str, success: str, **cols: str) -> str:
     texts = ", ".join(f"{cols.get(c, NULL_TEXT)} as {c}" for c in PARSED)
     return (
-        f"select row_no as id, FileName, cast({amount(f'trim({amt})')} as double) as Amount,"
+        f"select {CELL_ID} as id, FileName, cast({amount(f'trim({amt})')} as double) as Amount,"
         f" cast(null as timestamp) as TranDate, {texts}, {success} as IsSukses from {source}"
         f" where {where} and {amount(f'trim({amt})')} is not null"
     )
@@ -131,6 +138,26 @@ def sheet_c(source: str) -> str:
     )
 
 
+# Cells of each worksheet that must not be empty, those that must be numbers, and the amount.
+REJECTED_CELLS = {
+    "card_sheet_a": ({1: (2, 3, 4, 6, 7), 2: (2, 3, 4, 6, 7)}, (), 3),
+    "card_sheet_b": ({1: (1, 2, 3, 4, 5, 6), 2: (1, 2, 3, 4, 5, 6)}, (), 3),
+    "card_sheet_c": ({1: (1, 4, 5, 7, 8, 9, 10)}, (1,), 8),
+}
+
+
+def rejected_cells(name: str) -> str:
+    sheets, numbers, amt = REJECTED_CELLS[name]
+    whens = [f"when sheet_no not in ({', '.join(map(str, sheets))}) then 'unknown worksheet'"]
+    for number, cells in sheets.items():
+        whens += [f"when sheet_no = {number} and c{c} is null then 'cell {c} is empty'" for c in cells]
+    whens += [f"when {amount(f'trim(c{c})')} is null then 'cell {c} is not a number'" for c in numbers]
+    whens.append(f"when {amount(f'trim(c{amt})')} is null then 'bad amount'")
+    return f"""select '{name}' as layout, FileName, sheet_no, row_no, {CELL_ID} as id, reason from (
+        select *, case {' '.join(whens)} end as reason, min(row_no) over (partition by FileName, sheet_no) as first_row
+        from fx_cells_{name}) where reason is not null and not (reason = 'bad amount' and row_no = first_row)"""
+
+
 def va_auto(source: str) -> str:
     daily = parse("va_daily", source)
     return (
@@ -205,7 +232,7 @@ STEPS = {
     """,
     "s_pool": """
         select u.*, c.FileName as File_Backup, c.trancode, c.source, c.bankid, c.bankid_receipt,
-         row_number() over (partition by u.PolisId order by u.Amount, u.id) as k
+         row_number() over (partition by u.PolisId order by u.Amount, u.FileName, u.id) as k
         from s_mapped u join s_due c on c.FileName = u.FileName
         where u.IsSukses and not u.IsExec and u.BillCode = 'B'
     """,
@@ -234,13 +261,13 @@ STEPS = {
         select p.*, o.BillingType, o.policy_id as bill_policy_id, o.TotalAmount, o.CoreTranID, {key('ledger', 'p')} as tran_id,
          {key('note', 'p')} as note_id, {key('receipt_other', 'p')} as receipt_other_id
         from (select * from s_routed where route = 'other'
-         qualify row_number() over (partition by BillingID order by id) = 1) p
+         qualify row_number() over (partition by BillingID order by FileName, id) = 1) p
         join fx_billing_others o on o.BillingID = p.BillingID and o.status_billing in ('A', 'C')
     """,
     "s_quote": f"""
         select p.*, q.quote_id, {key('ledger', 'p')} as tran_id
         from (select * from s_routed where route = 'quote'
-         qualify row_number() over (partition by BillingID order by id) = 1) p
+         qualify row_number() over (partition by BillingID order by FileName, id) = 1) p
         join fx_quote_billing q on cast(q.quote_id as varchar) = p.BillingID and q.status in ('A', 'C')
     """,
     "s_cc": "select PolicyId, cc_no, cc_name from fx_policy_cc",
@@ -253,29 +280,29 @@ STEPS = {
         from fx_billing where status_billing in ('A', 'C') and policy_id in (select PolisId from s_failed_policies)
     """,
     "s_rejects": """
-        select *, cast(row_number() over (partition by PolisId order by Amount, id) as int) as seqno
+        select *, cast(row_number() over (partition by PolisId order by Amount, FileName, id) as int) as seqno
         from s_mapped where not IsSukses and not IsExec and BillCode = 'B'
     """,
     "s_paired_rejects": """
-        select r.id, r.PolisNo, r.PolisId, cast(b.BillingID as varchar) as BillingID, r.BillCode, r.Amount
+        select r.FileName, r.id, r.PolisNo, r.PolisId, cast(b.BillingID as varchar) as BillingID, r.BillCode, r.Amount
         from s_rejects r left join s_reject_bills b on b.policy_id = r.PolisId and b.seqno = r.seqno
     """,
     # bill of every rejected row that has one: by rank, or the one-off bill or quote it names
     "s_reject_bill": """
-        select id, BillingID from s_paired_rejects where BillingID is not null
-        union all select m.id, m.BillingID from s_mapped m where not m.IsSukses and m.BillCode in ('A', 'Q')
+        select FileName, id, BillingID from s_paired_rejects where BillingID is not null
+        union all select m.FileName, m.id, m.BillingID from s_mapped m where not m.IsSukses and m.BillCode in ('A', 'Q')
     """,
     "s_reject_ledger": f"""
         select {key('ledger_rejected', 'm')} as tran_id, c.FileName as File_Backup, c.trancode as TranCode,
          cast(null as timestamp) as TranDate, false as IsSuccess, m.PolisId as PolicyId, m.BillCode, x.BillingID,
          m.Amount as BillAmount, m.ApprovalCode, coalesce(rp.RejectReason, m.Deskripsi, m.ApprovalCode) as Description,
          rp.GroupRejectMappingID, m.AccNo as accNo, m.AccName as accName, {NOW} as DateInsert, m.id, c.source, c.bankid
-        from s_mapped m join s_reject_bill x on x.id = m.id join s_readable c on c.FileName = m.FileName
+        from s_mapped m join s_reject_bill x on x.id = m.id and x.FileName = m.FileName join s_readable c on c.FileName = m.FileName
         left join s_any_reason rp on rp.RejectReason = m.Deskripsi
     """,
     "s_touch": """
         select BillCode, BillingID, tran_id, source, bankid from s_reject_ledger
-        qualify row_number() over (partition by BillCode, BillingID order by id) = 1
+        qualify row_number() over (partition by BillCode, BillingID order by File_Backup, id) = 1
     """,
     # reject step after the approve step: paid bills are out of the ranking
     "s_late_bills": """
@@ -284,16 +311,15 @@ STEPS = {
          and BillingID not in (select bill_id from s_posted)
     """,
     "s_late_bill": """
-        select r.id, cast(b.BillingID as varchar) as BillingID
+        select r.FileName, r.id, cast(b.BillingID as varchar) as BillingID
         from s_rejects r join s_late_bills b on b.policy_id = r.PolisId and b.seqno = r.seqno
-        union all select m.id, m.BillingID from s_mapped m where not m.IsSukses and m.BillCode in ('A', 'Q')
+        union all select m.FileName, m.id, m.BillingID from s_mapped m where not m.IsSukses and m.BillCode in ('A', 'Q')
     """,
     "s_errors": f"""
-        select id, trancode, PolisNo, IsSukses, concat({text(errors.NO_BILL.split('{}')[0])}, cast(PolisId as varchar),
-         {text(errors.NO_BILL.split('{}')[1])}) as ErrorMessage from s_allocated where bill_id is null
-        union all select id, trancode, PolisNo, IsSukses,
-         case when route = 'other' then {text(errors.OTHER_PAID)} else {text(errors.QUOTE_PAID)} end
-        from s_routed where route in ('other', 'quote') and id not in (select id from s_other union all select id from s_quote)
+        select FileName, id, trancode, PolisNo, IsSukses, concat({text(NO_BILL)}, cast(PolisId as varchar), {text(chr(39))}) as ErrorMessage from s_allocated where bill_id is null
+        union all select FileName, id, trancode, PolisNo, IsSukses,
+         case when route = 'other' then 'BillOtherApprove : Billing Other sudah Paid' else 'QuoteApprove : Billing Quote sudah Paid' end
+        from s_routed where route in ('other', 'quote') and (FileName, id) not in (select (FileName, id) from s_other union all select (FileName, id) from s_quote)
     """,
 }
 
@@ -331,7 +357,7 @@ def changed(new: str, old: str | None = None, test: str = "p.tran_id is not null
 
 
 def other_note(alias: str) -> str:
-    cases = " ".join(f"when '{kind}' then {text(message)}" for kind, message in posting.OTHER_NOTES.items())
+    cases = " ".join(f"when '{kind}' then {text(message)}" for kind, message in OTHER_NOTES.items())
     return f"case {alias}.BillingType {cases} end"
 
 
@@ -361,7 +387,7 @@ def fill(template: str, **values: str) -> str:
 def mail(found: str, to: str, templates: tuple[str, str], **values: str) -> str:
     values |= {"brand": "'ACME'", "amount": whole("p.Amount")}
     subject, body = (f"case when {found} then {fill(t, **values)} end" for t in templates)
-    return f"""p.id, case when {found} then coalesce({to}, '') end as email_to, {subject} as email_subject,
+    return f"""p.FileName, p.id, case when {found} then coalesce({to}, '') end as email_to, {subject} as email_subject,
         {body} as email_body, {NOW} as email_created_dt, 'P' as email_status,
         'archive@example.org' as email_bcc, 'UploadCCResult' as email_type"""
 
@@ -402,6 +428,7 @@ FINAL: dict[str, str] = {f"ingest_{name}": parse(name, f"fx_lines_{name}") for n
     "ingest_card_sheet_c": sheet_c("fx_cells_card_sheet_c"),
     "ingest_va_auto": va_auto("fx_lines_va_mixed"),
     "ingest_dispatch": DISPATCH,
+    "rejected_cells": " union all ".join(rejected_cells(name) for name in REJECTED_CELLS),
     "rejected_lines": f"""select id, FileName, value, case when length(value) < 720 then 'short line'
         when {amount(f(634, 40))} is null then 'bad amount' else 'account block without slash' end as reason
         from fx_lines_acct_fixed_b
@@ -463,6 +490,11 @@ FINAL: dict[str, str] = {f"ingest_{name}": parse(name, f"fx_lines_{name}") for n
     "reason_at_post": """select u.id, u.ApprovalCode, coalesce(r.RejectReason, u.Deskripsi, u.ApprovalCode) as Deskripsi, u.IsSukses,
         r.GroupRejectMappingID as RejectGroupID from fx_upload u left join s_any_reason r on r.RejectReason = u.Deskripsi
         where not u.IsSukses""",
+    "reason_at_post_by_code": """select u.id, u.ApprovalCode, coalesce(r.RejectReason, u.Deskripsi, u.ApprovalCode) as Deskripsi, u.IsSukses,
+        r.GroupRejectMappingID as RejectGroupID from fx_upload u left join (
+         select RejectCode, RejectReason, GroupRejectMappingID from fx_reason_map
+         qualify row_number() over (partition by RejectCode order by GroupRejectMappingID, RejectReason) = 1) r
+        on r.RejectCode = u.ApprovalCode where not u.IsSukses""",
     # allocation
     "first_open_bill": """select policy_id, BillingID, cast(recurring_seq as int) as recurring_seq,
         cast(cashless_fee_amount as double) as cashless_fee_amount, freq_payment from s_open
@@ -471,19 +503,19 @@ FINAL: dict[str, str] = {f"ingest_{name}": parse(name, f"fx_lines_{name}") for n
         b.BillingID as bill_id, cast(b.recurring_seq as int) as recurring_seq, cast(b.TotalAmount as double) as TotalAmount,
         cast(b.cashless_fee_amount as double) as cashless_fee_amount, cast(b.due_dt_pre as timestamp) as due_dt_pre,
         cast(p.Amount - b.TotalAmount as double) as amount_diff
-        from (select *, row_number() over (partition by PolisId order by Amount, id) as k from s_mapped
+        from (select *, row_number() over (partition by PolisId order by Amount, FileName, id) as k from s_mapped
          where IsSukses and not IsExec and BillCode = 'B') p
         left join s_open b on b.policy_id = p.PolisId and b.k = p.k""",
     "reject_open_bills": "select policy_id, BillingID, cast(recurring_seq as int) as recurring_seq from s_reject_bills",
     "rank_reject_bills": "select policy_id, BillingID, cast(recurring_seq as int) as recurring_seq, seqno from s_reject_bills",
-    "rank_rejects": "select id, PolisId, cast(Amount as double) as Amount, seqno from s_rejects",
-    "allocate_rejected": "select * replace (cast(Amount as double) as Amount) from s_paired_rejects",
+    "rank_rejects": "select FileName, id, PolisId, cast(Amount as double) as Amount, seqno from s_rejects",
+    "allocate_rejected": "select * exclude (FileName) replace (cast(Amount as double) as Amount) from s_paired_rejects",
     "unclaimed_open_bill": """select policy_id, BillingID, cast(recurring_seq as int) as recurring_seq from fx_billing
         where status_billing in ('A', 'C') and policy_id in (select policy_id from fx_policy_billing)
         and cast(BillingID as varchar) not in (select BillingID from s_paired_rejects where BillingID is not null)
         qualify row_number() over (partition by policy_id order by recurring_seq, BillingID) = 1""",
     "first_claim": """select * replace (cast(Amount as double) as Amount) from s_other_pool
-        qualify row_number() over (partition by BillCode, BillingID order by id) = 1""",
+        qualify row_number() over (partition by BillCode, BillingID order by FileName, id) = 1""",
     "other_unpaid": """select p.id, p.BillingID, o.BillingType, o.policy_id as bill_policy_id, cast(o.TotalAmount as double) as TotalAmount
         from s_other_pool p join fx_billing_others o on o.BillingID = p.BillingID and p.BillCode = 'A' and o.status_billing in ('A', 'C')""",
     "quote_unpaid": """select p.id, p.BillingID from s_other_pool p where p.BillCode = 'Q' and exists (select 1 from fx_quote_billing q
@@ -527,15 +559,32 @@ FINAL: dict[str, str] = {f"ingest_{name}": parse(name, f"fx_lines_{name}") for n
         p.fee_note_id as policy_note_receiptOther, p.tran_id as PaymentTransactionID, {changed(NOW, cast='timestamp')} as LastUploadDate,
         {changed("'system'", cast='varchar')} as UserUpload
         from fx_billing b left join s_posted p on p.bill_id = b.BillingID left join s_cc a on a.PolicyId = b.policy_id""",
-    "mark_executed": "select id, IsExec or id in (select id from s_posted) as IsExec from s_mapped",
+    "mark_executed": """select FileName, id, IsExec or (FileName, id) in (select (FileName, id) from s_posted
+        union all select (FileName, id) from s_other union all select (FileName, id) from s_quote) as IsExec from s_mapped""",
     "post_billing_other": """select id, BillingID, BillingType, bill_policy_id, cast(Amount as double) as Amount,
         cast(TotalAmount as double) as TotalAmount, CoreTranID, source, tran_id, note_id, receipt_other_id from s_other""",
     "ledger_other": claim_ledger("s_other", "bill_policy_id"),
     "receipt_other_billing": f"""select receipt_other_id, {NOW} as receipt_date, bill_policy_id as policy_id, 1 as receipt_type_id,
         cast(TotalAmount as double) as receipt_amount, source as receipt_source, {NOW} as receipt_payment_date, 0 as receipt_seq,
         bankid_receipt as bank_acc_id, bankid as acquirer_bank_id, {NULL_TEXT} as receipt_id, cast(null as int) as created_by from s_other""",
-    "card_tx_changes": f"""select CoreTranID as policy_cc_tran_id, 2 as status_id, coalesce(ApprovalCode, '') as result_status,
+    "card_tx_changes": f"""select FileName as stage_file, id as stage_id, CoreTranID as policy_cc_tran_id, 2 as status_id, coalesce(ApprovalCode, '') as result_status,
         'APPROVED' as remark, receipt_other_id, {NOW} as update_dt from s_other where CoreTranID is not null""",
+    "apply_card_tx_changes": f"""select t.policy_cc_tran_id, t.policy_id, case when p.id is null then t.status_id else 2 end as status_id,
+        case when p.id is null then t.remark else 'APPROVED' end as remark,
+        case when p.id is null then t.result_status else coalesce(p.ApprovalCode, '') end as result_status,
+        cast(t.total_amount as double) as total_amount, p.receipt_other_id, case when p.id is not null then {NOW} end as update_dt
+        from fx_card_transaction t left join (select * from s_other where CoreTranID is not null
+         qualify row_number() over (partition by CoreTranID order by FileName desc, id desc) = 1) p on p.CoreTranID = t.policy_cc_tran_id""",
+    "apply_quote_changes": f"""
+        select 'quote' as table_name, q.quote_id, {NULL_TEXT} as code, case when p.id is not null then 'P' end as status,
+         case when p.id is not null then {NOW} end as changed, cast(null as int) as bank
+        from fx_quote q left join s_quote p on p.quote_id = q.quote_id
+        union all select 'prospect', q.quote_id, case when p.id is not null then 'UP4Y1' end,
+         case when p.id is null then cast(q.prospect_convert_flag as varchar) else '2' end, case when p.id is not null then {NOW} end, p.bankid
+        from fx_prospect q left join s_quote p on p.quote_id = q.quote_id
+        union all select 'quote_terminal', q.quote_id, case when p.id is not null then 'UP4Y1' end,
+         case when p.id is null then concat(q.status_id, ':', q.reason) else '1:' end, null, null
+        from fx_quote_terminal q left join s_quote p on p.quote_id = q.quote_id""",
     "close_billing_others": f"""select o.BillingID, o.policy_id, o.BillingType, {changed("'P'", 'o.status_billing')} as status_billing,
         cast(o.TotalAmount as double) as TotalAmount, o.CoreTranID, {changed('false', cast='boolean')} as IsDownload,
         {changed('true', cast='boolean')} as IsClosed, {changed("'CC'", cast='varchar')} as PaymentSource, {NULL_TEXT} as Source_download,
@@ -545,9 +594,9 @@ FINAL: dict[str, str] = {f"ingest_{name}": parse(name, f"fx_lines_{name}") for n
         from fx_billing_others o left join s_other p on p.BillingID = o.BillingID""",
     "post_quote": "select id, BillingID, quote_id, cast(Amount as double) as Amount, source, tran_id from s_quote",
     "ledger_quote": claim_ledger("s_quote", "cast(null as bigint)"),
-    "quote_changes": f"""select quote_id, 'P' as quote_status, {NOW} as quote_submitted_dt, 2 as prospect_convert_flag,
-        '{posting.QUOTE_APPROVAL}' as prospect_appr_code, {NOW} as updated_dt, bankid as acquirer_bank_id, 1 as status_id, '' as reason,
-        '{posting.QUOTE_APPROVAL}' as appr_code from s_quote""",
+    "quote_changes": f"""select FileName as stage_file, id as stage_id, quote_id, 'P' as quote_status, {NOW} as quote_submitted_dt, 2 as prospect_convert_flag,
+        'UP4Y1' as prospect_appr_code, {NOW} as updated_dt, bankid as acquirer_bank_id, 1 as status_id, '' as reason,
+        'UP4Y1' as appr_code from s_quote""",
     "close_quotes": f"""select q.quote_id, q.ref_no, {changed("'P'", 'q.status')} as status, q.Holder_Name, q.product_id,
         cast(q.cashless_fee as double) as cashless_fee, cast(q.prospect_amount as double) as prospect_amount,
         {changed('false', cast='boolean')} as IsDownload, {changed('true', cast='boolean')} as IsClosed,
@@ -567,9 +616,10 @@ FINAL: dict[str, str] = {f"ingest_{name}": parse(name, f"fx_lines_{name}") for n
         union all select 'account_tx', account_tran_id, TotalAmount from s_posted where source = 'AC'
         union all select 'card_tx_change', receipt_other_id, null from s_other where CoreTranID is not null
         union all select 'quote_change', cast(quote_id as varchar), null from s_quote
-        union all select 'email', cast(id as varchar), null from s_posted union all select 'email', cast(id as varchar), null from s_other
-        union all select 'email', cast(id as varchar), null from s_quote
-        union all select 'error', cast(id as varchar), null from s_errors)""",
+        union all select 'email', concat(FileName, ':', id), null from s_posted
+        union all select 'email', concat(FileName, ':', id), null from s_other
+        union all select 'email', concat(FileName, ':', id), null from s_quote
+        union all select 'error', concat(FileName, ':', id), null from s_errors)""",
     "post_errors": "select * from s_errors",
     # rejects
     "ledger_rejected": f"select {LEDGER} from s_reject_ledger",
@@ -589,7 +639,7 @@ FINAL: dict[str, str] = {f"ingest_{name}": parse(name, f"fx_lines_{name}") for n
         cast(null as timestamp) as TranDate, false as IsSuccess, m.PolisId as PolicyId, m.BillCode, x.BillingID,
         cast(m.Amount as double) as BillAmount, m.ApprovalCode, coalesce(rp.RejectReason, m.Deskripsi, m.ApprovalCode) as Description,
         rp.GroupRejectMappingID, m.AccNo as accNo, m.AccName as accName, {NOW} as DateInsert
-        from s_mapped m join s_late_bill x on x.id = m.id join s_readable c on c.FileName = m.FileName
+        from s_mapped m join s_late_bill x on x.id = m.id and x.FileName = m.FileName join s_readable c on c.FileName = m.FileName
         left join s_any_reason rp on rp.RejectReason = m.Deskripsi""",
     "hold_rejected": f"""select coalesce(h.policy_id, f.PolisId) as policy_id,
         cast(case when f.PolisId is null or h.ReleaseDate > {TODAY} + 15 then h.ReleaseDate else {TODAY} + 15 end as timestamp) as ReleaseDate,

@@ -171,6 +171,18 @@ def ingest_dispatch(r: Run) -> DataFrame:
     return dispatch.ingest_dispatch(r.t("fx_lines_all"), r.t("fx_cells_all"), r.control)
 
 
+@query
+def rejected_cells(r: Run) -> DataFrame:
+    """Of all three grids: what their parsers leave out, and why."""
+    found = [
+        sheets.rejected_cells(r.t(f"fx_cells_{name}"), layout).select(
+            F.lit(name).alias("layout"), "FileName", "sheet_no", "row_no", "id", "reason"
+        )
+        for name, layout in sheets.SHEET_LAYOUTS.items()
+    ]
+    return reduce(DataFrame.unionByName, found)
+
+
 @query
 def rejected_lines(r: Run) -> DataFrame:
     return fixed_width.rejected_lines(r.t("fx_lines_acct_fixed_b"), fixed_width.ACCT_FIXED_B)
@@ -358,6 +370,12 @@ def reason_at_post(r: Run) -> DataFrame:
     return mapping.reason_at_post(pending, r.t("fx_reason_map")).select(*REASONED)
 
 
+@query
+def reason_at_post_by_code(r: Run) -> DataFrame:
+    pending = r.staged.where(~F.col("IsSukses"))
+    return mapping.reason_at_post(pending, r.t("fx_reason_map"), by_code=True).select(*REASONED)
+
+
 # --- allocation ------------------------------------------------------------------------------
 
 @query
@@ -457,7 +475,7 @@ def close_bills(r: Run) -> DataFrame:
 
 @query
 def mark_executed(r: Run) -> DataFrame:
-    return staging.mark_executed(r.mapped, r.recurring).select("id", "IsExec")
+    return staging.mark_executed(r.mapped, plans.posted_rows(r.claims)).select("FileName", "id", "IsExec")
 
 
 @query
@@ -483,6 +501,30 @@ def card_tx_changes(r: Run) -> DataFrame:
     return posting.card_tx_changes(r.other)
 
 
+@query
+def apply_card_tx_changes(r: Run) -> DataFrame:
+    return posting.apply_card_tx_changes(r.t("fx_card_transaction"), posting.card_tx_changes(r.other))
+
+
+@query
+def apply_quote_changes(r: Run) -> DataFrame:
+    """The three tables one after another."""
+    tables = {"quote": r.t("fx_quote"), "prospect": r.t("fx_prospect"), "quote_terminal": r.t("fx_quote_terminal")}
+    done = posting.apply_quote_changes(tables, materialize(posting.quote_changes(r.quote)))
+    none = F.lit(None).cast("string")
+    shown = [
+        done["quote"].select(F.lit("quote").alias("table_name"), "quote_id", none.alias("code"), F.col("quote_status").alias("status"),
+                             F.col("quote_submitted_dt").alias("changed"), none.cast("int").alias("bank")),
+        done["prospect"].select(F.lit("prospect").alias("table_name"), "quote_id", F.col("prospect_appr_code").alias("code"),
+                                F.col("prospect_convert_flag").cast("string").alias("status"), F.col("updated_dt").alias("changed"),
+                                F.col("acquirer_bank_id").alias("bank")),
+        done["quote_terminal"].select(F.lit("quote_terminal").alias("table_name"), "quote_id", F.col("appr_code").alias("code"),
+                                      F.concat_ws(":", F.col("status_id").cast("string"), "reason").alias("status"),
+                                      none.cast("timestamp_ntz").alias("changed"), none.cast("int").alias("bank")),
+    ]
+    return reduce(DataFrame.unionByName, shown)
+
+
 @query
 def close_billing_others(r: Run) -> DataFrame:
     return posting.close_billing_others(r.t("fx_billing_others"), r.other)
@@ -513,6 +555,10 @@ def _entry(df: DataFrame, kind: str, key: str, amount: str) -> DataFrame:
     return df.select(F.lit(kind).alias("output"), F.col(key).cast("string").alias("row_key"), money.cast("decimal(18,2)").alias("amount"))
 
 
+def named_by_row(df: DataFrame) -> DataFrame:
+    return df.withColumn("row", F.concat_ws(":", "FileName", F.col("id").cast("string")))
+
+
 @query
 def post_approved(r: Run) -> DataFrame:
     """Every row the approve step appends, as one journal."""
@@ -526,8 +572,8 @@ def post_approved(r: Run) -> DataFrame:
         (done.account_tx, "account_tx", "policy_ac_tran_id", "total_amount"),
         (done.card_tx_changes, "card_tx_change", "receipt_other_id", ""),
         (done.quote_changes, "quote_change", "quote_id", ""),
-        (done.emails, "email", "id", ""),
-        (done.errors, "error", "id", ""),
+        (named_by_row(done.emails), "email", "row", ""),
+        (named_by_row(done.errors), "error", "row", ""),
     ]
     return reduce(DataFrame.unionByName, [_entry(*item) for item in named])
 
@@ -535,8 +581,7 @@ def post_approved(r: Run) -> DataFrame:
 @query
 def post_errors(r: Run) -> DataFrame:
     claims = r.claims
-    posted = claims.other.select("id").unionByName(claims.quote.select("id"))
-    return errors.post_errors(claims.allocated, claims.routed, posted)
+    return errors.post_errors(claims.allocated, claims.routed, plans.posted_claims(claims))
 
 
 # --- rejects ---------------------------------------------------------------------------------

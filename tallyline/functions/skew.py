@@ -46,19 +46,19 @@ class Hot:
     table: DataFrame | None = None
 
 
-def find_hot(rows: DataFrame, key: str, row_id: str = "id", policy: SkewPolicy = DEFAULT) -> Hot:
-    """Look for heavy keys with one narrow job. All of them count, and they are stored, not collected."""
+def find_hot(rows: DataFrame, key: str, row_name: Sequence[str], policy: SkewPolicy = DEFAULT) -> Hot:
+    """Look for heavy keys with one narrow job. All of them count; if there are any they are stored, not
+    collected. ``row_name`` are the columns that name a row: a hash of all of them picks the sample."""
     seen = rows.where(F.col(key).isNotNull())
     if policy.sample > 1:
-        seen = seen.where(F.pmod(F.xxhash64(row_id), F.lit(policy.sample)) == 0)
+        seen = seen.where(F.pmod(F.xxhash64(*row_name), F.lit(policy.sample)) == 0)
     listed = (
         seen.groupBy(key)
         .agg(F.count(F.lit(1)).alias("_n"))
         .where(F.col("_n") * policy.sample >= policy.hot_rows)
         .select(key)
     )
-    found = materialize(listed)
-    return Hot(None if found.isEmpty() else found)
+    return Hot(None if listed.isEmpty() else materialize(listed))
 
 
 def rank_rows(rows: DataFrame, key: str, order: Sequence[str], out: str = "k", hot: Hot = Hot()) -> DataFrame:
@@ -101,13 +101,14 @@ def sliced_rank(rows: DataFrame, key: str, order: Sequence[str], out: str = "k")
 
 
 def hot_on_either_side(
-    rows: DataFrame, slots: DataFrame, key: str, row_id: str, slot_id: str, policy: SkewPolicy = DEFAULT
+    rows: DataFrame, slots: DataFrame, key: str, row_name: Sequence[str], slot_name: Sequence[str],
+    policy: SkewPolicy = DEFAULT,
 ) -> Hot:
     """Keys that are heavy counting both sides together."""
-    both = rows.select(key, F.col(row_id).cast("string").alias("_id")).unionByName(
-        slots.select(key, F.col(slot_id).cast("string").alias("_id"))
+    both = rows.select(key, F.xxhash64(*row_name).alias("_id")).unionByName(
+        slots.select(key, F.xxhash64(*slot_name).alias("_id"))
     )
-    return find_hot(both, key, "_id", policy)
+    return find_hot(both, key, ["_id"], policy)
 
 
 def pair_by_rank(

@@ -14,6 +14,7 @@ from tallyline.functions.skew import (
     pair_by_rank,
     rank_rows,
 )
+from tallyline.operators.staging import ROW
 
 # Fixed value: status of a bill or quote that can still be paid.
 OPEN = ("A", "C")
@@ -79,8 +80,8 @@ def allocate_approved(
     if new_bills is not None:
         bills = bills.select(*new_bills.columns).unionByName(new_bills)
     rows, slots = pool.where(F.col("PolisId").isNotNull()).drop("BillingID"), _slots(bills)
-    hot = hot_on_either_side(rows, slots, "PolisId", "id", "bill_id", policy)
-    paired = pair_by_rank(rows, slots, "PolisId", ["Amount", "id"], ["recurring_seq", "bill_id"], hot)
+    hot = hot_on_either_side(rows, slots, "PolisId", ROW, ["bill_id"], policy)
+    paired = pair_by_rank(rows, slots, "PolisId", ["Amount", *ROW], ["recurring_seq", "bill_id"], hot)
     return paired.withColumn("amount_diff", F.col("Amount") - F.col("TotalAmount"))
 
 
@@ -98,7 +99,7 @@ def reject_open_bills(staged: DataFrame, bills: DataFrame) -> DataFrame:
 
 def rank_reject_bills(staged: DataFrame, bills: DataFrame, policy: SkewPolicy = DEFAULT) -> DataFrame:
     found = reject_open_bills(staged, bills)
-    hot = find_hot(found, "policy_id", "BillingID", policy)
+    hot = find_hot(found, "policy_id", ["BillingID"], policy)
     return rank_rows(found, "policy_id", ["recurring_seq", "BillingID"], "seqno", hot)
 
 
@@ -107,8 +108,8 @@ def _policy_rejects(staged: DataFrame) -> DataFrame:
 
 
 def rank_rejects(staged: DataFrame, policy: SkewPolicy = DEFAULT) -> DataFrame:
-    rows = _policy_rejects(staged).select("id", "PolisId", "Amount")
-    return rank_rows(rows, "PolisId", ["Amount", "id"], "seqno", find_hot(rows, "PolisId", policy=policy))
+    rows = _policy_rejects(staged).select(*ROW, "PolisId", "Amount")
+    return rank_rows(rows, "PolisId", ["Amount", *ROW], "seqno", find_hot(rows, "PolisId", ROW, policy))
 
 
 def paired_rejects(staged: DataFrame, bills: DataFrame, policy: SkewPolicy = DEFAULT) -> DataFrame:
@@ -117,8 +118,8 @@ def paired_rejects(staged: DataFrame, bills: DataFrame, policy: SkewPolicy = DEF
         F.col("policy_id").alias("PolisId"), F.col("BillingID").alias("bill_id"), "recurring_seq"
     )
     rows = _policy_rejects(staged)
-    hot = hot_on_either_side(rows, slots, "PolisId", "id", "bill_id", policy)
-    return pair_by_rank(rows, slots, "PolisId", ["Amount", "id"], ["recurring_seq", "bill_id"], hot)
+    hot = hot_on_either_side(rows, slots, "PolisId", ROW, ["bill_id"], policy)
+    return pair_by_rank(rows, slots, "PolisId", ["Amount", *ROW], ["recurring_seq", "bill_id"], hot)
 
 
 def allocate_rejected(staged: DataFrame, bills: DataFrame, policy: SkewPolicy = DEFAULT) -> DataFrame:
@@ -130,14 +131,14 @@ def allocate_rejected(staged: DataFrame, bills: DataFrame, policy: SkewPolicy =
 # --- one-off bills and quotes ----------------------------------------------------------------
 
 def first_claim(pool: DataFrame) -> DataFrame:
-    """The first row (by id) of every one-off bill and quote; later ones find it paid."""
-    names = [n for n in pool.columns if n not in ("id", "BillCode", "BillingID")]
-    first = F.min_by(F.struct(*names), "id").alias("_row")
+    """The first row (by file and id) of every one-off bill and quote; later ones find it paid."""
+    names = [n for n in pool.columns if n not in (*ROW, "BillCode", "BillingID")]
+    first = F.min(F.struct(*ROW, *names)).alias("_row")
     return (
         pool.where((F.col("BillCode") != "B") & F.col("BillingID").isNotNull())
         .groupBy("BillCode", "BillingID")
-        .agg(F.min("id").alias("id"), first)
-        .select("id", "BillCode", "BillingID", "_row.*")
+        .agg(first)
+        .select("BillCode", "BillingID", "_row.*")
         .select(*pool.columns)
     )
 

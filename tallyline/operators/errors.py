@@ -23,17 +23,17 @@ def post_errors(allocated: DataFrame, routed: DataFrame, posted_claims: DataFram
     """One error per row that found nothing to pay.
 
     ``allocated`` are the policy rows (with a NULL ``bill_id`` when there was no bill left), ``routed``
-    the one-off and quote rows, ``posted_claims`` the ids of those that were posted.
+    the one-off and quote rows, ``posted_claims`` the files and ids of those that were posted.
     """
     before, after = NO_BILL.split("{}")
     policy_id = F.col("PolisId").cast("string")
     surplus = allocated.where(F.col("bill_id").isNull()).select(
-        "id", "trancode", "PolisNo", "IsSukses", F.concat(F.lit(before), policy_id, F.lit(after)).alias("_m")
+        "FileName", "id", "trancode", "PolisNo", "IsSukses", F.concat(F.lit(before), policy_id, F.lit(after)).alias("_m")
     )
     # joined on file and row id, which no row shares: a bill paid many times over stays balanced
     unpaid = without_rows(routed.where(F.col("route").isin("other", "quote")), posted_claims)
     refused = unpaid.select(
-        "id", "trancode", "PolisNo", "IsSukses",
+        "FileName", "id", "trancode", "PolisNo", "IsSukses",
         F.when(F.col("route") == "other", F.lit(OTHER_PAID)).otherwise(F.lit(QUOTE_PAID)).alias("_m"),
     )
     return surplus.unionByName(refused).withColumn("ErrorMessage", short_message(F.col("_m"))).drop("_m")

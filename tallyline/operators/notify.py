@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tallyline.functions.skew import lookup_join
 from tallyline.functions.text import null_to_blank, whole_amount
+from tallyline.operators.staging import ROW
 
 # Fixed values of the queue and the mails' fields.
 QUEUE_STATUS, QUEUE_TYPE = "P", "UploadCCResult"
@@ -69,15 +70,22 @@ def _fill(template: str, values: dict[str, Column]) -> Column:
     return F.concat(*parts, F.lit(rest))
 
 
+def _with_common(values: dict[str, Column], texts: MailTexts) -> dict[str, Column]:
+    return values | {"brand": F.lit(texts.brand), "amount": whole_amount(F.col("Amount"))}
+
+
 def _queue(rows: DataFrame, texts: MailTexts, templates: tuple[str, str], found: Column, to: str, values) -> DataFrame:
+    subject, body = (_fill(template, _with_common(values, texts)) for template in templates)
+    return _queued(rows, texts, subject, body, found, to)
+
+
+def _queued(rows: DataFrame, texts: MailTexts, subject: Column, body: Column, found: Column, to: str) -> DataFrame:
     """Queue rows; without an addressee the row is still queued, with empty fields."""
-    values = values | {"brand": F.lit(texts.brand), "amount": whole_amount(F.col("Amount"))}
-    subject, body = (F.when(found, _fill(template, values)) for template in templates)
     return rows.select(
-        "id",
+        *ROW,
         F.when(found, null_to_blank(F.col(to))).alias("email_to"),
-        subject.alias("email_subject"),
-        body.alias("email_body"),
+        F.when(found, subject).alias("email_subject"),
+        F.when(found, body).alias("email_body"),
         F.col("run_ts").alias("email_created_dt"),
         F.lit(QUEUE_STATUS).alias("email_status"),
         F.lit(texts.bcc).cast("string").alias("email_bcc"),
@@ -108,6 +116,28 @@ def _found() -> Column:
     return F.col("_person").isNotNull() & F.col("_goods").isNotNull()
 
 
+def _of_recurring(posted: DataFrame) -> DataFrame:
+    none = F.lit(None).cast("string").alias("BillingType")
+    return posted.select(*ROW, "Amount", "run_ts", none, F.col("PolisId").alias("_policy"))
+
+
+def _of_other(posted_other: DataFrame) -> DataFrame:
+    return posted_other.select(*ROW, "Amount", "run_ts", "BillingType", F.col("bill_policy_id").alias("_policy"))
+
+
+def _policy_values() -> dict[str, Column]:
+    kind = F.lit(None).cast("string")
+    for bill_type, text in OTHER_TYPES.items():
+        kind = F.when(F.col("BillingType") == bill_type, F.lit(text)).otherwise(kind)
+    return {
+        "title": _title("IsLaki"),
+        "name": F.upper("CustomerName"),
+        "product": F.col("product_description"),
+        "policy": F.col("policy_no"),
+        "type": kind,
+    }
+
+
 def email_recurring(
     posted: DataFrame,
     policy_billing: DataFrame,
@@ -116,15 +146,8 @@ def email_recurring(
     texts: MailTexts = MailTexts(),
 ) -> DataFrame:
     """A mail per posted policy payment."""
-    rows = posted.select("id", "Amount", "run_ts", F.col("PolisId").alias("_policy"))
-    rows = _with_holder(rows, policy_billing, customers, products)
-    values = {
-        "title": _title("IsLaki"),
-        "name": F.upper("CustomerName"),
-        "product": F.col("product_description"),
-        "policy": F.col("policy_no"),
-    }
-    return _queue(rows, texts, texts.recurring, _found(), "Email", values)
+    rows = _with_holder(_of_recurring(posted), policy_billing, customers, products)
+    return _queue(rows, texts, texts.recurring, _found(), "Email", _policy_values())
 
 
 def email_other(
@@ -135,19 +158,29 @@ def email_other(
     texts: MailTexts = MailTexts(),
 ) -> DataFrame:
     """A mail per posted one-off bill."""
-    rows = posted_other.select("id", "Amount", "run_ts", "BillingType", F.col("bill_policy_id").alias("_policy"))
+    rows = _with_holder(_of_other(posted_other), policy_billing, customers, products)
+    return _queue(rows, texts, texts.other, _found(), "Email", _policy_values())
+
+
+def email_policies(
+    posted: DataFrame,
+    posted_other: DataFrame,
+    policy_billing: DataFrame,
+    customers: DataFrame,
+    products: DataFrame,
+    texts: MailTexts = MailTexts(),
+) -> DataFrame:
+    """The mails of policy payments and of one-off bills; holder and product are looked up once for both."""
+    rows = _of_recurring(posted).withColumn("_other", F.lit(False)).unionByName(
+        _of_other(posted_other).withColumn("_other", F.lit(True))
+    )
     rows = _with_holder(rows, policy_billing, customers, products)
-    kind = F.lit(None).cast("string")
-    for bill_type, text in OTHER_TYPES.items():
-        kind = F.when(F.col("BillingType") == bill_type, F.lit(text)).otherwise(kind)
-    values = {
-        "title": _title("IsLaki"),
-        "name": F.upper("CustomerName"),
-        "product": F.col("product_description"),
-        "policy": F.col("policy_no"),
-        "type": kind,
-    }
-    return _queue(rows, texts, texts.other, _found(), "Email", values)
+    values = _with_common(_policy_values(), texts)
+    subject, body = (
+        F.when(F.col("_other"), _fill(of_other, values)).otherwise(_fill(plain, values))
+        for plain, of_other in zip(texts.recurring, texts.other)
+    )
+    return _queued(rows, texts, subject, body, _found(), "Email")
 
 
 def email_quote(
@@ -162,7 +195,7 @@ def email_quote(
         "quote_id", "Holder_Name", "ref_no", "cashless_fee", "prospect_amount", F.col("product_id").alias("_product"),
         F.lit(True).alias("_bill"),
     )
-    rows = posted_quote.select("id", "quote_id", "Amount", "run_ts")
+    rows = posted_quote.select(*ROW, "quote_id", "Amount", "run_ts")
     rows = rows.join(bills, "quote_id", "left").join(quotes.withColumn("_quote", F.lit(True)), "quote_id", "left")
     goods = products.select(F.col("product_id").alias("_product"), "product_description", F.lit(True).alias("_goods"))
     rows = lookup_join(rows, goods, ["_product"])

@@ -16,6 +16,7 @@ from tallyline.functions.keys import row_key
 from tallyline.functions.skew import lookup_join
 from tallyline.functions.text import blank_to_null, first_filled, null_to_blank
 from tallyline.operators.allocation import claim_others, claim_quotes
+from tallyline.operators.staging import ROW
 
 # Fixed values written to the output tables.
 RECEIPT_CODE = "RP"
@@ -33,6 +34,9 @@ OTHER_NOTES = {
 }
 QUOTE_APPROVAL = "UP4Y1"
 
+# The staged row behind a change.
+CHANGE_ROW = ("stage_file", "stage_id")
+
 
 def _now(run_ts: datetime) -> Column:
     return F.lit(run_ts).cast("timestamp_ntz")
@@ -153,21 +157,31 @@ def policy_notes(posted: DataFrame, posted_other: DataFrame | None = None) -> Da
     return notes.unionByName(posted_other.select(*_note("note_id", "bill_policy_id", message, OTHER_STAFF)))
 
 
-def _account(posted: DataFrame, accounts: DataFrame, number: str, name: str) -> DataFrame:
-    """Attach the policy's own card or account, one per policy."""
-    own = accounts.groupBy(F.col("PolicyId").alias("PolisId")).agg(F.min(F.struct(number, name)).alias("_own"))
+def _with_own(posted: DataFrame, accounts: DataFrame, number: str, name: str, out: str) -> DataFrame:
+    """Attach the policy's own card or account, one per policy, unless the rows have it."""
+    if out in posted.columns:
+        return posted
+    own = accounts.groupBy(F.col("PolicyId").alias("PolisId")).agg(F.min(F.struct(number, name)).alias(out))
     return lookup_join(posted, own, ["PolisId"])
 
 
+def with_card(posted: DataFrame, policy_cc: DataFrame) -> DataFrame:
+    return _with_own(posted, policy_cc, "cc_no", "cc_name", "own_card")
+
+
+def with_account(posted: DataFrame, policy_ac: DataFrame) -> DataFrame:
+    return _with_own(posted, policy_ac, "acc_no", "acc_name", "own_account")
+
+
 def card_tx(posted: DataFrame, policy_cc: DataFrame) -> DataFrame:
     """Card transactions of card-source rows; number and name from the row, the bill or the policy."""
-    rows = _account(posted.where(_source() == "CC"), policy_cc, "cc_no", "cc_name")
+    rows = with_card(posted.where(_source() == "CC"), policy_cc)
     return rows.select(
         F.col("account_tran_id").alias("policy_cc_tran_id"),
         *_transaction_head(),
         F.col("bankid").alias("acquirer_bank_id"),
-        first_filled(F.col("AccNo"), F.col("bill_AccNo"), F.col("_own.cc_no")).alias("cc_no"),
-        first_filled(F.col("AccName"), F.col("bill_AccName"), F.col("_own.cc_name")).alias("cc_name"),
+        first_filled(F.col("AccNo"), F.col("bill_AccNo"), F.col("own_card.cc_no")).alias("cc_no"),
+        first_filled(F.col("AccName"), F.col("bill_AccName"), F.col("own_card.cc_name")).alias("cc_name"),
         F.lit(TRANSACTION_APPROVED).alias("status_id"),
         F.lit(APPROVED_REMARK).alias("remark"),
         "receipt_id",
@@ -178,13 +192,13 @@ def card_tx(posted: DataFrame, policy_cc: DataFrame) -> DataFrame:
 
 def account_tx(posted: DataFrame, policy_ac: DataFrame) -> DataFrame:
     """Account transactions of account-source rows."""
-    rows = _account(posted.where(_source() == "AC"), policy_ac, "acc_no", "acc_name")
+    rows = with_account(posted.where(_source() == "AC"), policy_ac)
     return rows.select(
         F.col("account_tran_id").alias("policy_ac_tran_id"),
         *_transaction_head(),
         F.col("bankid").alias("bank_id"),
-        first_filled(F.col("AccNo"), F.col("bill_AccNo"), F.col("_own.acc_no")).alias("acc_no"),
-        first_filled(F.col("AccName"), F.col("bill_AccName"), F.col("_own.acc_name")).alias("acc_name"),
+        first_filled(F.col("AccNo"), F.col("bill_AccNo"), F.col("own_account.acc_no")).alias("acc_no"),
+        first_filled(F.col("AccName"), F.col("bill_AccName"), F.col("own_account.acc_name")).alias("acc_name"),
         F.lit(TRANSACTION_APPROVED).alias("status_id"),
         "receipt_id",
         F.col("run_ts").alias("created_dt"),
@@ -225,7 +239,7 @@ def updated(table: DataFrame, changes: DataFrame, key: str) -> DataFrame:
 
 def bill_changes(posted: DataFrame, policy_cc: DataFrame) -> DataFrame:
     """What a paid bill becomes. The card of the policy fills account gaps whatever the source."""
-    rows = _account(posted, policy_cc, "cc_no", "cc_name")
+    rows = with_card(posted, policy_cc)
     return rows.select(
         F.col("bill_id").alias("BillingID"),
         F.lit(False).alias("IsDownload"),
@@ -242,8 +256,8 @@ def bill_changes(posted: DataFrame, policy_cc: DataFrame) -> DataFrame:
         F.col("note_id").alias("policy_note_receipt"),
         F.col("fee_note_id").alias("policy_note_receiptOther"),
         F.col("tran_id").alias("PaymentTransactionID"),
-        first_filled(F.col("AccName"), F.col("bill_AccName"), F.col("_own.cc_name")).alias("AccName"),
-        first_filled(F.col("AccNo"), F.col("bill_AccNo"), F.col("_own.cc_no")).alias("AccNo"),
+        first_filled(F.col("AccName"), F.col("bill_AccName"), F.col("own_card.cc_name")).alias("AccName"),
+        first_filled(F.col("AccNo"), F.col("bill_AccNo"), F.col("own_card.cc_no")).alias("AccNo"),
         F.col("run_ts").alias("LastUploadDate"),
         F.lit(SYSTEM_USER).alias("UserUpload"),
     )
@@ -312,9 +326,19 @@ def receipt_other_billing(posted: DataFrame) -> DataFrame:
     )
 
 
+def last_changes(changes: DataFrame, key: str) -> DataFrame:
+    """One change per key: that of the last row of the run, by file and id (map-side aggregation). Changes of a
+    null key fit no row and are left out."""
+    names = [n for n in changes.columns if n not in (key, *CHANGE_ROW)]
+    last = F.max(F.struct(*CHANGE_ROW, F.struct(*names).alias("_new"))).alias("_last")
+    found = changes.where(F.col(key).isNotNull()).groupBy(key).agg(last)
+    return found.select(key, *[F.col(f"_last._new.{n}").alias(n) for n in names])
+
+
 def card_tx_changes(posted: DataFrame) -> DataFrame:
-    """What the card transaction behind a one-off bill becomes."""
+    """What the card transaction behind a one-off bill becomes, with the name of the row that says so."""
     return posted.where(F.col("CoreTranID").isNotNull()).select(
+        *[F.col(n).alias(out) for n, out in zip(ROW, CHANGE_ROW)],
         F.col("CoreTranID").alias("policy_cc_tran_id"),
         F.lit(TRANSACTION_APPROVED).alias("status_id"),
         null_to_blank(F.col("ApprovalCode")).alias("result_status"),
@@ -324,6 +348,12 @@ def card_tx_changes(posted: DataFrame) -> DataFrame:
     )
 
 
+def apply_card_tx_changes(transactions: DataFrame, changes: DataFrame) -> DataFrame:
+    """Card transactions (keyed by ``policy_cc_tran_id``, whatever their other columns) after the changes: each
+    takes the last one of its key. Several bills may name one transaction; changes of unknown ones do nothing."""
+    return updated(transactions, last_changes(changes, "policy_cc_tran_id"), "policy_cc_tran_id")
+
+
 def close_billing_others(billing_others: DataFrame, posted: DataFrame) -> DataFrame:
     table = schemas.with_columns_of(billing_others, schemas.OTHER_PAYMENT)
     changes = posted.select(
@@ -361,9 +391,32 @@ def ledger_quote(posted: DataFrame) -> DataFrame:
     return _ledger_of_claims(posted, F.lit(None).cast("bigint"))
 
 
+# Which columns of a quote change go to which table, and under which name.
+QUOTE_TABLES = {
+    "quote": {"quote_status": "quote_status", "quote_submitted_dt": "quote_submitted_dt"},
+    "prospect": {
+        "prospect_convert_flag": "prospect_convert_flag", "prospect_appr_code": "prospect_appr_code",
+        "updated_dt": "updated_dt", "acquirer_bank_id": "acquirer_bank_id",
+    },
+    "quote_terminal": {"status_id": "status_id", "reason": "reason", "appr_code": "appr_code"},
+}
+
+
+def apply_quote_changes(tables: dict[str, DataFrame], changes: DataFrame) -> dict[str, DataFrame]:
+    """Quotes, prospects and terminal rows (``QUOTE_TABLES``; all keyed by ``quote_id``) after the changes of
+    posted quotes. One change row serves all three; a quote may have several prospects or none."""
+    last = last_changes(changes, "quote_id")
+    made = {}
+    for name, columns in QUOTE_TABLES.items():
+        own = last.select("quote_id", *[F.col(n).alias(to) for n, to in columns.items()])
+        made[name] = updated(tables[name], own, "quote_id")
+    return made
+
+
 def quote_changes(posted: DataFrame) -> DataFrame:
     """New column values of the quote, its prospect and its terminal row, one row per posted quote."""
     return posted.select(
+        *[F.col(n).alias(out) for n, out in zip(ROW, CHANGE_ROW)],
         "quote_id",
         F.lit(PAID).alias("quote_status"),
         F.col("run_ts").alias("quote_submitted_dt"),

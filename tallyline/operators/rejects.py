@@ -59,7 +59,8 @@ def ledger_rejected(
 ) -> DataFrame:
     """Ledger rows of rejected rows with a bill: of one file, or of all files with a control row.
 
-    Besides the ledger columns a row carries ``stage_id``, ``source`` and ``bankid`` for the bills.
+    Besides the ledger columns a row carries its own name (``stage_file``, ``stage_id``), and ``source`` and
+    ``bankid`` for the bills.
     """
     rows = rejects.where(~F.col("IsExec") & ~F.col("IsSukses") & F.col("BillingID").isNotNull())
     if file_id is not None:
@@ -82,6 +83,7 @@ def ledger_rejected(
         F.col("AccNo").alias("accNo"),
         F.col("AccName").alias("accName"),
         F.lit(run_ts).cast("timestamp_ntz").alias("DateInsert"),
+        F.col("FileName").alias("stage_file"),
         F.col("id").alias("stage_id"),
         "source",
         "bankid",
@@ -94,8 +96,8 @@ def ledger_columns(ledger: DataFrame) -> DataFrame:
 
 
 def _last_word(ledger: DataFrame, code: str, bill: Column, key: str) -> DataFrame:
-    """One ledger row per bill: that of the lowest staging id (map-side aggregation)."""
-    first = F.min_by(F.struct("tran_id", "source", "bankid", "DateInsert"), "stage_id").alias("_l")
+    """One ledger row per bill: that of the first staged row, by file and id (map-side aggregation)."""
+    first = F.min(F.struct("stage_file", "stage_id", "tran_id", "source", "bankid", "DateInsert")).alias("_l")
     return ledger.where(F.col("BillCode") == code).groupBy(bill.alias(key)).agg(first).where(F.col(key).isNotNull())
 
 

@@ -167,15 +167,19 @@ def route_approved(pool: DataFrame) -> DataFrame:
     )
 
 
+# What names a staged row. Ids repeat from file to file; in a file they tell its lines (or its worksheets and
+# their rows) apart. Ties in any order of rows are broken by it.
+ROW = ("FileName", "id")
+
+
 def row_keys(rows: DataFrame) -> DataFrame:
-    """What names a staged row: its file and its id. Rows that lost their file name go by id alone."""
-    file_name = F.col("FileName") if "FileName" in rows.columns else F.lit(None).cast("string")
-    return rows.select(F.col("id").alias("_row_id"), file_name.alias("_row_file")).distinct()
+    """The names of rows. A null file name is a file of its own."""
+    return rows.select(F.col("id").alias("_row_id"), F.col("FileName").alias("_row_file")).distinct()
 
 
 def same_row() -> Column:
-    """Join condition of staged rows and ``row_keys``: ids repeat from file to file."""
-    return (F.col("id") == F.col("_row_id")) & F.coalesce(F.col("FileName") == F.col("_row_file"), F.lit(True))
+    """Join condition of staged rows and ``row_keys``."""
+    return F.col("id").eqNullSafe(F.col("_row_id")) & F.col("FileName").eqNullSafe(F.col("_row_file"))
 
 
 def without_rows(staged: DataFrame, rows: DataFrame) -> DataFrame:

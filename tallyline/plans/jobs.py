@@ -119,6 +119,9 @@ def _tables(store: Store) -> steps.Tables:
         customers=store.current("customer_info"),
         products=store.current("product"),
         quotes=store.current("quote"),
+        card_transactions=store.current("card_transaction"),
+        prospects=store.current("prospect"),
+        quote_terminals=store.current("quote_terminal"),
     )
 
 
@@ -157,8 +160,9 @@ def execute(
         outputs = dict(steps.post_approved(claims, tables, texts).items())
         # the paid bills are few and stored; the snapshot they lead to stays a plan until the end
         outputs["bill_changes"] = posting.bill_changes(claims.recurring, tables.policy_cc)
-        changes = write_all(outputs)["bill_changes"]
-        staged, bills, others, quotes = steps.state_after_approval(staged, claims, tables, changes)
+        done = write_all(outputs)
+        write_all(steps.transactions_after_approval(done, tables))
+        staged, bills, others, quotes = steps.state_after_approval(staged, claims, tables, done["bill_changes"])
         tables = replace(tables, billing=bills, billing_others=others, quote_billing=quotes, new_bills=None)
     if plan.do_reject:
         rejected = steps.post_rejected(staged, tables, run_ts, file_id, policy)

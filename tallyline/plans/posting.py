@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tallyline.functions.skew import DEFAULT, SkewPolicy
 from tallyline.operators import allocation, errors, notify, posting, rejects
-from tallyline.operators.staging import mark_executed, route_approved
+from tallyline.operators.staging import ROW, mark_executed, route_approved
 from tallyline.session import materialize
 
 
@@ -30,6 +30,10 @@ class Tables:
     products: DataFrame
     quotes: DataFrame
     new_bills: DataFrame | None = None
+    # what applied changes lead to; only the jobs need them
+    card_transactions: DataFrame | None = None
+    prospects: DataFrame | None = None
+    quote_terminals: DataFrame | None = None
 
 
 @dataclass
@@ -37,7 +41,7 @@ class Claims:
     """What the approved rows pay: the only expensive part, worth materializing before its many uses."""
 
     routed: DataFrame  # one-off and quote rows with their route
-    allocated: DataFrame  # policy rows with their bill, or none
+    allocated: DataFrame  # policy rows with their bill, or none, and the policy's own card and account
     recurring: DataFrame
     other: DataFrame
     quote: DataFrame
@@ -48,7 +52,6 @@ class Claims:
         allocated = materialize(self.allocated)
         return replace(
             self,
-            routed=materialize(self.routed),
             allocated=allocated,
             recurring=posting.recurring_posting(allocated, self.run_ts),
             other=materialize(self.other),
@@ -76,11 +79,13 @@ class Approved:
 def claim(
     pool: DataFrame, tables: Tables, run_ts: datetime, policy: SkewPolicy = DEFAULT
 ) -> Claims:
-    """Pair the pool (with header) with open bills and quotes."""
-    routed = route_approved(pool)
+    """Pair the pool (with header) with open bills and quotes. The routed pool is stored: it is read by the search
+    for heavy policies, by both pairings and by the errors."""
+    routed = materialize(route_approved(pool))
     policy_rows = routed.where(F.col("route") == "recurring")
     others = routed.where(F.col("route") != "recurring")
     allocated = allocation.allocate_approved(policy_rows, tables.billing, tables.new_bills, policy)
+    allocated = posting.with_account(posting.with_card(allocated, tables.policy_cc), tables.policy_ac)
     return Claims(
         routed=others,
         allocated=allocated,
@@ -91,8 +96,13 @@ def claim(
     )
 
 
-def posted_ids(claims: Claims) -> DataFrame:
-    return claims.recurring.select("id").unionByName(claims.other.select("id")).unionByName(claims.quote.select("id"))
+def posted_claims(claims: Claims) -> DataFrame:
+    """Names of the one-off and quote rows that were posted."""
+    return claims.other.select(*ROW).unionByName(claims.quote.select(*ROW))
+
+
+def posted_rows(claims: Claims) -> DataFrame:
+    return claims.recurring.select(*ROW).unionByName(posted_claims(claims))
 
 
 def post_approved(
@@ -112,12 +122,9 @@ def post_approved(
         account_tx=posting.account_tx(recurring, tables.policy_ac),
         card_tx_changes=posting.card_tx_changes(other),
         quote_changes=posting.quote_changes(quote),
-        emails=notify.email_recurring(recurring, *people, texts)
-        .unionByName(notify.email_other(other, *people, texts))
+        emails=notify.email_policies(recurring, other, *people, texts)
         .unionByName(notify.email_quote(quote, tables.quote_billing, tables.quotes, tables.products, texts)),
-        errors=errors.post_errors(
-            claims.allocated, claims.routed, other.select("id").unionByName(quote.select("id"))
-        ),
+        errors=errors.post_errors(claims.allocated, claims.routed, posted_claims(claims)),
     )
 
 
@@ -132,13 +139,26 @@ def state_after_approval(staged: DataFrame, claims: Claims, tables: Tables, bill
     if bill_changes is None:
         bill_changes = posting.bill_changes(claims.recurring, tables.policy_cc)
     return (
-        mark_executed(staged, posted_ids(claims)),
+        mark_executed(staged, posted_rows(claims)),
         posting.updated(bills, bill_changes, "BillingID"),
         posting.close_billing_others(tables.billing_others, claims.other),
         posting.close_quotes(tables.quote_billing, claims.quote),
     )
 
 
+def transactions_after_approval(outputs: dict[str, DataFrame], tables: Tables) -> dict[str, DataFrame]:
+    """The tables that the run's new rows and changes lead to: card transactions, quotes, prospects, terminals."""
+    key = F.col("policy_cc_tran_id").cast("string")
+    new, changes = (outputs[name].withColumn("policy_cc_tran_id", key) for name in ("card_tx", "card_tx_changes"))
+    transactions = tables.card_transactions.withColumn("policy_cc_tran_id", key)
+    changed = posting.apply_card_tx_changes(transactions, changes)
+    quotes = {"quote": tables.quotes, "prospect": tables.prospects, "quote_terminal": tables.quote_terminals}
+    return {
+        "card_transaction": changed.unionByName(new, allowMissingColumns=True),
+        **posting.apply_quote_changes(quotes, outputs["quote_changes"]),
+    }
+
+
 @dataclass
 class Rejected:
     staged: DataFrame  # the rejected rows with bill and reason

@@ -72,7 +72,7 @@ def rejected_file(rows: DataFrame, file_id: int) -> DataFrame:
     if layout in SHEET_LAYOUTS:
         found = rejected_cells(rows, SHEET_LAYOUTS[layout])
         shown = F.concat_ws("|", *[F.coalesce(f"c{i}", F.lit("")) for i in range(1, 11)])
-        return found.select(F.col("row_no").alias("id"), "FileName", shown.alias("value"), "reason")
+        return found.select("id", "FileName", shown.alias("value"), "reason")
     if layout != "va_auto":
         return rejected_lines(rows, FIXED_LAYOUTS[layout])
     parsed = ingest_va_auto(rows).select(F.col("id").alias("_id"), F.col("FileName").alias("_file"))

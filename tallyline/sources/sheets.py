@@ -10,6 +10,17 @@ from pyspark.sql import functions as F
 
 from tallyline import schemas
 from tallyline.functions import text as t
+from tallyline.functions.skew import lookup_join
+
+
+BAD_AMOUNT = "bad amount"
+# A row id is worksheet | row: the first worksheet's ids are its row numbers.
+SHEET_BITS = 40
+
+
+def cell_id() -> Column:
+    """What names a row in its file. Worksheets number their rows apart, so the row number alone does not."""
+    return F.shiftleft(F.col("sheet_no").cast("bigint") - 1, SHEET_BITS) + F.col("row_no").cast("bigint")
 
 
 def cell(number: int) -> Column:
@@ -39,6 +50,16 @@ class SheetSpec:
             test = test & t.parse_amount(F.col(f"c{number}")).isNotNull()
         return test
 
+    def fault(self) -> Column:
+        """Why a row of this worksheet can't be used: the first rule it breaks, NULL if none."""
+        reason = F.when(self.parsed_amount().isNull(), F.lit(BAD_AMOUNT))
+        for number in reversed(self.numeric):
+            bad = t.parse_amount(F.col(f"c{number}")).isNull()
+            reason = F.when(bad, F.lit(f"cell {number} is not a number")).otherwise(reason)
+        for number in sorted({*self.filled, *self.broken}, reverse=True):
+            reason = F.when(F.col(f"c{number}").isNull(), F.lit(f"cell {number} is empty")).otherwise(reason)
+        return reason
+
     def parsed_amount(self) -> Column:
         return t.parse_amount(F.col(f"c{self.amount}"))
 
@@ -141,14 +162,19 @@ def ingest_sheet(cells: DataFrame, layout: tuple[SheetSpec, ...]) -> DataFrame:
     for sheet in layout:
         fields = F.struct(*[c.alias(n) for n, c in sheet.columns().items()])
         parsed = F.when(sheet.usable() & sheet.whole(), F.array(fields)).otherwise(parsed)
-    rows = cells.select(F.col("row_no").alias("id"), "FileName", F.inline(parsed))
+    rows = cells.select(cell_id().alias("id"), "FileName", F.inline(parsed))
     return schemas.conform(rows.where(F.col("Amount").isNotNull()), schemas.PARSED)
 
 
 def rejected_cells(cells: DataFrame, layout: tuple[SheetSpec, ...]) -> DataFrame:
-    """Rows that pass every test but miss a cell the layout reads unchecked."""
+    """Rows that ``ingest_sheet`` leaves out, with their ``id`` and the reason: the worksheet, or the first rule
+    they break. Title rows are left out here too: a worksheet's first row, if its amount cell holds no amount."""
     cells = schemas.with_columns_of(cells, schemas.CELLS)
-    faulty = F.lit(False)
+    reason = F.lit("unknown worksheet")
     for sheet in layout:
-        faulty = faulty | (sheet.usable() & sheet.parsed_amount().isNotNull() & ~sheet.whole())
-    return cells.where(faulty).withColumn("reason", F.lit("empty cell"))
+        reason = F.when(F.col("sheet_no") == sheet.sheet_no, sheet.fault()).otherwise(reason)
+    faulty = cells.withColumn("id", cell_id()).withColumn("reason", reason).where(F.col("reason").isNotNull())
+    first = cells.groupBy("FileName", "sheet_no").agg(F.min("row_no").alias("_first"))
+    marked = lookup_join(faulty, first, ["FileName", "sheet_no"])
+    title = (F.col("reason") == BAD_AMOUNT) & (F.col("row_no") == F.col("_first"))
+    return marked.where(~F.coalesce(title, F.lit(False))).drop("_first")

@@ -17,6 +17,10 @@ def stage(spark, *data, columns="id bigint, PolisNo string"):
     return as_staging(spark.createDataFrame(list(data), columns))
 
 
+def with_columns(spark, *data, columns):
+    return spark.createDataFrame(list(data), columns)
+
+
 def quotes(spark, *data):
     return spark.createDataFrame(list(data), "quote_id bigint, ref_no string, status string")
 
@@ -100,8 +104,8 @@ def test_normalize(spark):
 
 def test_two_payments_for_one_bill(spark):
     pool = spark.createDataFrame(
-        [(2, "A", "A1", 5.0), (1, "A", "A1", 9.0), (3, "Q", "A1", 1.0), (4, "A", "A2", 1.0)],
-        "id bigint, BillCode string, BillingID string, Amount double",
+        [("f", 2, "A", "A1", 5.0), ("f", 1, "A", "A1", 9.0), ("f", 3, "Q", "A1", 1.0), ("f", 4, "A", "A2", 1.0)],
+        "FileName string, id bigint, BillCode string, BillingID string, Amount double",
     )
     assert rows(allocation.first_claim(pool).select("id", "BillingID")) == [(1, "A1"), (3, "A1"), (4, "A2")]
 
@@ -154,6 +158,7 @@ def test_download_cleared(spark):
 def test_money_is_conserved(spark, sf):
     """Receipts and fees add up to the payments; every bill is used once; rejects stay off paid bills."""
     from checks.registry import Run
+    from tallyline.plans import posting as plans
 
     run = Run(spark, sf)
     posted = run.recurring.where("cashless_fee_amount is not null")
@@ -168,9 +173,7 @@ def test_money_is_conserved(spark, sf):
     pooled = run.pool.count()
     skipped = claims.routed.where("route = 'skipped_va'").count()
     done = claims.recurring.count() + claims.other.count() + claims.quote.count()
-    failed = errors.post_errors(
-        claims.allocated, claims.routed, claims.other.select("id").unionByName(claims.quote.select("id"))
-    ).count()
+    failed = errors.post_errors(claims.allocated, claims.routed, plans.posted_claims(claims)).count()
     assert pooled == done + failed + skipped
     closed = posting.close_bills(tables.billing, claims.recurring, tables.policy_cc)
     rejected = allocation.allocate_rejected(run.mapped, closed).where("BillingID is not null")
@@ -181,7 +184,7 @@ def test_money_is_conserved(spark, sf):
 def test_mail_without_addressee_is_queued_empty(spark):
     from tallyline.operators import notify
 
-    posted = spark.createDataFrame([(1, 5, Decimal("1500"), NOW)], "id bigint, PolisId bigint, Amount decimal(18,2), run_ts timestamp_ntz")
+    posted = spark.createDataFrame([("f", 1, 5, Decimal("1500"), NOW)], "FileName string, id bigint, PolisId bigint, Amount decimal(18,2), run_ts timestamp_ntz")
     policies = spark.createDataFrame([], "policy_id bigint, policy_no string, holder_id bigint, product_id bigint")
     people = spark.createDataFrame([], "CustomerId bigint, CustomerName string, IsLaki boolean, Email string")
     goods = spark.createDataFrame([], "product_id bigint, product_description string")
@@ -192,7 +195,7 @@ def test_mail_without_addressee_is_queued_empty(spark):
 def test_null_names_of_a_found_customer_are_blank(spark):
     from tallyline.operators import notify
 
-    posted = spark.createDataFrame([(1, 5, Decimal("1500"), NOW)], "id bigint, PolisId bigint, Amount decimal(18,2), run_ts timestamp_ntz")
+    posted = spark.createDataFrame([("f", 1, 5, Decimal("1500"), NOW)], "FileName string, id bigint, PolisId bigint, Amount decimal(18,2), run_ts timestamp_ntz")
     policies = spark.createDataFrame([(5, "P5", 3, 4)], "policy_id bigint, policy_no string, holder_id bigint, product_id bigint")
     people = spark.createDataFrame([(3, None, None, None)], "CustomerId bigint, CustomerName string, IsLaki boolean, Email string")
     goods = spark.createDataFrame([(4, None)], "product_id bigint, product_description string")
@@ -224,3 +227,59 @@ def test_equal_ids_in_two_files(spark):
         (1, "a.txt", False), (1, "b.txt", True), (2, "a.txt", False)
     ]
     assert rows(staging.without_rows(staged, posted).select("id", "FileName")) == [(1, "a.txt"), (2, "a.txt")]
+
+
+def test_equal_ids_in_two_files_post_and_fail_apart(spark):
+    """Row 1 of two files: one is posted, the other finds its bill paid and is reported."""
+    columns = "id bigint, FileName string, BillCode string, BillingID string, PolisNo string, trancode string, IsSukses boolean, route string"
+    pool = with_columns(
+        spark, (1, "a.txt", "A", "A1", "p", "T", True, "other"), (1, "b.txt", "A", "A1", "p", "T", True, "other"),
+        (2, "b.txt", "A", "A2", "p", "T", True, "other"), columns=columns,
+    )
+    claimed = allocation.first_claim(pool)
+    assert rows(claimed.select("BillingID", "FileName", "id")) == [("A1", "a.txt", 1), ("A2", "b.txt", 2)]
+    none = spark.createDataFrame(
+        [], "FileName string, id bigint, trancode string, PolisNo string, IsSukses boolean, PolisId bigint, bill_id bigint"
+    )
+    found = errors.post_errors(none, pool, claimed)
+    assert rows(found.select("FileName", "id")) == [("b.txt", 1)]
+
+
+def test_equal_ids_break_ties_by_file(spark):
+    """Equal amounts and ids: the file decides which payment gets the first bill."""
+    pool = with_columns(spark, (1, "b.txt", 7, 5), (1, "a.txt", 7, 5), columns="id bigint, FileName string, PolisId bigint, Amount int")
+    bills = spark.createDataFrame(
+        [(10, 7, 1), (11, 7, 2)], "BillingID bigint, policy_id bigint, recurring_seq int"
+    ).selectExpr(
+        "*", "'A' as status_billing", "5 as TotalAmount", "0 as cashless_fee_amount", "1 as freq_payment",
+        "date '2024-01-01' as due_dt_pre", "'' as AccNo", "'' as AccName", "date '2024-01-01' as BillingDate",
+    )
+    paid = allocation.allocate_approved(pool, bills)
+    assert rows(paid.select("FileName", "bill_id")) == [("a.txt", 10), ("b.txt", 11)]
+
+
+def test_the_last_change_of_a_transaction_counts(spark):
+    known = spark.createDataFrame([(1, 1, "x"), (2, 1, "x"), (3, 1, "x")], "policy_cc_tran_id bigint, status_id int, other string")
+    changes = spark.createDataFrame(
+        [("a.txt", 9, 1, 2, "r1"), ("b.txt", 1, 1, 2, "r2"), ("a.txt", 1, 2, 2, "r3"), ("a.txt", 2, None, 2, "r4"), ("a.txt", 3, 8, 2, "r5")],
+        "stage_file string, stage_id bigint, policy_cc_tran_id bigint, status_id int, receipt_other_id string",
+    )
+    found = posting.apply_card_tx_changes(known, changes)
+    assert rows(found) == [(1, 2, "x", "r2"), (2, 2, "x", "r3"), (3, 1, "x", None)]
+    assert rows(posting.apply_card_tx_changes(known, changes.limit(0)).select("policy_cc_tran_id", "status_id")) == [(1, 1), (2, 1), (3, 1)]
+
+
+def test_one_quote_change_reaches_three_tables(spark):
+    tables = {
+        "quote": spark.createDataFrame([(1, "A"), (2, "A")], "quote_id bigint, quote_status string"),
+        "prospect": spark.createDataFrame([(1, 1, 1), (1, 2, 1), (2, 1, 1)], "quote_id bigint, no int, prospect_convert_flag int"),
+        "quote_terminal": spark.createDataFrame([(2, 0, "late")], "quote_id bigint, status_id int, reason string"),
+    }
+    posted = spark.createDataFrame([("a.txt", 1, 1, 7)], "FileName string, id bigint, quote_id bigint, bankid int")
+    changes = posting.quote_changes(posted.withColumn("run_ts", F.lit(NOW).cast("timestamp_ntz")))
+    done = posting.apply_quote_changes(tables, changes)
+    assert rows(done["quote"].select("quote_id", "quote_status")) == [(1, "P"), (2, "A")]
+    assert rows(done["prospect"].select("quote_id", "no", "prospect_convert_flag", "acquirer_bank_id")) == [
+        (1, 1, 2, 7), (1, 2, 2, 7), (2, 1, 1, None)
+    ]
+    assert rows(done["quote_terminal"]) == [(2, 0, "late", None)]

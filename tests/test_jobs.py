@@ -19,6 +19,9 @@ TABLES = {
     "billing_others": "fx_billing_others",
     "quote_billing": "fx_quote_billing",
     "quote": "fx_quote",
+    "prospect": "fx_prospect",
+    "quote_terminal": "fx_quote_terminal",
+    "card_transaction": "fx_card_transaction",
     "reason_map": "fx_reason_map",
     "policy_cc": "fx_policy_cc",
     "policy_ac": "fx_policy_ac",

@@ -147,11 +147,33 @@ def test_sheets(spark):
         "row_no bigint, FileName string, sheet_no int, " + ", ".join(f"c{i} string" for i in range(1, 11)),
     )
     found = sheets.ingest_sheet(cells, sheets.CARD_SHEET_A).orderBy("id").collect()
+    second = 1 << 40  # worksheets number their rows apart
     assert [(r.id, r.PolisNo, r.ApprovalCode, r.Deskripsi, r.IsSukses) for r in found] == [
         (1, "POL", "OK1", None, True),
-        (2, "POL", "", "a b c", False),
+        (second + 2, "POL", "", "a b c", False),
     ]
-    assert [r.row_no for r in sheets.rejected_cells(cells, sheets.CARD_SHEET_A).collect()] == [3]
+    left = sheets.rejected_cells(cells, sheets.CARD_SHEET_A).select("id", "reason")
+    assert rows(left) == sorted(
+        [(4, "cell 2 is empty"), (2 * second + 5, "unknown worksheet"), (second + 3, "cell 6 is empty")], key=str
+    )
+
+
+@pytest.mark.parametrize("layout", sheets.SHEET_LAYOUTS)
+def test_a_sheet_loses_only_its_title_rows(spark, sf, layout):
+    """Staged and rejected rows together are all rows but the titles, each under its own id."""
+    from checks.fixtures import view
+
+    cells = view(spark, sf, f"fx_cells_{layout}")
+    staged = sheets.ingest_sheet(cells, sheets.SHEET_LAYOUTS[layout]).select("FileName", "id")
+    left = sheets.rejected_cells(cells, sheets.SHEET_LAYOUTS[layout])
+    assert left.where("reason is null").isEmpty() and not left.isEmpty()
+    every = staged.unionByName(left.select("FileName", "id"))
+    titles = cells.groupBy("FileName", "sheet_no").agg(F.min("row_no").alias("row_no")).join(
+        cells, ["FileName", "sheet_no", "row_no"], "left_semi"
+    )
+    missing = cells.withColumn("id", sheets.cell_id()).join(every, ["FileName", "id"], "left_anti")
+    assert missing.select("FileName", "sheet_no", "row_no").subtract(titles.select("FileName", "sheet_no", "row_no")).isEmpty()
+    assert every.distinct().count() == every.count() == cells.count() - missing.count()
 
 
 def test_one_file_parses_as_in_the_mixed_pass(spark, sf):

@@ -21,7 +21,7 @@ def payments(spark):
         (i, 7 if i % 3 == 0 else rnd.randint(10, 200), float(rnd.choice([10, 10, 10, 25, 99.5]))) for i in range(3000)
     ]
     df = spark.createDataFrame(data, "id bigint, PolisId bigint, Amount double")
-    return df.withColumn("Amount", F.col("Amount").cast("decimal(18,2)"))
+    return df.withColumns({"Amount": F.col("Amount").cast("decimal(18,2)"), "FileName": F.lit("a.txt")})
 
 
 @pytest.fixture(scope="module")
@@ -69,7 +69,7 @@ def test_allocation_equals_the_loop_with_and_without_heavy_policies(spark, payme
 
 
 def test_heavy_key_is_cut_into_slices(spark, payments):
-    hot = skew.find_hot(payments, "PolisId", policy=TIGHT)
+    hot = skew.find_hot(payments, "PolisId", ["id"], TIGHT)
     assert [r.PolisId for r in hot.table.collect()] == [7]
     plain = skew.rank_rows(payments, "PolisId", ["Amount", "id"])
     split = skew.rank_rows(payments, "PolisId", ["Amount", "id"], hot=hot)
@@ -78,12 +78,12 @@ def test_heavy_key_is_cut_into_slices(spark, payments):
 
 def test_every_heavy_key_is_found(spark):
     many = spark.range(5000 * 3).selectExpr("id", "id % 5000 as PolisId")
-    hot = skew.find_hot(many, "PolisId", policy=skew.SkewPolicy(hot_rows=3, sample=1))
+    hot = skew.find_hot(many, "PolisId", ["id"], skew.SkewPolicy(hot_rows=3, sample=1))
     assert hot.table.count() == 5000
 
 
 def test_no_heavy_key_keeps_the_plain_window(spark, payments):
-    assert skew.find_hot(payments, "PolisId").table is None
+    assert skew.find_hot(payments, "PolisId", ["id"]).table is None
 
 
 def test_surplus_only_and_new_bills(spark, payments, bills):
