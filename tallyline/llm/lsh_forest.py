@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from tallyline.functions.skew import lookup_join
 from tallyline.llm.common import stored, whole
-from tallyline.llm.components import components
+from tallyline.llm.components import components, forest
 
 WIDTH = 5  # words of a shingle
 PERCENT = 85  # least similarity of a link
@@ -148,20 +148,6 @@ def _signer() -> Callable[[Batches], Batches]:
 # --- candidates ------------------------------------------------------------------------------
 
 
-def forest(size: int, one: np.ndarray, other: np.ndarray) -> np.ndarray:
-    """For each of ``size`` things the least one that the pairs connect it with."""
-    root = np.arange(size)
-    while True:
-        a, b = root[one], root[other]
-        apart = a != b
-        if not apart.any():
-            return root
-        one, other, a, b = one[apart], other[apart], a[apart], b[apart]
-        np.minimum.at(root, np.maximum(a, b), np.minimum(a, b))
-        while (root[root] != root).any():
-            root = root[root]
-
-
 def edges_of(nodes: np.ndarray, one: np.ndarray, other: np.ndarray) -> pa.RecordBatch:
     """Edges from each connected node to the least one it is connected with."""
     root = forest(len(nodes), one, other)
