@@ -34,8 +34,10 @@ from tallyline.functions.skew import lookup_join
 from tallyline.llm.common import stored, whole
 
 PART = 400_000  # phrases of a trie (up to 40 bytes each, and about 20 for the trie)
+TOGETHER = 100_000  # codes a task handles at once
 GATHERED = 1 << 19  # positions a task gathers before it counts them
 WORDS = 100_000  # words a task remembers or counts before it passes them on
+ROW = 512  # codes of a stored row, up to the next break; Spark hands rows to tasks by their number
 CANDIDATES = 1_000_000  # distinct candidates a task holds before it lowers their counts or reports them
 SEED = 42  # of Spark's xxhash64
 UPPER, LOWER = bytes(range(0x41, 0x5B)), bytes(range(0x61, 0x7B))
@@ -203,31 +205,45 @@ class Codes(dict):
 
 
 def _coder(salt: int) -> Callable[[Batches], Batches]:
-    """Packed codes of several texts each, a 0 after each piece and text."""
+    """Packed codes with a 0 after each piece and text, in rows of about ``ROW`` codes that end with a 0."""
+
+    def rows(held: list[np.ndarray]) -> pa.RecordBatch:
+        codes = np.concatenate(held)
+        breaks = np.flatnonzero(codes == 0)
+        cuts = np.unique(breaks[np.searchsorted(breaks, np.arange(ROW, len(codes), ROW))] + 1)
+        parts = [part.tobytes() for part in np.split(codes, cuts) if len(part)]
+        return pa.RecordBatch.from_arrays([pa.array(parts, pa.binary())], names=["codes"])
 
     def run(batches: Batches) -> Batches:
         known: dict[str, Codes] = {}
-        held, size = [], 0
+        held, size, end = [], 0, np.zeros(1, dtype=np.uint64)
         for batch in batches:
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1)):
                 codes = known.setdefault(lang, Codes(lang, salt))
                 found = tokens(text.as_py())
-                held.append(np.fromiter(map(codes.__getitem__, found), dtype=np.uint64, count=len(found)).tobytes())
-                held.append(bytes(8))
+                held += [np.fromiter(map(codes.__getitem__, found), dtype=np.uint64, count=len(found)), end]
                 size += len(found)
-                if size >= 200_000:
-                    yield pa.RecordBatch.from_arrays([pa.array([b"".join(held)], pa.binary())], names=["codes"])
+                if size >= TOGETHER:
+                    yield rows(held)
                     held, size = [], 0
         if held:
-            yield pa.RecordBatch.from_arrays([pa.array([b"".join(held)], pa.binary())], names=["codes"])
+            yield rows(held)
 
     return run
 
 
 def codes_of(batches: Batches) -> Iterator[np.ndarray]:
+    """The codes of several rows at a time."""
+    held, size = [], 0
     for batch in batches:
         for packed in batch.column(0):
-            yield np.frombuffer(packed.as_py(), dtype=np.int64)
+            held.append(packed.as_py())
+            size += len(held[-1])
+            if size >= 8 * TOGETHER:
+                yield np.frombuffer(b"".join(held), dtype=np.int64)
+                held, size = [], 0
+    if held:
+        yield np.frombuffer(b"".join(held), dtype=np.int64)
 
 
 def columns(words: int) -> list[str]:
