@@ -422,6 +422,10 @@ COUNTS = """cast(count(*) filter (where IsSukses and {m}) as bigint) as count_ap
     m="coalesce(cast(PolisId as varchar), BillingID) is not null and BillCode is not null"
 )
 
+# The lines of one file, numbered in order; file number 12 in the bits above the line number.
+NUMBERED = """(select * replace (row_number() over (order by id) + (12::bigint << 55) as id)
+    from fx_lines_acct_fixed_b where FileName = 'bank_12.txt')"""
+
 FINAL: dict[str, str] = {f"ingest_{name}": parse(name, f"fx_lines_{name}") for name in PARSE} | {
     "ingest_card_sheet_a": sheet_a("fx_cells_card_sheet_a"),
     "ingest_card_sheet_b": sheet_b("fx_cells_card_sheet_b"),
@@ -433,6 +437,7 @@ FINAL: dict[str, str] = {f"ingest_{name}": parse(name, f"fx_lines_{name}") for n
         when {amount(f(634, 40))} is null then 'bad amount' else 'account block without slash' end as reason
         from fx_lines_acct_fixed_b
         where length(value) < 720 or {amount(f(634, 40))} is null or not contains({f(306, 244)}, '/')""",
+    "read_lines": f"""select id, FileName, PolisNo, Amount, IsSukses from ({parse('acct_fixed_b', NUMBERED)})""",
     "clean_description": f"select row_no as id, {CLEAN.format('c6')} as Deskripsi from fx_cells_card_sheet_b",
     "scan_tables": " union all ".join(
         f"select '{n}' as table_name, count(*) as row_count from {n}" for n in ("nation", "customer", "part", "orders", "events")

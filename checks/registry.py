@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from dataclasses import replace
 from functools import cached_property, reduce
@@ -15,8 +16,8 @@ from tallyline import schemas
 from tallyline.functions.text import clean_description
 from tallyline.operators import allocation, control, errors, mapping, notify, posting, rejects, staging
 from tallyline.plans import posting as plans
-from tallyline.session import configure, materialize
-from tallyline.sources import dispatch, fixed_width, sheets
+from tallyline.session import configure, materialize, shared_folder
+from tallyline.sources import dispatch, fixed_width, sheets, tables
 
 BRAND = notify.MailTexts(brand="ACME", bcc="archive@example.org", **MAIL_TEMPLATES)
 FILE = 4  # the file of queries about one file
@@ -198,6 +199,16 @@ def clean_description_(r: Run) -> DataFrame:
 QUERIES["clean_description"] = QUERIES.pop("clean_description_")
 
 
+@query
+def read_lines(r: Run) -> DataFrame:
+    """A result file as it lands: lines in order, read back over several splits and parsed."""
+    folder = f"{shared_folder(r.spark)}/tallyline/landing-{uuid.uuid4().hex}"
+    written = r.t("fx_lines_acct_fixed_b").where(F.col("FileName") == "bank_12.txt")
+    written.orderBy("id").coalesce(1).select("value").write.text(folder)
+    lines = tables.read_lines(r.spark, folder, file_no=12).withColumn("FileName", F.lit("bank_12.txt"))
+    return fixed_width.ingest_fixed(lines, fixed_width.ACCT_FIXED_B).select("id", "FileName", "PolisNo", "Amount", "IsSukses")
+
+
 @query
 def scan_tables(r: Run) -> DataFrame:
     counts = [

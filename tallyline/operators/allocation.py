@@ -15,6 +15,7 @@ from tallyline.functions.skew import (
     rank_rows,
 )
 from tallyline.operators.staging import ROW
+from tallyline.session import materialize
 
 # Fixed value: status of a bill or quote that can still be paid.
 OPEN = ("A", "C")
@@ -75,7 +76,8 @@ def allocate_approved(
 
     This is what paying the rows one after another gives, each taking the lowest open bill and
     closing it. Rows beyond the last open bill keep a NULL ``bill_id``. ``new_bills`` are bills made
-    up front for policies that run out.
+    up front for policies that run out. The pool is read twice, by the search for heavy policies and by the
+    pairing, so a pool that takes joins to make is better stored before.
     """
     if new_bills is not None:
         bills = bills.select(*new_bills.columns).unionByName(new_bills)
@@ -98,7 +100,7 @@ def reject_open_bills(staged: DataFrame, bills: DataFrame) -> DataFrame:
 
 
 def rank_reject_bills(staged: DataFrame, bills: DataFrame, policy: SkewPolicy = DEFAULT) -> DataFrame:
-    found = reject_open_bills(staged, bills)
+    found = materialize(reject_open_bills(staged, bills))
     hot = find_hot(found, "policy_id", ["BillingID"], policy)
     return rank_rows(found, "policy_id", ["recurring_seq", "BillingID"], "seqno", hot)
 
@@ -114,7 +116,8 @@ def rank_rejects(staged: DataFrame, policy: SkewPolicy = DEFAULT) -> DataFrame:
 
 def paired_rejects(staged: DataFrame, bills: DataFrame, policy: SkewPolicy = DEFAULT) -> DataFrame:
     """Rejected policy rows next to their open bill (``bill_id``): k-th row to k-th bill, or NULL."""
-    slots = reject_open_bills(staged, bills).select(
+    # stored, narrow: the search for heavy policies and the ranking read it, not the joins behind it
+    slots = materialize(reject_open_bills(staged, bills)).select(
         F.col("policy_id").alias("PolisId"), F.col("BillingID").alias("bill_id"), "recurring_seq"
     )
     rows = _policy_rejects(staged)

@@ -326,11 +326,11 @@ def receipt_other_billing(posted: DataFrame) -> DataFrame:
     )
 
 
-def last_changes(changes: DataFrame, key: str) -> DataFrame:
-    """One change per key: that of the last row of the run, by file and id (map-side aggregation). Changes of a
-    null key fit no row and are left out."""
+def last_changes(changes: DataFrame, key: str, when: str) -> DataFrame:
+    """One change per key: the latest, and of those of one run that of the last row, by file and id (map-side
+    aggregation). Changes of a null key fit no row and are left out."""
     names = [n for n in changes.columns if n not in (key, *CHANGE_ROW)]
-    last = F.max(F.struct(*CHANGE_ROW, F.struct(*names).alias("_new"))).alias("_last")
+    last = F.max(F.struct(F.col(when).alias("_when"), *CHANGE_ROW, F.struct(*names).alias("_new"))).alias("_last")
     found = changes.where(F.col(key).isNotNull()).groupBy(key).agg(last)
     return found.select(key, *[F.col(f"_last._new.{n}").alias(n) for n in names])
 
@@ -351,7 +351,7 @@ def card_tx_changes(posted: DataFrame) -> DataFrame:
 def apply_card_tx_changes(transactions: DataFrame, changes: DataFrame) -> DataFrame:
     """Card transactions (keyed by ``policy_cc_tran_id``, whatever their other columns) after the changes: each
     takes the last one of its key. Several bills may name one transaction; changes of unknown ones do nothing."""
-    return updated(transactions, last_changes(changes, "policy_cc_tran_id"), "policy_cc_tran_id")
+    return updated(transactions, last_changes(changes, "policy_cc_tran_id", "update_dt"), "policy_cc_tran_id")
 
 
 def close_billing_others(billing_others: DataFrame, posted: DataFrame) -> DataFrame:
@@ -405,7 +405,7 @@ QUOTE_TABLES = {
 def apply_quote_changes(tables: dict[str, DataFrame], changes: DataFrame) -> dict[str, DataFrame]:
     """Quotes, prospects and terminal rows (``QUOTE_TABLES``; all keyed by ``quote_id``) after the changes of
     posted quotes. One change row serves all three; a quote may have several prospects or none."""
-    last = last_changes(changes, "quote_id")
+    last = last_changes(changes, "quote_id", "updated_dt")
     made = {}
     for name, columns in QUOTE_TABLES.items():
         own = last.select("quote_id", *[F.col(n).alias(to) for n, to in columns.items()])

@@ -18,7 +18,7 @@ from tallyline.operators import control as ctl
 from tallyline.operators import mapping, notify, posting, rejects, staging
 from tallyline.plans import posting as steps
 from tallyline.session import configure, materialize
-from tallyline.sinks import Store
+from tallyline.sinks import STATUS, Store, is_open
 from tallyline.sources.dispatch import LAYOUT_OF_FILE, parse_file, rejected_file
 
 VA_FILE = 13
@@ -42,18 +42,20 @@ def _stage_table(store: Store, file_id: int) -> str | None:
     return row.stageTable if row else None
 
 
-def _split(store: Store, table: str | None) -> tuple[DataFrame, DataFrame]:
-    """Rows of one staging table, and those of all others, which a job leaves alone."""
-    every = store.stage()
-    own = F.col("stageTable").eqNullSafe(F.lit(table))
-    return every.where(own).drop("stageTable"), every.where(~own)
+def _staged(store: Store, table: str | None) -> DataFrame:
+    """Rows of one staging table. A job leaves the others alone."""
+    return store.stage().where(F.col("stageTable").eqNullSafe(F.lit(table))).drop("stageTable")
 
 
-def _write_stage(store: Store, run_id: str, table: str | None, rows: DataFrame, others: DataFrame) -> DataFrame:
-    """Write the snapshot of all staging tables; the rows of ``table`` come back."""
-    every = rows.withColumn("stageTable", F.lit(table).cast("string")).unionByName(others)
-    written = store.write(run_id, "stage", every, by=["FileName"])
-    return written.where(F.col("stageTable").eqNullSafe(F.lit(table))).drop("stageTable")
+def _other_parts(store: Store, table: str | None) -> list[tuple]:
+    """The partitions of all other staging tables stay where they are."""
+    return [tuple(part) for part in store.stage_parts() if part.stageTable != table]
+
+
+def _own_parts(store: Store, table: str | None, files: DataFrame) -> list[tuple]:
+    """The partitions of this staging table that hold the named files (a control row each, so they are few)."""
+    kept = {row.FileName for row in files.select("FileName").distinct().collect()}
+    return [tuple(part) for part in store.stage_parts() if part.stageTable == table and part.FileName in kept]
 
 
 # --- upload ----------------------------------------------------------------------------------
@@ -62,7 +64,8 @@ def upload(store: Store, file_id: int, lines: DataFrame, run_id: str, run_ts: da
     """Parse, clean, map and stage one file (``lines`` or cells), then recount. Lines and cells that can't
     be used are kept with their reason in the run's ``rejected`` table.
 
-    The parsed rows are stored before mapping, so that the file is read once.
+    The parsed rows are stored before mapping, so that the file is read once. Only they are mapped and
+    written: the other half of a two-file upload was mapped when it came, and stays where it is.
     """
     configure(store.spark)
     store.refresh()
@@ -72,7 +75,7 @@ def upload(store: Store, file_id: int, lines: DataFrame, run_id: str, run_ts: da
         raise ValueError(f"file id {file_id} has no layout")
     header = _file_row(store, file_id)
     control, table = store.current("control"), _stage_table(store, file_id)
-    staged, others = _split(store, table)
+    staged = _staged(store, table)
     if not staging.file_already_loaded(control, staged, file_id).isEmpty():
         raise AlreadyLoaded(header.FileName)
     kept = staging.stage_reset(staged, control, file_id)
@@ -81,7 +84,7 @@ def upload(store: Store, file_id: int, lines: DataFrame, run_id: str, run_ts: da
     parsed = parse_file(lines, file_id)
     fresh = materialize(schemas.as_staging(staging.stage_normalize(parsed)))
     mapped = mapping.map_upload(
-        kept.unionByName(fresh),
+        fresh,
         store.current("policy_billing"),
         store.current("billing_others"),
         store.current("quote_billing"),
@@ -90,16 +93,15 @@ def upload(store: Store, file_id: int, lines: DataFrame, run_id: str, run_ts: da
     mapped = mapping.reason_by_text(mapping.reason_by_code(mapped, reasons, header.bankid), reasons)
     if file_id == VA_FILE:
         mapped = staging.va_drop_paid(mapped, store.current("billing"))
-    store.write(run_id, "rejected", rejected_file(lines, file_id))
-    _restage(store, file_id, run_id, table, mapped, others, control)
-    store.publish(run_id, ["rejected", "stage", "upload_sum", "control"], run_ts)
+    store.append(run_id, "rejected", rejected_file(lines, file_id))
+    own = store.write_stage(run_id, mapped.withColumn("stageTable", F.lit(table).cast("string"))).drop("stageTable")
+    parts = [*_other_parts(store, table), *_own_parts(store, table, kept), (table, header.FileName, run_id)]
+    _recount(store, file_id, run_id, kept.unionByName(own), control)
+    store.publish(run_id, ["upload_sum", "control"], run_ts, parts)
 
 
-def _restage(
-    store: Store, file_id: int, run_id: str, table: str | None, rows: DataFrame, others: DataFrame, control: DataFrame
-) -> None:
-    """Write the staging snapshot and count the rows of the file's staging table."""
-    staged = _write_stage(store, run_id, table, rows, others)
+def _recount(store: Store, file_id: int, run_id: str, staged: DataFrame, control: DataFrame) -> None:
+    """Count the rows of the file's staging table."""
     store.write(run_id, "upload_sum", ctl.upload_summary(store.current("upload_sum"), control, staged, file_id))
     store.write(run_id, "control", ctl.record_row_count(control, staged, file_id))
 
@@ -107,21 +109,19 @@ def _restage(
 # --- execute ---------------------------------------------------------------------------------
 
 def _tables(store: Store) -> steps.Tables:
+    """What a run reads. Of bills and quotes only the open ones can be paid or rejected."""
     return steps.Tables(
         control=store.current("control"),
         policy_billing=store.current("policy_billing"),
-        billing=store.current("billing"),
-        billing_others=store.current("billing_others"),
-        quote_billing=store.current("quote_billing"),
+        billing=store.open_part("billing"),
+        billing_others=store.open_part("billing_others"),
+        quote_billing=store.open_part("quote_billing"),
         reasons=store.current("reason_map"),
         policy_cc=store.current("policy_cc"),
         policy_ac=store.current("policy_ac"),
         customers=store.current("customer_info"),
         products=store.current("product"),
         quotes=store.current("quote"),
-        card_transactions=store.current("card_transaction"),
-        prospects=store.current("prospect"),
-        quote_terminals=store.current("quote_terminal"),
     )
 
 
@@ -146,49 +146,73 @@ def execute(
         return False
     tables = replace(_tables(store), new_bills=new_bills)
     table = _stage_table(store, file_id)
-    staged, others_staged = _split(store, table)
-    written: list[str] = []
-
-    def write_all(named: dict[str, DataFrame]) -> dict[str, DataFrame]:
-        written.extend(named)
-        return store.write_all(run_id, named)
+    staged = _staged(store, table)
+    closed = {name: store.current(name).where(~is_open(name)) for name in ("billing_others", "quote_billing")}
 
     if plan.do_approve:
         pool = staging.pool_approved(staged, tables.control, run_ts.date(), file_id)
         pool = staging.with_header(pool, tables.control, file_id)
         claims = steps.claim(pool, tables, run_ts, policy).materialized()
         outputs = dict(steps.post_approved(claims, tables, texts).items())
-        # the paid bills are few and stored; the snapshot they lead to stays a plan until the end
+        # the paid bills are few and stored; the rows they lead to stay a plan until the end
         outputs["bill_changes"] = posting.bill_changes(claims.recurring, tables.policy_cc)
-        done = write_all(outputs)
-        write_all(steps.transactions_after_approval(done, tables))
+        outputs["ledger:approved"] = outputs.pop("ledger")
+        done = store.write_all(run_id, outputs, appended=True)
         staged, bills, others, quotes = steps.state_after_approval(staged, claims, tables, done["bill_changes"])
         tables = replace(tables, billing=bills, billing_others=others, quote_billing=quotes, new_bills=None)
     if plan.do_reject:
-        rejected = steps.post_rejected(staged, tables, run_ts, file_id, policy)
+        # a rejected one-off bill or quote counts if it exists, closed ones included
+        known = {name: _with(getattr(tables, name), rows) for name, rows in closed.items()}
+        rejected = steps.post_rejected(staged, replace(tables, **known), run_ts, file_id, policy)
         resolved = materialize(rejected.staged)
         ledger = materialize(rejects.ledger_rejected(resolved, tables.control, run_ts, file_id))
-        write_all({"ledger_rejected": rejects.ledger_columns(ledger)})
+        store.append(run_id, "ledger:rejected", rejects.ledger_columns(ledger))
         bills, others, quotes = steps.state_after_rejection(ledger, tables)
         tables = replace(tables, billing=bills, billing_others=others, quote_billing=quotes)
         # the resolved rows replace their former selves
         staged = staging.without_rows(staged, resolved).unionByName(resolved)
     state = {
-        "billing": tables.billing,
-        "billing_others": tables.billing_others,
-        "quote_billing": tables.quote_billing,
         "download_summary": ctl.download_cleared(store.current("download_summary"), tables.control, file_id),
         "control": ctl.release_control(tables.control, file_id),
     }
     if plan.do_hold:
         state["billinghold"] = rejects.hold_rejected(staged, store.current("billinghold"), run_ts.date())
-    write_all(state)
-    _write_stage(store, run_id, table, staged, others_staged)
-    written.append("stage")
-    store.publish(run_id, written, run_ts)
+    # each part is computed from stored claims and changes, once
+    for name in STATUS:
+        state[f"{name}_open"] = getattr(tables, name).where(is_open(name))
+    store.write_all(run_id, state)
+    store.write_all(run_id, {f"{name}_closed": getattr(tables, name).where(~is_open(name)) for name in STATUS}, appended=True)
+    written = store.write_stage(run_id, staged.withColumn("stageTable", F.lit(table).cast("string")))
+    files = [row.FileName for row in written.select("FileName").distinct().collect()]  # one per control row
+    parts = [*_other_parts(store, table), *((table, name, run_id) for name in files)]
+    store.publish(run_id, list(state), run_ts, parts)
     return True
 
 
+def _with(rows: DataFrame, more: DataFrame) -> DataFrame:
+    return rows.unionByName(more, allowMissingColumns=True)
+
+
+def card_transactions(store: Store) -> DataFrame:
+    """Card transactions as all published runs left them: the initial and the appended ones, each with the last
+    change that names it. Changes are stored as they come; nothing is rewritten for them."""
+    key = F.col("policy_cc_tran_id").cast("string")
+    rows = store.current("card_transaction").withColumn("policy_cc_tran_id", key)
+    if not store.has_appended("card_tx"):
+        return rows
+    rows = _with(rows, store.appended("card_tx").drop("run_id").withColumn("policy_cc_tran_id", key))
+    changes = store.appended("card_tx_changes").drop("run_id").withColumn("policy_cc_tran_id", key)
+    return posting.apply_card_tx_changes(rows, changes)
+
+
+def quote_tables(store: Store) -> dict[str, DataFrame]:
+    """Quotes, prospects and terminal rows as all published runs left them."""
+    tables = {name: store.current(name) for name in posting.QUOTE_TABLES}
+    if not store.has_appended("quote_changes"):
+        return tables
+    return posting.apply_quote_changes(tables, store.appended("quote_changes").drop("run_id"))
+
+
 def execute_due(store: Store, run_id: str, run_ts: datetime, **options) -> list[int]:
     """Post every due file, in order of its id: later files see the bills earlier ones paid."""
     due = ctl.files_due(store.current("control"), store.current("download_summary"), run_ts.date())
@@ -209,7 +233,7 @@ def remove(store: Store, file_id: int, run_id: str, run_ts: datetime) -> None:
         return
     control = store.current("control")
     table = _stage_table(store, file_id)
-    staged, others = _split(store, table)
-    kept = staging.stage_reset(staged, control, file_id)
-    _restage(store, file_id, run_id, table, kept, others, ctl.release_control(control, file_id))
-    store.publish(run_id, ["stage", "upload_sum", "control"], run_ts)
+    kept = staging.stage_reset(_staged(store, table), control, file_id)
+    _recount(store, file_id, run_id, kept, ctl.release_control(control, file_id))
+    parts = [*_other_parts(store, table), *_own_parts(store, table, kept)]
+    store.publish(run_id, ["upload_sum", "control"], run_ts, parts)

@@ -30,10 +30,6 @@ class Tables:
     products: DataFrame
     quotes: DataFrame
     new_bills: DataFrame | None = None
-    # what applied changes lead to; only the jobs need them
-    card_transactions: DataFrame | None = None
-    prospects: DataFrame | None = None
-    quote_terminals: DataFrame | None = None
 
 
 @dataclass
@@ -146,19 +142,6 @@ def state_after_approval(staged: DataFrame, claims: Claims, tables: Tables, bill
     )
 
 
-def transactions_after_approval(outputs: dict[str, DataFrame], tables: Tables) -> dict[str, DataFrame]:
-    """The tables that the run's new rows and changes lead to: card transactions, quotes, prospects, terminals."""
-    key = F.col("policy_cc_tran_id").cast("string")
-    new, changes = (outputs[name].withColumn("policy_cc_tran_id", key) for name in ("card_tx", "card_tx_changes"))
-    transactions = tables.card_transactions.withColumn("policy_cc_tran_id", key)
-    changed = posting.apply_card_tx_changes(transactions, changes)
-    quotes = {"quote": tables.quotes, "prospect": tables.prospects, "quote_terminal": tables.quote_terminals}
-    return {
-        "card_transaction": changed.unionByName(new, allowMissingColumns=True),
-        **posting.apply_quote_changes(quotes, outputs["quote_changes"]),
-    }
-
-
 @dataclass
 class Rejected:
     staged: DataFrame  # the rejected rows with bill and reason

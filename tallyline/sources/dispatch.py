@@ -8,16 +8,19 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyline import schemas
+from tallyline.session import materialize
 from tallyline.sources.fixed_width import (
     FIXED_LAYOUTS,
     VA_DAILY,
-    LayoutSpec,
+    VA_REALTIME,
+    chosen_tries,
     ingest_fixed,
     ingest_va_auto,
     rejected_lines,
+    va_tries,
     with_cuts,
 )
-from tallyline.sources.sheets import SHEET_LAYOUTS, ingest_sheet, rejected_cells
+from tallyline.sources.sheets import SHEET_LAYOUTS, ingest_sheet, ingest_sheets, rejected_cells
 
 # Control-row id -> layout.
 LAYOUT_OF_FILE = {
@@ -80,27 +83,26 @@ def rejected_file(rows: DataFrame, file_id: int) -> DataFrame:
     return rejected_lines(left, VA_DAILY)
 
 
-def _parse_mixed(lines: DataFrame, specs: list[LayoutSpec]) -> DataFrame:
-    """Lines of several layouts in one scan: the parser is picked per line from its layout name.
+VA_LAYOUT = "va_auto"
+VA_SPECS = (VA_DAILY, VA_REALTIME)
 
-    None of these layouts has a date, so a parsed amount is all there is left to ask for.
-    """
-    parsed = F.lit(None)
-    for spec in specs:
-        mine = F.col("layout") == spec.name
-        parsed = F.when(mine & spec.usable(), F.array(spec.record())).otherwise(parsed)
-    rows = with_cuts(lines, *specs).select("id", "FileName", F.inline(parsed))
-    return schemas.conform(rows.where(F.col("Amount").isNotNull()), schemas.PARSED)
+
+def _parse_lines(lines: DataFrame) -> DataFrame:
+    """Lines of all layouts in one scan: one generator gives each line what its layout makes of it, and a
+    virtual-account line what either of its two does. The rows are stored, for the choice between these two."""
+    plain = [FIXED_LAYOUTS[name] for name in dict.fromkeys(LAYOUT_OF_FILE.values()) if name in FIXED_LAYOUTS]
+    tries = F.when(F.col("layout") == VA_LAYOUT, F.array_compact(F.array(*va_tries())))
+    for spec in plain:
+        record = F.struct(F.lit(spec.name).alias("_try"), spec.record().alias("_record"))
+        tries = F.when((F.col("layout") == spec.name) & spec.usable(), F.array(record)).otherwise(tries)
+    cut = with_cuts(lines, *plain, *VA_SPECS, layouts={spec.name: VA_LAYOUT for spec in VA_SPECS})
+    rows = cut.select("id", "FileName", F.inline(tries)).select("id", "FileName", "_try", "_record.*")
+    of_va = F.col("_try").isin(*(spec.name for spec in VA_SPECS))
+    dated = VA_DAILY.parsed()  # the other layouts have no date
+    tried = materialize(rows.where(F.col("Amount").isNotNull() & (~of_va | dated)))
+    return schemas.conform(tried.where(~of_va).unionByName(chosen_tries(tried.where(of_va)), allowMissingColumns=True), schemas.PARSED)
 
 
 def ingest_dispatch(lines: DataFrame, cells: DataFrame, control: DataFrame) -> DataFrame:
-    """Parse the lines and cells of all files, each by the layout of its control row."""
-    lines = with_layout(lines, control)
-    cells = with_layout(cells, control)
-    plain = [FIXED_LAYOUTS[name] for name in dict.fromkeys(LAYOUT_OF_FILE.values()) if name in FIXED_LAYOUTS]
-    parts = [
-        _parse_mixed(lines.where(F.col("layout") != "va_auto"), plain),
-        ingest_va_auto(lines.where(F.col("layout") == "va_auto")),
-    ]
-    parts += [ingest_sheet(cells.where(F.col("layout") == name), spec) for name, spec in SHEET_LAYOUTS.items()]
-    return reduce(DataFrame.unionByName, parts)
+    """Parse the lines and cells of all files, each by the layout of its control row: one scan of each."""
+    return _parse_lines(with_layout(lines, control)).unionByName(ingest_sheets(with_layout(cells, control)))

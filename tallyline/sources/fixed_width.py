@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 
 from tallyline import schemas
 from tallyline.functions import text as t
+from tallyline.functions.skew import lookup_join
+from tallyline.session import materialize
 
 Cut = Callable[[str], Column]  # name of a piece -> its column
 FromCuts = Callable[[Cut], Column]
@@ -217,12 +219,13 @@ FIXED_LAYOUTS = {
 
 # --- operators -------------------------------------------------------------------------------
 
-def with_cuts(lines: DataFrame, *specs: LayoutSpec) -> DataFrame:
-    """Lines with the pieces of each layout. With several, a line is cut only by that of its ``layout``."""
+def with_cuts(lines: DataFrame, *specs: LayoutSpec, layouts: dict[str, str] | None = None) -> DataFrame:
+    """Lines with the pieces of each layout. With several, a line is cut only by those of its ``layout``;
+    ``layouts`` names the layout of specs that share one."""
     line = F.col("value")
     pieces = {"_length": F.length(line)}
     for spec in specs:
-        mine = F.col("layout") == spec.name
+        mine = F.col("layout") == (layouts or {}).get(spec.name, spec.name)
         pieces |= {n: c if len(specs) == 1 else F.when(mine, c) for n, c in spec.cuts(line).items()}
     return lines.withColumns(pieces)
 
@@ -244,22 +247,28 @@ def rejected_lines(lines: DataFrame, spec: LayoutSpec, decimal_style: str = "dot
     return with_cuts(lines, spec).select("id", "FileName", "value", reason).where(F.col("reason").isNotNull())
 
 
-def ingest_va_auto(lines: DataFrame) -> DataFrame:
-    """Virtual-account files: the daily layout, or the realtime one for files without any daily line.
-
-    One scan parses every line both ways; a second one, map-side aggregated to one row per file, tells
-    which files have daily lines.
-    """
-    daily = ingest_fixed(lines, VA_DAILY)
-    daily_files = daily.select("FileName").distinct().withColumn("_daily", F.lit(True))
-    pieces = with_cuts(lines, VA_DAILY).withColumns(VA_REALTIME.cuts(F.col("value")))
-    tries = [
+def va_tries() -> list[Column]:
+    """What a virtual-account line is by each of its two layouts: ``struct(_try, _record)``, NULL if it can't be."""
+    return [
         F.when(spec.usable(), F.struct(F.lit(spec.name).alias("_try"), spec.record().alias("_record")))
         for spec in (VA_DAILY, VA_REALTIME)
     ]
-    both = pieces.select("id", "FileName", F.inline(F.array_compact(F.array(*tries))))
-    rows = both.select("id", "FileName", "_try", "_record.*").where(VA_DAILY.parsed())
-    kept = rows.join(daily_files, "FileName", "left").where(
-        (F.col("_try") == VA_DAILY.name) | F.col("_daily").isNull()
-    )
-    return schemas.conform(kept, schemas.PARSED)
+
+
+def chosen_tries(tried: DataFrame) -> DataFrame:
+    """Rows of stored tries that count: the daily ones, and the realtime ones of files without any daily line.
+
+    The choice reads two columns of the stored rows and is one row per file; a file that holds most of the
+    rows is split in the join."""
+    daily = tried.where(F.col("_try") == VA_DAILY.name).select("FileName").distinct().withColumn("_daily", F.lit(True))
+    marked = lookup_join(tried, daily, ["FileName"])
+    return marked.where((F.col("_try") == VA_DAILY.name) | F.col("_daily").isNull())
+
+
+def ingest_va_auto(lines: DataFrame) -> DataFrame:
+    """Virtual-account files: the daily layout, or the realtime one for files without any daily line. The lines
+    are read and parsed once, both ways, and stored; the choice is made on what is stored."""
+    pieces = with_cuts(lines.withColumn("layout", F.lit("va")), VA_DAILY, VA_REALTIME, layouts=dict.fromkeys((VA_DAILY.name, VA_REALTIME.name), "va"))
+    both = pieces.select("id", "FileName", F.inline(F.array_compact(F.array(*va_tries()))))
+    tried = materialize(both.select("id", "FileName", "_try", "_record.*").where(VA_DAILY.parsed()))
+    return schemas.conform(chosen_tries(tried), schemas.PARSED)

@@ -157,11 +157,20 @@ SHEET_LAYOUTS = {"card_sheet_a": CARD_SHEET_A, "card_sheet_b": CARD_SHEET_B, "ca
 
 def ingest_sheet(cells: DataFrame, layout: tuple[SheetSpec, ...]) -> DataFrame:
     """Parse a cell grid in one pass: each row takes the fields of its own worksheet, once."""
+    return _parse(cells, [(F.lit(True), sheet) for sheet in layout])
+
+
+def ingest_sheets(cells: DataFrame) -> DataFrame:
+    """Parse grids of several layouts in one pass: a row's ``layout`` and worksheet say which fields it has."""
+    return _parse(cells, [(F.col("layout") == name, sheet) for name, sheets in SHEET_LAYOUTS.items() for sheet in sheets])
+
+
+def _parse(cells: DataFrame, sheets: list[tuple[Column, SheetSpec]]) -> DataFrame:
     cells = schemas.with_columns_of(cells, schemas.CELLS)
     parsed = F.lit(None)
-    for sheet in layout:
+    for mine, sheet in sheets:
         fields = F.struct(*[c.alias(n) for n, c in sheet.columns().items()])
-        parsed = F.when(sheet.usable() & sheet.whole(), F.array(fields)).otherwise(parsed)
+        parsed = F.when(mine & sheet.usable() & sheet.whole(), F.array(fields)).otherwise(parsed)
     rows = cells.select(cell_id().alias("id"), "FileName", F.inline(parsed))
     return schemas.conform(rows.where(F.col("Amount").isNotNull()), schemas.PARSED)
 

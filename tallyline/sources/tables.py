@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tallyline.functions.skew import lookup_join
+from tallyline.session import materialize
+
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
     reader = spark.read.schema(schema) if schema is not None else spark.read
@@ -37,22 +40,22 @@ def read_jdbc(
     return reader.load()
 
 
-# A line id is file number | block | position, so it is unique over all files of a staging table
-# and follows the order of the file.
-_FILE_BITS, _BLOCK_BITS = 55, 31
+# A line id is file number | line number, so it is unique over all files of a staging table, follows the order
+# of the file and does not depend on how the file was split over tasks.
+_FILE_BITS = 55
 FILE_NUMBERS = 1 << (63 - _FILE_BITS)  # from 0 on
 
 
-def _line_id(file_no: Column, within: Column) -> Column:
-    return F.shiftleft(file_no.cast("bigint"), _FILE_BITS) + within
+def _line_id(file_no: Column, line: Column) -> Column:
+    return F.shiftleft(file_no.cast("bigint"), _FILE_BITS) + line
 
 
 def read_lines(spark: SparkSession, path: str, file_no: int = 0, whole_files: bool = False) -> DataFrame:
-    """Text files as ``(id, FileName, value)``.
+    """Text files as ``(id, FileName, value)``; lines are numbered from 1 in each file.
 
-    By default large files are split over tasks; the id is built from the 1 MiB block a split starts
-    in and the position of the line in its task. ``whole_files`` numbers the lines of each (small)
-    file from 1 whatever the splits.
+    Large files are split over tasks. The lines are stored with the split they come from and their place in
+    it; a line's number is the lines of all earlier splits of its file plus its place. Only one row per
+    split is summed up in order. ``whole_files`` reads each (small) file whole and stores nothing.
     """
     if not 0 <= file_no < FILE_NUMBERS:
         raise ValueError(f"file number {file_no} is not in 0..{FILE_NUMBERS - 1}: its line ids would repeat another file's")
@@ -66,10 +69,20 @@ def read_lines(spark: SparkSession, path: str, file_no: int = 0, whole_files: bo
         )
         listed = texts.select("FileName", F.posexplode("texts").alias("pos", "value"))
         return listed.select(_line_id(number, F.col("pos") + 1).alias("id"), "FileName", "value")
-    block = F.shiftright(F.col("_metadata.file_block_start"), 20)
-    position = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << _BLOCK_BITS) - 1))
-    return spark.read.text(path).select(
-        _line_id(number, F.shiftleft(block, _BLOCK_BITS) + position + 1).alias("id"),
-        F.col("_metadata.file_name").alias("FileName"),
-        "value",
+    # Numbers of a task's rows rise by one; a split lies in one task, though a task may have several.
+    read = materialize(
+        spark.read.text(path).select(
+            F.col("_metadata.file_path").alias("_path"),
+            F.col("_metadata.file_name").alias("FileName"),
+            F.col("_metadata.file_block_start").alias("_split"),
+            F.monotonically_increasing_id().alias("_place"),
+            "value",
+        )
+    )
+    splits = read.groupBy("_path", "_split").agg(F.min("_place").alias("_first"), F.count(F.lit(1)).alias("_lines"))
+    earlier = Window.partitionBy("_path").orderBy("_split").rowsBetween(Window.unboundedPreceding, -1)
+    starts = splits.select(
+        "_path", "_split", (F.coalesce(F.sum("_lines").over(earlier), F.lit(0)) - F.col("_first") + 1).alias("_shift")
     )
+    rows = lookup_join(read, starts, ["_path", "_split"], "inner")
+    return rows.select(_line_id(number, F.col("_place") + F.col("_shift")).alias("id"), "FileName", "value")

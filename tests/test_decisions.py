@@ -261,10 +261,13 @@ def test_equal_ids_break_ties_by_file(spark):
 def test_the_last_change_of_a_transaction_counts(spark):
     known = spark.createDataFrame([(1, 1, "x"), (2, 1, "x"), (3, 1, "x")], "policy_cc_tran_id bigint, status_id int, other string")
     changes = spark.createDataFrame(
-        [("a.txt", 9, 1, 2, "r1"), ("b.txt", 1, 1, 2, "r2"), ("a.txt", 1, 2, 2, "r3"), ("a.txt", 2, None, 2, "r4"), ("a.txt", 3, 8, 2, "r5")],
-        "stage_file string, stage_id bigint, policy_cc_tran_id bigint, status_id int, receipt_other_id string",
+        [
+            ("a.txt", 9, 1, 2, "r1", 1), ("b.txt", 1, 1, 2, "r2", 1), ("a.txt", 1, 2, 2, "r3", 2), ("b.txt", 1, 2, 2, "r0", 1),
+            ("a.txt", 2, None, 2, "r4", 1), ("a.txt", 3, 8, 2, "r5", 1),
+        ],
+        "stage_file string, stage_id bigint, policy_cc_tran_id bigint, status_id int, receipt_other_id string, update_dt int",
     )
-    found = posting.apply_card_tx_changes(known, changes)
+    found = posting.apply_card_tx_changes(known, changes).drop("update_dt")
     assert rows(found) == [(1, 2, "x", "r2"), (2, 2, "x", "r3"), (3, 1, "x", None)]
     assert rows(posting.apply_card_tx_changes(known, changes.limit(0)).select("policy_cc_tran_id", "status_id")) == [(1, 1), (2, 1), (3, 1)]
 

@@ -220,3 +220,53 @@ def test_file_numbers_and_byte_order_mark(spark, tmp_path):
     for number in (-1, 256, 512):
         with pytest.raises(ValueError, match="file number"):
             read_lines(spark, str(tmp_path), file_no=number)
+
+
+def test_line_numbers_do_not_depend_on_the_splits(spark, tmp_path):
+    """The same ids whether a file is one split or many, and whether a task reads one file or several."""
+    for name, count in (("a.txt", 30_000), ("b.txt", 7), ("c.txt", 0)):
+        (tmp_path / name).write_text("".join(f"line {i} of {name}\n" for i in range(1, count + 1)))
+    conf = "spark.sql.files.maxPartitionBytes"
+    before, found = spark.conf.get(conf), []
+    try:
+        for size in ("134217728", "20000", "3333"):
+            spark.conf.set(conf, size)
+            found.append(rows(read_lines(spark, str(tmp_path), file_no=3)))
+    finally:
+        spark.conf.set(conf, before)
+    first = 3 << 55
+    assert found[0] == found[1] == found[2]
+    assert len(found[0]) == 30_007
+    assert all(value == f"line {i - first} of {name}" for i, name, value in found[0])
+
+
+def test_a_heavy_virtual_account_file_is_split(spark, sf):
+    """One file holds nearly all lines: the choice of its layout is a join that AQE can split."""
+    from checks.fixtures import view
+
+    line = view(spark, sf, "fx_lines_va_realtime").where("length(value) >= 133").limit(1).first().value
+    lines = spark.range(0, 60_000, 1, 8).select(
+        "id", F.when(F.col("id") % 50 == 0, F.concat(F.lit("f"), F.col("id"))).otherwise(F.lit("big")).alias("FileName"),
+        F.concat(F.lit(line), F.sha2(F.col("id").cast("string"), 512)).alias("value"),
+    )
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "10KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10KB",
+    }
+    before = {key: spark.conf.get(key, None) for key in settings}
+    try:
+        for key, value in settings.items():
+            spark.conf.set(key, value)
+        tried = spark.createDataFrame([], "FileName string, _try string").unionByName(
+            lines.select("FileName", F.when(F.col("FileName") == "big", F.lit("va_realtime")).otherwise(F.lit("va_daily")).alias("_try"))
+        )
+        chosen = fw.chosen_tries(tried.withColumn("id", F.monotonically_increasing_id()))
+        assert len(chosen.select("id").collect()) == 60_000
+        kept = chosen.select("id", "FileName", "_try")
+        kept.collect()
+        assert "skew=true" in kept._jdf.queryExecution().toString()
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+    assert fw.ingest_va_auto(lines).count() == 60_000
