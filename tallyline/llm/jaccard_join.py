@@ -30,6 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallyline.functions.skew import lookup_join
 from tallyline.llm.common import whole
 from tallyline.llm.components import components
 from tallyline.session import materialize
@@ -185,18 +186,6 @@ def _deeper(levels: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Rec
     return run
 
 
-def _sets() -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = Hashes()
-        for batch in batches:
-            for at in range(0, batch.num_rows, 200):
-                part = batch.slice(at, 200)
-                found = [shingles(text.as_py(), hashes).tobytes() for text in part.column(1)]
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(found, pa.binary())], names=["node", "shingles"])
-
-    return run
-
-
 def linked(sets: list[np.ndarray]) -> np.ndarray:
     """Matrix of which sets have a Jaccard similarity of at least 0.8, exactly: shared shingles are
     counted by products of blocks of the incidence matrix."""
@@ -224,20 +213,23 @@ def linked(sets: list[np.ndarray]) -> np.ndarray:
     return match
 
 
-def groups(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple]]:
-    """Rows of each value of the first column, which they come ordered by, without repeated nodes."""
+def groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[tuple], list[np.ndarray]]]:
+    """Rows of each value of the first column, which they come ordered by, without repeated nodes, and their
+    sets. Rows bring their texts, which are packed several times tighter than the hashes made of them."""
+    hashes = Hashes()
     parts = (batch.slice(at, 200) for batch in batches for at in range(0, batch.num_rows, 200))
     rows = (row for part in parts for row in zip(*(column.to_pylist() for column in part.columns)))
     for _, found in itertools.groupby(rows, key=lambda row: row[0]):
-        yield sorted({row[1]: row for row in found}.values(), key=lambda row: row[1])
+        group = sorted({row[1]: row for row in found}.values(), key=lambda row: row[1])
+        yield group, [shingles(row[2], hashes) for row in group]
 
 
 def _forests() -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """Per group edges that connect what its links connect: each node and the least one it goes with."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for group in groups(batches):
-            match = linked([np.frombuffer(row[2], dtype=np.uint64) for row in group])
+        for group, sets in groups(batches):
+            match = linked(sets)
             root = np.arange(len(group))
             for i in range(len(group)):
                 near = np.flatnonzero(match[i, :i])
@@ -258,8 +250,8 @@ def _link_counts() -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBat
     block with itself alone."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for group in groups(batches):
-            match = linked([np.frombuffer(row[2], dtype=np.uint64) for row in group])
+        for group, sets in groups(batches):
+            match = linked(sets)
             nodes, copies, block = (np.array([row[k] for row in group]) for k in (1, 3, 4))
             if group[0][5] != group[0][6]:
                 match &= block[:, None] != block[None, :]
@@ -314,14 +306,14 @@ class Join:
         buckets = materialize(reduce(DataFrame.unionByName, met).distinct())
         if buckets.isEmpty():
             return
-        held = buckets.join(self.sets_of(buckets), "node").select("bucket", "node", "shingles")
+        held = buckets.join(self.texts_of(buckets), "node").select("bucket", "node", "text")
         edges = materialize(together(held).mapInArrow(_forests(), "a long, b long"))
         self.roots = components(edges if self.roots is None else edges.unionByName(self.roots.toDF("a", "b")))
 
     def undecided(self, paths: DataFrame) -> DataFrame:
         """``path, node, size`` of buckets that hold nodes of two classes or more."""
         crowded = paths.groupBy("path").agg(F.count("*").alias("size")).where("size > 1")
-        rows = paths.join(crowded, "path")
+        rows = lookup_join(paths, crowded, ["path"], "inner")
         if self.roots is None:
             return rows
         classed = rows.join(self.roots, "node", "left").withColumn("class", F.coalesce("root", "node"))
@@ -344,16 +336,16 @@ class Join:
         )
         return block_pairs(nodes).select("bucket", "node")
 
-    def sets_of(self, wanted: DataFrame) -> DataFrame:
-        """``node, shingles`` of the wanted nodes, from the texts."""
+    def texts_of(self, wanted: DataFrame) -> DataFrame:
+        """``node, text`` of the wanted nodes; rows that repeat a node's id and text come along."""
         wanted = materialize(
             self.nodes.select("node", "doc_id", "key").join(wanted.select("node").distinct(), "node", "left_semi")
         )
         keys = wanted.select("node", F.col("doc_id").alias("_id"), F.col("key").alias("_key"))
         if wanted.count() <= BROADCAST_NODES:
             keys = F.broadcast(keys)
-        texts = self.docs.join(keys, (F.col("key") == F.col("_key")) & F.col("doc_id").eqNullSafe(F.col("_id")))
-        return texts.select("node", "text").mapInArrow(_sets(), "node long, shingles binary")
+        same = (F.col("key") == F.col("_key")) & F.col("doc_id").eqNullSafe(F.col("_id"))
+        return self.docs.join(keys, same).select("node", "text")
 
     def classes(self) -> DataFrame:
         """``node, class, copies, least_id`` of all nodes."""
@@ -368,9 +360,7 @@ class Join:
         several = classes.groupBy("class").agg(F.count("*").alias("n")).where("n > 1").select("class")
         inside = classes.join(several, "class").select("node", "copies", F.col("class").alias("group"))
         placed = materialize(block_pairs(inside))
-        held = placed.join(self.sets_of(placed), "node").select(
-            "bucket", "node", "shingles", "copies", "block", "one", "other"
-        )
+        held = placed.join(self.texts_of(placed), "node").select("bucket", "node", "text", "copies", "block", "one", "other")
         counted = together(held).mapInArrow(_link_counts(), "node long, links long")
         return counted.groupBy("node").agg(F.sum("links").alias("links"))
 
@@ -439,8 +429,9 @@ def keep_one(docs: DataFrame) -> DataFrame:
     few = marked.count() <= BROADCAST_NODES
 
     def joined(part: DataFrame, kind: str) -> DataFrame:
-        same = docs["doc_id"].eqNullSafe(F.col("_id")) & (F.xxhash64(whole(docs["text"])) == F.col("_key"))
-        return docs.join(F.broadcast(part) if few else part, same, kind)
+        held = F.broadcast(part) if few else part
+        same = docs["doc_id"].eqNullSafe(held["_id"]) & (F.xxhash64(whole(docs["text"])) == held["_key"])
+        return docs.join(held, same, kind)
 
     single = joined(marked, "left_anti")
     if repeated.isEmpty():
