@@ -17,7 +17,10 @@ from pyspark.sql import functions as F
 from tallyline.llm.common import whole
 from tallyline.session import materialize
 
-MASKS = ("11101011", "110110011", "1011001101")
+# Together they meet every stretch the rule reports: each way to change one word in 8 or 9, two in 10 to 14 and
+# three in 15 or 16 leaves a place where one of them fits. Items of five to seven words are met when they are
+# whole; shorter ones say too little.
+MASKS = ("11111", "111011", "11010011")
 BROADCAST_SEEDS = 2_000_000  # benchmark seeds (32 bytes each) up to which they are sent to every task
 BROADCAST_HITS = 1_000_000  # documents with hits, likewise
 
@@ -25,7 +28,8 @@ BROADCAST_HITS = 1_000_000  # documents with hits, likewise
 @dataclass(frozen=True)
 class Overlap:
     """Words a stretch must have: ``share`` of the item's, at least ``least`` and at most ``most``; and the
-    price of a substitution in matches (4: stretches of 80 % matches or more)."""
+    price of a substitution in matches (4: stretches of 80 % matches or more). Items of fewer words than
+    ``least`` must be there whole, without a substitution."""
 
     least: int = 8
     most: int = 13
@@ -129,7 +133,7 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, rule: Overlap = Overlap()) -
     """One row per document and item that overlap: ``doc_id, key, item_id, start, words, matched`` - the
     longest stretch's first word in the document, its words and how many of them are equal.
 
-    Null and empty texts and items under eight words overlap nothing; repeated rows count once; items of
+    Null and empty texts and items under five words overlap nothing; repeated rows count once; items of
     a repeated id and items without an id are items of their own, each with its own row. Other columns are ignored; empty tables give an empty result."""
     items = materialize(items_of(benchmark))
     found = materialize(hits(docs, items))
@@ -150,7 +154,7 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, rule: Overlap = Overlap()) -
     size = F.col("b.words")
     best = F.max(F.struct(size.alias("words"), F.col("b.matched").alias("matched"), (F.col("diagonal") + F.col("b.start")).alias("start")))
     return (
-        judged.where(size >= needed).groupBy("doc_id", "key", "item_key").agg(F.first("item_id").alias("item_id"), best.alias("best"))
+        judged.where(F.when(F.col("n") < rule.least, F.col("b.matched") == F.col("n")).otherwise(size >= needed)).groupBy("doc_id", "key", "item_key").agg(F.first("item_id").alias("item_id"), best.alias("best"))
         .select("doc_id", "key", "item_id", "best.start", "best.words", "best.matched")
     )
 

@@ -1,5 +1,6 @@
 """Quality rules, secrets, URL rules and decontamination."""
 
+import itertools
 import random
 
 import brute
@@ -184,6 +185,33 @@ def test_overlaps(spark, sf):
     assert decontaminate.overlaps(docs, bench.limit(0)).isEmpty()
 
 
+def substitutions(length):
+    """All ways to change as many words inside a stretch of this length as its rule allows."""
+    return itertools.combinations(range(1, length - 1), length // 5)
+
+
+def test_every_allowed_stretch_holds_a_seed():
+    for length in range(decontaminate.Overlap().least, 17):
+        for changed_at in substitutions(length):
+            assert any(
+                all(bit == "0" or at + k not in changed_at for k, bit in enumerate(mask))
+                for mask in decontaminate.MASKS for at in range(length - len(mask) + 1)
+            ), (length, changed_at)
+
+
+def test_short_items_and_every_substitution(spark):
+    item = [f"w{k}" for k in range(10)]
+    bench = spark.createDataFrame([(1, " ".join(item)), (2, "five short words stand here"), (3, "too short")], "item_id long, text string")
+    texts = []
+    for at in substitutions(10):
+        texts.append("lead in " + " ".join(f"x{k}" if k in at else w for k, w in enumerate(item)) + " tail")
+    texts += ["so Five short words, stand here!", "five short word stand here", "too short"]
+    found = decontaminate.overlaps(docs_of(spark, list(enumerate(texts))), bench).collect()
+    n = len(texts) - 3
+    assert {(r.doc_id, r.item_id) for r in found} == {(i, 1) for i in range(n)} | {(n, 2)}
+    assert {(r.start, r.words, r.matched) for r in found if r.item_id == 1} == {(2, 10, 8)}
+
+
 def test_a_rule_stays_as_other_urls_are_added(spark):
     bad = spark.range(20).select(F.array(F.lit("host:bad"), F.lit("path:x")).alias("tokens"), F.lit(True).alias("bad"))
     for n in (100, 30_000):
