@@ -6,11 +6,13 @@ between pieces. Frequent phrases are found level by level, as Apriori does, in t
 
 * **candidates**: a double-array trie of the frequent phrases of one word less goes to every task, which
   advances the states of all text positions together, level by level. Where a phrase and the one that
-  starts a word later are both frequent, they make a candidate. A task may keep a few places of each to
+  starts a word later are both frequent, they make a candidate. Candidates are counted by a hash first, in
+  a table of fixed size that the tasks add up; those whose bucket stays below the count are passed over in
+  a second pass. A task may keep a few places of each to
   itself, so that the many rare ones need no shuffle; as all tasks together keep fewer than ``min_count``,
   no frequent phrase is lost, and what cannot reach the count with all that was kept is left out.
 * **counts**: the candidates, again as a trie, go to every task; the accepting states are counted by
-  ``bincount`` and the counts of the tasks are added up.
+  ``bincount`` and the tasks' arrays of counts are added up, chunk by chunk.
 
 Tries are cut into parts of at most ``PART`` phrases, each of which makes a pass of its own.
 
@@ -38,6 +40,9 @@ TOGETHER = 100_000  # codes a task handles at once
 GATHERED = 1 << 19  # positions a task gathers before it counts them
 WORDS = 100_000  # words a task remembers or counts before it passes them on
 ROW = 512  # codes of a stored row, up to the next break; Spark hands rows to tasks by their number
+BUCKETS = 1 << 22  # of the hashed counts that sort out candidates
+CHUNK = 1 << 16  # numbers of a row that carries a part of a task's counts
+MIX = np.uint64(0x9E3779B97F4A7C15)
 CANDIDATES = 1_000_000  # distinct candidates a task holds before it lowers their counts or reports them
 SEED = 42  # of Spark's xxhash64
 UPPER, LOWER = bytes(range(0x41, 0x5B)), bytes(range(0x61, 0x7B))
@@ -268,14 +273,76 @@ def lowered(held: tuple, by: int) -> tuple:
     return first[kept], last[kept], n[kept] - by
 
 
+def buckets_of(codes: np.ndarray, at: np.ndarray, words: int) -> np.ndarray:
+    """The bucket of the phrase of so many words that starts at each place."""
+    found = np.zeros(len(at), dtype=np.uint64)
+    for k in range(words):
+        found = (found ^ codes[at + k].view(np.uint64)) * MIX
+        found ^= found >> np.uint64(29)
+    return (found >> np.uint64(64 - BUCKETS.bit_length() + 1)).astype(np.int64)
+
+
+def promising(trie: Trie, codes: np.ndarray, whole_trie: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Places of phrases one word longer than those of the trie whose first and last words but one are
+    frequent, and the phrase each starts with."""
+    at, phrase = trie.accepted(codes)
+    starts = np.full(len(codes) + 1, not whole_trie)  # else the later phrase may be in another part
+    starts[at] = True
+    inside = at + trie.words < len(codes)
+    at, phrase = at[inside], phrase[inside]
+    goes_on = (codes[at + trie.words] != 0) & starts[at + 1]
+    return at[goes_on], phrase[goes_on]
+
+
+def packed(counts: np.ndarray) -> Batches:
+    """A task's counts in rows of ``CHUNK`` numbers."""
+    for number, at in enumerate(range(0, len(counts), CHUNK)):
+        part = counts[at : at + CHUNK]
+        if part.any():
+            yield pa.RecordBatch.from_arrays([pa.array([number], pa.int32()), pa.array([part.tobytes()], pa.binary())], names=["chunk", "counts"])
+
+
+def _add_up(kind: str) -> Callable[[Batches], Batches]:
+    """Rows of equal chunks, which lie beside each other, added up."""
+
+    def run(batches: Batches) -> Batches:
+        chunk, total = None, None
+        rows = ((number.as_py(), np.frombuffer(held.as_py(), dtype=kind)) for batch in batches for number, held in zip(batch.column(0), batch.column(1)))
+        for number, counts in rows:
+            if number != chunk and chunk is not None:
+                yield pa.RecordBatch.from_arrays([pa.array([chunk], pa.int32()), pa.array([total.tobytes()], pa.binary())], names=["chunk", "counts"])
+            total = counts.astype(np.int64) if number != chunk else total + counts
+            chunk = number
+        if chunk is not None:
+            yield pa.RecordBatch.from_arrays([pa.array([chunk], pa.int32()), pa.array([total.tobytes()], pa.binary())], names=["chunk", "counts"])
+
+    return run
+
+
+def _hashed_counts(shared, whole_trie: bool) -> Callable[[Batches], Batches]:
+    """How many promising places fall into each bucket, 255 at most."""
+
+    def run(batches: Batches) -> Batches:
+        trie = Trie.of(shared.value)
+        total = np.zeros(BUCKETS, dtype=np.int32)
+        for codes in codes_of(batches):
+            at, _ = promising(trie, codes, whole_trie)
+            total += np.bincount(buckets_of(codes, at, trie.words + 1), minlength=BUCKETS).astype(np.int32)
+        yield from packed(np.minimum(total, 255).astype(np.uint8))
+
+    return run
+
+
 def _seek(shared, whole_trie: bool, allowance: int) -> Callable[[Batches], Batches]:
     """Candidates one word longer than the phrases of the trie: ``w1 .. wk, excess``, the count in the task
-    less what it lowered it by. A task that holds too many candidates lowers all their counts by one, up to
-    its allowance in all, and reports them when that is used up; the rest of the allowance goes at the end. A
-    row of zeros tells what the task may have kept to itself of a phrase."""
+    less what it lowered it by. Places whose bucket is not full are passed over. A task that holds too many
+    candidates lowers all their counts by one, up to its allowance in all, and reports them when that is
+    used up; the rest of the allowance goes at the end. A row of zeros tells what the task may have kept to
+    itself of a phrase."""
 
     def run(batches: Batches) -> Batches:
-        trie = Trie.of(shared.value)
+        plain, full = shared.value
+        trie = Trie.of(plain)
         names = [*columns(trie.words + 1), "excess"]
 
         def report(held: tuple) -> Batches:
@@ -291,14 +358,10 @@ def _seek(shared, whole_trie: bool, allowance: int) -> Callable[[Batches], Batch
         nothing = (np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int32))
         held, fresh, size, left = nothing, [], 0, allowance
         for codes in codes_of(batches):
-            at, phrase = trie.accepted(codes)
-            starts = np.full(len(codes) + 1, not whole_trie)  # else the later phrase may be in another part
-            starts[at] = True
-            inside = at + trie.words < len(codes)
-            at, phrase = at[inside], phrase[inside]
-            last = codes[at + trie.words]
-            goes_on = (last != 0) & starts[at + 1]
-            fresh.append((phrase[goes_on], last[goes_on], np.ones(int(goes_on.sum()), dtype=np.int32)))
+            at, phrase = promising(trie, codes, whole_trie)
+            likely = full[buckets_of(codes, at, trie.words + 1)]
+            at, phrase = at[likely], phrase[likely]
+            fresh.append((phrase, codes[at + trie.words], np.ones(len(at), dtype=np.int32)))
             size += len(fresh[-1][0])
             if size >= GATHERED:
                 held, fresh, size = summed([held, *fresh]), [], 0
@@ -315,18 +378,14 @@ def _seek(shared, whole_trie: bool, allowance: int) -> Callable[[Batches], Batch
 
 
 def _count(shared) -> Callable[[Batches], Batches]:
-    """``id, n``: how often the task holds each phrase of the trie."""
+    """How often the task holds each phrase of the trie."""
 
     def run(batches: Batches) -> Batches:
-        plain, ids = shared.value
-        trie = Trie.of(plain)
-        total = np.zeros(len(ids), dtype=np.int64)
+        trie = Trie.of(shared.value)
+        total = np.zeros(len(trie.phrases), dtype=np.int64)
         for codes in codes_of(batches):
-            total += np.bincount(trie.accepted(codes)[1], minlength=len(ids))
-        held = np.flatnonzero(total)
-        for at in range(0, len(held), 50_000):
-            part = held[at : at + 50_000]
-            yield pa.RecordBatch.from_arrays([pa.array(ids[part]), pa.array(total[part])], names=["id", "n"])
+            total += np.bincount(trie.accepted(codes)[1], minlength=len(total))
+        yield from packed(total)
 
     return run
 
@@ -357,8 +416,8 @@ def word_table(docs: DataFrame, min_count: int) -> tuple[DataFrame, DataFrame, i
         salt += 1
 
 
-def parts_of(phrases: DataFrame, words: int) -> Iterator[tuple[np.ndarray, np.ndarray, int]]:
-    """``phrases`` (``id, w1 ..``) in parts of at most ``PART``: ids, codes and the number of parts."""
+def parts_of(phrases: DataFrame, words: int) -> Iterator[tuple[np.ndarray, int]]:
+    """``phrases`` (``w1 ..``) in parts of at most ``PART``: their codes, and the number of parts."""
     names = columns(words)
     parts, largest = 1, phrases.count()
     while largest > PART:  # a hash deals evenly, its parts are counted all the same
@@ -367,20 +426,36 @@ def parts_of(phrases: DataFrame, words: int) -> Iterator[tuple[np.ndarray, np.nd
         largest = phrases.groupBy(of.alias("part")).count().agg(F.max("count")).first()[0]
     of = F.pmod(F.xxhash64(*names), F.lit(parts))
     for number in range(parts):
-        table = phrases.where(of == number).select("id", *names).toArrow()
+        table = phrases.where(of == number).select(*names).toArrow()
         if table.num_rows:
-            yield np.array(table.column("id")), np.stack([np.array(table.column(n)) for n in names], axis=1), parts
+            yield np.stack([np.array(table.column(n)) for n in names], axis=1), parts
+
+
+def added_up(counted: DataFrame, size: int, kind: str) -> np.ndarray:
+    """The tasks' packed counts (``chunk, counts``) in sum. They are as many as a trie part has phrases, or as
+    there are buckets."""
+    together = counted.repartition("chunk").sortWithinPartitions("chunk")
+    total = np.zeros(size, dtype=np.int64)
+    for chunk, counts in together.mapInArrow(_add_up(kind), "chunk int, counts binary").collect():
+        part = np.frombuffer(counts, dtype=np.int64)
+        total[chunk * CHUNK : chunk * CHUNK + len(part)] = part
+    return total
 
 
 def candidates(coded: DataFrame, shorter: DataFrame, words: int, min_count: int) -> DataFrame:
-    """``id, w1 ..``: phrases of ``words`` words that may be frequent, given those of one word less."""
+    """``w1 ..``: phrases of ``words`` words that may be frequent, given those of one word less."""
     names = columns(words)
     tasks = coded.select(F.spark_partition_id().alias("p")).distinct().count()
 
     def found(allowance: int) -> DataFrame:
         made = []
-        for _, codes, parts in parts_of(shorter, words - 1):
-            shared = coded.sparkSession.sparkContext.broadcast(Trie(codes).plain())
+        for codes, parts in parts_of(shorter, words - 1):
+            trie = Trie(codes).plain()
+            shared = coded.sparkSession.sparkContext.broadcast(trie)
+            hashed = coded.mapInArrow(_hashed_counts(shared, parts == 1), "chunk int, counts binary")
+            full = added_up(hashed, BUCKETS, "u1") >= min(min_count, 255)
+            shared.destroy()
+            shared = coded.sparkSession.sparkContext.broadcast((trie, full))
             each = coded.mapInArrow(
                 _seek(shared, parts == 1, allowance), ", ".join(f"{n} long" for n in names) + ", excess int"
             )
@@ -397,28 +472,28 @@ def candidates(coded: DataFrame, shorter: DataFrame, words: int, min_count: int)
     if kept >= min_count:  # more tasks than before: exact counts instead
         reports, kept = found(0), 0
     likely = reports.where(~none & (F.col("excess") + kept >= min_count))
-    return stored(likely.select(F.monotonically_increasing_id().alias("id"), *names))
+    return stored(likely.select(*names))
 
 
 def counted(coded: DataFrame, listed: DataFrame, words: int, min_count: int) -> DataFrame | None:
-    """``id, w1 .., f`` of the listed phrases that are frequent; None if there are none."""
-    made = []
-    for ids, codes, _ in parts_of(listed, words):
-        shared = coded.sparkSession.sparkContext.broadcast((Trie(codes).plain(), ids))
-        each = coded.mapInArrow(_count(shared), "id long, n long").groupBy("id").agg(F.sum("n").alias("f"))
-        made.append(stored(each.where(F.col("f") >= min_count)))
+    """``w1 .., f`` of the listed phrases that are frequent; None if there are none."""
+    spark, made = coded.sparkSession, []
+    for codes, _ in parts_of(listed, words):
+        shared = spark.sparkContext.broadcast(Trie(codes).plain())
+        total = added_up(coded.mapInArrow(_count(shared), "chunk int, counts binary"), len(codes), "i8")
         shared.destroy()
-    if not made:
-        return None
-    frequent = stored(listed.join(reduce(DataFrame.unionByName, made), "id"))
-    return None if frequent.isEmpty() else frequent
+        often = total >= min_count
+        if often.any():
+            columns_of = [pa.array(codes[often, k].copy()) for k in range(words)]
+            made.append(stored(spark.createDataFrame(pa.table([*columns_of, pa.array(total[often])], names=[*columns(words), "f"]))))
+    return reduce(DataFrame.unionByName, made) if made else None
 
 
 def frequent_phrases(docs: DataFrame, min_count: int = 100, longest: int = 5) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Phrases of 1 to ``longest`` words with ``min_count`` places or more (``codes, f``), frequent words
     (``code, lang, word, f``) and words per language (``lang, n``)."""
     words, totals, salt = word_table(docs, min_count)
-    levels = [words.select(F.col("code").alias("w1"), "f", F.col("code").alias("id"))]
+    levels = [words.select(F.col("code").alias("w1"), "f")]
     if not words.isEmpty():
         coded = stored(_rows(docs).mapInArrow(_coder(salt), "codes binary"))
         for length in range(2, longest + 1):

@@ -64,6 +64,8 @@ def test_collocations_equal_a_plain_count(spark, monkeypatch, part, gathered, he
     monkeypatch.setattr(collocations, "GATHERED", gathered)
     monkeypatch.setattr(collocations, "CANDIDATES", held)
     monkeypatch.setattr(collocations, "WORDS", 10)
+    monkeypatch.setattr(collocations, "CHUNK", 16)
+    monkeypatch.setattr(collocations, "BUCKETS", 1 << (3 if held == 5 else 12))
     rows = texts(part % 5)
     docs = spark.createDataFrame([(t, g, 1, "x") for t, g in rows], "text string, lang string, score int, phrase string")
     found = collocations.collocations(docs.repartition(tasks), min_count=12, top=40, share=90)
