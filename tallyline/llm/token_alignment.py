@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 from tallyline.llm.common import stored, whole
 
 TOGETHER = 1_000_000  # characters of texts that are cut together
+PAIR_BITS = 40
 PARTIALS = 1 << 21  # partial products of a block of rows
 COUNTED = 1 << 22  # pairs a task gathers before it counts them
 PAIRS = 2_000_000  # id pairs (17 bytes each) that are sent to every task at once
@@ -178,7 +179,7 @@ class Aligned:
     numbered through."""
 
     def __init__(self, texts: list[str], a: ByteTokenizer, b: PieceTokenizer):
-        self.texts = len(texts)
+        self.texts, self.ids = len(texts), max(len(a.bytes), len(b.bytes))
         filled = [(i, text) for i, text in enumerate(texts) if text]
         cut = zip(filled, a.encode([" " + text for _, text in filled]), b.encode([text for _, text in filled]))
         ids: tuple[list, list] = ([], [])
@@ -217,15 +218,15 @@ class Aligned:
         for row, column, _ in product(membership(self.group_a, groups), membership(self.group_b, groups).transposed()):
             yield row, column
 
-    def described(self) -> list[str]:
-        """The groups of each text as ``a1,a2|b1;a3|b2,b3``."""
+    def described(self, written: np.ndarray) -> list[str]:
+        """The groups of each text as ``a1,a2|b1;a3|b2,b3``; ``written`` holds the ids with each mark behind."""
         side = np.repeat([0, 1], [len(self.a), len(self.b)])
         group = np.concatenate([self.group_a, self.group_b])
         order = np.argsort(group * 2 + side, kind="stable")
-        ids = np.concatenate([self.a, self.b])[order].tolist()
+        ids = np.concatenate([self.a, self.b])[order]
         group, side = group[order], side[order]
-        after = np.where(np.diff(group, append=-1) != 0, 2, np.diff(side, append=0) != 0).tolist()
-        parts = [f"{number}{',|;'[mark]}" for number, mark in zip(ids, after)]
+        mark = np.where(np.diff(group, append=-1) != 0, 2, np.diff(side, append=0) != 0)
+        parts = written[mark, ids].tolist()
         ends = np.cumsum(self.n_a + self.n_b).tolist()
         return ["".join(parts[start:end])[:-1] for start, end in zip([0, *ends], ends)]
 
@@ -301,17 +302,19 @@ def _packed(blobs, pieces: int) -> Callable[[Batches], Batches]:
     number of links each has."""
 
     def run(batches: Batches) -> Batches:
+        written = None
         for part, found in _aligned(batches, blobs):
+            if written is None:
+                written = np.array([[f"{i}{mark}" for i in range(found.ids)] for mark in ",|;"], dtype=object)
             one, other, _ = found.overlaps()
-            text = found.text_a[one]
-            pair = found.a[one] * pieces + found.b[other]
-            order = np.lexsort((pair, text))
-            text, pair = text[order], pair[order]
-            first = np.flatnonzero((np.diff(pair, prepend=-1) != 0) | (np.diff(text, prepend=-1) != 0))
+            # texts of a part and id pairs share 63 bits: vocabularies are below a million, texts below TOGETHER
+            both = np.sort((found.text_a[one] << PAIR_BITS) | (found.a[one] * pieces + found.b[other]))
+            text, pair = both >> PAIR_BITS, both & ((1 << PAIR_BITS) - 1)
+            first = np.flatnonzero(np.diff(both, prepend=-1))
             times = np.diff(np.append(first, len(pair))).astype("<u4")
             ends = np.searchsorted(text[first], np.arange(found.texts + 1)).tolist()
             pairs = pair[first].astype("<u8" if len(pair) and pair.max() >> 32 else "<u4")
-            digests = [hashlib.sha256(s.encode()).hexdigest() if s else "" for s in found.described()]
+            digests = [hashlib.sha256(s.encode()).hexdigest() if s else "" for s in found.described(written)]
             cuts = list(zip(ends, ends[1:]))
             yield pa.RecordBatch.from_arrays(
                 [
