@@ -107,8 +107,11 @@ def mine(labelled: DataFrame, mining: Mining = Mining()) -> DataFrame:
     none = "rule_id string, tokens array<string>, confidence double, support double"
     if frequent.isEmpty():
         return spark.createDataFrame([], none)
+    # Tokens of exactly the same rows are one item: the sets of each other's tokens need not be counted.
+    like = materialize(alike(each.join(frequent, "token")))
+    named = like.select("item", F.explode("members").alias("token"))
     # Rows left with no token have no part in a rule; n counts them in the support.
-    held = materialize(each.join(frequent, "token").groupBy("row", "bad").agg(F.collect_set("token").alias("tokens")).select(
+    held = materialize(each.join(named, "token").groupBy("row", "bad").agg(F.collect_set("item").alias("tokens")).select(
         F.when(F.col("bad"), F.concat("tokens", F.array(F.lit(LABEL)))).otherwise(F.col("tokens")).alias("items")
     ))
     n_held = held.count()
@@ -119,7 +122,31 @@ def mine(labelled: DataFrame, mining: Mining = Mining()) -> DataFrame:
         F.array_sort("antecedent").alias("tokens"), "confidence",
         (F.col("support") * n_held / n).alias("support"),
     )
-    return without_longer(rules.withColumn("rule_id", F.array_join("tokens", " ")))
+    return spelled_out(without_longer(rules.withColumn("rule_id", F.array_join("tokens", " "))), like)
+
+
+def alike(each: DataFrame) -> DataFrame:
+    """``item, members``: tokens (of ``row, token`` rows) that lie in exactly the same rows, by the number, the
+    sum and the exclusive or of the rows' hashes. The least token names the item."""
+    of = F.xxhash64("row")
+    rows = each.groupBy("token").agg(
+        F.count("*").alias("n"), F.sum(of.cast("decimal(38,0)")).alias("sum"), F.bit_xor(of).alias("xor")
+    )
+    return rows.groupBy("n", "sum", "xor").agg(F.min("token").alias("item"), F.collect_set("token").alias("members")).select("item", "members")
+
+
+def spelled_out(rules: DataFrame, like: DataFrame) -> DataFrame:
+    """The rules with every token that an item stands for: each choice of one member per item is a rule."""
+    parts = rules.select("rule_id", "confidence", "support", F.explode("tokens").alias("item")).join(like, "item")
+    held = parts.groupBy("rule_id", "confidence", "support").agg(F.collect_list("members").alias("choices"))
+    none = F.array(F.array().cast("array<string>"))
+    chosen = F.aggregate(
+        "choices", none,
+        lambda made, members: F.flatten(F.transform(made, lambda one: F.transform(members, lambda m: F.concat(one, F.array(m))))),
+    )
+    every = held.select("confidence", "support", F.explode(chosen).alias("tokens"))
+    tokens = F.array_sort("tokens")
+    return every.select(F.array_join(tokens, " ").alias("rule_id"), tokens.alias("tokens"), "confidence", "support")
 
 
 def without_longer(rules: DataFrame) -> DataFrame:

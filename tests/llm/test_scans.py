@@ -212,6 +212,15 @@ def test_short_items_and_every_substitution(spark):
     assert {(r.start, r.words, r.matched) for r in found if r.item_id == 1} == {(2, 10, 8)}
 
 
+def test_long_shared_paths_end(spark):
+    """Twenty path parts that always stand together are one item, not a million sets; each is a rule of its own."""
+    parts = [f"path:p{k}" for k in range(20)]
+    bad = spark.range(25).select(F.array(*map(F.lit, parts)).alias("tokens"), F.lit(True).alias("bad"))
+    good = spark.range(50).select(F.array(F.lit("path:q"), F.lit("path:p0")).alias("tokens"), F.lit(False).alias("bad"))
+    rules = {r.rule_id: r.confidence for r in url_rules.mine(bad.unionByName(good)).collect()}
+    assert rules == {p: 1.0 for p in parts[1:]}
+
+
 def test_a_rule_stays_as_other_urls_are_added(spark):
     bad = spark.range(20).select(F.array(F.lit("host:bad"), F.lit("path:x")).alias("tokens"), F.lit(True).alias("bad"))
     for n in (100, 30_000):
