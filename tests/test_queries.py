@@ -33,5 +33,5 @@ def test_known_counts(spark):
     assert (codes["B"], codes["A"], codes["Q"]) == (6000, 1000, 835)
     assert found["allocate_approved"].count() == 4760
     assert found["allocate_approved"].where("bill_id is not null").count() == 4456
-    assert found["ingest_acct_fixed_b"].count() == 8915
+    assert found["ingest_acct_fixed_b"].count() == 8908
     assert view(spark, sf, "fx_control").count() == 13
