@@ -29,15 +29,15 @@ ORACLES = {
         worded as (select lang, regexp_extract_all(piece, '[^\x20\x09]+') as words from pieces),
         totals as (select lang, sum(len(words)) as n from worded group by lang),
         placed as (
-            select lang, words, size, unnest(range(1, len(words) - size + 2)) as at
+            select lang, words, size, unnest(range(1, len(words) - size + 2)) as pos
             from worded cross join (select unnest(range(1, 6)) as size)
         ),
         counts as (
-            select lang, size, words[at : at + size - 1] as phrase, count(*) as f from placed
+            select lang, size, words[pos : pos + size - 1] as phrase, count(*) as f from placed
             group by all having count(*) >= 100
         ),
         cuts as (
-            select c.lang, c.size, c.phrase, c.f as a, x.f as l, y.f as r, k,
+            select c.lang, c.size, c.phrase, c.f as a, x.f as l, y.f as r, n, k,
                 (1000::hugeint * c.f * n) // (x.f::hugeint * y.f) as score
             from counts c join totals using (lang) cross join (select unnest(range(1, 5)) as k)
             join counts x on x.lang = c.lang and x.phrase = c.phrase[1 : k]
