@@ -10,6 +10,11 @@ compared exactly:
 * larger ones are split ``SPLIT`` levels deeper; what is still large then is a family of like texts. The
   nodes of a family are compared whole, block with block, so no pair in it depends on chance.
 
+Before shingle sets travel, the nodes of a bucket are compared by the low bytes of their sketches. Only those go
+on that agree with a node of another class in ``NEAR`` places or more, which a linked pair misses with a chance
+of 1e-12 at most. Where buckets share such nodes, all nodes they connect are compared whole if that sends fewer
+sets than comparing bucket by bucket.
+
 Runs are repeated until a pair at the threshold is met with probability ``RECALL``, counting that all runs
 sample the same sketch, in which more or fewer places than the similarity says may agree. What the first runs
 link forms classes; later runs compare buckets that hold nodes of several classes. Links inside a class
@@ -31,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyline.llm.common import whole
-from tallyline.llm.components import components
+from tallyline.llm.components import components, forest
 from tallyline.session import materialize
 
 WIDTH = 5  # words of a shingle
@@ -134,6 +139,29 @@ def descend(paths: np.ndarray, owner: np.ndarray, sketches: np.ndarray) -> tuple
     return np.concatenate(children), np.concatenate([owner, owner[twice]])
 
 
+def least_agreeing(chance: float = 1e-12, similarity: float = 0.8) -> int:
+    """The most places such that a pair of this similarity agrees in fewer of them with the chance at most."""
+    below, places = 0.0, -1
+    while below <= chance:
+        places += 1
+        below += math.comb(PLACES, places) * similarity**places * (1 - similarity) ** (PLACES - places)
+    return places
+
+
+NEAR = least_agreeing()
+
+
+def near_groups(briefs: np.ndarray, classes: np.ndarray) -> list[np.ndarray]:
+    """Places of the sketches (low bytes) that agree with one of another class in ``NEAR`` places or more,
+    grouped by what such agreements connect."""
+    agreeing = np.zeros((len(briefs), len(briefs)), dtype=np.int32)
+    for at in range(0, len(briefs), 64):
+        agreeing[at : at + 64] = (briefs[at : at + 64, None] == briefs[None]).sum(axis=2)
+    one, other = np.nonzero((agreeing >= NEAR) & (classes[:, None] != classes[None, :]))
+    root = forest(len(briefs), one, other)
+    return [np.flatnonzero(root == r) for r in np.unique(root[one])]
+
+
 # --- tasks -----------------------------------------------------------------------------------
 
 
@@ -185,6 +213,32 @@ def _deeper(levels: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Rec
     return run
 
 
+def _briefs() -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """The low byte of every place of a sketch."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [np.frombuffer(held.as_py(), dtype=np.uint32).astype(np.uint8).tobytes() for held in batch.column(1)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary())], names=["node", "brief"])
+
+    return run
+
+
+def _near() -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """The nodes of each bucket that need an exact comparison, in buckets named by their nodes."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in groups(batches):
+            nodes, classes = (np.array([row[k] for row in group], dtype=np.int64) for k in (1, 3))
+            briefs = np.frombuffer(b"".join(row[2] for row in group), dtype=np.uint8).reshape(-1, PLACES)
+            for places in near_groups(briefs, classes):
+                name = hashlib.blake2b(nodes[places].tobytes(), digest_size=8).digest()
+                bucket = np.full(len(places), int.from_bytes(name, "little", signed=True))
+                yield pa.RecordBatch.from_arrays([pa.array(bucket), pa.array(nodes[places])], names=["bucket", "node"])
+
+    return run
+
+
 def _sets() -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = Hashes()
@@ -311,9 +365,10 @@ class Join:
             split = rows.select("path", "node", "sketch").mapInArrow(_deeper(SPLIT), "path long, node long")
             members = materialize(self.undecided(split))
             met += [self.small(members), self.families(members.where(F.col("size") > BUCKET))]
-        buckets = materialize(reduce(DataFrame.unionByName, met).distinct())
-        if buckets.isEmpty():
+        near = materialize(self.near(reduce(DataFrame.unionByName, met).distinct()))
+        if near.isEmpty():
             return
+        buckets = materialize(fewest(near))
         held = buckets.join(self.sets_of(buckets), "node").select("bucket", "node", "shingles")
         edges = materialize(together(held).mapInArrow(_forests(), "a long, b long"))
         self.roots = components(edges if self.roots is None else edges.unionByName(self.roots.toDF("a", "b")))
@@ -336,14 +391,22 @@ class Join:
 
     def families(self, members: DataFrame) -> DataFrame:
         """``bucket, node`` of the pairs of blocks of the families: nodes that large buckets connect."""
-        members = members.select("path", "node")
-        least = members.groupBy("path").agg(F.min("node").alias("b"))
-        roots = components(members.join(least, "path").select(F.col("node").alias("a"), "b"))
+        roots = connected(members, "path")
         nodes = roots.select("node", F.col("root").alias("group")).unionByName(
             roots.select(F.col("root").alias("node"), F.col("root").alias("group")).distinct()
         )
         return block_pairs(nodes).select("bucket", "node")
 
+    def near(self, buckets: DataFrame) -> DataFrame:
+        """``bucket, node`` of what has to be compared exactly, as the sketches tell."""
+        if self.roots is None:
+            classed = buckets.withColumn("class", F.col("node"))
+        else:
+            classed = buckets.join(self.roots, "node", "left").withColumn("class", F.coalesce("root", "node"))
+        briefs = self.nodes.select("node", "sketch").mapInArrow(_briefs(), "node long, brief binary")
+        rows = classed.join(briefs, "node").select("bucket", "node", "brief", "class")
+        return together(rows).mapInArrow(_near(), "bucket long, node long").distinct()
+
     def sets_of(self, wanted: DataFrame) -> DataFrame:
         """``node, shingles`` of the wanted nodes, from the texts."""
         wanted = materialize(
@@ -385,6 +448,24 @@ def block_pairs(nodes: DataFrame) -> DataFrame:
     return paired.withColumn("bucket", F.xxhash64("group", "one", "other")).drop("with", "blocks", "group")
 
 
+def connected(members: DataFrame, group: str) -> DataFrame:
+    """``node, root`` of nodes that groups connect, without the roots themselves."""
+    members = members.select(group, "node")
+    least = members.groupBy(group).agg(F.min("node").alias("b"))
+    return components(members.join(least, group).select(F.col("node").alias("a"), "b"))
+
+
+def fewest(near: DataFrame) -> DataFrame:
+    """``bucket, node`` such that all nodes of a bucket of ``near`` meet. Nodes that buckets connect are one group,
+    compared block with block, unless that takes more rows than the buckets have."""
+    named = near.join(connected(near, "bucket"), "node", "left").withColumn("group", F.coalesce("root", "node"))
+    size = F.count_distinct("node")
+    costs = named.groupBy("group").agg((size * F.ceil(size / BLOCK) <= F.count("*")).alias("whole"))
+    named = materialize(named.join(costs, "group").select("bucket", "node", "group", "whole"))
+    whole_groups = block_pairs(named.where("whole").select("node", "group").distinct())
+    return whole_groups.select("bucket", "node").unionByName(named.where("not whole").select("bucket", "node"))
+
+
 def together(rows: DataFrame) -> DataFrame:
     """Rows of a bucket beside each other."""
     return rows.repartition("bucket").sortWithinPartitions("bucket")
