@@ -10,7 +10,8 @@ between pieces. Frequent phrases are found level by level, as Apriori does, in t
   a table of fixed size that the tasks add up; those whose bucket stays below the count are passed over in
   a second pass. A task may keep a few places of each to
   itself, so that the many rare ones need no shuffle; as all tasks together keep fewer than ``min_count``,
-  no frequent phrase is lost, and what cannot reach the count with all that was kept is left out.
+  no frequent phrase is lost, and what cannot reach the count with all that was kept is left out. What the
+  tasks report travels packed, ``SHARES`` rows at a time, and is added up share by share.
 * **counts**: the candidates, again as a trie, go to every task; the accepting states are counted by
   ``bincount`` and the tasks' arrays of counts are added up, chunk by chunk.
 
@@ -37,11 +38,13 @@ from tallyline.llm.common import stored, whole
 
 PART = 400_000  # phrases of a trie (up to 40 bytes each, and about 20 for the trie)
 TOGETHER = 100_000  # codes a task handles at once
-GATHERED = 1 << 19  # positions a task gathers before it counts them
+GATHERED = 1 << 20  # positions a task gathers before it counts them
 WORDS = 100_000  # words a task remembers or counts before it passes them on
 ROW = 512  # codes of a stored row, up to the next break; Spark hands rows to tasks by their number
 BUCKETS = 1 << 22  # of the hashed counts that sort out candidates
 CHUNK = 1 << 16  # numbers of a row that carries a part of a task's counts
+SHARES = 256  # rows a task's candidates are dealt to, by a hash
+FOUND = np.dtype([("first", np.int32), ("n", np.int32), ("last", np.int64)])  # a packed candidate
 MIX = np.uint64(0x9E3779B97F4A7C15)
 CANDIDATES = 1_000_000  # distinct candidates a task holds before it lowers their counts or reports them
 SEED = 42  # of Spark's xxhash64
@@ -67,6 +70,10 @@ class Trie:
         self.symbols = np.empty(len(codes), dtype=np.int64)
         self.symbols[np.argsort(-times, kind="stable")] = np.arange(len(codes))
         rows = self.symbols[symbol.reshape(phrases.shape)]
+        # The places of a word among the sorted codes, by its upper bits: codes are hashes and lie evenly.
+        bits = len(codes).bit_length() + 1
+        self.shift, self.half = 64 - bits, 1 << bits - 1
+        self.heads = np.searchsorted((codes >> self.shift) + self.half, np.arange((1 << bits) + 1)).astype(np.int32)
         order = np.lexsort(rows.T[::-1])
         rows = rows[order]
         self._grow_to(2 * len(rows) + len(codes) + 16, empty=True)
@@ -136,8 +143,18 @@ class Trie:
 
     def symbols_of(self, codes: np.ndarray) -> np.ndarray:
         """The symbol of each code, -1 for words the trie does not hold."""
-        where = np.minimum(np.searchsorted(self.codes, codes), len(self.codes) - 1)
-        return np.where(self.codes[where] == codes, self.symbols[where], -1)
+        upper = (codes >> self.shift) + self.half
+        found = np.full(len(codes), -1, dtype=np.int64)
+        at, end = self.heads[upper], self.heads[upper + 1]
+        left = np.flatnonzero(at < end)
+        at, end = at[left], end[left]
+        while len(left):
+            same = self.codes[at] == codes[left]
+            found[left[same]] = self.symbols[at[same]]
+            at = at + 1
+            more = ~same & (at < end)
+            left, at, end = left[more], at[more], end[more]
+        return found
 
     def accepted(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Positions where a phrase starts, and which one. All positions advance a level at a time."""
@@ -262,10 +279,13 @@ def summed(parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> tuple[np.n
     if not len(codes):
         return first, last, n
     key, where = np.unique(first.astype(np.int64) * len(codes) + word, return_inverse=True)
-    total = np.bincount(where, weights=n, minlength=len(key)).astype(np.int32)
+    total = np.minimum(np.bincount(where, weights=n, minlength=len(key)), np.iinfo(np.int32).max).astype(np.int32)
     return (key // len(codes)).astype(np.int32), codes[key % len(codes)], total
 
 
+NOTHING = (np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int32))
+
+
 def lowered(held: tuple, by: int) -> tuple:
     """All counts less ``by``; what has none left is forgotten."""
     first, last, n = held
@@ -319,45 +339,58 @@ def _add_up(kind: str) -> Callable[[Batches], Batches]:
     return run
 
 
+def tally(numbers: Iterator[np.ndarray], size: int) -> np.ndarray:
+    """How often each number below ``size`` occurs. They are gathered first, as each count takes ``size`` steps."""
+    total, held, gathered = np.zeros(size, dtype=np.int64), [], 0
+    for found in numbers:
+        held.append(found)
+        gathered += len(found)
+        if gathered >= GATHERED:
+            total += np.bincount(np.concatenate(held), minlength=size)
+            held, gathered = [], 0
+    return total + np.bincount(np.concatenate(held), minlength=size) if held else total
+
+
 def _hashed_counts(shared, whole_trie: bool) -> Callable[[Batches], Batches]:
     """How many promising places fall into each bucket, 255 at most."""
 
     def run(batches: Batches) -> Batches:
         trie = Trie.of(shared.value)
-        total = np.zeros(BUCKETS, dtype=np.int32)
-        for codes in codes_of(batches):
-            at, _ = promising(trie, codes, whole_trie)
-            total += np.bincount(buckets_of(codes, at, trie.words + 1), minlength=BUCKETS).astype(np.int32)
+        found = (buckets_of(codes, promising(trie, codes, whole_trie)[0], trie.words + 1) for codes in codes_of(batches))
+        total = tally(found, BUCKETS)
         yield from packed(np.minimum(total, 255).astype(np.uint8))
 
     return run
 
 
 def _seek(shared, whole_trie: bool, allowance: int) -> Callable[[Batches], Batches]:
-    """Candidates one word longer than the phrases of the trie: ``w1 .. wk, excess``, the count in the task
-    less what it lowered it by. Places whose bucket is not full are passed over. A task that holds too many
-    candidates lowers all their counts by one, up to its allowance in all, and reports them when that is
-    used up; the rest of the allowance goes at the end. A row of zeros tells what the task may have kept to
-    itself of a phrase."""
+    """Candidates one word longer than the phrases of the trie, packed: number of the first words, code of the
+    last, the count in the task less what it lowered it by. Places whose bucket is not full are passed over. A
+    task that holds too many candidates lowers all their counts by one, up to its allowance in all, and reports
+    them when that is used up; the rest of the allowance goes at the end. Share -1 tells what a task with any
+    codes may have kept to itself of a phrase."""
 
     def run(batches: Batches) -> Batches:
         plain, full = shared.value
         trie = Trie.of(plain)
-        names = [*columns(trie.words + 1), "excess"]
 
-        def report(held: tuple) -> Batches:
-            first, last, n = held
-            for at in range(0, len(first), 50_000):
-                cut = slice(at, at + 50_000)
-                words = trie.phrases[first[cut]]
-                yield pa.RecordBatch.from_arrays(
-                    [*(pa.array(words[:, k].copy()) for k in range(trie.words)), pa.array(last[cut]), pa.array(n[cut])],
-                    names=names,
-                )
+        def row(share: int, found: np.ndarray) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array([share], pa.int32()), pa.array([found.tobytes()], pa.binary())], names=["share", "found"])
 
-        nothing = (np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int32))
-        held, fresh, size, left = nothing, [], 0, allowance
+        def report(held: tuple) -> Batches:
+            found = np.empty(len(held[0]), dtype=FOUND)
+            found["first"], found["last"], found["n"] = held
+            mixed = (found["last"].view(np.uint64) ^ found["first"].astype(np.uint64)) * MIX
+            share = (mixed >> np.uint64(32)) % np.uint64(SHARES)
+            order = np.argsort(share, kind="stable")
+            ends = np.searchsorted(share[order], np.arange(SHARES + 1))
+            for number in range(SHARES):
+                if ends[number] < ends[number + 1]:
+                    yield row(number, found[order[ends[number] : ends[number + 1]]])
+
+        held, fresh, size, left, any_codes = NOTHING, [], 0, allowance, False
         for codes in codes_of(batches):
+            any_codes = True
             at, phrase = promising(trie, codes, whole_trie)
             likely = full[buckets_of(codes, at, trie.words + 1)]
             at, phrase = at[likely], phrase[likely]
@@ -369,10 +402,49 @@ def _seek(shared, whole_trie: bool, allowance: int) -> Callable[[Batches], Batch
                     held, left = lowered(held, 1), left - 1
                 if len(held[0]) > CANDIDATES:
                     yield from report(held)
-                    held = nothing
+                    held = NOTHING
         yield from report(lowered(summed([held, *fresh]), left))
-        none = [pa.array([0], pa.int64())] * (trie.words + 1)
-        yield pa.RecordBatch.from_arrays([*none, pa.array([allowance], pa.int32())], names=names)
+        if any_codes:
+            yield row(-1, np.array([(0, allowance, 0)], dtype=FOUND))
+
+    return run
+
+
+def _likely(shared, least: int) -> Callable[[Batches], Batches]:
+    """Candidates (``w1 .., excess``) the tasks report ``least`` times or more. Rows of equal shares lie beside
+    each other. A row of zeros tells what all tasks may have kept to themselves of a phrase."""
+
+    def run(batches: Batches) -> Batches:
+        phrases = shared.value[0]["phrases"]
+        words = phrases.shape[1]
+        names = [*columns(words + 1), "excess"]
+
+        def reported(share: int, found: tuple) -> Batches:
+            first, last, n = found
+            if share < 0:
+                yield pa.RecordBatch.from_arrays([*[pa.array([0], pa.int64())] * (words + 1), pa.array(n, pa.int64())], names=names)
+                return
+            often = np.flatnonzero(n >= least)
+            for at in range(0, len(often), 50_000):
+                part = often[at : at + 50_000]
+                own = phrases[first[part]]
+                yield pa.RecordBatch.from_arrays(
+                    [*(pa.array(own[:, k].copy()) for k in range(words)), pa.array(last[part]), pa.array(n[part], pa.int64())], names=names
+                )
+
+        share, held, fresh, size = None, NOTHING, [], 0
+        rows = ((number.as_py(), np.frombuffer(own.as_py(), dtype=FOUND)) for batch in batches for number, own in zip(batch.column(0), batch.column(1)))
+        for number, found in rows:
+            if number != share and share is not None:
+                yield from reported(share, summed([held, *fresh]))
+                held, fresh, size = NOTHING, [], 0
+            share = number
+            fresh.append((found["first"], found["last"], found["n"]))
+            size += len(found)
+            if size >= GATHERED:
+                held, fresh, size = summed([held, *fresh]), [], 0
+        if share is not None:
+            yield from reported(share, summed([held, *fresh]))
 
     return run
 
@@ -382,10 +454,7 @@ def _count(shared) -> Callable[[Batches], Batches]:
 
     def run(batches: Batches) -> Batches:
         trie = Trie.of(shared.value)
-        total = np.zeros(len(trie.phrases), dtype=np.int64)
-        for codes in codes_of(batches):
-            total += np.bincount(trie.accepted(codes)[1], minlength=len(total))
-        yield from packed(total)
+        yield from packed(tally((trie.accepted(codes)[1] for codes in codes_of(batches)), len(trie.phrases)))
 
     return run
 
@@ -456,23 +525,23 @@ def candidates(coded: DataFrame, shorter: DataFrame, words: int, min_count: int)
             full = added_up(hashed, BUCKETS, "u1") >= min(min_count, 255)
             shared.destroy()
             shared = coded.sparkSession.sparkContext.broadcast((trie, full))
-            each = coded.mapInArrow(
-                _seek(shared, parts == 1, allowance), ", ".join(f"{n} long" for n in names) + ", excess int"
+            each = coded.mapInArrow(_seek(shared, parts == 1, allowance), "share int, found binary")
+            likely = each.repartition("share").sortWithinPartitions("share").mapInArrow(
+                _likely(shared, max(min_count - allowance * tasks, 1)), ", ".join(f"{n} long" for n in names) + ", excess long"
             )
-            part = F.lit(len(made)).alias("part")
-            made.append(stored(each.groupBy(*names).agg(F.sum("excess").alias("excess")).withColumn("part", part)))
+            made.append(stored(likely))
             shared.destroy()
         return reduce(DataFrame.unionByName, made)
 
+    # A task without codes, as a scan may have, keeps nothing and is not among them.
     allowance = (min_count - 1) // max(tasks, 1)
     reports = found(allowance)
     none = F.col("w1") == 0
     # what the tasks may have kept to themselves of one phrase, which lies in one part
     kept = reports.where(none).agg(F.max("excess")).first()[0] or 0
-    if kept >= min_count:  # more tasks than before: exact counts instead
-        reports, kept = found(0), 0
-    likely = reports.where(~none & (F.col("excess") + kept >= min_count))
-    return stored(likely.select(*names))
+    if kept > allowance * tasks:  # more tasks than before: exact counts instead
+        reports = found(0)
+    return reports.where(~none).select(*names)
 
 
 def counted(coded: DataFrame, listed: DataFrame, words: int, min_count: int) -> DataFrame | None:

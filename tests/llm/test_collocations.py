@@ -6,6 +6,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tallyline.llm import collocations
 
@@ -110,3 +111,31 @@ def test_trie_equals_a_dictionary():
         at, which = collocations.Trie(phrases).accepted(codes)
         want = [(i, known[tuple(codes[i : i + words])]) for i in range(len(codes)) if tuple(codes[i : i + words]) in known]
         assert sorted(zip(at.tolist(), which.tolist())) == want
+
+
+def test_tasks_without_codes_keep_nothing(spark, monkeypatch):
+    """A scan may have more tasks than hold rows; they must not make all candidates be sought a second time."""
+    codes = np.array([7, 1 << 40, 0, 7, 1 << 40, 0, -3, 7, 0] * 3, dtype=np.int64)
+    coded = spark.range(0, 8, 1, 8).where("id < 2").select(F.lit(bytearray(codes.tobytes())).alias("codes"))
+    shorter = spark.createDataFrame([(7,), (1 << 40,), (-3,)], "w1 long")
+    seek, allowances = collocations._seek, []
+
+    def noted(shared, whole_trie, allowance):
+        allowances.append(allowance)
+        return seek(shared, whole_trie, allowance)
+
+    monkeypatch.setattr(collocations, "_seek", noted)
+    found = collocations.candidates(coded, shorter, 2, 10)
+    assert allowances == [4]
+    listed = {tuple(r) for r in found.collect()}
+    assert (7, 1 << 40) in listed and listed <= {(7, 1 << 40), (-3, 7)}
+
+
+@pytest.mark.parametrize("size", [1, 5, 1000])
+def test_symbols_are_found_by_upper_bits(size):
+    rng = np.random.default_rng(size)
+    codes = rng.integers(-(1 << 63), (1 << 63) - 1, size, dtype=np.int64)
+    trie = collocations.Trie(np.concatenate([codes, [np.int64(1), np.int64(2)]])[:, None])
+    asked = np.concatenate([codes, [1, 2, 3, 0, -1, codes[0] ^ 1]])
+    known = {int(c): int(s) for c, s in zip(trie.codes, trie.symbols)}
+    assert trie.symbols_of(asked).tolist() == [known.get(int(c), -1) for c in asked]
