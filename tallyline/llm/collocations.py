@@ -7,13 +7,14 @@ between pieces. Frequent phrases are found level by level, as Apriori does, in t
 * **candidates**: a double-array trie of the frequent phrases of one word less goes to every task, which
   advances the states of all text positions together, level by level. Where a phrase and the one that
   starts a word later are both frequent, they make a candidate. Candidates are counted by a hash first, in
-  a table of fixed size that the tasks add up; those whose bucket stays below the count are passed over in
-  a second pass. A task may keep a few places of each to
+  a table of fixed size that the tasks add up; a bit for each bucket comes back, and those whose bucket stays
+  below the count are passed over in a second pass. A task may keep a few places of each to
   itself, so that the many rare ones need no shuffle; as all tasks together keep fewer than ``min_count``,
   no frequent phrase is lost, and what cannot reach the count with all that was kept is left out. What the
   tasks report travels packed, ``SHARES`` rows at a time, and is added up share by share.
 * **counts**: the candidates, again as a trie, go to every task; the accepting states are counted by
-  ``bincount`` and the tasks' arrays of counts are added up, chunk by chunk.
+  ``bincount`` and the tasks' arrays of counts are added up, chunk by chunk, by tasks that write the frequent
+  ones. No counts go through the driver.
 
 Tries are cut into parts of at most ``PART`` phrases, each of which makes a pass of its own.
 
@@ -42,7 +43,7 @@ GATHERED = 1 << 20  # positions a task gathers before it counts them
 WORDS = 100_000  # words a task remembers or counts before it passes them on
 ROW = 512  # codes of a stored row, up to the next break; Spark hands rows to tasks by their number
 BUCKETS = 1 << 22  # of the hashed counts that sort out candidates
-CHUNK = 1 << 16  # numbers of a row that carries a part of a task's counts
+CHUNK = 1 << 16  # numbers of a row that carries a part of a task's counts, a multiple of 8
 SHARES = 256  # rows a task's candidates are dealt to, by a hash
 FOUND = np.dtype([("first", np.int32), ("n", np.int32), ("last", np.int64)])  # a packed candidate
 MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -322,19 +323,44 @@ def packed(counts: np.ndarray) -> Batches:
             yield pa.RecordBatch.from_arrays([pa.array([number], pa.int32()), pa.array([part.tobytes()], pa.binary())], names=["chunk", "counts"])
 
 
-def _add_up(kind: str) -> Callable[[Batches], Batches]:
-    """Rows of equal chunks, which lie beside each other, added up."""
+def sums_of(batches: Batches, kind: str) -> Iterator[tuple[int, np.ndarray]]:
+    """Each chunk and its counts added up. Rows of equal chunks lie beside each other."""
+    chunk, total = None, None
+    rows = ((number.as_py(), np.frombuffer(held.as_py(), dtype=kind)) for batch in batches for number, held in zip(batch.column(0), batch.column(1)))
+    for number, counts in rows:
+        if number != chunk and chunk is not None:
+            yield chunk, total
+        total = counts.astype(np.int64) if number != chunk else total + counts
+        chunk = number
+    if chunk is not None:
+        yield chunk, total
+
+
+def _full(least: int) -> Callable[[Batches], Batches]:
+    """A bit for each bucket of a chunk, set where its counts add up to ``least`` or more."""
+
+    def run(batches: Batches) -> Batches:
+        for chunk, total in sums_of(batches, "u1"):
+            bits = np.packbits(total >= least)
+            if bits.any():
+                yield pa.RecordBatch.from_arrays([pa.array([chunk], pa.int32()), pa.array([bits.tobytes()], pa.binary())], names=["chunk", "bits"])
+
+    return run
+
+
+def _frequent(shared, min_count: int) -> Callable[[Batches], Batches]:
+    """``w1 .., f`` of the phrases of the trie whose counts add up to ``min_count`` or more."""
 
     def run(batches: Batches) -> Batches:
-        chunk, total = None, None
-        rows = ((number.as_py(), np.frombuffer(held.as_py(), dtype=kind)) for batch in batches for number, held in zip(batch.column(0), batch.column(1)))
-        for number, counts in rows:
-            if number != chunk and chunk is not None:
-                yield pa.RecordBatch.from_arrays([pa.array([chunk], pa.int32()), pa.array([total.tobytes()], pa.binary())], names=["chunk", "counts"])
-            total = counts.astype(np.int64) if number != chunk else total + counts
-            chunk = number
-        if chunk is not None:
-            yield pa.RecordBatch.from_arrays([pa.array([chunk], pa.int32()), pa.array([total.tobytes()], pa.binary())], names=["chunk", "counts"])
+        phrases = shared.value["phrases"]
+        words = phrases.shape[1]
+        for chunk, total in sums_of(batches, "i8"):
+            often = np.flatnonzero(total >= min_count)
+            own = phrases[chunk * CHUNK + often]
+            if len(own):
+                yield pa.RecordBatch.from_arrays(
+                    [*(pa.array(own[:, k].copy()) for k in range(words)), pa.array(total[often])], names=[*columns(words), "f"]
+                )
 
     return run
 
@@ -371,8 +397,8 @@ def _seek(shared, whole_trie: bool, allowance: int) -> Callable[[Batches], Batch
     codes may have kept to itself of a phrase."""
 
     def run(batches: Batches) -> Batches:
-        plain, full = shared.value
-        trie = Trie.of(plain)
+        plain, bits = (part.value for part in shared)
+        trie, full = Trie.of(plain), np.unpackbits(bits).view(bool)
 
         def row(share: int, found: np.ndarray) -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays([pa.array([share], pa.int32()), pa.array([found.tobytes()], pa.binary())], names=["share", "found"])
@@ -415,7 +441,7 @@ def _likely(shared, least: int) -> Callable[[Batches], Batches]:
     each other. A row of zeros tells what all tasks may have kept to themselves of a phrase."""
 
     def run(batches: Batches) -> Batches:
-        phrases = shared.value[0]["phrases"]
+        phrases = shared.value["phrases"]
         words = phrases.shape[1]
         names = [*columns(words + 1), "excess"]
 
@@ -500,37 +526,38 @@ def parts_of(phrases: DataFrame, words: int) -> Iterator[tuple[np.ndarray, int]]
             yield np.stack([np.array(table.column(n)) for n in names], axis=1), parts
 
 
-def added_up(counted: DataFrame, size: int, kind: str) -> np.ndarray:
-    """The tasks' packed counts (``chunk, counts``) in sum. They are as many as a trie part has phrases, or as
-    there are buckets."""
-    together = counted.repartition("chunk").sortWithinPartitions("chunk")
-    total = np.zeros(size, dtype=np.int64)
-    for chunk, counts in together.mapInArrow(_add_up(kind), "chunk int, counts binary").collect():
-        part = np.frombuffer(counts, dtype=np.int64)
-        total[chunk * CHUNK : chunk * CHUNK + len(part)] = part
-    return total
+def together(reports: DataFrame, by: str) -> DataFrame:
+    """The tasks' packed rows, those of equal ``by`` beside each other."""
+    return reports.repartition(by).sortWithinPartitions(by)
+
+
+def full_buckets(hashed: DataFrame, least: int) -> np.ndarray:
+    """A bit for each bucket, set where the tasks' packed counts (``chunk, counts``) add up to ``least``."""
+    full = np.zeros(BUCKETS // 8, dtype=np.uint8)
+    for chunk, bits in together(hashed, "chunk").mapInArrow(_full(least), "chunk int, bits binary").collect():
+        at = chunk * CHUNK // 8
+        full[at : at + len(bits)] = np.frombuffer(bits, dtype=np.uint8)
+    return full
 
 
 def candidates(coded: DataFrame, shorter: DataFrame, words: int, min_count: int) -> DataFrame:
     """``w1 ..``: phrases of ``words`` words that may be frequent, given those of one word less."""
-    names = columns(words)
+    names, context = columns(words), coded.sparkSession.sparkContext
     tasks = coded.select(F.spark_partition_id().alias("p")).distinct().count()
 
     def found(allowance: int) -> DataFrame:
         made = []
         for codes, parts in parts_of(shorter, words - 1):
-            trie = Trie(codes).plain()
-            shared = coded.sparkSession.sparkContext.broadcast(trie)
-            hashed = coded.mapInArrow(_hashed_counts(shared, parts == 1), "chunk int, counts binary")
-            full = added_up(hashed, BUCKETS, "u1") >= min(min_count, 255)
-            shared.destroy()
-            shared = coded.sparkSession.sparkContext.broadcast((trie, full))
-            each = coded.mapInArrow(_seek(shared, parts == 1, allowance), "share int, found binary")
-            likely = each.repartition("share").sortWithinPartitions("share").mapInArrow(
-                _likely(shared, max(min_count - allowance * tasks, 1)), ", ".join(f"{n} long" for n in names) + ", excess long"
+            trie = context.broadcast(Trie(codes).plain())
+            hashed = coded.mapInArrow(_hashed_counts(trie, parts == 1), "chunk int, counts binary")
+            full = context.broadcast(full_buckets(hashed, min(min_count, 255)))
+            each = coded.mapInArrow(_seek((trie, full), parts == 1, allowance), "share int, found binary")
+            likely = together(each, "share").mapInArrow(
+                _likely(trie, max(min_count - allowance * tasks, 1)), ", ".join(f"{n} long" for n in names) + ", excess long"
             )
             made.append(stored(likely))
-            shared.destroy()
+            trie.destroy()
+            full.destroy()
         return reduce(DataFrame.unionByName, made)
 
     # A task without codes, as a scan may have, keeps nothing and is not among them.
@@ -546,16 +573,17 @@ def candidates(coded: DataFrame, shorter: DataFrame, words: int, min_count: int)
 
 def counted(coded: DataFrame, listed: DataFrame, words: int, min_count: int) -> DataFrame | None:
     """``w1 .., f`` of the listed phrases that are frequent; None if there are none."""
-    spark, made = coded.sparkSession, []
+    made = []
     for codes, _ in parts_of(listed, words):
-        shared = spark.sparkContext.broadcast(Trie(codes).plain())
-        total = added_up(coded.mapInArrow(_count(shared), "chunk int, counts binary"), len(codes), "i8")
+        shared = coded.sparkSession.sparkContext.broadcast(Trie(codes).plain())
+        each = coded.mapInArrow(_count(shared), "chunk int, counts binary")
+        often = together(each, "chunk").mapInArrow(
+            _frequent(shared, min_count), ", ".join(f"{n} long" for n in columns(words)) + ", f long"
+        )
+        made.append(stored(often))
         shared.destroy()
-        often = total >= min_count
-        if often.any():
-            columns_of = [pa.array(codes[often, k].copy()) for k in range(words)]
-            made.append(stored(spark.createDataFrame(pa.table([*columns_of, pa.array(total[often])], names=[*columns(words), "f"]))))
-    return reduce(DataFrame.unionByName, made) if made else None
+    found = reduce(DataFrame.unionByName, made) if made else None
+    return None if found is None or found.isEmpty() else found
 
 
 def frequent_phrases(docs: DataFrame, min_count: int = 100, longest: int = 5) -> tuple[DataFrame, DataFrame, DataFrame]:

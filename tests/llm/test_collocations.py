@@ -139,3 +139,31 @@ def test_symbols_are_found_by_upper_bits(size):
     asked = np.concatenate([codes, [1, 2, 3, 0, -1, codes[0] ^ 1]])
     known = {int(c): int(s) for c, s in zip(trie.codes, trie.symbols)}
     assert trie.symbols_of(asked).tolist() == [known.get(int(c), -1) for c in asked]
+
+
+def test_counts_stay_off_the_driver(spark, monkeypatch):
+    """The driver gets a bit for each bucket and no counts; frequent phrases are written by the tasks."""
+    monkeypatch.setattr(collocations, "CHUNK", 16)
+    monkeypatch.setattr(collocations, "BUCKETS", 1 << 10)
+    codes = np.array(([7, 9, 0] * 6 + [8, 7, 0] * 5 + [9, 9, 8, 0]) * 4, dtype=np.int64)
+    coded = spark.range(0, 3, 1, 3).select(F.lit(bytearray(codes.tobytes())).alias("codes"))
+    shorter = spark.createDataFrame([(7,), (8,), (9,)], "w1 long")
+    kind, collect, came = type(coded), type(coded).collect, []
+
+    def noted(self):
+        found = collect(self)
+        came.extend(len(v) for row in found for v in row if isinstance(v, (bytes, bytearray)))
+        return found
+
+    def none_made(*_, **__):
+        raise AssertionError("rows were made on the driver")
+
+    with monkeypatch.context() as patched:
+        patched.setattr(kind, "collect", noted)
+        patched.setattr(type(spark), "createDataFrame", none_made)
+        listed = collocations.candidates(coded, shorter, 2, 60)
+        found = collocations.counted(coded, listed, 2, 60)
+        none = collocations.counted(coded, listed, 2, 1000)
+    assert 0 < sum(came) <= collocations.BUCKETS // 8
+    assert sorted(tuple(r) for r in found.collect()) == [(7, 9, 72), (8, 7, 60)]
+    assert none is None
