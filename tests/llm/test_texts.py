@@ -3,6 +3,7 @@
 import hashlib
 import random
 import tempfile
+import time
 import zlib
 
 import brute
@@ -46,6 +47,40 @@ def test_tokens_equal_the_library(spark, sf, library):
     assert piece_tokens.encode(docs.limit(0), piece_model()).isEmpty()
 
 
+def test_words_of_all_lengths(library, monkeypatch):
+    random.seed(3)
+    vocabulary = piece_tokens.read_vocabulary(piece_model())
+    monkeypatch.setattr(piece_tokens, "CACHED_WORDS", 300)
+    monkeypatch.setattr(piece_tokens, "CHUNK", 2000)
+    texts = ["", "", " ", "x" * 63, "x" * 64, "x" * 65, "漢" * 300, " " * 3000, "<s> \x00\U0010ffff\ufffd"]
+    texts += ["".join(random.choices("etaoinshr", k=k)) for k in range(1, 140)] * 2
+    texts += ["".join(random.choices(vocabulary.pieces, k=random.randint(1, 40))) for _ in range(300)]
+    texts += [" ".join(random.choices(vocabulary.pieces, k=random.randint(1, 40))) for _ in range(300)]
+    encoder = piece_tokens.Encoder(vocabulary)
+    for text, (ids, shown, decoded) in zip(texts, encoder.texts(texts), strict=True):
+        want = library.encode(text, add_eos=True)
+        assert (ids.tolist(), bytes(shown), bytes(decoded)) == (want, " ".join(map(str, want)).encode(), library.decode(want).encode())
+    assert len(encoder.known) < 3000 and all(len(k) <= 4 * piece_tokens.LONG for k in encoder.known)
+
+
+def test_tokens_take_about_the_time_of_the_library(library):
+    """Words are made up anew, so that few of them repeat."""
+    random.seed(4)
+    parts = ["the", "ti", "on", "ing", "a", "er", "sch", "eau", "re", "qu", "lo", "m", "st", "é", "is", "und"]
+    texts = [
+        " ".join("".join(random.choices(parts, k=random.randint(1, 6))) + random.choice(["", "", ",", "."]) for _ in range(400))
+        for _ in range(1500)
+    ]
+    encoder = piece_tokens.Encoder(piece_tokens.read_vocabulary(piece_model()))
+    began = time.process_time()
+    counts = [len(ids) for ids, _, _ in encoder.texts(texts)]
+    own = time.process_time() - began
+    began = time.process_time()
+    want = [library.encode(text, add_eos=True) for text in texts]
+    assert [library.decode(ids) for ids in want] == texts
+    assert counts == list(map(len, want)) and own < 1.6 * (time.process_time() - began)
+
+
 def test_decode_of_any_ids(library):
     vocabulary = piece_tokens.read_vocabulary(piece_model())
     random.seed(2)
