@@ -1,20 +1,24 @@
 """Phrases whose words stand together more often than their parts would by chance.
 
 Texts are lower-cased (A-Z), split into pieces at sentence marks and line ends, and pieces into words. A
-word is a 64-bit code of its language and spelling; the codes of the texts are stored once, with a 0
-between pieces. Frequent phrases are found level by level, as Apriori does, in two passes each:
+word is a 64-bit code of its language and spelling; the codes of the texts are stored, with a 0 between pieces
+and for words that are not frequent. Frequent phrases are found level by level, as Apriori does, in three
+passes each and one that narrows the codes for the next level:
 
 * **candidates**: a double-array trie of the frequent phrases of one word less goes to every task, which
   advances the states of all text positions together, level by level. Where a phrase and the one that
   starts a word later are both frequent, they make a candidate. Candidates are counted by a hash first, in
-  a table of fixed size that the tasks add up; a bit for each bucket comes back, and those whose bucket stays
-  below the count are passed over in a second pass. A task may keep a few places of each to
-  itself, so that the many rare ones need no shuffle; as all tasks together keep fewer than ``min_count``,
-  no frequent phrase is lost, and what cannot reach the count with all that was kept is left out. What the
-  tasks report travels packed, ``SHARES`` rows at a time, and is added up share by share.
-* **counts**: the candidates, again as a trie, go to every task; the accepting states are counted by
-  ``bincount`` and the tasks' arrays of counts are added up, chunk by chunk, by tasks that write the frequent
-  ones. No counts go through the driver.
+  buckets that grow in number with the codes and are added up by tasks; a bit for each bucket comes back, and
+  those whose bucket stays below the count are passed over in a second pass. A task may keep a few places of
+  each to itself, so that the many rare ones need no shuffle; as all tasks together keep fewer than
+  ``min_count``, no frequent phrase is lost, and what cannot reach the count with all that was kept is left
+  out. What the tasks report travels packed, ``SHARES`` rows at a time, and is added up share by share.
+* **counts**: the candidates, again as a trie, go to every task; the accepting states are counted, and the
+  counts of those that occur are added up, chunk by chunk, by tasks that write the frequent ones. No counts go
+  through the driver.
+* **narrowed codes**: places that no two frequent phrases hold, one a word after the other, can't hold a longer
+  one. A table of ``SPARSE`` bits for each frequent phrase, by a hash, tells which to leave out; the codes left
+  are stored for the next level. What the hash lets through is decided by the next trie.
 
 Tries are cut into parts of at most ``PART`` phrases, each of which makes a pass of its own.
 
@@ -37,15 +41,17 @@ from pyspark.sql import functions as F
 from tallyline.functions.skew import lookup_join
 from tallyline.llm.common import stored, whole
 
-PART = 400_000  # phrases of a trie (up to 40 bytes each, and about 20 for the trie)
+PART = 3_000_000  # phrases of a trie (up to 40 bytes each, and about 30 for the trie)
 TOGETHER = 100_000  # codes a task handles at once
-GATHERED = 1 << 20  # positions a task gathers before it counts them
+GATHERED = 1 << 21  # positions a task gathers before it counts them
 WORDS = 100_000  # words a task remembers or counts before it passes them on
 ROW = 512  # codes of a stored row, up to the next break; Spark hands rows to tasks by their number
-BUCKETS = 1 << 22  # of the hashed counts that sort out candidates
-CHUNK = 1 << 16  # numbers of a row that carries a part of a task's counts, a multiple of 8
+BUCKETS = 1 << 22  # of the hashed counts that sort out candidates, at least
+SHARED = 64  # codes to a bucket, at most
+SPARSE = 16  # bits for each phrase that codes are sorted out by
+CHUNK = 1 << 16  # numbers of a row that carries a part of a task's counts, a multiple of 8 and at most 2^16
 SHARES = 256  # rows a task's candidates are dealt to, by a hash
-FOUND = np.dtype([("first", np.int32), ("n", np.int32), ("last", np.int64)])  # a packed candidate
+FOUND = np.dtype([("first", np.int32), ("last", np.int32), ("n", np.int32)])  # a packed candidate
 MIX = np.uint64(0x9E3779B97F4A7C15)
 CANDIDATES = 1_000_000  # distinct candidates a task holds before it lowers their counts or reports them
 SEED = 42  # of Spark's xxhash64
@@ -60,92 +66,93 @@ Batches = Iterator[pa.RecordBatch]
 
 
 class Trie:
-    """Phrases (rows of word codes, all of one length) as a double array: the state after ``state`` and a
-    word is ``base[state] + symbol`` if ``check`` names ``state`` there. Symbols are the words of the
-    phrases, the most frequent ones first, so that the children of a state lie close together."""
-
-    def __init__(self, phrases: np.ndarray):
-        self.words, self.phrases = phrases.shape[1], phrases
-        codes, symbol, times = np.unique(phrases, return_inverse=True, return_counts=True)
-        self.codes = codes
-        self.symbols = np.empty(len(codes), dtype=np.int64)
-        self.symbols[np.argsort(-times, kind="stable")] = np.arange(len(codes))
-        rows = self.symbols[symbol.reshape(phrases.shape)]
+    """Phrases (rows of word codes, all of one length) as a double array: the child of a state by a word lies
+    at ``base + symbol`` if ``check`` names the base there. A state with many children has a base for every
+    two of them or so, chosen by the last bits of the symbol, so that places are found for all bases of a size
+    together. Symbols are the words of the phrases, the most frequent ones first, then ``others``."""
+
+    def __init__(self, phrases: np.ndarray, others: np.ndarray | None = None):
+        self.words, self.size = phrases.shape[1], len(phrases)
+        own = np.unique(np.concatenate([np.unique(phrases[:, k]) for k in range(self.words)]))
+        self.codes = codes = own if others is None else np.union1d(own, others)
+        rows = np.stack([np.searchsorted(codes, phrases[:, k]).astype(np.int32) for k in range(self.words)])
+        times = sum(np.bincount(row, minlength=len(codes)) for row in rows)
+        self.symbols = np.empty(len(codes), dtype=np.int32)
+        self.symbols[np.argsort(-times, kind="stable")] = np.arange(len(codes), dtype=np.int32)
         # The places of a word among the sorted codes, by its upper bits: codes are hashes and lie evenly.
         bits = len(codes).bit_length() + 1
         self.shift, self.half = 64 - bits, 1 << bits - 1
         self.heads = np.searchsorted((codes >> self.shift) + self.half, np.arange((1 << bits) + 1)).astype(np.int32)
-        order = np.lexsort(rows.T[::-1])
-        rows = rows[order]
-        self._grow_to(2 * len(rows) + len(codes) + 16, empty=True)
-        self.used[0] = True
-        parent = np.zeros(len(rows), dtype=np.int64)  # state of each row's prefix
-        for level in range(self.words):
-            new = np.ones(len(rows), dtype=bool)
-            new[1:] = (rows[1:, level] != rows[:-1, level]) | (parent[1:] != parent[:-1])
-            first = np.flatnonzero(new)
-            slots = self._place(parent[first], rows[first, level])
-            parent = slots[np.cumsum(new) - 1]
-        self.accepts = np.full(len(self.base), -1, dtype=np.int32)
-        self.accepts[parent] = order
-        end = int(np.flatnonzero(self.used)[-1]) + 1
-        self.base, self.check, self.accepts = self.base[:end], self.check[:end], self.accepts[:end]
-        del self.used
-
-    def _grow_to(self, size: int, empty: bool = False) -> None:
-        old = 0 if empty else len(self.base)
-        if size > old:
-            size = max(size, 2 * old)
-            base, check, used = np.full(size, -(1 << 60)), np.full(size, -1, dtype=np.int32), np.zeros(size, dtype=bool)
-            if old:
-                base[:old], check[:old], used[:old] = self.base, self.check, self.used
-            self.base, self.check, self.used = base, check, used
-
-    def _place(self, parents: np.ndarray, symbols: np.ndarray) -> np.ndarray:
-        """Slots for children, which come grouped by parent: large families by first fit, single children
-        into whatever is left free."""
-        starts = np.flatnonzero(np.diff(parents, prepend=-1))
-        sizes = np.diff(np.append(starts, len(parents)))
-        slots = np.empty(len(parents), dtype=np.int64)
-        pointer: dict[int, int] = {}  # where to go on looking, by the order of the family's size
-        for k in np.argsort(-sizes, kind="stable"):
-            size = int(sizes[k])
-            if size == 1:
-                break
-            own = slice(starts[k], starts[k] + size)
-            near = symbols[own] - symbols[own].min()
-            kind = size.bit_length()
-            at = self._fit(near, pointer.get(kind, 1))
-            pointer[kind] = at
-            slots[own] = at + near
-            self.used[slots[own]] = True
-            self.check[slots[own]] = parents[own]
-            self.base[parents[own.start]] = slots[own.start] - symbols[own.start]
-        single = starts[sizes == 1]
-        self._grow_to(int(self.used.sum()) + len(single) + 1)
-        free = np.flatnonzero(~self.used)[: len(single)]
-        slots[single] = free
-        self.used[free] = True
-        self.check[free] = parents[single]
-        self.base[parents[single]] = free - symbols[single]
-        return slots
-
-    def _fit(self, near: np.ndarray, at: int) -> int:
-        span = int(near.max()) + 1
-        window = max(64, 1 << 16 >> len(near).bit_length())
-        while True:
-            self._grow_to(at + window + span + 1)
-            found = at + np.flatnonzero(~self.used[at : at + window])
-            if len(found):
-                fits = ~self.used[found[:, None] + near[None, :]].any(axis=1)
-                if fits.any():
-                    return int(found[np.argmax(fits)])
-            at += window
+        rows = self.symbols[rows]
+        order = np.lexsort(rows[::-1])
+        rows = rows[:, order]
+        # States are numbered level by level in the order of the rows; those of one word have a table.
+        new = np.ones(len(order), dtype=bool)
+        new[1:] = rows[0, 1:] != rows[0, :-1]
+        heads, state, states = np.flatnonzero(new), np.cumsum(new) - 1, int(new.sum())
+        self.roots = np.full(len(codes), -1, dtype=np.int32)
+        self.roots[rows[0, heads]] = np.arange(states)
+        self.after_roots, parents, symbols = states, [], []
+        self.accepting = 0  # the first state of the last level
+        for level in range(1, self.words):
+            new[1:] |= rows[level, 1:] != rows[level, :-1]
+            heads = np.flatnonzero(new)
+            parents.append(state[heads].astype(np.int32))
+            symbols.append(rows[level, heads])
+            self.accepting, state, states = states, states + np.cumsum(new) - 1, states + len(heads)
+        self.accepts = order[heads].astype(np.int32)
+        if self.words > 1:
+            self._place(np.concatenate(parents), np.concatenate(symbols), self.accepting)
+
+    def _place(self, parents: np.ndarray, symbols: np.ndarray, inner: int) -> None:
+        """Places for all children, given in the order of their numbers. Sets of children with one base go
+        together, the largest sets first, each to places tried at random; single children to what is left."""
+        sizes = np.bincount(parents, minlength=inner)
+        bases = np.left_shift(1, np.ceil(np.log2(np.maximum(sizes, 2) / 2)).astype(np.int64))
+        self.first = np.concatenate([[0], np.cumsum(bases)]).astype(np.int32)
+        of = self.first[parents] + (symbols & (bases[parents] - 1).astype(np.int32))
+        child = np.argsort(of, kind="stable").astype(np.int32)  # those of a base beside each other
+        symbols, many = symbols[child], np.bincount(of, minlength=int(self.first[-1]))
+        start = np.cumsum(many) - many
+        self.base = np.full(len(many), -1, dtype=np.int32)
+        self.check = np.full(2 * len(child) + len(self.codes) + 16, -1, dtype=np.int32)
+        self.number = np.full(len(self.check), -1, dtype=np.int32)
+        rng = np.random.default_rng(1)
+        for size in np.unique(many[many > 1])[::-1]:
+            left, tries = np.flatnonzero(many == size), 0
+            while len(left):
+                edges = start[left][:, None] + np.arange(size)
+                near = symbols[edges]
+                low = near.min(axis=1)
+                near = near - low[:, None]
+                at = (rng.random(len(left)) * (len(self.check) - near.max(axis=1))).astype(np.int64)
+                slots = at[:, None] + near
+                fits = np.flatnonzero((self.check[slots] < 0).all(axis=1))
+                self.number[slots[fits]] = fits[:, None]  # of those that meet, the last one
+                kept = (self.number[slots[fits]] == fits[:, None]).all(axis=1)
+                mine, lost = fits[kept], fits[~kept]
+                self.check[slots[mine]] = left[mine][:, None]
+                self.number[slots[mine]] = child[edges[mine]]
+                self.base[left[mine]] = at[mine] - low[mine]
+                left, tries = np.delete(left, mine), tries + 1
+                if tries % 50 == 0:
+                    more = np.full(len(self.check) // 2, -1, dtype=np.int32)
+                    self.check, self.number = np.concatenate([self.check, more]), np.concatenate([self.number, more])
+        single = np.flatnonzero(many == 1)
+        free = np.flatnonzero(self.check < 0)[: len(single)]
+        self.check[free], self.number[free] = single, child[start[single]]
+        self.base[single] = free - symbols[start[single]]
+        end = int(np.flatnonzero(self.check >= 0)[-1]) + 1
+        # Whatever a symbol leads to from a base, before the first place (from the end) or behind the last, is there.
+        beyond = np.full(len(self.codes) + 1, -1, dtype=np.int32)
+        self.check = np.concatenate([self.check[:end], beyond])
+        self.number = self.number[:end]
+        self.base[many == 0] = end
 
     def symbols_of(self, codes: np.ndarray) -> np.ndarray:
         """The symbol of each code, -1 for words the trie does not hold."""
         upper = (codes >> self.shift) + self.half
-        found = np.full(len(codes), -1, dtype=np.int64)
+        found = np.full(len(codes), -1, dtype=np.int32)
         at, end = self.heads[upper], self.heads[upper + 1]
         left = np.flatnonzero(at < end)
         at, end = at[left], end[left]
@@ -158,19 +165,30 @@ class Trie:
         return found
 
     def accepted(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Positions where a phrase starts, and which one. All positions advance a level at a time."""
-        symbols = self.symbols_of(codes)
-        at = np.flatnonzero(symbols >= 0)
-        state = np.zeros(len(at), dtype=np.int64)
-        for level in range(self.words):
-            inside = at + level < len(symbols)
-            at, state = at[inside], state[inside]
+        """Positions where a phrase starts, and which one."""
+        return self.walk(self.symbols_of(codes))
+
+    def walk(self, symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The same for symbols. All positions advance a level at a time."""
+        at = np.flatnonzero(symbols[: max(len(symbols) - self.words + 1, 0)] >= 0)
+        state = self.roots[symbols[at]]
+        at, state = at[state >= 0], state[state >= 0]
+        for level in range(1, self.words):
             symbol = symbols[at + level]
-            to = self.base[state] + symbol
-            fits = (symbol >= 0) & (to >= 0) & (to < len(self.check))
-            fits[fits] = self.check[to[fits]] == state[fits]
-            at, state = at[fits], to[fits]
-        return at, self.accepts[state]
+            known = symbol >= 0
+            at, state, symbol = at[known], state[known], symbol[known]
+            head = self.first[state]
+            base = head + (symbol & (self.first[state + 1] - head - 1))
+            to = self.base[base] + symbol
+            fits = self.check[to] == base
+            at, state = at[fits], self.after_roots + self.number[to[fits]]
+        return at, self.accepts[state - self.accepting]
+
+    def spelled(self) -> np.ndarray:
+        """The code of each symbol."""
+        codes = np.empty(len(self.codes), dtype=np.int64)
+        codes[self.symbols] = self.codes
+        return codes
 
     def plain(self) -> dict:
         return dict(self.__dict__)
@@ -227,19 +245,46 @@ class Codes(dict):
         return value
 
 
-def _coder(salt: int) -> Callable[[Batches], Batches]:
-    """Packed codes with a 0 after each piece and text, in rows of about ``ROW`` codes that end with a 0."""
-
-    def rows(held: list[np.ndarray]) -> pa.RecordBatch:
-        codes = np.concatenate(held)
+def rows_of(codes: np.ndarray) -> Batches:
+    """Packed codes in rows of about ``ROW`` codes that end with a 0, as the codes do."""
+    if len(codes):
         breaks = np.flatnonzero(codes == 0)
         cuts = np.unique(breaks[np.searchsorted(breaks, np.arange(ROW, len(codes), ROW))] + 1)
         parts = [part.tobytes() for part in np.split(codes, cuts) if len(part)]
-        return pa.RecordBatch.from_arrays([pa.array(parts, pa.binary())], names=["codes"])
+        yield pa.RecordBatch.from_arrays([pa.array(parts, pa.binary())], names=["codes"])
+
+
+def narrow(codes: np.ndarray, words: int, bits: np.ndarray) -> np.ndarray:
+    """The codes of places that may hold frequent phrases of one word more, with a 0 between what does not stand
+    together: those of a phrase of so many words, and the one a word later, that both have their bit."""
+    if len(codes) <= words:
+        return codes[:0]
+    whole = codes != 0
+    for k in range(1, words):
+        whole[:-k] &= codes[k:] != 0
+        whole[-k:] = False
+    at = np.flatnonzero(whole)
+    starts = np.zeros(len(codes) + 1, dtype=bool)
+    starts[at] = is_set(bits, buckets_of(codes, at, words, 8 * len(bits)))
+    pairs = starts[:-1] & starts[1:]
+    kept = pairs.copy()
+    for k in range(1, words + 1):
+        kept[k:] |= pairs[:-k]
+    codes = np.where(kept, codes, 0)
+    kept[1:] |= kept[:-1]  # and the first break after each
+    return codes[kept]
+
+
+def _coder(salt: int, shared) -> Callable[[Batches], Batches]:
+    """Packed codes with a 0 after each piece and text; words that are not frequent are breaks, too."""
 
     def run(batches: Batches) -> Batches:
         known: dict[str, Codes] = {}
         held, size, end = [], 0, np.zeros(1, dtype=np.uint64)
+
+        def rows() -> Batches:
+            return rows_of(narrow(np.concatenate(held).view(np.int64), 1, shared.value))
+
         for batch in batches:
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1)):
                 codes = known.setdefault(lang, Codes(lang, salt))
@@ -247,10 +292,20 @@ def _coder(salt: int) -> Callable[[Batches], Batches]:
                 held += [np.fromiter(map(codes.__getitem__, found), dtype=np.uint64, count=len(found)), end]
                 size += len(found)
                 if size >= TOGETHER:
-                    yield rows(held)
+                    yield from rows()
                     held, size = [], 0
         if held:
-            yield rows(held)
+            yield from rows()
+
+    return run
+
+
+def _narrow(shared, words: int) -> Callable[[Batches], Batches]:
+    """What ``narrow`` leaves of packed codes."""
+
+    def run(batches: Batches) -> Batches:
+        for codes in codes_of(batches):
+            yield from rows_of(narrow(codes, words, shared.value))
 
     return run
 
@@ -273,65 +328,106 @@ def columns(words: int) -> list[str]:
     return [f"w{k}" for k in range(1, words + 1)]
 
 
-def summed(parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Phrases (number of the first words, code of the last, count) with equal ones added up."""
-    first, last, n = map(np.concatenate, zip(*parts))
-    codes, word = np.unique(last, return_inverse=True)
-    if not len(codes):
-        return first, last, n
-    key, where = np.unique(first.astype(np.int64) * len(codes) + word, return_inverse=True)
-    total = np.minimum(np.bincount(where, weights=n, minlength=len(key)), np.iinfo(np.int32).max).astype(np.int32)
-    return (key // len(codes)).astype(np.int32), codes[key % len(codes)], total
+NOTHING = (np.zeros(0, np.int64), np.zeros(0, np.int64))
 
 
-NOTHING = (np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int32))
+def summed(held: tuple[np.ndarray, np.ndarray], keys: list[np.ndarray], counts: list[np.ndarray] | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Keys in order and their counts, with ``keys`` added, each once if there are no counts."""
+    if not keys:
+        return held
+    key = np.concatenate(keys)
+    if counts is None:
+        more = np.unique(key, return_counts=True)
+        if not len(held[0]):
+            return more
+        key, n = more
+    else:
+        n = np.concatenate(counts).astype(np.int64)
+    key, n = np.concatenate([held[0], key]), np.concatenate([held[1], n])
+    order = np.argsort(key, kind="stable")
+    key = key[order]
+    heads = np.flatnonzero(np.concatenate([np.ones(min(len(key), 1), dtype=bool), key[1:] != key[:-1]]))
+    return key[heads], np.add.reduceat(n[order], heads) if len(heads) else n
 
 
 def lowered(held: tuple, by: int) -> tuple:
     """All counts less ``by``; what has none left is forgotten."""
-    first, last, n = held
+    keys, n = held
     kept = n > by
-    return first[kept], last[kept], n[kept] - by
+    return keys[kept], n[kept] - by
+
+
+def mixed(found: np.ndarray) -> np.ndarray:
+    found = found * MIX
+    return found ^ found >> np.uint64(29)
+
 
+def number_for(places: int) -> int:
+    """A power of two, ``BUCKETS`` or more."""
+    return max(BUCKETS, 1 << max(places - 1, 1).bit_length())
 
-def buckets_of(codes: np.ndarray, at: np.ndarray, words: int) -> np.ndarray:
+
+def buckets_of(codes: np.ndarray, at: np.ndarray, words: int, buckets: int) -> np.ndarray:
     """The bucket of the phrase of so many words that starts at each place."""
     found = np.zeros(len(at), dtype=np.uint64)
     for k in range(words):
-        found = (found ^ codes[at + k].view(np.uint64)) * MIX
-        found ^= found >> np.uint64(29)
-    return (found >> np.uint64(64 - BUCKETS.bit_length() + 1)).astype(np.int64)
+        found = mixed(found ^ codes[at + k].view(np.uint64))
+    return found >> np.uint64(65 - buckets.bit_length())
+
+
+def bucket_of_keys(keys: np.ndarray, buckets: int) -> np.ndarray:
+    return mixed(mixed(keys.view(np.uint64))) >> np.uint64(65 - buckets.bit_length())
+
 
+def is_set(bits: np.ndarray, numbers: np.ndarray) -> np.ndarray:
+    """Whether each number's bit is set, as ``packbits`` lays them out."""
+    return (bits[numbers >> np.uint64(3)] << (numbers & np.uint64(7)).astype(np.uint8) & 128) != 0
 
-def promising(trie: Trie, codes: np.ndarray, whole_trie: bool) -> tuple[np.ndarray, np.ndarray]:
-    """Places of phrases one word longer than those of the trie whose first and last words but one are
-    frequent, and the phrase each starts with."""
-    at, phrase = trie.accepted(codes)
+
+def promising(trie: Trie, codes: np.ndarray, whole_trie: bool) -> np.ndarray:
+    """Keys (number of the first words, symbol of the last) of the places of phrases one word longer than those
+    of the trie whose first and last words but one are frequent."""
+    symbols = trie.symbols_of(codes)
+    at, phrase = trie.walk(symbols)
     starts = np.full(len(codes) + 1, not whole_trie)  # else the later phrase may be in another part
     starts[at] = True
     inside = at + trie.words < len(codes)
     at, phrase = at[inside], phrase[inside]
-    goes_on = (codes[at + trie.words] != 0) & starts[at + 1]
-    return at[goes_on], phrase[goes_on]
+    last = symbols[at + trie.words]
+    goes_on = (last >= 0) & starts[at + 1]
+    return phrase[goes_on].astype(np.int64) << 32 | last[goes_on]
+
+
+def packed(numbers: np.ndarray, counts: np.ndarray, kind: str) -> Batches:
+    """A task's counts of numbers in order: a row for each ``CHUNK`` that has any, with the places in it."""
+    if len(numbers):
+        chunks = numbers // CHUNK
+        heads = np.flatnonzero(np.concatenate([[True], chunks[1:] != chunks[:-1]]))
+        ends = np.append(heads[1:], len(numbers))
+        where, counts = (numbers % CHUNK).astype("u2"), counts.astype(kind)
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array(chunks[heads].astype(np.int32)),
+                pa.array([where[a:b].tobytes() for a, b in zip(heads, ends)], pa.binary()),
+                pa.array([counts[a:b].tobytes() for a, b in zip(heads, ends)], pa.binary()),
+            ],
+            names=["chunk", "places", "counts"],
+        )
 
 
-def packed(counts: np.ndarray) -> Batches:
-    """A task's counts in rows of ``CHUNK`` numbers."""
-    for number, at in enumerate(range(0, len(counts), CHUNK)):
-        part = counts[at : at + CHUNK]
-        if part.any():
-            yield pa.RecordBatch.from_arrays([pa.array([number], pa.int32()), pa.array([part.tobytes()], pa.binary())], names=["chunk", "counts"])
+PACKED = "chunk int, places binary, counts binary"
 
 
 def sums_of(batches: Batches, kind: str) -> Iterator[tuple[int, np.ndarray]]:
     """Each chunk and its counts added up. Rows of equal chunks lie beside each other."""
     chunk, total = None, None
-    rows = ((number.as_py(), np.frombuffer(held.as_py(), dtype=kind)) for batch in batches for number, held in zip(batch.column(0), batch.column(1)))
-    for number, counts in rows:
-        if number != chunk and chunk is not None:
-            yield chunk, total
-        total = counts.astype(np.int64) if number != chunk else total + counts
-        chunk = number
+    for batch in batches:
+        for number, places, counts in zip(*batch.columns):
+            if number.as_py() != chunk:
+                if chunk is not None:
+                    yield chunk, total
+                chunk, total = number.as_py(), np.zeros(CHUNK, dtype=np.int64)
+            total[np.frombuffer(places.as_py(), dtype="u2")] += np.frombuffer(counts.as_py(), dtype=kind)
     if chunk is not None:
         yield chunk, total
 
@@ -349,12 +445,12 @@ def _full(least: int) -> Callable[[Batches], Batches]:
 
 
 def _frequent(shared, min_count: int) -> Callable[[Batches], Batches]:
-    """``w1 .., f`` of the phrases of the trie whose counts add up to ``min_count`` or more."""
+    """``w1 .., f`` of the listed phrases whose counts add up to ``min_count`` or more."""
 
     def run(batches: Batches) -> Batches:
-        phrases = shared.value["phrases"]
+        phrases = shared.value
         words = phrases.shape[1]
-        for chunk, total in sums_of(batches, "i8"):
+        for chunk, total in sums_of(batches, "i4"):
             often = np.flatnonzero(total >= min_count)
             own = phrases[chunk * CHUNK + often]
             if len(own):
@@ -365,73 +461,87 @@ def _frequent(shared, min_count: int) -> Callable[[Batches], Batches]:
     return run
 
 
-def tally(numbers: Iterator[np.ndarray], size: int) -> np.ndarray:
-    """How often each number below ``size`` occurs. They are gathered first, as each count takes ``size`` steps."""
-    total, held, gathered = np.zeros(size, dtype=np.int64), [], 0
+def tallied(numbers: Iterator[np.ndarray], kind: str) -> Batches:
+    """How often each number occurs, packed, as far as the ``kind`` counts. As many are gathered as memory goes."""
+    held, gathered, most = [], 0, np.iinfo(kind).max
+
+    def counted() -> Batches:
+        found, n = np.unique(np.concatenate(held), return_counts=True)
+        return packed(found, np.minimum(n, most), kind)
+
     for found in numbers:
         held.append(found)
         gathered += len(found)
         if gathered >= GATHERED:
-            total += np.bincount(np.concatenate(held), minlength=size)
+            yield from counted()
             held, gathered = [], 0
-    return total + np.bincount(np.concatenate(held), minlength=size) if held else total
+    if held:
+        yield from counted()
 
 
-def _hashed_counts(shared, whole_trie: bool) -> Callable[[Batches], Batches]:
-    """How many promising places fall into each bucket, 255 at most."""
+def _marks(words: int, buckets: int) -> Callable[[Batches], Batches]:
+    """The buckets of phrases (``w1 ..``)."""
+
+    def run(batches: Batches) -> Batches:
+        rows = (np.stack([np.array(batch.column(k)) for k in range(words)], axis=1) for batch in batches)
+        found = (buckets_of(own.ravel(), words * np.arange(len(own)), words, buckets) for own in rows)
+        yield from tallied((numbers.astype(np.int64) for numbers in found), "u1")
+
+    return run
+
+
+def _hashed_counts(shared, whole_trie: bool, buckets: int) -> Callable[[Batches], Batches]:
+    """How many promising places fall into each bucket, each time 255 at most."""
 
     def run(batches: Batches) -> Batches:
         trie = Trie.of(shared.value)
-        found = (buckets_of(codes, promising(trie, codes, whole_trie)[0], trie.words + 1) for codes in codes_of(batches))
-        total = tally(found, BUCKETS)
-        yield from packed(np.minimum(total, 255).astype(np.uint8))
+        found = (bucket_of_keys(promising(trie, codes, whole_trie), buckets) for codes in codes_of(batches))
+        yield from tallied((numbers.astype(np.uint32) for numbers in found), "u1")
 
     return run
 
 
 def _seek(shared, whole_trie: bool, allowance: int) -> Callable[[Batches], Batches]:
-    """Candidates one word longer than the phrases of the trie, packed: number of the first words, code of the
+    """Candidates one word longer than the phrases of the trie, packed: number of the first words, symbol of the
     last, the count in the task less what it lowered it by. Places whose bucket is not full are passed over. A
     task that holds too many candidates lowers all their counts by one, up to its allowance in all, and reports
     them when that is used up; the rest of the allowance goes at the end. Share -1 tells what a task with any
     codes may have kept to itself of a phrase."""
 
     def run(batches: Batches) -> Batches:
-        plain, bits = (part.value for part in shared)
-        trie, full = Trie.of(plain), np.unpackbits(bits).view(bool)
+        plain, full = (part.value for part in shared)
+        trie = Trie.of(plain)
 
-        def row(share: int, found: np.ndarray) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array([share], pa.int32()), pa.array([found.tobytes()], pa.binary())], names=["share", "found"])
+        def row(share: list[int], found: list[np.ndarray]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(share, pa.int32()), pa.array([f.tobytes() for f in found], pa.binary())], names=["share", "found"])
 
         def report(held: tuple) -> Batches:
-            found = np.empty(len(held[0]), dtype=FOUND)
-            found["first"], found["last"], found["n"] = held
-            mixed = (found["last"].view(np.uint64) ^ found["first"].astype(np.uint64)) * MIX
-            share = (mixed >> np.uint64(32)) % np.uint64(SHARES)
+            keys, n = held
+            found = np.empty(len(keys), dtype=FOUND)
+            found["first"], found["last"], found["n"] = keys >> 32, keys & 0xFFFFFFFF, np.minimum(n, np.iinfo(np.int32).max)
+            share = (mixed(keys.view(np.uint64)) >> np.uint64(32)) % np.uint64(SHARES)
             order = np.argsort(share, kind="stable")
-            ends = np.searchsorted(share[order], np.arange(SHARES + 1))
-            for number in range(SHARES):
-                if ends[number] < ends[number + 1]:
-                    yield row(number, found[order[ends[number] : ends[number + 1]]])
+            found, ends = found[order], np.searchsorted(share[order], np.arange(SHARES + 1))
+            some = [k for k in range(SHARES) if ends[k] < ends[k + 1]]
+            if some:
+                yield row(some, [found[ends[k] : ends[k + 1]] for k in some])
 
         held, fresh, size, left, any_codes = NOTHING, [], 0, allowance, False
         for codes in codes_of(batches):
             any_codes = True
-            at, phrase = promising(trie, codes, whole_trie)
-            likely = full[buckets_of(codes, at, trie.words + 1)]
-            at, phrase = at[likely], phrase[likely]
-            fresh.append((phrase, codes[at + trie.words], np.ones(len(at), dtype=np.int32)))
-            size += len(fresh[-1][0])
+            keys = promising(trie, codes, whole_trie)
+            fresh.append(keys[is_set(full, bucket_of_keys(keys, 8 * len(full)))])
+            size += len(fresh[-1])
             if size >= GATHERED:
-                held, fresh, size = summed([held, *fresh]), [], 0
+                held, fresh, size = summed(held, fresh), [], 0
                 while left and len(held[0]) > CANDIDATES:
                     held, left = lowered(held, 1), left - 1
                 if len(held[0]) > CANDIDATES:
                     yield from report(held)
                     held = NOTHING
-        yield from report(lowered(summed([held, *fresh]), left))
+        yield from report(lowered(summed(held, fresh), left))
         if any_codes:
-            yield row(-1, np.array([(0, allowance, 0)], dtype=FOUND))
+            yield row([-1], [np.array([(0, 0, allowance)], dtype=FOUND)])
 
     return run
 
@@ -441,36 +551,38 @@ def _likely(shared, least: int) -> Callable[[Batches], Batches]:
     each other. A row of zeros tells what all tasks may have kept to themselves of a phrase."""
 
     def run(batches: Batches) -> Batches:
-        phrases = shared.value["phrases"]
+        phrases, spelled = shared.value
         words = phrases.shape[1]
         names = [*columns(words + 1), "excess"]
 
         def reported(share: int, found: tuple) -> Batches:
-            first, last, n = found
+            keys, n = found
             if share < 0:
                 yield pa.RecordBatch.from_arrays([*[pa.array([0], pa.int64())] * (words + 1), pa.array(n, pa.int64())], names=names)
                 return
             often = np.flatnonzero(n >= least)
             for at in range(0, len(often), 50_000):
                 part = often[at : at + 50_000]
-                own = phrases[first[part]]
+                own = phrases[keys[part] >> 32]
                 yield pa.RecordBatch.from_arrays(
-                    [*(pa.array(own[:, k].copy()) for k in range(words)), pa.array(last[part]), pa.array(n[part], pa.int64())], names=names
+                    [*(pa.array(own[:, k].copy()) for k in range(words)), pa.array(spelled[keys[part] & 0xFFFFFFFF]), pa.array(n[part], pa.int64())],
+                    names=names,
                 )
 
-        share, held, fresh, size = None, NOTHING, [], 0
+        share, held, keys, counts, size = None, NOTHING, [], [], 0
         rows = ((number.as_py(), np.frombuffer(own.as_py(), dtype=FOUND)) for batch in batches for number, own in zip(batch.column(0), batch.column(1)))
         for number, found in rows:
             if number != share and share is not None:
-                yield from reported(share, summed([held, *fresh]))
-                held, fresh, size = NOTHING, [], 0
+                yield from reported(share, summed(held, keys, counts))
+                held, keys, counts, size = NOTHING, [], [], 0
             share = number
-            fresh.append((found["first"], found["last"], found["n"]))
+            keys.append(found["first"].astype(np.int64) << 32 | found["last"])
+            counts.append(found["n"])
             size += len(found)
             if size >= GATHERED:
-                held, fresh, size = summed([held, *fresh]), [], 0
+                held, keys, counts, size = summed(held, keys, counts), [], [], 0
         if share is not None:
-            yield from reported(share, summed([held, *fresh]))
+            yield from reported(share, summed(held, keys, counts))
 
     return run
 
@@ -480,7 +592,7 @@ def _count(shared) -> Callable[[Batches], Batches]:
 
     def run(batches: Batches) -> Batches:
         trie = Trie.of(shared.value)
-        yield from packed(tally((trie.accepted(codes)[1] for codes in codes_of(batches)), len(trie.phrases)))
+        yield from tallied((trie.accepted(codes)[1] for codes in codes_of(batches)), "i4")
 
     return run
 
@@ -531,33 +643,54 @@ def together(reports: DataFrame, by: str) -> DataFrame:
     return reports.repartition(by).sortWithinPartitions(by)
 
 
-def full_buckets(hashed: DataFrame, least: int) -> np.ndarray:
-    """A bit for each bucket, set where the tasks' packed counts (``chunk, counts``) add up to ``least``."""
-    full = np.zeros(BUCKETS // 8, dtype=np.uint8)
+def full_buckets(hashed: DataFrame, least: int, buckets: int) -> np.ndarray:
+    """A bit for each bucket, set where the tasks' packed counts add up to ``least``."""
+    full = np.zeros(buckets // 8, dtype=np.uint8)
     for chunk, bits in together(hashed, "chunk").mapInArrow(_full(least), "chunk int, bits binary").collect():
         at = chunk * CHUNK // 8
-        full[at : at + len(bits)] = np.frombuffer(bits, dtype=np.uint8)
+        own = full[at : at + len(bits)]
+        own[:] = np.frombuffer(bits, dtype=np.uint8)[: len(own)]
     return full
 
 
+def marked(phrases: DataFrame, words: int) -> np.ndarray:
+    """A bit for each bucket that one of the phrases (``w1 ..``) falls into."""
+    buckets = number_for(SPARSE * phrases.count())
+    return full_buckets(phrases.select(*columns(words)).mapInArrow(_marks(words, buckets), PACKED), 1, buckets)
+
+
+def narrowed(coded: DataFrame, phrases: DataFrame, words: int) -> DataFrame:
+    """The codes of places that may hold phrases longer than ``words``, given the frequent ones of that length."""
+    bits = coded.sparkSession.sparkContext.broadcast(marked(phrases, words))
+    left = stored(coded.mapInArrow(_narrow(bits, words), "codes binary"))
+    bits.destroy()
+    return left
+
+
 def candidates(coded: DataFrame, shorter: DataFrame, words: int, min_count: int) -> DataFrame:
     """``w1 ..``: phrases of ``words`` words that may be frequent, given those of one word less."""
     names, context = columns(words), coded.sparkSession.sparkContext
-    tasks = coded.select(F.spark_partition_id().alias("p")).distinct().count()
+    tasks, rows = coded.groupBy(F.spark_partition_id()).count().agg(F.count("*"), F.sum("count")).first()
+    buckets = number_for((rows or 0) * ROW // SHARED)
 
     def found(allowance: int) -> DataFrame:
-        made = []
+        made, others = [], None
         for codes, parts in parts_of(shorter, words - 1):
-            trie = context.broadcast(Trie(codes).plain())
-            hashed = coded.mapInArrow(_hashed_counts(trie, parts == 1), "chunk int, counts binary")
-            full = context.broadcast(full_buckets(hashed, min(min_count, 255)))
+            if parts > 1 and others is None:  # the last word may stand in phrases of other parts only
+                spelled = shorter.select(F.explode(F.array(*columns(words - 1))).alias("code")).distinct()
+                others = np.array(spelled.toArrow().column("code"))
+            trie = Trie(codes, others)
+            listed = context.broadcast((codes, trie.spelled()))
+            trie = context.broadcast(trie.plain())
+            hashed = coded.mapInArrow(_hashed_counts(trie, parts == 1, buckets), PACKED)
+            full = context.broadcast(full_buckets(hashed, min(min_count, 255), buckets))
             each = coded.mapInArrow(_seek((trie, full), parts == 1, allowance), "share int, found binary")
             likely = together(each, "share").mapInArrow(
-                _likely(trie, max(min_count - allowance * tasks, 1)), ", ".join(f"{n} long" for n in names) + ", excess long"
+                _likely(listed, max(min_count - allowance * tasks, 1)), ", ".join(f"{n} long" for n in names) + ", excess long"
             )
             made.append(stored(likely))
-            trie.destroy()
-            full.destroy()
+            for shared in (trie, full, listed):
+                shared.destroy()
         return reduce(DataFrame.unionByName, made)
 
     # A task without codes, as a scan may have, keeps nothing and is not among them.
@@ -573,15 +706,16 @@ def candidates(coded: DataFrame, shorter: DataFrame, words: int, min_count: int)
 
 def counted(coded: DataFrame, listed: DataFrame, words: int, min_count: int) -> DataFrame | None:
     """``w1 .., f`` of the listed phrases that are frequent; None if there are none."""
-    made = []
+    made, context = [], coded.sparkSession.sparkContext
     for codes, _ in parts_of(listed, words):
-        shared = coded.sparkSession.sparkContext.broadcast(Trie(codes).plain())
-        each = coded.mapInArrow(_count(shared), "chunk int, counts binary")
+        trie, phrases = context.broadcast(Trie(codes).plain()), context.broadcast(codes)
+        each = coded.mapInArrow(_count(trie), PACKED)
         often = together(each, "chunk").mapInArrow(
-            _frequent(shared, min_count), ", ".join(f"{n} long" for n in columns(words)) + ", f long"
+            _frequent(phrases, min_count), ", ".join(f"{n} long" for n in columns(words)) + ", f long"
         )
         made.append(stored(often))
-        shared.destroy()
+        trie.destroy()
+        phrases.destroy()
     found = reduce(DataFrame.unionByName, made) if made else None
     return None if found is None or found.isEmpty() else found
 
@@ -592,13 +726,17 @@ def frequent_phrases(docs: DataFrame, min_count: int = 100, longest: int = 5) ->
     words, totals, salt = word_table(docs, min_count)
     levels = [words.select(F.col("code").alias("w1"), "f")]
     if not words.isEmpty():
-        coded = stored(_rows(docs).mapInArrow(_coder(salt), "codes binary"))
+        bits = docs.sparkSession.sparkContext.broadcast(marked(levels[0], 1))
+        coded = stored(_rows(docs).mapInArrow(_coder(salt, bits), "codes binary"))
+        bits.destroy()
         for length in range(2, longest + 1):
             listed = candidates(coded, levels[-1], length, min_count)
             level = counted(coded, listed, length, min_count)
             if level is None:
                 break
             levels.append(level)
+            if length < longest:
+                coded = narrowed(coded, level, length)
     phrases = [level.select(F.array(*columns(k)).alias("codes"), "f") for k, level in enumerate(levels, 1)]
     return reduce(DataFrame.unionByName, phrases), words, totals
 

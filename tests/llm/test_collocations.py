@@ -2,6 +2,7 @@
 
 import random
 import re
+import time
 from collections import Counter
 
 import numpy as np
@@ -167,3 +168,82 @@ def test_counts_stay_off_the_driver(spark, monkeypatch):
     assert 0 < sum(came) <= collocations.BUCKETS // 8
     assert sorted(tuple(r) for r in found.collect()) == [(7, 9, 72), (8, 7, 60)]
     assert none is None
+
+
+def test_large_tries_take_seconds():
+    """Places for the children are sought for all states together, not state by state (20 s and more for these)."""
+    rng = np.random.default_rng(5)
+    words = np.unique(rng.integers(-(1 << 63), (1 << 63) - 1, 60_000, dtype=np.int64))
+    near = (rng.random((400_000, 2)) ** 4 * len(words)).astype(np.int64)
+    phrases = np.unique(words[near], axis=0)
+    assert len(phrases) > 200_000
+    began = time.process_time()
+    trie = collocations.Trie(phrases)
+    assert time.process_time() - began < 5
+    known = {tuple(p): i for i, p in enumerate(phrases.tolist())}
+    codes = words[(rng.random(20_000) ** 4 * len(words)).astype(np.int64)]
+    at, which = trie.accepted(codes)
+    pairs = list(zip(codes[:-1].tolist(), codes[1:].tolist()))
+    assert list(zip(at.tolist(), which.tolist())) == [(i, known[p]) for i, p in enumerate(pairs) if p in known]
+
+
+def test_symbols_of_other_parts_lead_nowhere():
+    trie = collocations.Trie(np.array([[3, 5], [3, 8], [8, 3]]), np.array([11, 5, 2]))
+    assert (trie.symbols_of(np.array([2, 3, 5, 8, 11])) >= 0).all()
+    assert trie.spelled()[trie.symbols_of(np.array([2, 11, 8]))].tolist() == [2, 11, 8]
+    at, which = trie.accepted(np.array([11, 3, 11, 2, 3, 8, 3, 5, 11]))
+    assert list(zip(at.tolist(), which.tolist())) == [(4, 1), (5, 2), (6, 0)]
+
+
+@pytest.mark.parametrize("words", [1, 2, 4])
+@pytest.mark.parametrize("buckets", [1 << 3, 1 << 16])
+def test_narrowed_codes_hold_all_longer_phrases(words, buckets):
+    rng = np.random.default_rng(words)
+    codes = np.append(rng.integers(0, 7, 4000), 0) * 1_000_003
+
+    def places(held, size):
+        runs = (tuple(held[i : i + size].tolist()) for i in range(len(held) - size + 1))
+        return [run for run in runs if 0 not in run]
+
+    counts = Counter(places(codes, words))
+    frequent = {run for run, n in counts.items() if n > np.median(list(counts.values()))}
+    marks = np.zeros(buckets, dtype=bool)
+    for run in frequent:
+        marks[int(collocations.buckets_of(np.array(run), np.array([0]), words, buckets)[0])] = True
+    left = collocations.narrow(codes, words, np.packbits(marks))
+
+    def longer(held):
+        return Counter(run for run in places(held, words + 1) if run[1:] in frequent and run[:-1] in frequent)
+
+    assert longer(left) == longer(codes) and longer(codes)
+    assert left[-1] == 0 and not ((left[1:] == 0) & (left[:-1] == 0)).any()
+    assert len(left) < len(codes) - 500 or buckets == 1 << 3
+    assert len(collocations.narrow(codes[:words], words, np.packbits(marks))) == 0
+
+
+def test_counts_travel_without_those_that_do_not_occur(spark):
+    """What a task sends grows with what it holds, not with the phrases of the trie."""
+    rows = [batch for batch in collocations.tallied(iter([np.array([5, 2, 5]), np.array([10**6, 5])]), "i4")]
+    assert sum(batch.nbytes for batch in rows) < 200
+    found = {chunk: total for chunk, total in collocations.sums_of(iter(rows), "i4")}
+    at = 10**6 // collocations.CHUNK
+    assert set(found) == {0, at} and found[0][[2, 5]].tolist() == [1, 3] and found[0].sum() == 4
+    assert found[at][10**6 % collocations.CHUNK] == 1
+
+
+def test_later_levels_read_fewer_codes(spark, monkeypatch):
+    """Places that cannot hold a longer frequent phrase are read once, whatever the phrases found elsewhere."""
+    random.seed(2)
+    rare = [f"r{i}" for i in range(3000)]
+    rows = [(" ".join([*random.choices(rare, k=60), "one two", *random.choices(rare, k=60), "three four five six"]), "en") for _ in range(60)]
+    docs = spark.createDataFrame(rows, "text string, lang string")
+    seek, sizes = collocations.candidates, []
+
+    def noted(coded, shorter, words, min_count):
+        sizes.append((coded.agg(F.sum(F.length("codes"))).first()[0] or 0) // 8)
+        return seek(coded, shorter, words, min_count)
+
+    monkeypatch.setattr(collocations, "candidates", noted)
+    found = collocations.collocations(docs, min_count=50)
+    assert sorted((r.phrase, r.a) for r in found.collect()) == [("one two", 60), ("three four five six", 60)]
+    assert len(sizes) == 4 and sizes[0] < 60 * 15 and sizes[1] < sizes[0] and sizes[1] <= 60 * 6 and sizes[3] <= sizes[1]
